@@ -114,13 +114,13 @@ def classification_report(scored: DataFrame, by=(), y: str = "y", pred: str = "p
 def score_cumulative(scored: DataFrame, by=(), y: str = "y", p: str = "p",
                      buckets: int = SCORE_BUCKETS) -> DataFrame:
     """One row per (by..., distinct score): pos, neg at that score, pos_above
-    and neg_above (strictly higher scores), group totals P and N, and
+    and neg_above (strictly higher scores), group totals tot_pos and tot_neg, and
     is_first / is_last plus the next lower score's (pos, neg)."""
     scored, by, const = _group_or_const(scored, by)
     g = scored.groupBy(*by, F.col(p).alias("p")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
     rng = g.groupBy(*by).agg(F.min("p").alias("_lo"), F.max("p").alias("_hi"),
-                             F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+                             F.sum("pos").alias("tot_pos"), F.sum("neg").alias("tot_neg"))
     # one row per group (model): broadcast
     g = g.join(F.broadcast(rng), by)
     g = g.withColumn("_b", F.when(F.col("_hi") > F.col("_lo"), F.least(
@@ -146,7 +146,7 @@ def score_cumulative(scored: DataFrame, by=(), y: str = "y", p: str = "p",
     })
     nxt = F.coalesce(F.col("_lead"), F.col("_next_head"))
     by = [b for b in by if not (const and b == "_g")]
-    return g.select(*by, "p", "pos", "neg", "pos_above", "neg_above", "P", "N",
+    return g.select(*by, "p", "pos", "neg", "pos_above", "neg_above", "tot_pos", "tot_neg",
                     ((F.col("pos_above") + F.col("neg_above")) == 0).alias("is_first"),
                     nxt.isNull().alias("is_last"),
                     nxt["pos"].alias("next_pos"), nxt["neg"].alias("next_neg"))
@@ -158,8 +158,8 @@ def roc_auc(scored: DataFrame, by=(), y: str = "y", p: str = "p") -> DataFrame:
     c = score_cumulative(scored, by, y, p)
     num = F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") / 2.0))
     return c.groupBy(*by).agg(
-        F.when((F.first("P") == 0) | (F.first("N") == 0), F.lit(None).cast("double"))
-         .otherwise(num / (F.first("P").cast("double") * F.first("N").cast("double"))).alias("auc"))
+        F.when((F.first("tot_pos") == 0) | (F.first("tot_neg") == 0), F.lit(None).cast("double"))
+         .otherwise(num / (F.first("tot_pos").cast("double") * F.first("tot_neg").cast("double"))).alias("auc"))
 
 
 def roc_curve(scored: DataFrame, by=(), y: str = "y", p: str = "p",
@@ -175,8 +175,8 @@ def roc_curve(scored: DataFrame, by=(), y: str = "y", p: str = "p",
                 | (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg")))
         c = c.where(keep)
     pts = c.select(*by, F.col("p").alias("threshold"),
-                   _safe_div((F.col("neg_above") + F.col("neg")).cast("double"), F.col("N").cast("double")).alias("fpr"),
-                   _safe_div((F.col("pos_above") + F.col("pos")).cast("double"), F.col("P").cast("double")).alias("tpr"))
+                   _safe_div((F.col("neg_above") + F.col("neg")).cast("double"), F.col("tot_neg").cast("double")).alias("fpr"),
+                   _safe_div((F.col("pos_above") + F.col("pos")).cast("double"), F.col("tot_pos").cast("double")).alias("tpr"))
     start = scored.select(*by).distinct().select(
         *by, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return start.unionByName(pts)
@@ -227,9 +227,9 @@ def _sweep(scored: DataFrame, by: list[str], idx: Column, n: int, y: str) -> Dat
     part = Window.partitionBy(*by)
     w = part.orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, 0)
     full = full.withColumns({"tp": F.sum("_pos").over(w), "fp": F.sum("_neg").over(w),
-                             "P": F.sum("_pos").over(part), "N": F.sum("_neg").over(part)})
+                             "_P": F.sum("_pos").over(part), "_N": F.sum("_neg").over(part)})
     return full.where(F.col("k") >= 0).select(
-        *by, "k", "tp", "fp", (F.col("P") - F.col("tp")).alias("fn"), (F.col("N") - F.col("fp")).alias("tn"))
+        *by, "k", "tp", "fp", (F.col("_P") - F.col("tp")).alias("fn"), (F.col("_N") - F.col("fp")).alias("tn"))
 
 
 def _group_or_const(df: DataFrame, by) -> tuple[DataFrame, list[str], bool]:
@@ -246,9 +246,10 @@ def threshold_tune(scored: DataFrame, by=(), y: str = "y", p: str = "p",
     threshold, f1, recall, precision)."""
     import math
     n = int(math.ceil((stop - start) / step))
+    delta = (start + step) - start      # np.arange fills start + i * (t_1 - t_0)
     df, gb, const = _group_or_const(scored, by)
-    sw = _metrics_from_counts(_sweep(df, gb, _arange_index(F.col(p), start, step, n), n, y))
-    sw = sw.withColumn("threshold", F.lit(start) + F.col("k").cast("double") * F.lit(step))
+    sw = _metrics_from_counts(_sweep(df, gb, _arange_index(F.col(p), start, delta, n), n, y))
+    sw = sw.withColumn("threshold", F.lit(start) + F.col("k").cast("double") * F.lit(delta))
     best = sw.groupBy(*gb).agg(F.max_by(F.struct("threshold", "f1", "recall", "precision"),
                                         F.struct("f1", "recall", -F.col("k"))).alias("b"))
     out = best.select(*gb, "b.*")

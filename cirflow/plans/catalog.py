@@ -505,3 +505,227 @@ def coef_sign_counts(spark, sf):
 @q("distinct_sorted")
 def distinct_sorted(spark, sf):
     return PR.distinct_sorted(FX.table(spark, sf, "documents"), "source")
+
+
+# ================================================================ 2.8 classification evaluation
+@q("confusion_matrix")
+def confusion_matrix(spark, sf):
+    return rnd(C.confusion_matrix(scored_pred(spark, sf), "model"), ["pct"], 6)
+
+
+@q("binary_metrics")
+def binary_metrics(spark, sf):
+    return rnd(C.binary_metrics(scored_pred(spark, sf), "model"), ["accuracy", "precision", "recall", "f1"], 9)
+
+
+@q("classification_report")
+def classification_report(spark, sf):
+    return rnd(C.classification_report(scored_pred(spark, sf), "model"), ["precision", "recall", "f1"], 9)
+
+
+@q("roc_curve")
+def roc_curve(spark, sf):
+    return C.roc_curve(FX.scored(spark, sf), "model")
+
+
+@q("roc_auc")
+def roc_auc(spark, sf):
+    return rnd(C.roc_auc(FX.scored(spark, sf), "model"), ["auc"], 9)
+
+
+@q("auc_trapezoid")
+def auc_trapezoid(spark, sf):
+    return rnd(C.auc_trapezoid(C.roc_curve(FX.scored(spark, sf), "model"), "model"), ["auc"], 9)
+
+
+@q("multi_model_roc")
+def multi_model_roc(spark, sf):
+    s = FX.scored(spark, sf)
+    return rnd(C.roc_curve(s, "model").join(C.roc_auc(s, "model"), "model"), ["auc"], 9)
+
+
+@q("threshold_tune")
+def threshold_tune(spark, sf):
+    return rnd(C.threshold_tune(FX.scored(spark, sf), "model"), ["threshold", "f1", "recall", "precision"], 9)
+
+
+@q("threshold_curve")
+def threshold_curve(spark, sf):
+    return rnd(C.threshold_curve(FX.scored(spark, sf), "model"),
+               ["threshold", "f1", "precision", "recall", "accuracy"], 9)
+
+
+@q("error_partition")
+def error_partition(spark, sf):
+    return C.error_partition(scored_pred(spark, sf), "model")
+
+
+@q("error_confidence")
+def error_confidence(spark, sf):
+    return rnd(C.error_confidence(scored_pred(spark, sf), "model"),
+               ["pct_near", "pct_confident", "pct_band_near", "pct_band_outside"], 6)
+
+
+@q("error_prob_stats")
+def error_prob_stats(spark, sf):
+    return rnd(C.error_prob_stats(scored_pred(spark, sf), "model"), ["mean", "std", "min", "max", "median"], 9)
+
+
+ERR_FEATURES = ["value", "uid", "eid"]
+
+
+def _errors_with_features(spark, sf) -> DataFrame:
+    s = scored_pred(spark, sf).where(F.col("model") == "m1")
+    ev = FX.table(spark, sf, "events").select(
+        F.col("event_id").alias("id"), "value", F.col("user_id").cast("double").alias("uid"),
+        (F.col("event_id") % 97).cast("double").alias("eid"))
+    return s.join(ev, "id")
+
+
+@q("error_feature_shift")
+def error_feature_shift(spark, sf):
+    out = C.error_feature_shift(_errors_with_features(spark, sf), ERR_FEATURES)
+    return rnd(out, ["effect", "correct_mean", "error_mean"], 6)
+
+
+@q("error_feature_effect")
+def error_feature_effect(spark, sf):
+    out = C.error_feature_shift(_errors_with_features(spark, sf), ERR_FEATURES, normalise=True)
+    return rnd(out, ["effect", "correct_mean", "error_mean"], 6)
+
+
+@q("error_rate_bins")
+def error_rate_bins(spark, sf):
+    return rnd(C.error_rate_bins(scored_pred(spark, sf), "model"), ["error_rate"], 9)
+
+
+@q("model_comparison")
+def model_comparison(spark, sf):
+    return rnd(C.model_comparison(scored_pred(spark, sf)),
+               ["accuracy", "precision", "recall", "f1", "auc", "nlos_recall"], 9)
+
+
+@q("metrics_melt")
+def metrics_melt(spark, sf):
+    m = C.model_comparison(scored_pred(spark, sf))
+    return rnd(C.metrics_melt(m, "model", ["accuracy", "precision", "recall", "f1", "auc"]), ["score"], 9)
+
+
+@q("best_model")
+def best_model(spark, sf):
+    return rnd(C.best_model(C.model_comparison(scored_pred(spark, sf))), ["value"], 9)
+
+
+@q("metric_duel")
+def metric_duel(spark, sf):
+    return rnd(C.metric_duel(C.model_comparison(scored_pred(spark, sf)), "m1", "m2"),
+               ["score_a", "score_b", "diff"], 9)
+
+
+# ================================================================ 2.9 regression evaluation
+def regress_long(spark, sf) -> DataFrame:
+    r = FX.regress(spark, sf)
+    return (r.select("key", F.lit("path1").alias("path"), F.col("y1").alias("y"), F.col("p1").alias("p"))
+            .unionByName(r.select("key", F.lit("path2").alias("path"), F.col("y2").alias("y"),
+                                  F.col("p2").alias("p"))))
+
+
+@q("regression_metrics")
+def regression_metrics(spark, sf):
+    return rnd(RG.regression_metrics(regress_long(spark, sf), "y", "p", "path"), ["rmse", "mae", "r2"], 6)
+
+
+@q("clipped_metrics")
+def clipped_metrics(spark, sf):
+    out = RG.clipped_metrics(FX.regress(spark, sf), "y2", "p1", "p2")
+    return rnd(out, ["rmse_raw", "mae_raw", "r2_raw", "rmse_clipped", "mae_clipped", "r2_clipped"], 6)
+
+
+@q("residual_stats")
+def residual_stats(spark, sf):
+    return rnd(RG.residual_stats(regress_long(spark, sf), "y", "p", "path"),
+               ["mean", "std", "share_lt_0_5", "share_lt_1_0", "median"], 6)
+
+
+@q("actual_vs_predicted")
+def actual_vs_predicted(spark, sf):
+    return RG.actual_vs_predicted(regress_long(spark, sf), "y", "p", "path")
+
+
+@q("fold_summary")
+def fold_summary(spark, sf):
+    d = SP.kfold(regress_long(spark, sf), "key", 5)
+    per_fold = RG.fold_metrics(d, "y", "p", "fold", "path")
+    return rnd(RG.fold_summary(per_fold, "path"),
+               ["rmse_mean", "rmse_std", "mae_mean", "mae_std", "r2_mean", "r2_std"], 6)
+
+
+def model_results(spark, sf) -> DataFrame:
+    """Metrics of three predictors per path: as given, shrunk, and blended."""
+    d = regress_long(spark, sf)
+    variants = (d.select("path", "y", F.lit("given").alias("model"), "p")
+                .unionByName(d.select("path", "y", F.lit("shrunk").alias("model"), (F.col("p") * 0.9).alias("p")))
+                .unionByName(d.select("path", "y", F.lit("blend").alias("model"),
+                                      ((F.col("p") + F.col("y")) / 2.0).alias("p"))))
+    return rnd(RG.regression_metrics(variants, "y", "p", ["path", "model"]), ["rmse", "mae", "r2"], 6)
+
+
+@q("rank_results")
+def rank_results(spark, sf):
+    return RG.rank_results(model_results(spark, sf), "path")
+
+
+@q("best_per_path")
+def best_per_path(spark, sf):
+    return RG.best_per_path(model_results(spark, sf), "path", "model")
+
+
+# ================================================================ 2.10 ranking
+@q("avg_rank")
+def avg_rank(spark, sf):
+    return RK.avg_rank(FX.ranks(spark, sf), "a", "rank").select("f", "a", "rank")
+
+
+@q("rank_agreement")
+def rank_agreement(spark, sf):
+    return RK.rank_agreement(FX.ranks(spark, sf), FX.ranks(spark, sf), "f", "a", "b")
+
+
+@q("normalise_to_one")
+def normalise_to_one(spark, sf):
+    return rnd(RK.normalise_to_one(FX.ranks(spark, sf).select("f", "a"), "a"), ["a"], 9)
+
+
+@q("rank_enumerate")
+def rank_enumerate(spark, sf):
+    return rnd(RK.rank_enumerate(importance(spark, sf), "Importance"), ["Importance"], 9)
+
+
+# ================================================================ 2.11 top-k
+@q("topk_importance")
+def topk_importance(spark, sf):
+    return rnd(RK.topk(importance(spark, sf), "Importance", 15), ["Importance"], 9)
+
+
+@q("topk_abs")
+def topk_abs(spark, sf):
+    return rnd(RK.topk(coefs(spark, sf), "coef", 10, absolute=True), ["coef"], 9)
+
+
+@q("topk_error_features")
+def topk_error_features(spark, sf):
+    out = C.error_feature_shift(_errors_with_features(spark, sf), ERR_FEATURES, normalise=True)
+    return rnd(RK.topk(out, "effect", 2, name="feature"), ["effect", "correct_mean", "error_mean"], 6)
+
+
+# ================================================================ 2.12 set operations
+@q("union_parts")
+def union_parts(spark, sf):
+    return FX.parts_tagged(spark, sf)
+
+
+@q("hstack_features")
+def hstack_features(spark, sf):
+    w = FX.wave_emb(spark, sf)
+    return w.withColumns({"energy": W.wave_energy("w"), "peak": W.wave_peak("w"),
+                          "peak_idx": W.wave_peak_idx("w")}).drop("w")

@@ -250,3 +250,261 @@ SQL["median_impute"] = _SP_STRICT + """, g AS (SELECT id, peak2_idx - fp AS gap,
 SELECT id, coalesce(gap, mg) AS gap, coalesce(peak2_amp, ma) AS peak2_amp, coalesce(peak2_idx, mi) AS peak2_idx FROM g, m"""
 SQL["wave_profile"] = with_("wave_emb") + f"""SELECT y, pos, {r('avg(x)')} AS mean_amp, count(*) AS n FROM
     (SELECT y, unnest(w) AS x, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos FROM wave_emb) GROUP BY y, pos"""
+
+# ================================================================ 2.6 joins
+SQL["join_rankings"] = with_("ranks") + "SELECT a.f, a.a, b.b FROM ranks a JOIN ranks b ON b.f = a.f WHERE b.a > 10"
+SQL["lookup_default_zero"] = with_("importance") + f"""SELECT t.Feature, {r('t.Importance', 9)} AS Importance,
+    {r('coalesce(o.Importance * 2, 0.0)', 9)} AS other
+    FROM (SELECT * FROM importance ORDER BY Importance DESC, Feature LIMIT 15) t
+    LEFT JOIN importance o ON o.Feature = t.Feature AND starts_with(o.Feature, 'CIR_')"""
+SQL["attach_split"] = with_("groups", extra=group_split_ctes("groups", "source")) + """SELECT l.doc_id, l.quality, gs.split
+    FROM labels l JOIN groups g ON g.doc_id = l.doc_id JOIN gs ON gs.g = g.source"""
+SQL["align_predictions"] = with_("scored_wide") + "SELECT id, y, m1, m2, m3 FROM scored_wide"
+
+# ================================================================ 2.7 aggregations
+_UF = with_("wave_user", extra=[("uf", """SELECT id, y, CAST(fp AS DOUBLE) AS fp, list_sum(w) AS wsum,
+    list_max(w) AS peak FROM wave_user""")])
+SQL["class_mean_std"] = _UF + " UNION ALL ".join(
+    f"SELECT y, '{c}' AS feature, {r(f'avg({c})')} AS mean, {r(f'stddev_samp({c})')} AS std FROM uf GROUP BY y"
+    for c in ("fp", "wsum", "peak"))
+SQL["column_mean_std"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {r(f'avg({c})')} AS mean, {r(f'stddev_samp({c})')} AS std FROM events"
+    for c in ("value", "user_id"))
+_SC_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+SQL["scaled_check"] = ("WITH st AS (SELECT " + ", ".join(
+    f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(_SC_COLS)) + " FROM lineitem),\n"
+    "sc AS (SELECT " + ", ".join(f"({c} - m{i}) / s{i} AS z{i}" for i, c in enumerate(_SC_COLS))
+    + " FROM lineitem, st)\n" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {r(f'avg(z{i})')} AS mean, {r(f'stddev_pop(z{i})')} AS std FROM sc"
+        for i, c in enumerate(_SC_COLS)))
+SQL["min_max"] = with_("regress") + """SELECT 'y1' AS feature, min(y1) AS min, max(y1) AS max FROM regress
+    UNION ALL SELECT 'y2', min(y2), max(y2) FROM regress"""
+SQL["label_correlation"] = _UF + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {r(f'corr({c}, CAST(y AS DOUBLE))')} AS corr FROM uf" for c in ("fp", "wsum", "peak"))
+
+
+def hist_sql(data: str, bins: int, by: str | None, density: bool) -> list[tuple[str, str]]:
+    g = f"{by}, " if by else ""
+    on = f"ON h_rg.{by} = {data}.{by}" if by else "ON true"
+    grp = f"GROUP BY {by}" if by else ""
+    dens = f", {r(f'count(*) / (n * ((hi_ - lo_) / {bins}))')} AS density" if density else ""
+    return [
+        ("h_rg", f"""SELECT {g}count(*) AS n, CASE WHEN max(x) > min(x) THEN min(x) ELSE min(x) - 0.5 END AS lo_,
+            CASE WHEN max(x) > min(x) THEN max(x) ELSE max(x) + 0.5 END AS hi_ FROM {data} {grp}"""),
+        ("h_b", f"""SELECT {(data + '.' + by + ', ') if by else ''}CAST(least(floor((x - lo_) * {bins} / (hi_ - lo_)), {bins - 1}) AS INTEGER) AS bin,
+            lo_, hi_, n FROM {data} JOIN h_rg {on}"""),
+        ("h", f"""SELECT {g}bin, {r(f'lo_ + bin * (hi_ - lo_) / {bins}')} AS lo, {r(f'lo_ + (bin + 1) * (hi_ - lo_) / {bins}')} AS hi,
+            count(*) AS n{dens} FROM h_b GROUP BY {g}bin, lo_, hi_, n"""),
+    ]
+
+
+SQL["class_histogram"] = with_("scored_wide", extra=[
+    ("hd", "SELECT s.y AS y, e.value AS x FROM scored_wide s JOIN events e ON e.event_id = s.id WHERE e.value IS NOT NULL"),
+    *hist_sql("hd", 50, "y", True)]) + "SELECT * FROM h"
+SQL["count_histogram"] = with_("regress", extra=[
+    ("hd", "SELECT p1 - y1 AS x FROM regress WHERE p1 - y1 IS NOT NULL"), *hist_sql("hd", 60, None, False)]) + \
+    "SELECT * FROM h"
+SQL["box_stats"] = f"""WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS med,
+    quantile_cont(value, 0.75) AS q3 FROM events WHERE value IS NOT NULL GROUP BY event_type)
+SELECT e.event_type, {r('q1')} AS q1, {r('med')} AS median, {r('q3')} AS q3,
+  min(value) FILTER (value >= q1 - 1.5 * (q3 - q1)) AS whisker_lo,
+  max(value) FILTER (value <= q3 + 1.5 * (q3 - q1)) AS whisker_hi,
+  count(*) FILTER (value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS n_outliers
+FROM events e JOIN q ON q.event_type = e.event_type WHERE value IS NOT NULL GROUP BY e.event_type, q1, med, q3"""
+SQL["scatter_sample"] = f"""SELECT event_id, y, value, user_id FROM (SELECT *, row_number() OVER (PARTITION BY y
+    ORDER BY {md5int("'42'", "event_id")}, event_id) AS rn FROM (SELECT event_id,
+    CAST(event_type IN ('purchase', 'signup') AS INTEGER) AS y, value, user_id FROM events)) WHERE rn <= 500"""
+_CAT = """CASE WHEN starts_with(Feature, 'PEAK2') THEN 'Second Path' WHEN starts_with(Feature, 'CIR') THEN 'CIR Waveform'
+    ELSE 'Core Features' END"""
+SQL["category_importance"] = with_("importance") + f"""SELECT {_CAT} AS Category, {r('sum(Importance)', 9)} AS Importance
+    FROM importance GROUP BY 1"""
+SQL["coef_sign_counts"] = with_("coefs") + """SELECT count(*) FILTER (coef > 0) AS n_positive,
+    count(*) FILTER (coef < 0) AS n_negative FROM coefs"""
+SQL["distinct_sorted"] = "SELECT DISTINCT source FROM documents"
+
+# ================================================================ 2.8 classification evaluation
+_CC = ("cc", """SELECT model, count(*) FILTER (y = 0 AND pred = 0) AS tn, count(*) FILTER (y = 0 AND pred = 1) AS fp,
+    count(*) FILTER (y = 1 AND pred = 0) AS fn, count(*) FILTER (y = 1 AND pred = 1) AS tp FROM scored_pred GROUP BY model""")
+
+
+def sdiv(a: str, b: str) -> str:
+    return f"(CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END)"
+
+
+_MET = ("met", f"""SELECT *, {sdiv('tp + tn', 'tp + tn + fp + fn')} AS accuracy, {sdiv('tp', 'tp + fp')} AS precision,
+    {sdiv('tp', 'tp + fn')} AS recall, {sdiv('2 * tp', '2 * tp + fp + fn')} AS f1 FROM cc""")
+SQL["confusion_matrix"] = with_("scored_pred", extra=[_CC]) + " UNION ALL ".join(
+    f"SELECT model, {yv} AS y, {pv} AS pred, {c} AS n, {r(sdiv(c + ' * 100.0', 'tn + fp + fn + tp'))} AS pct FROM cc"
+    for yv, pv, c in ((0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp")))
+SQL["binary_metrics"] = with_("scored_pred", extra=[_CC, _MET]) + f"""SELECT model, tn, fp, fn, tp,
+    {r('accuracy', 9)} AS accuracy, {r('precision', 9)} AS precision, {r('recall', 9)} AS recall, {r('f1', 9)} AS f1 FROM met"""
+_REP = ("rep", f"""SELECT model, {sdiv('tp', 'tp + fp')} AS p1, {sdiv('tp', 'tp + fn')} AS r1, {sdiv('2 * tp', '2 * tp + fp + fn')} AS f1,
+    {sdiv('tn', 'tn + fn')} AS p0, {sdiv('tn', 'tn + fp')} AS r0, {sdiv('2 * tn', '2 * tn + fn + fp')} AS f0,
+    CAST(tp + fn AS DOUBLE) AS s1, CAST(tn + fp AS DOUBLE) AS s0, CAST(tp + tn AS DOUBLE) AS ok FROM cc""")
+SQL["classification_report"] = with_("scored_pred", extra=[_CC, _REP]) + " UNION ALL ".join(
+    f"SELECT model, '{lab}' AS label, {r(pr, 9)} AS precision, {r(rc, 9)} AS recall, {r(f, 9)} AS f1, CAST({s} AS BIGINT) AS support FROM rep"
+    for lab, pr, rc, f, s in (
+        ("0", "p0", "r0", "f0", "s0"), ("1", "p1", "r1", "f1", "s1"),
+        ("accuracy", sdiv("ok", "s0 + s1"), sdiv("ok", "s0 + s1"), sdiv("ok", "s0 + s1"), "s0 + s1"),
+        ("macro avg", "(p0 + p1) / 2", "(r0 + r1) / 2", "(f0 + f1) / 2", "s0 + s1"),
+        ("weighted avg", sdiv("p0 * s0 + p1 * s1", "s0 + s1"), sdiv("r0 * s0 + r1 * s1", "s0 + s1"),
+         sdiv("f0 * s0 + f1 * s1", "s0 + s1"), "s0 + s1")))
+_ROC = [
+    ("rg", "SELECT model, p, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg FROM scored GROUP BY model, p"),
+    ("rc", """SELECT model, p, pos, neg, CAST(sum(pos) OVER w - pos AS BIGINT) AS pa, CAST(sum(neg) OVER w - neg AS BIGINT) AS na,
+        CAST(sum(pos) OVER (PARTITION BY model) AS BIGINT) AS tot_pos, CAST(sum(neg) OVER (PARTITION BY model) AS BIGINT) AS tot_neg,
+        lead(pos) OVER w2 AS npos, lead(neg) OVER w2 AS nneg, row_number() OVER w2 AS rn FROM rg
+        WINDOW w AS (PARTITION BY model ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+               w2 AS (PARTITION BY model ORDER BY p DESC)"""),
+    ("roc", f"""SELECT model, p AS threshold, {sdiv('na + neg', 'tot_neg')} AS fpr, {sdiv('pa + pos', 'tot_pos')} AS tpr FROM rc
+        WHERE rn = 1 OR npos IS NULL OR npos <> pos OR nneg <> neg
+        UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE FROM scored"""),
+    ("auc", f"""SELECT model, {r('sum(neg * (pa + pos / 2.0::DOUBLE)) / (CAST(tot_pos AS DOUBLE) * CAST(tot_neg AS DOUBLE))', 9)} AS auc
+        FROM rc GROUP BY model, tot_pos, tot_neg"""),
+]
+SQL["roc_curve"] = with_("scored", extra=_ROC) + "SELECT * FROM roc"
+SQL["roc_auc"] = with_("scored", extra=_ROC) + "SELECT * FROM auc"
+SQL["auc_trapezoid"] = with_("scored", extra=_ROC) + f""", t AS (SELECT model, fpr, tpr,
+    lag(fpr) OVER (PARTITION BY model ORDER BY fpr, tpr) AS pf, lag(tpr) OVER (PARTITION BY model ORDER BY fpr, tpr) AS pt
+    FROM roc) SELECT model, {r('sum(coalesce((fpr - pf) * (tpr + pt) / 2.0, 0.0))', 9)} AS auc FROM t GROUP BY model"""
+SQL["multi_model_roc"] = with_("scored", extra=_ROC) + "SELECT roc.*, auc.auc FROM roc JOIN auc ON auc.model = roc.model"
+
+
+def sweep_sql(th: str) -> list[tuple[str, str]]:
+    return [
+        ("th", th),
+        ("sc", """SELECT model, k, t, count(*) FILTER (y = 1 AND p >= t) AS tp, count(*) FILTER (y = 0 AND p >= t) AS fp,
+            count(*) FILTER (y = 1 AND p < t) AS fn, count(*) FILTER (y = 0 AND p < t) AS tn FROM scored, th GROUP BY model, k, t"""),
+        ("sm", f"""SELECT *, {sdiv('2 * tp', '2 * tp + fp + fn')} AS f1, {sdiv('tp', 'tp + fn')} AS recall,
+            {sdiv('tp', 'tp + fp')} AS precision, {sdiv('tp + tn', 'tp + tn + fp + fn')} AS accuracy FROM sc"""),
+    ]
+
+
+_DELTA = (0.10 + 0.01) - 0.10
+SQL["threshold_tune"] = with_("scored", extra=sweep_sql(
+    f"SELECT k, 0.1::DOUBLE + k * {_DELTA!r}::DOUBLE AS t FROM range(0, 81) r(k)")) + f"""SELECT model,
+    {r('t', 9)} AS threshold, {r('f1', 9)} AS f1, {r('recall', 9)} AS recall, {r('precision', 9)} AS precision FROM
+    (SELECT *, row_number() OVER (PARTITION BY model ORDER BY f1 DESC, recall DESC, k) AS rn FROM sm) WHERE rn = 1"""
+_STEP = (0.95 - 0.05) / 199
+SQL["threshold_curve"] = with_("scored", extra=sweep_sql(
+    f"SELECT k, CASE WHEN k = 199 THEN 0.95::DOUBLE ELSE k * {_STEP!r}::DOUBLE + 0.05::DOUBLE END AS t FROM range(0, 200) r(k)")) + \
+    f"""SELECT model, CAST(k AS INTEGER) AS k, {r('t', 9)} AS threshold, {r('f1', 9)} AS f1, {r('precision', 9)} AS precision,
+    {r('recall', 9)} AS recall, {r('accuracy', 9)} AS accuracy,
+    row_number() OVER (PARTITION BY model ORDER BY f1 DESC, k) = 1 AS is_best_f1,
+    row_number() OVER (PARTITION BY model ORDER BY abs(t - 0.5), k) = 1 AS is_near_half FROM sm"""
+SQL["error_partition"] = with_("scored_pred", extra=[_CC]) + """SELECT model, tn + fp + fn + tp AS n, tn + tp AS n_correct,
+    fp + fn AS n_wrong, fp AS n_fp, fn AS n_fn FROM cc"""
+SQL["error_confidence"] = with_("scored_pred") + f""", e AS (SELECT model, count(*) FILTER (y <> pred) AS n_wrong,
+    count(*) FILTER (y <> pred AND p >= 0.4 AND p <= 0.6) AS n_near,
+    count(*) FILTER (y <> pred AND (p <= 0.2 OR p >= 0.8)) AS n_confident,
+    count(*) FILTER (y <> pred AND p >= 0.3 AND p <= 0.7) AS n_band_near FROM scored_pred GROUP BY model)
+SELECT model, n_wrong, n_near, n_confident, n_band_near, n_wrong - n_band_near AS n_band_outside,
+  {r('n_near * 100.0::DOUBLE / greatest(n_wrong, 1)')} AS pct_near,
+  {r('n_confident * 100.0::DOUBLE / greatest(n_wrong, 1)')} AS pct_confident,
+  {r('n_band_near * 100.0::DOUBLE / greatest(n_wrong, 1)')} AS pct_band_near,
+  {r('(n_wrong - n_band_near) * 100.0::DOUBLE / greatest(n_wrong, 1)')} AS pct_band_outside FROM e"""
+SQL["error_prob_stats"] = with_("scored_pred") + f"""SELECT model, count(*) AS n_wrong, {r('avg(p)', 9)} AS mean,
+    {r('stddev_pop(p)', 9)} AS std, {r('min(p)', 9)} AS min, {r('max(p)', 9)} AS max, {r('quantile_cont(p, 0.5)', 9)} AS median
+    FROM scored_pred WHERE y <> pred GROUP BY model"""
+_EF = with_("scored_pred", extra=[("ef", """SELECT s.*, e.value, CAST(e.user_id AS DOUBLE) AS uid,
+    CAST(e.event_id % 97 AS DOUBLE) AS eid FROM scored_pred s JOIN events e ON e.event_id = s.id WHERE s.model = 'm1'""")])
+
+
+def shift_sql(normalise: bool) -> str:
+    parts = []
+    for c in ("value", "uid", "eid"):
+        cm, em = f"avg({c}) FILTER (y = pred)", f"avg({c}) FILTER (y <> pred)"
+        sd = f"stddev_pop({c}) FILTER (y = pred)"
+        eff = f"abs({em} - {cm})"
+        if normalise:
+            eff = f"CASE WHEN {sd} > 1e-10 THEN {eff} / {sd} ELSE 0.0 END"
+        parts.append(f"""SELECT '{c}' AS feature, {r(eff)} AS effect, {r(cm)} AS correct_mean, {r(em)} AS error_mean
+            FROM ef HAVING count(*) FILTER (y = pred) > 0 AND count(*) FILTER (y <> pred) > 0""")
+    return " UNION ALL ".join(parts)
+
+
+SQL["error_feature_shift"] = _EF + shift_sql(False)
+SQL["error_feature_effect"] = _EF + shift_sql(True)
+SQL["topk_error_features"] = _EF + "SELECT * FROM (" + shift_sql(True) + ") ORDER BY effect DESC, feature LIMIT 2"
+SQL["error_rate_bins"] = with_("scored_pred") + f"""SELECT model, CAST(i AS INTEGER) AS bin,
+    printf('%.1f-%.1f', i * 0.1::DOUBLE, CASE WHEN i = 9 THEN 1.0::DOUBLE ELSE (i + 1) * 0.1::DOUBLE END) AS label,
+    count(*) AS n, {r('count(*) FILTER (y <> pred) / count(*)', 9)} AS error_rate
+    FROM scored_pred, range(0, 10) b(i)
+    WHERE p >= i * 0.1::DOUBLE AND p < CASE WHEN i = 9 THEN 1.0::DOUBLE ELSE (i + 1) * 0.1::DOUBLE END
+    GROUP BY model, i"""
+_CMP = [_CC, _MET, *_ROC[:2], _ROC[3], ("cmp", """SELECT met.model, accuracy, precision, recall, f1, auc.auc, recall AS nlos_recall,
+    fn, fp FROM met JOIN auc ON auc.model = met.model""")]
+SQL["model_comparison"] = with_("scored_pred", extra=_CMP) + f"""SELECT model, {r('accuracy', 9)} AS accuracy,
+    {r('precision', 9)} AS precision, {r('recall', 9)} AS recall, {r('f1', 9)} AS f1, {r('auc', 9)} AS auc,
+    {r('nlos_recall', 9)} AS nlos_recall, fn, fp FROM cmp"""
+SQL["metrics_melt"] = with_("scored_pred", extra=_CMP) + " UNION ALL ".join(
+    f"SELECT model, '{m}' AS metric, {r(m, 9)} AS score FROM cmp" for m in ("accuracy", "precision", "recall", "f1", "auc"))
+SQL["best_model"] = with_("scored_pred", extra=_CMP) + f""", u AS ({" UNION ALL ".join(
+    f"SELECT '{m}' AS metric, model, CAST({m} AS DOUBLE) AS value, {'-' if m == 'fn' else ''}CAST({m} AS DOUBLE) AS key FROM cmp"
+    for m in ("f1", "auc", "nlos_recall", "fn"))})
+SELECT metric, model AS best_model, {r('value', 9)} AS value FROM
+    (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY key DESC, model) AS rn FROM u) WHERE rn = 1"""
+SQL["metric_duel"] = with_("scored_pred", extra=_CMP) + f""", u AS ({" UNION ALL ".join(
+    f"SELECT '{m}' AS metric, model, {m} AS score FROM cmp" for m in ("accuracy", "precision", "recall", "f1", "auc"))})
+SELECT a.metric, {r('a.score', 9)} AS score_a, {r('b.score', 9)} AS score_b, {r('a.score - b.score', 9)} AS diff,
+    CASE WHEN abs(a.score - b.score) < 0.001 THEN '≈ equal' WHEN a.score - b.score > 0 THEN 'm1' ELSE 'm2' END AS winner
+    FROM u a JOIN u b ON b.metric = a.metric WHERE a.model = 'm1' AND b.model = 'm2'"""
+
+# ================================================================ 2.9 regression evaluation
+_RL = with_("regress", extra=[("rl", """SELECT key, 'path1' AS path, y1 AS y, p1 AS p FROM regress
+    UNION ALL SELECT key, 'path2', y2, p2 FROM regress""")])
+
+
+def regm(src: str, by: str) -> str:
+    return f"""SELECT {by}, count(*) AS n, {r('sqrt(sum((p - y) * (p - y)) / count(*))')} AS rmse, {r('avg(abs(p - y))')} AS mae,
+        {r('1.0 - sum((p - y) * (p - y)) / (var_pop(y) * count(*))')} AS r2 FROM {src} GROUP BY {by}"""
+
+
+SQL["regression_metrics"] = _RL + regm("rl", "path")
+SQL["clipped_metrics"] = with_("regress") + f"""SELECT count(*) AS n,
+    {r('sqrt(sum((p2 - y2) * (p2 - y2)) / count(*))')} AS rmse_raw, {r('avg(abs(p2 - y2))')} AS mae_raw,
+    {r('1.0 - sum((p2 - y2) * (p2 - y2)) / (var_pop(y2) * count(*))')} AS r2_raw,
+    {r('sqrt(sum((greatest(p2, p1) - y2) * (greatest(p2, p1) - y2)) / count(*))')} AS rmse_clipped,
+    {r('avg(abs(greatest(p2, p1) - y2))')} AS mae_clipped,
+    {r('1.0 - sum((greatest(p2, p1) - y2) * (greatest(p2, p1) - y2)) / (var_pop(y2) * count(*))')} AS r2_clipped,
+    count(*) FILTER (p2 < p1) AS n_violations FROM regress"""
+SQL["residual_stats"] = _RL + f"""SELECT path, {r('avg(p - y)')} AS mean, {r('stddev_pop(p - y)')} AS std,
+    {r('avg(CAST(abs(p - y) < 0.5 AS DOUBLE))')} AS share_lt_0_5, {r('avg(CAST(abs(p - y) < 1.0 AS DOUBLE))')} AS share_lt_1_0,
+    {r('quantile_cont(p - y, 0.5)')} AS median FROM rl GROUP BY path"""
+SQL["actual_vs_predicted"] = _RL + """SELECT path, least(min(y), min(p)) AS lo, greatest(max(y), max(p)) AS hi, count(*) AS n
+    FROM rl GROUP BY path"""
+SQL["fold_summary"] = _RL + f""", rf AS (SELECT *, CAST({md5int("'42'", "key")} % 5 AS INTEGER) AS fold FROM rl),
+  pf AS (SELECT path, fold, sqrt(sum((p - y) * (p - y)) / count(*)) AS rmse, avg(abs(p - y)) AS mae,
+    1.0 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)) AS r2 FROM rf GROUP BY path, fold)
+SELECT path, count(*) AS n_folds, {r('avg(rmse)')} AS rmse_mean, {r('stddev_pop(rmse)')} AS rmse_std,
+    {r('avg(mae)')} AS mae_mean, {r('stddev_pop(mae)')} AS mae_std, {r('avg(r2)')} AS r2_mean, {r('stddev_pop(r2)')} AS r2_std
+    FROM pf GROUP BY path"""
+_MR = _RL + f""", v AS (SELECT path, y, 'given' AS model, p FROM rl UNION ALL SELECT path, y, 'shrunk', p * 0.9::DOUBLE FROM rl
+    UNION ALL SELECT path, y, 'blend', (p + y) / 2.0::DOUBLE FROM rl),
+  res AS ({regm('v', 'path, model')})
+"""
+SQL["rank_results"] = _MR + "SELECT * FROM res"
+SQL["best_per_path"] = _MR + """SELECT path, model, n, rmse, mae, r2 FROM (SELECT *, row_number() OVER
+    (PARTITION BY path ORDER BY rmse, mae, model) AS rn FROM res) WHERE rn = 1"""
+
+# ================================================================ 2.10 ranking
+_AVGR = "CAST(floor(rank() OVER (ORDER BY {s} DESC) + (count(*) OVER (PARTITION BY {s}) - 1) / 2.0) AS INTEGER)"
+SQL["avg_rank"] = with_("ranks") + f"SELECT f, a, {_AVGR.format(s='a')} AS rank FROM ranks"
+SQL["rank_agreement"] = with_("ranks") + f"""SELECT x.f, x.a, x.rank_a, z.b, z.rank_b, (x.rank_a + z.rank_b) / 2.0::DOUBLE AS avg_rank
+    FROM (SELECT f, a, {_AVGR.format(s='a')} AS rank_a FROM ranks) x
+    JOIN (SELECT f, b, {_AVGR.format(s='b')} AS rank_b FROM ranks) z ON z.f = x.f"""
+SQL["normalise_to_one"] = with_("ranks") + f"""SELECT f, {r('CASE WHEN sum(a) OVER () > 0 THEN a / sum(a) OVER () ELSE a END', 9)} AS a
+    FROM ranks"""
+SQL["rank_enumerate"] = with_("importance") + f"""SELECT Feature, {r('Importance', 9)} AS Importance,
+    CAST(row_number() OVER (ORDER BY Importance DESC, Feature) AS INTEGER) AS rank FROM importance"""
+
+# ================================================================ 2.11 top-k
+SQL["topk_importance"] = with_("importance") + f"""SELECT Feature, {r('Importance', 9)} AS Importance FROM importance
+    ORDER BY Importance DESC, Feature LIMIT 15"""
+SQL["topk_abs"] = with_("coefs") + f"SELECT Feature, {r('coef', 9)} AS coef FROM coefs ORDER BY abs(coef) DESC, Feature LIMIT 10"
+
+# ================================================================ 2.12 set operations
+SQL["union_parts"] = """SELECT c_custkey AS key, c_acctbal AS acctbal, 'customer' AS __source_file FROM customer
+    UNION ALL SELECT s_suppkey, s_acctbal, 'supplier' FROM supplier"""
+SQL["hstack_features"] = with_("wave_emb") + """SELECT id, y, fp, grp, list_sum(list_transform(w, lambda x: x * x)) AS energy,
+    list_max(w) AS peak, CAST(list_position(w, list_max(w)) - 1 AS INTEGER) AS peak_idx FROM wave_emb"""
