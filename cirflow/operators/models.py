@@ -79,11 +79,11 @@ def boosted_classifier(max_iter: int = 200, max_depth: int = 6, step: float = 0.
                        validation_col: str | None = None, validation_tol: float = 0.01) -> GBTClassifier:
     g = GBTClassifier(maxIter=max_iter, maxDepth=max_depth, stepSize=step, subsamplingRate=subsample,
                       featureSubsetStrategy=feature_subset, minInstancesPerNode=min_instances,
-                      seed=seed, maxBins=max_bins, lossType="logistic")
+                      seed=seed, maxBins=max_bins, lossType="logistic", validationTol=validation_tol)
     if weight_col:
         g.setWeightCol(weight_col)
     if validation_col:
-        g.setValidationIndicatorCol(validation_col).setValidationTol(validation_tol)
+        g.setValidationIndicatorCol(validation_col)
     return g
 
 

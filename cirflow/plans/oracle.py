@@ -508,3 +508,21 @@ SQL["union_parts"] = """SELECT c_custkey AS key, c_acctbal AS acctbal, 'customer
     UNION ALL SELECT s_suppkey, s_acctbal, 'supplier' FROM supplier"""
 SQL["hstack_features"] = with_("wave_emb") + """SELECT id, y, fp, grp, list_sum(list_transform(w, lambda x: x * x)) AS energy,
     list_max(w) AS peak, CAST(list_position(w, list_max(w)) - 1 AS INTEGER) AS peak_idx FROM wave_emb"""
+
+# ================================================================ 2.13 scaler, KNN
+_SCOLS = ["l_quantity", "l_extendedprice", "l_discount"]
+_LI_TRAIN = ("st", "SELECT " + ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(_SCOLS))
+             + f" FROM lineitem WHERE {md5int(chr(39) + '42' + chr(39), 'l_orderkey')} % 5 <> 0")
+SQL["fit_scaler"] = f"WITH {_LI_TRAIN[0]} AS ({_LI_TRAIN[1]})\n" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {r(f'm{i}')} AS mean, {r(f's{i}')} AS std FROM st" for i, c in enumerate(_SCOLS))
+SQL["apply_scaler"] = f"WITH {_LI_TRAIN[0]} AS ({_LI_TRAIN[1]})\nSELECT l_orderkey, l_linenumber, " + ", ".join(
+    f"{r(f'CASE WHEN s{i} > 0 THEN ({c} - m{i}) / s{i} ELSE {c} - m{i} END')} AS {c}_z" for i, c in enumerate(_SCOLS)) + \
+    " FROM lineitem, st"
+SQL["knn_regress"] = with_("wave_emb", extra=[
+    ("kx", f"SELECT id, w, CAST(grp AS DOUBLE) AS target, {md5int(chr(39) + '42' + chr(39), 'id')} % 5 AS fold FROM wave_emb"),
+    ("ks", "SELECT id, target, fold, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM kx"),
+    ("kd", """SELECT q.id AS qid, t.id AS tid, any_value(t.target) AS target, sum((q.x - t.x) * (q.x - t.x)) AS d2
+        FROM ks q JOIN ks t ON t.i = q.i AND t.fold <> 0 WHERE q.fold = 0 GROUP BY q.id, t.id"""),
+    ("kt", """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d2, tid) AS rn FROM kd) WHERE rn <= 15""")]) + \
+    f"""SELECT qid AS id, {r('''CASE WHEN count(*) FILTER (d2 = 0) > 0 THEN avg(target) FILTER (d2 = 0)
+        ELSE sum(target / sqrt(d2)) FILTER (d2 > 0) / sum(1.0 / sqrt(d2)) FILTER (d2 > 0) END''')} AS pred FROM kt GROUP BY qid"""
