@@ -101,13 +101,14 @@ def wave_sum(w: ColumnOrName) -> Column:
 
 
 def _central_moments(w: Column) -> Column:
-    """struct(n, m2, m3, m4) of population central moments, two passes."""
-    def finish(a: Column, total: Column) -> Column:
+    """struct(n, m2, m3, m4) of population central moments: one pass for
+    the mean, bound once, then one pass for the powers of deviations."""
+    def with_mean(a: Column, mean: Column) -> Column:
         n = F.size(a)
         zero = F.struct(F.lit(0.0).alias("s2"), F.lit(0.0).alias("s3"), F.lit(0.0).alias("s4"))
 
         def step(acc, x):
-            d = x - total / n
+            d = x - mean
             d2 = d * d
             return F.struct((acc["s2"] + d2).alias("s2"), (acc["s3"] + d2 * d).alias("s3"),
                             (acc["s4"] + d2 * d2).alias("s4"))
@@ -116,7 +117,8 @@ def _central_moments(w: Column) -> Column:
             n.alias("n"), (acc["s2"] / n).alias("m2"), (acc["s3"] / n).alias("m3"),
             (acc["s4"] / n).alias("m4")))
 
-    return let(w, lambda a: finish(a, F.aggregate(a, F.lit(0.0), lambda t, x: t + x)))
+    return let(w, lambda a: let(F.aggregate(a, F.lit(0.0), lambda t, x: t + x) / F.size(a),
+                                lambda mean: with_mean(a, mean)))
 
 
 def wave_kurtosis(w: ColumnOrName) -> Column:
@@ -145,27 +147,28 @@ def wave_rise_time(w: ColumnOrName, lo: float = RISE_LO, hi: float = RISE_HI) ->
 
 # ---------------------------------------------------------------- peaks
 def _maxima(a: Column) -> Column:
-    """Strict local maxima of a bound array: one left-to-right pass.
-
-    A rise opens a candidate plateau, equal samples extend it, a fall closes
-    it as a peak at the plateau middle ``(left + right) div 2``. Plateaus
-    that run into the last sample and the two end samples never count."""
-    zero = F.struct(F.lit(1).alias("i"), F.get(a, 0).alias("prev"), F.lit(-1).alias("cand"),
-                    F.array().cast("array<int>").alias("peaks"))
-
-    def step(s, x):
-        i, prev, cand = s["i"], s["prev"], s["cand"]
-        closes = (x < prev) & (cand >= 0)
-        return F.struct(
-            (i + 1).alias("i"),
-            x.alias("prev"),
-            F.when(x > prev, i).when(x == prev, cand).otherwise(F.lit(-1)).alias("cand"),
-            F.when(closes, F.concat(s["peaks"], F.array(((cand + i - 1) / 2).cast("int"))))
-             .otherwise(s["peaks"]).alias("peaks"))
-
-    return F.when(F.size(a) < 3, F.array().cast("array<int>")).otherwise(
-        F.aggregate(F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0))), zero, step,
-                    lambda s: s["peaks"]))
+    """Strict local maxima of a bound array (positions, ascending).
+
+    A candidate i rises into its value (a[i-1] < a[i]) and does not rise out
+    of it (a[i+1] <= a[i]); a strict one (a[i+1] < a[i]) is a peak at i.
+    For a plateau the first later sample that differs, at j, decides: a peak
+    at the plateau middle (i + j - 1) div 2 iff a[j] < a[i]; a plateau that
+    runs into the last sample never counts, nor do the two end samples.
+    Only plateau candidates scan ahead, so the cost is one cheap pass."""
+    n = F.size(a)
+
+    def plateau(i: Column) -> Column:
+        v = F.get(a, i)
+        k = F.array_position(F.transform(F.slice(a, i + 2, F.greatest(n - i - 1, F.lit(0))),
+                                         lambda x: x != v), True).cast("int")
+        return F.when(k == 0, F.lit(-1)).when(F.get(a, i + k) < v, ((i * 2 + k - 1) / 2).cast("int")) \
+                .otherwise(F.lit(-1))
+
+    cand = F.filter(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))),
+                    lambda i: (i <= n - 2) & (F.get(a, i - 1) < F.get(a, i)) & (F.get(a, i + 1) <= F.get(a, i)))
+    pos = F.transform(cand, lambda i: F.when(F.get(a, i + 1) < F.get(a, i), i).otherwise(plateau(i)))
+    return F.when(n < 3, F.array().cast("array<int>")).otherwise(
+        F.filter(pos, lambda p: p >= 0).cast("array<int>"))
 
 
 def wave_local_maxima(w: ColumnOrName, height: float | None = None) -> Column:
@@ -181,14 +184,16 @@ def wave_local_maxima(w: ColumnOrName, height: float | None = None) -> Column:
 def _prominence(a: Column, p: Column) -> Column:
     """Topographic prominence of the sample at p inside the bound array a:
     a[p] minus the higher of the two lowest points reached before a strictly
-    higher sample (or the array end) on each side."""
+    higher sample (or the array end) on each side. A side whose maximum is
+    not higher than a[p] needs no scan (its base is the array end)."""
     def body(v: Column) -> Column:
         n = F.size(a)
-        lb = F.coalesce(F.array_max(F.transform(
-            F.slice(a, 1, p), lambda x, j: F.when(x > v, j).otherwise(F.lit(-1)))), F.lit(-1))
-        rb = F.coalesce(F.array_min(F.transform(
-            F.slice(a, p + 2, F.greatest(n - p - 1, F.lit(0))),
-            lambda x, j: F.when(x > v, j + p + 1).otherwise(n))), n)
+        left = F.slice(a, 1, p)                                             # a[0 .. p-1]
+        right = F.slice(a, p + 2, F.greatest(n - p - 1, F.lit(0)))          # a[p+1 .. n-1]
+        lb = F.when(F.coalesce(F.array_max(left), v) <= v, F.lit(-1)).otherwise(
+            F.array_max(F.transform(left, lambda x, j: F.when(x > v, j).otherwise(F.lit(-1)))))
+        rb = F.when(F.coalesce(F.array_max(right), v) <= v, n).otherwise(
+            F.array_min(F.transform(right, lambda x, j: F.when(x > v, j + p + 1).otherwise(n))))
         return let2(lb, rb, lambda l_, r_: v - F.greatest(
             F.array_min(F.slice(a, l_ + 2, p - l_)), F.array_min(F.slice(a, p + 1, r_ - p))))
     return let(F.get(a, p), body)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cirflow.functions import scalars as S
 from cirflow.functions import waves as W
-from cirflow.operators.quantiles import group_quantiles
+from cirflow.operators.quantiles import SMALL_GROUP_ROWS, group_quantiles
 
 RATIO_FEATURES = ["FP_AMP_ratio", "SNR_per_acc", "signal_to_noise", "noise_ratio", "FP_power"]
 SHAPE_FEATURES = ["CIR_peak", "CIR_peak_idx", "CIR_energy", "CIR_kurtosis", "CIR_skewness",
@@ -63,10 +63,14 @@ def engineer_features(df: DataFrame, wave: str = "cir", start: int = W.FOCUS_STA
 def second_path(df: DataFrame, wave: str = "cir", fp: str = "FP_IDX", rng: str = "RANGE",
                 start: int = W.FOCUS_START, length: int = W.FOCUS_LEN,
                 gap: int = W.MIN_GAP_SAMPLES, height: float = W.PEAK_HEIGHT,
-                prominence: float = W.PEAK_PROMINENCE) -> DataFrame:
+                prominence: float = W.PEAK_PROMINENCE, engine: str = "vectorized") -> DataFrame:
     """Second-path peak (nullable), gap, second range estimate and the
-    constant path-2 label."""
-    sp = W.second_peak(wave, fp, start, length, gap, height, prominence)
+    constant path-2 label. ``engine``: "vectorized" (Arrow-batched NumPy,
+    the fast path) or "native" (pure Spark expressions, e.g. for plans that
+    must avoid Python workers)."""
+    from cirflow.functions import fast
+    impl = fast.second_peak if engine == "vectorized" else W.second_peak
+    sp = impl(wave, fp, start, length, gap, height, prominence)
     df = df.withColumn("_sp", sp)
     return (df.withColumns({
         "PEAK2_IDX": F.col("_sp.peak2_idx"),
@@ -93,10 +97,16 @@ def found_rate(df: DataFrame, found: str = "PEAK2_FOUND") -> DataFrame:
 
 
 def fit_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
-    """Exact medians of ``cols`` (NULLs ignored), fitted scalars."""
+    """Exact medians of ``cols`` (NULLs ignored), fitted scalars. Up to
+    SMALL_GROUP_ROWS rows: one aggregate for all columns; beyond: the
+    bounded two-pass quantile per column."""
+    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    if d.count() <= SMALL_GROUP_ROWS:      # column pruning: the count skips the feature columns
+        row = d.agg(*[F.percentile(c, 0.5).alias(c) for c in cols]).first()
+        return {c: row[c] for c in cols}
     out = {}
     for c in cols:
-        q = group_quantiles(df, c, [0.5], names=["m"]).first()
+        q = group_quantiles(d, c, [0.5], names=["m"], force_banded=True).first()
         out[c] = None if q is None else q["m"]
     return out
 

@@ -64,10 +64,12 @@ def coefs(spark, sf) -> DataFrame:
     return r.select(F.col("f").alias("Feature"), (F.col("b") / F.col("a") - 25.0).alias("coef"))
 
 
-def peaks_flat(spark, sf, params=FLAT) -> DataFrame:
+def peaks_flat(spark, sf, params=FLAT, engine: str = "vectorized") -> DataFrame:
+    from cirflow.functions import fast
     w = FX.wave_flat(spark, sf)
-    sp = W.second_peak("w", "fp", params["start"], params["length"], params["gap"],
-                       params["height"], params["min_prominence"])
+    impl = fast.second_peak if engine == "vectorized" else W.second_peak
+    sp = impl("w", "fp", params["start"], params["length"], params["gap"],
+              params["height"], params["min_prominence"])
     return w.select("id", "fp", sp.alias("s")).select("id", "fp", "s.*")
 
 
