@@ -130,3 +130,26 @@ def parts_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("acctbal"),
         F.lit("supplier").alias("__source_file"))
     return c.unionByName(s)
+
+
+def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A measurement-shaped table (scalar readings + packed 64-sample wave
+    ``cir`` + label ``NLOS`` + group ``__source_file``) derived from the
+    embeddings, for running the end-to-end flows. The label is learnable
+    (embedding[0] > 0); the seven groups mimic the reference's seven parts."""
+    e = table(spark, sf_dir, "embeddings")
+    w = F.transform("embedding", lambda x: F.floor(F.abs(x.cast("double")) * 10000.0) * 1.0)
+    g = lambda i: F.get(F.col("cir"), i)
+    d = e.select(F.col("vec_id").alias("id"), (F.get("embedding", 0) > 0).cast("int").alias("NLOS"),
+                 F.col("label"), w.alias("cir"),
+                 F.concat(F.lit("part"), (F.col("vec_id") % 7 + 1).cast("string")).alias("__source_file"))
+    return d.select(
+        "id", "NLOS", "cir", "__source_file",
+        (g(2) / 1000.0 + F.col("label")).alias("RANGE"),
+        (F.col("id") % 40 + 8).cast("double").alias("FP_IDX"),
+        g(3).alias("FP_AMP1"), g(4).alias("FP_AMP2"), g(5).alias("FP_AMP3"),
+        g(6).alias("STDEV_NOISE"), g(7).alias("CIR_PWR"), g(8).alias("MAX_NOISE"),
+        (g(9) + 1.0).alias("RXPACC"), (F.col("label") % 3 + 1).cast("double").alias("CH"),
+        F.lit(128.0).alias("FRAME_LEN"), F.lit(1024.0).alias("PREAM_LEN"),
+        F.lit(6800.0).alias("BITRATE"), F.lit(64.0).alias("PRFR"),
+        g(10).alias("SNR"), F.log10(g(10) + 1.0).alias("SNR_dB"))
