@@ -121,8 +121,8 @@ def score_cumulative(scored: DataFrame, by=(), y: str = "y", p: str = "p",
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
     rng = g.groupBy(*by).agg(F.min("p").alias("_lo"), F.max("p").alias("_hi"),
                              F.sum("pos").alias("tot_pos"), F.sum("neg").alias("tot_neg"))
-    # one row per group (model): broadcast
-    g = g.join(F.broadcast(rng), by)
+    # one row per group (model): AQE broadcasts it after measuring its size
+    g = g.join(rng, by)
     g = g.withColumn("_b", F.when(F.col("_hi") > F.col("_lo"), F.least(
         F.floor((F.col("_hi") - F.col("p")) / (F.col("_hi") - F.col("_lo")) * buckets),
         F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int"))
@@ -136,7 +136,7 @@ def score_cumulative(scored: DataFrame, by=(), y: str = "y", p: str = "p",
         F.coalesce(F.sum("_bpos").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_opos"),
         F.coalesce(F.sum("_bneg").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_oneg"),
         F.lead("_head").over(wb).alias("_next_head"))
-    g = g.join(F.broadcast(bt), [*by, "_b"])
+    g = g.join(bt, [*by, "_b"])
     wi = Window.partitionBy(*by, "_b").orderBy(F.desc("p"))
     above = wi.rowsBetween(Window.unboundedPreceding, -1)
     g = g.withColumns({

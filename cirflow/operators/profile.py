@@ -62,32 +62,31 @@ def label_correlation(df: DataFrame, label: str, cols: Sequence[str]) -> DataFra
 def histogram(df: DataFrame, value: str, bins: int = 50, by=(), density: bool = False) -> DataFrame:
     """Equal-width bins over each group's own [min, max] (last bin closed;
     a constant group uses [v - 0.5, v + 0.5], as NumPy). (by..., bin, lo,
-    hi, n[, density]); empty bins are omitted. The per-group range table is
-    one row per group, broadcast back."""
+    hi, n[, density]); empty bins are omitted. Per-group ranges are one row
+    per group; without groups the range is a fitted scalar."""
     by = _by(by)
     d = df.select(*by, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    if not by:
-        d = d.withColumn("_g", F.lit(0))
-        gb = ["_g"]
+    stats = [F.count("*").alias("_n"),
+             F.when(F.max("_x") > F.min("_x"), F.min("_x")).otherwise(F.min("_x") - 0.5).alias("_lo"),
+             F.when(F.max("_x") > F.min("_x"), F.max("_x")).otherwise(F.max("_x") + 0.5).alias("_hi")]
+    if by:
+        # one row per group; AQE broadcasts it after measuring its size
+        j = d.join(d.groupBy(*by).agg(*stats), by)
     else:
-        gb = by
-    rng = d.groupBy(*gb).agg(F.min("_x").alias("_a"), F.max("_x").alias("_z"), F.count("*").alias("_n"))
-    rng = rng.select(*gb, "_n",
-                     F.when(F.col("_z") > F.col("_a"), F.col("_a")).otherwise(F.col("_a") - 0.5).alias("_lo"),
-                     F.when(F.col("_z") > F.col("_a"), F.col("_z")).otherwise(F.col("_z") + 0.5).alias("_hi"))
-    j = d.join(F.broadcast(rng), gb)
-    width = (F.col("_hi") - F.col("_lo")) / bins
+        r = d.agg(*stats).first()          # fitted scalars: count and range
+        j = d.select("_x", F.lit(r["_n"]).alias("_n"), F.lit(r["_lo"]).cast("double").alias("_lo"),
+                     F.lit(r["_hi"]).cast("double").alias("_hi"))
     b = F.least(F.floor((F.col("_x") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo"))),
                 F.lit(bins - 1)).cast("int")
-    g = j.groupBy(*gb, b.alias("bin")).agg(F.count("*").alias("n"), F.first("_lo").alias("_lo"),
+    g = j.groupBy(*by, b.alias("bin")).agg(F.count("*").alias("n"), F.first("_lo").alias("_lo"),
                                           F.first("_hi").alias("_hi"), F.first("_n").alias("_n"))
-    out = g.select(*gb, "bin",
+    out = g.select(*by, "bin",
                    (F.col("_lo") + F.col("bin") * (F.col("_hi") - F.col("_lo")) / bins).alias("lo"),
                    (F.col("_lo") + (F.col("bin") + 1) * (F.col("_hi") - F.col("_lo")) / bins).alias("hi"),
                    "n",
                    *([(F.col("n") / (F.col("_n") * ((F.col("_hi") - F.col("_lo")) / bins))).alias("density")]
                      if density else []))
-    return out.drop("_g") if not by else out
+    return out
 
 
 def class_histogram(df: DataFrame, label: str, value: str, bins: int = 50) -> DataFrame:
@@ -102,9 +101,9 @@ def box_stats(df: DataFrame, label: str, value: str, whisker: float = 1.5) -> Da
     """Per class: q1, median, q3, whiskers (furthest points within
     whisker*IQR of the box) and the outlier count."""
     q = group_quantiles(df, value, [0.25, 0.5, 0.75], [label], names=["q1", "median", "q3"])
-    # one row per class: broadcast
+    # one row per class: AQE broadcasts it after measuring it
     j = df.select(label, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull()) \
-          .join(F.broadcast(q), label)
+          .join(q, label)
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - whisker * iqr, F.col("q3") + whisker * iqr
     return j.groupBy(label).agg(

@@ -67,9 +67,9 @@ def _banded(d: DataFrame, by: list[str], probs: list[float], names: list[str]) -
     per_q = per_q.withColumn("r0", F.floor("h")).withColumn("r1", F.ceil("h"))
 
     def locate(brackets: DataFrame) -> DataFrame:
-        # brackets has one row per (group, prob): small, broadcast
+        # brackets: one row per (group, prob); AQE broadcasts it when its measured size allows
         if by:
-            joined = d.join(F.broadcast(brackets.select(*by, "qi", "lo", "hi")), by)
+            joined = d.join(brackets.select(*by, "qi", "lo", "hi"), by)
         else:  # no groups: the few brackets become literal filters
             parts = []
             for r in brackets.select("qi", "lo", "hi").collect():

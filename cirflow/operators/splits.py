@@ -101,7 +101,7 @@ def rank_within(df: DataFrame, part: Sequence[str], key: str, seed: int = SEED,
     counts = d.groupBy(*part, "_b").agg(F.count("*").alias("_c"))
     wo = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_c").over(wo), F.lit(0))).drop("_c")
-    d = d.join(F.broadcast(offsets), [*part, "_b"])
+    d = d.join(offsets, [*part, "_b"])   # same keys as the window below: one exchange
     w = Window.partitionBy(*part, "_b").orderBy("_h", key)
     return d.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")).drop("_h", "_b", "_off")
 
@@ -128,9 +128,9 @@ def with_pos_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame
 
 def balanced_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """class_weight='balanced': n / (n_classes * n_class). The class-count
-    table has one row per class, so it is broadcast."""
+    table has one row per class; AQE broadcasts it after measuring it."""
     cc = df.groupBy(label).agg(F.count("*").alias("_nc"))
     stats = cc.withColumn("_n", F.sum("_nc").over(Window.partitionBy(F.lit(0)))) \
               .withColumn("_k", F.count("*").over(Window.partitionBy(F.lit(0))))
     stats = stats.select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
-    return df.join(F.broadcast(stats), label, "left")
+    return df.join(stats, label, "left")   # one row per class: AQE broadcasts it
