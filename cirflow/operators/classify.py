@@ -7,7 +7,7 @@ operator takes ``by`` so one pass serves all models.
 Nothing here sorts a whole model's rows in one task:
 
 * ranking quantities (ROC, AUC) first group rows by distinct score, then
-  cut the score range into ``SCORE_BUCKETS`` buckets; per-bucket totals form
+  cut the score range [0, 1] into ``SCORE_BUCKETS`` buckets; per-bucket totals form
   a small table whose running sums are broadcast back as offsets, and only
   the distinct scores of one bucket are ordered together;
 * threshold sweeps map each score to its threshold index once (exact float
@@ -112,30 +112,35 @@ def classification_report(scored: DataFrame, by=(), y: str = "y", pred: str = "p
 
 # ------------------------------------------------------------ ranking (ROC / AUC)
 def score_cumulative(scored: DataFrame, by=(), y: str = "y", p: str = "p",
-                     buckets: int = SCORE_BUCKETS) -> DataFrame:
+                     buckets: int = SCORE_BUCKETS, score_range: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
     """One row per (by..., distinct score): pos, neg at that score, pos_above
-    and neg_above (strictly higher scores), group totals tot_pos and tot_neg, and
-    is_first / is_last plus the next lower score's (pos, neg)."""
+    and neg_above (strictly higher scores), group totals tot_pos and tot_neg,
+    and is_first / is_last plus the next lower score's (pos, neg).
+
+    Scores are cut into ``buckets`` ranges of ``score_range`` (clamped at
+    the ends). Any monotone bucketing gives exact results; the range only
+    decides how evenly the distinct scores spread over the per-bucket
+    windows. The input is aggregated once, by (group, score)."""
     scored, by, const = _group_or_const(scored, by)
+    lo, hi = score_range
     g = scored.groupBy(*by, F.col(p).alias("p")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
-    rng = g.groupBy(*by).agg(F.min("p").alias("_lo"), F.max("p").alias("_hi"),
-                             F.sum("pos").alias("tot_pos"), F.sum("neg").alias("tot_neg"))
-    # one row per group (model): AQE broadcasts it after measuring its size
-    g = g.join(rng, by)
-    g = g.withColumn("_b", F.when(F.col("_hi") > F.col("_lo"), F.least(
-        F.floor((F.col("_hi") - F.col("p")) / (F.col("_hi") - F.col("_lo")) * buckets),
-        F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int"))
-    # per-bucket totals and the bucket's top score: groups x buckets rows
+    g = g.withColumn("_b", F.least(F.greatest(
+        F.floor((F.lit(hi) - F.col("p")) / (hi - lo) * buckets), F.lit(0)), F.lit(buckets - 1)).cast("int"))
+    # per-bucket totals and each bucket's top score: groups x buckets rows
     bt = g.groupBy(*by, "_b").agg(
         F.sum("pos").alias("_bpos"), F.sum("neg").alias("_bneg"),
         F.max_by(F.struct("pos", "neg"), "p").alias("_head"))
     wb = Window.partitionBy(*by).orderBy("_b")
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
     bt = bt.select(
         *by, "_b",
-        F.coalesce(F.sum("_bpos").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_opos"),
-        F.coalesce(F.sum("_bneg").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_oneg"),
-        F.lead("_head").over(wb).alias("_next_head"))
+        F.coalesce(F.sum("_bpos").over(before), F.lit(0)).alias("_opos"),
+        F.coalesce(F.sum("_bneg").over(before), F.lit(0)).alias("_oneg"),
+        F.lead("_head").over(wb).alias("_next_head"),
+        F.sum("_bpos").over(whole).alias("tot_pos"), F.sum("_bneg").over(whole).alias("tot_neg"))
+    # the bucket table is small; AQE broadcasts it after measuring it
     g = g.join(bt, [*by, "_b"])
     wi = Window.partitionBy(*by, "_b").orderBy(F.desc("p"))
     above = wi.rowsBetween(Window.unboundedPreceding, -1)
