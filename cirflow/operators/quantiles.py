@@ -65,6 +65,10 @@ def _banded(d: DataFrame, by: list[str], probs: list[float], names: list[str]) -
         for i, q in enumerate(probs)])).alias("s")).select(*by, "_n", "s.*")
     per_q = per_q.withColumn("h", (F.col("_n") - 1) * F.col("q"))
     per_q = per_q.withColumn("r0", F.floor("h")).withColumn("r1", F.ceil("h"))
+    # approximate brackets feed two stages below: pin them (reliable
+    # checkpoint in the shared folder) so a recomputation after executor
+    # loss cannot hand the two stages different brackets
+    per_q = per_q.checkpoint(eager=True)
 
     def locate(brackets: DataFrame) -> DataFrame:
         # brackets: one row per (group, prob); AQE broadcasts it when its measured size allows

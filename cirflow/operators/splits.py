@@ -35,10 +35,8 @@ def split_sizes(n_groups: int, val_size: float, test_size: float) -> tuple[int,
     return n_val, n_test
 
 
-def group_table(df: DataFrame, group: str, val_size: float = 0.15, test_size: float = 0.15,
-                seed: int = SEED, order: Sequence[str] | None = None) -> DataFrame:
-    """(group, split, pos): one row per distinct group. Groups are ordered by
-    md5(seed|group), or by an explicit ``order`` list."""
+def _group_table(df: DataFrame, group: str, val_size: float, test_size: float, seed: int,
+                 order: Sequence[str] | None) -> tuple[DataFrame, int]:
     if not (0 < val_size and 0 < test_size and val_size + test_size < 1):
         raise ValueError("split sizes must be > 0 and sum to < 1")
     groups = df.select(group).distinct()
@@ -52,14 +50,23 @@ def group_table(df: DataFrame, group: str, val_size: float = 0.15, test_size: fl
     # the distinct-group table is small (its size was just counted)
     ranked = groups.withColumn("pos", (F.row_number().over(Window.orderBy(key, group)) - 1).cast("int"))
     return ranked.withColumn("split", F.when(F.col("pos") < n_val, "val")
-                             .when(F.col("pos") < n_val + n_test, "test").otherwise("train"))
+                             .when(F.col("pos") < n_val + n_test, "test").otherwise("train")), n
+
+
+def group_table(df: DataFrame, group: str, val_size: float = 0.15, test_size: float = 0.15,
+                seed: int = SEED, order: Sequence[str] | None = None) -> DataFrame:
+    """(group, split, pos): one row per distinct group. Groups are ordered by
+    md5(seed|group), or by an explicit ``order`` list."""
+    return _group_table(df, group, val_size, test_size, seed, order)[0]
 
 
 def group_split(df: DataFrame, group: str, val_size: float = 0.15, test_size: float = 0.15,
                 seed: int = SEED, order: Sequence[str] | None = None) -> DataFrame:
-    """Add ``split`` in {train, val, test}: whole groups go to one split."""
-    gt = group_table(df, group, val_size, test_size, seed, order).select(group, "split")
-    n = gt.count()
+    """Add ``split`` in {train, val, test}: whole groups go to one split.
+    The group table is broadcast when its counted size allows, otherwise
+    the join shuffles."""
+    gt, n = _group_table(df, group, val_size, test_size, seed, order)
+    gt = gt.select(group, "split")
     gt = F.broadcast(gt) if n <= BROADCAST_GROUPS else gt
     return df.join(gt, group, "left")
 
