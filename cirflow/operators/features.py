@@ -35,9 +35,11 @@ def ratio_features(df: DataFrame) -> DataFrame:
 
 
 def shape_features(df: DataFrame, wave: str, with_peak: bool = True,
-                   prefix: str = "CIR") -> DataFrame:
+                   prefix: str = "CIR", engine: str = "native") -> DataFrame:
     """Shape statistics of one window column. The window is materialised by
-    the caller as its own column, so each statistic reads it once."""
+    the caller as its own column, so each statistic reads it once.
+    ``engine="vectorized"`` counts peaks with the Arrow-batched engine."""
+    from cirflow.functions import fast
     cols = {}
     if with_peak:
         cols[f"{prefix}_peak"] = W.wave_peak(wave)
@@ -47,17 +49,17 @@ def shape_features(df: DataFrame, wave: str, with_peak: bool = True,
         f"{prefix}_kurtosis": W.wave_kurtosis(wave),
         f"{prefix}_skewness": W.wave_skewness(wave),
         f"{prefix}_rise_time": W.wave_rise_time(wave),
-        f"{prefix}_num_peaks": W.wave_num_peaks(wave),
+        f"{prefix}_num_peaks": fast.num_peaks(wave) if engine == "vectorized" else W.wave_num_peaks(wave),
     })
     return df.withColumns(cols)
 
 
 def engineer_features(df: DataFrame, wave: str = "cir", start: int = W.FOCUS_START,
-                      length: int = W.FOCUS_LEN) -> DataFrame:
+                      length: int = W.FOCUS_LEN, engine: str = "native") -> DataFrame:
     """Base feature set: ratios + shape statistics of the fixed focus window
     (kept as column ``cir_focus``)."""
     df = df.withColumn("cir_focus", W.wave_window(wave, start, length))
-    return shape_features(ratio_features(df), "cir_focus", with_peak=True)
+    return shape_features(ratio_features(df), "cir_focus", with_peak=True, engine=engine)
 
 
 def second_path(df: DataFrame, wave: str = "cir", fp: str = "FP_IDX", rng: str = "RANGE",
@@ -83,11 +85,11 @@ def second_path(df: DataFrame, wave: str = "cir", fp: str = "FP_IDX", rng: str =
 
 
 def aligned_features(df: DataFrame, wave: str = "cir", fp: str = "FP_IDX",
-                     pre: int = W.ALIGN_PRE, post: int = W.ALIGN_POST) -> DataFrame:
+                     pre: int = W.ALIGN_PRE, post: int = W.ALIGN_POST, engine: str = "native") -> DataFrame:
     """Aligned window ``cir_aligned`` and its 5 shape statistics (no peak /
     peak index: the pair and regression sets leave them out)."""
     df = df.withColumn("cir_aligned", W.wave_align(wave, fp, pre, post))
-    return shape_features(df, "cir_aligned", with_peak=False)
+    return shape_features(df, "cir_aligned", with_peak=False, engine=engine)
 
 
 def found_rate(df: DataFrame, found: str = "PEAK2_FOUND") -> DataFrame:

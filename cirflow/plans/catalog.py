@@ -149,8 +149,9 @@ def save_predictions(spark, sf):
 # ================================================================ 2.2 projections / filters
 @q("project_features")
 def project_features(spark, sf):
-    s = FX.scalars(spark, sf)
-    return s.select("a", "b", "c")
+    from cirflow.sources.scans import CORE_FEATURES
+    d = FE.ratio_features(FX.measurements(spark, sf))
+    return rnd(d.select("id", *CORE_FEATURES, *FE.RATIO_FEATURES), ["SNR_dB", *FE.RATIO_FEATURES], 6)
 
 
 @q("cast_types")
@@ -728,208 +729,8 @@ def union_parts(spark, sf):
 
 @q("hstack_features")
 def hstack_features(spark, sf):
-    w = FX.wave_emb(spark, sf)
-    return w.withColumns({"energy": W.wave_energy("w"), "peak": W.wave_peak("w"),
-                          "peak_idx": W.wave_peak_idx("w")}).drop("w")
-
-
-# ================================================================ 2.13 models
-# Model fits are checked by row count (driver) and by tests (AUC, repeatability);
-# the scaler and KNN have exact oracles.
-SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
-
-
-def _li_train(spark, sf) -> tuple[DataFrame, DataFrame]:
-    li = SP.kfold(FX.table(spark, sf, "lineitem"), "l_orderkey", 5)
-    return li, li.where(F.col("fold") != 0)
-
-
-@q("fit_scaler")
-def fit_scaler(spark, sf):
-    from cirflow.operators.models import PopulationScaler
-    _, train = _li_train(spark, sf)
-    return rnd(PopulationScaler(SCALE_COLS).fit(train).stats(spark), ["mean", "std"], 6)
-
-
-@q("apply_scaler")
-def apply_scaler(spark, sf):
-    from cirflow.operators.models import PopulationScaler
-    li, train = _li_train(spark, sf)
-    sc = PopulationScaler(SCALE_COLS, suffix="_z").fit(train)
-    out = sc.transform(li).select("l_orderkey", "l_linenumber", *[c + "_z" for c in SCALE_COLS])
-    return rnd(out, [c + "_z" for c in SCALE_COLS], 6)
-
-
-def ml_table(spark, sf) -> DataFrame:
-    """Embeddings as a learnable task: y = embedding[0] > 0, 64 features,
-    a regression target, and an md5 split (fold 0 test, 1 val, else train)."""
-    from pyspark.ml.functions import array_to_vector
-    e = FX.table(spark, sf, "embeddings")
-    d = e.select(F.col("vec_id").alias("id"), (F.get("embedding", 0) > 0).cast("int").alias("y"),
-                 array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"),
-                 (F.get("embedding", 1).cast("double") * 10.0 + F.col("label")).alias("target"))
-    d = SP.kfold(d, "id", 5)
-    return d.withColumn("split", F.when(F.col("fold") == 0, "test").when(F.col("fold") == 1, "val")
-                        .otherwise("train"))
-
-
-def _train_test(spark, sf):
-    d = ml_table(spark, sf)
-    return d.where(F.col("split") != "test"), d.where(F.col("split") == "test")
-
-
-def _fit_score(spark, sf, est, weight: str | None = None) -> DataFrame:
-    from cirflow.operators import models as M
-    train, test = _train_test(spark, sf)
-    if weight == "balanced":
-        train = SP.balanced_weight(train, "y")
-    elif weight == "pos":
-        train = SP.with_pos_weight(train, "y")
-    est = est.setFeaturesCol("features").setLabelCol("y")
-    if weight:
-        est = est.setWeightCol("weight")
-    return M.predict_proba(est.fit(train), test)
-
-
-@q("train_boosted_classifier")
-def train_boosted_classifier(spark, sf):
-    from cirflow.operators import models as M
-    return _fit_score(spark, sf, M.boosted_classifier(max_iter=20, max_depth=3), weight="pos")
-
-
-@q("early_stopping")
-def early_stopping(spark, sf):
-    from cirflow.operators import models as M
-    train, test = _train_test(spark, sf)
-    train = train.withColumn("is_val", F.col("split") == "val")
-    g = M.boosted_classifier(max_iter=40, max_depth=3, validation_col="is_val")
-    return M.predict_proba(g.setFeaturesCol("features").setLabelCol("y").fit(train), test)
-
-
-@q("train_random_forest")
-def train_random_forest(spark, sf):
-    from cirflow.operators import models as M
-    return _fit_score(spark, sf, M.random_forest(num_trees=20, max_depth=8), weight="balanced")
-
-
-@q("train_logistic")
-def train_logistic(spark, sf):
-    from cirflow.operators import models as M
-    train, _ = _train_test(spark, sf)
-    return _fit_score(spark, sf, M.logistic(1.0, float(train.count())), weight="balanced")
-
-
-@q("train_linear_svm")
-def train_linear_svm(spark, sf):
-    from cirflow.operators import models as M
-    train, _ = _train_test(spark, sf)
-    return _fit_score(spark, sf, M.linear_svm(1.0, float(train.count()), max_iter=30), weight="balanced")
-
-
-@q("platt_calibrate")
-def platt_calibrate(spark, sf):
-    from cirflow.operators import models as M
-    train, test = _train_test(spark, sf)
-    train = SP.stratified_kfold(train, "y", "id", 3, out="cal_fold").persist()
-    n = float(train.count())
-    pairs = M.platt_calibrate(train, "features", "y", "cal_fold", lambda: M.linear_svm(1.0, n, max_iter=30), 3)
-    return M.platt_score(pairs, test, "features")
-
-
-@q("train_decision_tree")
-def train_decision_tree(spark, sf):
-    from cirflow.operators import models as M
-    return _fit_score(spark, sf, M.decision_tree(4), weight="balanced")
-
-
-def _fit_regress(spark, sf, est) -> DataFrame:
-    train, test = _train_test(spark, sf)
-    m = est.setFeaturesCol("features").setLabelCol("target").fit(train)
-    return m.transform(test).select("id", F.col("target").alias("y"), F.col("prediction").alias("p"))
-
-
-@q("train_boosted_regressor")
-def train_boosted_regressor(spark, sf):
-    from cirflow.operators import models as M
-    return _fit_regress(spark, sf, M.boosted_regressor(max_iter=20, max_depth=4, step=0.1))
-
-
-@q("train_rf_regressor")
-def train_rf_regressor(spark, sf):
-    from cirflow.operators import models as M
-    return _fit_regress(spark, sf, M.rf_regressor(num_trees=20, max_depth=8))
-
-
-@q("knn_regress")
-def knn_regress(spark, sf):
-    from cirflow.operators.knn import knn_regress as knn
-    w = SP.kfold(FX.wave_emb(spark, sf), "id", 5).withColumn("target", F.col("grp").cast("double"))
-    out = knn(w.where(F.col("fold") != 0), w.where(F.col("fold") == 0), 15, "id", "w", "target")
-    return rnd(out, ["pred"], 6)
-
-
-@q("random_search_cv")
-def random_search_cv(spark, sf):
-    from cirflow.operators import models as M
-    train, test = _train_test(spark, sf)
-    train = SP.stratified_kfold(train, "y", "id", 3, out="cv_fold")
-    rf = M.random_forest(num_trees=10).setFeaturesCol("features").setLabelCol("y")
-    grid = {"maxDepth": [3, 5, 8], "numTrees": [10, 20], "minInstancesPerNode": [1, 2]}
-    cv = M.random_search_cv(rf, grid, train, n_iter=3, fold_col="cv_fold", parallelism=3)
-    return M.predict_proba(cv.bestModel, test)
-
-
-@q("cv_score")
-def cv_score(spark, sf):
-    from cirflow.operators import models as M
-    train, _ = _train_test(spark, sf)
-    train = SP.stratified_kfold(train, "y", "id", 3, out="cv_fold")
-    dt = M.decision_tree(4).setFeaturesCol("features").setLabelCol("y")
-    score = M.cv_score(dt, train, "cv_fold")
-    return spark.range(1).select(F.lit(score).alias("mean_f1"))
-
-
-@q("kfold_regression")
-def kfold_regression(spark, sf):
-    from cirflow.operators import models as M
-    train, _ = _train_test(spark, sf)
-    train = SP.kfold(train.drop("fold"), "id", 5, out="cv_fold").persist()
-    per_fold = None
-    for f in range(5):
-        m = M.rf_regressor(num_trees=10, max_depth=6).setFeaturesCol("features").setLabelCol("target") \
-            .fit(train.where(F.col("cv_fold") != f))
-        s = m.transform(train.where(F.col("cv_fold") == f)).select(
-            F.lit(f).alias("fold"), F.col("target").alias("y"), F.col("prediction").alias("p"))
-        per_fold = s if per_fold is None else per_fold.unionByName(s)
-    return RG.fold_summary(RG.fold_metrics(per_fold, "y", "p", "fold"))
-
-
-@q("predict_proba")
-def predict_proba(spark, sf):
-    return train_logistic(spark, sf).select("id", "y", "p")
-
-
-@q("feature_importance")
-def feature_importance(spark, sf):
-    from cirflow.operators import models as M
-    train, _ = _train_test(spark, sf)
-    m = M.random_forest(num_trees=20, max_depth=6).setFeaturesCol("features").setLabelCol("y").fit(train)
-    return M.feature_importance(m, [f"f{i}" for i in range(m.numFeatures)], spark)
-
-
-@q("coefficients")
-def coefficients(spark, sf):
-    from cirflow.operators import models as M
-    train, _ = _train_test(spark, sf)
-    m = M.logistic(1.0, float(train.count())).setFeaturesCol("features").setLabelCol("y").fit(train)
-    return M.coefficients(m, [f"f{i}" for i in range(m.numFeatures)], spark)
-
-
-@q("save_model")
-def save_model(spark, sf):
-    from pyspark.ml.classification import DecisionTreeClassificationModel
-    from cirflow.operators import models as M
-    train, test = _train_test(spark, sf)
-    m = M.decision_tree(4).setFeaturesCol("features").setLabelCol("y").fit(train)
-    path = M.save_model(m, scratch_path(spark, "model"))
-    return M.predict(DecisionTreeClassificationModel.load(path), test, ["id"])
+    """Append second-path and aligned-window features to the measurement rows."""
+    d = FE.second_path(FX.measurements(spark, sf), "cir", "FP_IDX", "RANGE", start=0, length=64, gap=3)
+    d = FE.aligned_features(d, "cir", "FP_IDX", pre=8, post=24)
+    return rnd(d.select("id", "PEAK2_IDX", "PEAK2_AMP", "PEAK2_FOUND", "PEAK2_GAP", "RANGE_PATH2_EST",
+                        "CIR_energy", "CIR_rise_time"), ["RANGE_PATH2_EST"], 9)

@@ -63,7 +63,7 @@ def pair_features(df: DataFrame, cfg: Config) -> DataFrame:
     d = FE.ratio_features(df)
     d = FE.second_path(d, "cir", "FP_IDX", "RANGE", cfg.focus_start, cfg.focus_len, cfg.gap,
                        cfg.height, cfg.prominence)
-    return FE.aligned_features(d, "cir", "FP_IDX", cfg.align_pre, cfg.align_post)
+    return FE.aligned_features(d, "cir", "FP_IDX", cfg.align_pre, cfg.align_post, engine="vectorized")
 
 
 PAIR_SCALARS = (CORE_FEATURES + ["PEAK2_IDX", "PEAK2_AMP", "PEAK2_FOUND", "PEAK2_GAP"] + FE.RATIO_FEATURES
@@ -120,7 +120,7 @@ def single_path_models(spark: SparkSession, meas: DataFrame, cfg: Config | None
     """Flow B: base features, split, scaler fit on train, four models with a
     validation-tuned threshold, one comparison table."""
     cfg = cfg or Config()
-    d = FE.engineer_features(meas, "cir", cfg.focus_start, cfg.focus_len)
+    d = FE.engineer_features(meas, "cir", cfg.focus_start, cfg.focus_len, engine="vectorized")
     d = SP.group_split(d, cfg.group, cfg.val_size, cfg.test_size, cfg.seed).withColumnRenamed(cfg.label, "y")
     d = d.fillna(0.0, ["CIR_kurtosis", "CIR_skewness"])
     d = materialise(spark, d, "base-features")

@@ -49,6 +49,14 @@ FIX = {
         b / sum(b) OVER () AS Importance FROM ranks""",
     "coefs": f"SELECT f AS Feature, b / a - 25.0{D} AS coef FROM ranks",
 }
+FIX["measurements"] = f"""SELECT id, NLOS, __source_file, cir[3] / 1000.0{D} + label AS RANGE,
+        CAST(id % 40 + 8 AS DOUBLE) AS FP_IDX, cir[4] AS FP_AMP1, cir[5] AS FP_AMP2, cir[6] AS FP_AMP3,
+        cir[7] AS STDEV_NOISE, cir[8] AS CIR_PWR, cir[9] AS MAX_NOISE, cir[10] + 1.0{D} AS RXPACC,
+        CAST(label % 3 + 1 AS DOUBLE) AS CH, 128.0{D} AS FRAME_LEN, 1024.0{D} AS PREAM_LEN, 6800.0{D} AS BITRATE,
+        64.0{D} AS PRFR, cir[11] AS SNR, log10(cir[11] + 1.0{D}) AS SNR_dB, cir
+    FROM (SELECT vec_id AS id, CAST(embedding[1] > 0 AS INTEGER) AS NLOS, label,
+        list_transform(embedding, lambda x: floor(abs(CAST(x AS DOUBLE)) * 10000.0{D})) AS cir,
+        'part' || CAST(vec_id % 7 + 1 AS VARCHAR) AS __source_file FROM embeddings)"""
 DEPS = {"scored": ["scored_wide"], "scored_pred": ["scored_wide", "scored"],
         "importance": ["ranks"], "coefs": ["ranks"]}
 
@@ -160,7 +168,13 @@ SQL["read_result_table"] = with_("importance") + "SELECT Feature, Importance FRO
 SQL["save_predictions"] = with_("scored_pred") + "SELECT id, y, model, p, pred FROM scored_pred"
 
 # ================================================================ 2.2 projections / filters
-SQL["project_features"] = with_("scalars") + "SELECT a, b, c FROM scalars"
+_CORE = ["RANGE", "FP_IDX", "FP_AMP1", "FP_AMP2", "FP_AMP3", "STDEV_NOISE", "CIR_PWR", "MAX_NOISE", "RXPACC",
+         "CH", "FRAME_LEN", "PREAM_LEN", "BITRATE", "PRFR", "SNR"]
+SQL["project_features"] = with_("measurements") + f"""SELECT id, {", ".join(_CORE)}, {r('SNR_dB')} AS SNR_dB,
+    {r('FP_AMP1 / greatest(FP_AMP2, 1e-10::DOUBLE)')} AS FP_AMP_ratio, {r('SNR / greatest(RXPACC, 1e-10::DOUBLE)')} AS SNR_per_acc,
+    {r('CIR_PWR / greatest(STDEV_NOISE, 1e-10::DOUBLE)')} AS signal_to_noise,
+    {r('MAX_NOISE / greatest(STDEV_NOISE, 1e-10::DOUBLE)')} AS noise_ratio,
+    {r('FP_AMP1 * FP_AMP1 + FP_AMP2 * FP_AMP2 + FP_AMP3 * FP_AMP3')} AS FP_power FROM measurements"""
 SQL["cast_types"] = with_("scalars") + """SELECT CAST(a AS DOUBLE) AS a, CAST(k AS BIGINT) AS k,
     CAST(b > 0 AS INTEGER) AS flag FROM scalars"""
 SQL["filter_class"] = with_("wave_emb") + "SELECT id, grp FROM wave_emb WHERE y = 1"
@@ -506,23 +520,15 @@ SQL["topk_abs"] = with_("coefs") + f"SELECT Feature, {r('coef', 9)} AS coef FROM
 # ================================================================ 2.12 set operations
 SQL["union_parts"] = """SELECT c_custkey AS key, c_acctbal AS acctbal, 'customer' AS __source_file FROM customer
     UNION ALL SELECT s_suppkey, s_acctbal, 'supplier' FROM supplier"""
-SQL["hstack_features"] = with_("wave_emb") + """SELECT id, y, fp, grp, list_sum(list_transform(w, lambda x: x * x)) AS energy,
-    list_max(w) AS peak, CAST(list_position(w, list_max(w)) - 1 AS INTEGER) AS peak_idx FROM wave_emb"""
-
-# ================================================================ 2.13 scaler, KNN
-_SCOLS = ["l_quantity", "l_extendedprice", "l_discount"]
-_LI_TRAIN = ("st", "SELECT " + ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(_SCOLS))
-             + f" FROM lineitem WHERE {md5int(chr(39) + '42' + chr(39), 'l_orderkey')} % 5 <> 0")
-SQL["fit_scaler"] = f"WITH {_LI_TRAIN[0]} AS ({_LI_TRAIN[1]})\n" + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, {r(f'm{i}')} AS mean, {r(f's{i}')} AS std FROM st" for i, c in enumerate(_SCOLS))
-SQL["apply_scaler"] = f"WITH {_LI_TRAIN[0]} AS ({_LI_TRAIN[1]})\nSELECT l_orderkey, l_linenumber, " + ", ".join(
-    f"{r(f'CASE WHEN s{i} > 0 THEN ({c} - m{i}) / s{i} ELSE {c} - m{i} END')} AS {c}_z" for i, c in enumerate(_SCOLS)) + \
-    " FROM lineitem, st"
-SQL["knn_regress"] = with_("wave_emb", extra=[
-    ("kx", f"SELECT id, w, CAST(grp AS DOUBLE) AS target, {md5int(chr(39) + '42' + chr(39), 'id')} % 5 AS fold FROM wave_emb"),
-    ("ks", "SELECT id, target, fold, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM kx"),
-    ("kd", """SELECT q.id AS qid, t.id AS tid, any_value(t.target) AS target, sum((q.x - t.x) * (q.x - t.x)) AS d2
-        FROM ks q JOIN ks t ON t.i = q.i AND t.fold <> 0 WHERE q.fold = 0 GROUP BY q.id, t.id"""),
-    ("kt", """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d2, tid) AS rn FROM kd) WHERE rn <= 15""")]) + \
-    f"""SELECT qid AS id, {r('''CASE WHEN count(*) FILTER (d2 = 0) > 0 THEN avg(target) FILTER (d2 = 0)
-        ELSE sum(target / sqrt(d2)) FILTER (d2 > 0) / sum(1.0 / sqrt(d2)) FILTER (d2 > 0) END''')} AS pred FROM kt GROUP BY qid"""
+SQL["hstack_features"] = with_("measurements", extra=[
+    ("mw", "SELECT id, CAST(FP_IDX AS INTEGER) AS fp, cir AS w, RANGE FROM measurements"),
+    *second_peak_ctes("mw", start=0, length=64, gap=3, height=10.0, prom=30.0),
+    ("al", """SELECT id, list_transform(range(0, 32), lambda k: CASE WHEN fp - 8 + k >= 0 AND fp - 8 + k < len(w)
+        THEN w[fp - 8 + k + 1] ELSE 0.0 END) AS a FROM mw"""),
+    ("alf", """SELECT id, list_sum(list_transform(a, lambda x: x * x)) AS CIR_energy, CASE WHEN list_max(a) < 1e-10 THEN 0.0
+        ELSE CAST(list_position(list_transform(a, lambda x: x >= list_max(a) * 0.9), true)
+           - list_position(list_transform(a, lambda x: x >= list_max(a) * 0.1), true) AS DOUBLE) END AS CIR_rise_time FROM al""")]) + \
+    f"""SELECT sp.id, peak2_idx AS PEAK2_IDX, peak2_amp AS PEAK2_AMP, peak2_found AS PEAK2_FOUND,
+    peak2_idx - CAST(mw.fp AS DOUBLE) AS PEAK2_GAP,
+    {r(f'mw.RANGE + (peak2_idx - CAST(mw.fp AS DOUBLE)) * {METERS_PER_SAMPLE!r}{D}', 9)} AS RANGE_PATH2_EST,
+    CIR_energy, CIR_rise_time FROM sp JOIN mw ON mw.id = sp.id JOIN alf ON alf.id = sp.id"""
