@@ -100,37 +100,43 @@ def wave_sum(w: ColumnOrName) -> Column:
     return F.aggregate(_c(w), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def _central_moments(w: Column) -> Column:
-    """struct(n, m2, m3, m4) of population central moments: one pass for
-    the mean, bound once, then one pass for the powers of deviations."""
-    def with_mean(a: Column, mean: Column) -> Column:
+def wave_moments(w: ColumnOrName) -> Column:
+    """struct(n, m2, m3, m4): population central moments. The mean is bound
+    once; deviations and squared deviations are built as arrays (no struct
+    accumulator per element), then summed."""
+    def body(a: Column) -> Column:
         n = F.size(a)
-        zero = F.struct(F.lit(0.0).alias("s2"), F.lit(0.0).alias("s3"), F.lit(0.0).alias("s4"))
+        return let(F.aggregate(a, F.lit(0.0), lambda t, x: t + x) / n, lambda mean: let(
+            F.transform(a, lambda x: x - mean), lambda d: let(
+                F.transform(d, lambda x: x * x), lambda d2: F.struct(
+                    n.alias("n"),
+                    (F.aggregate(d2, F.lit(0.0), lambda t, x: t + x) / n).alias("m2"),
+                    (F.aggregate(F.zip_with(d2, d, lambda u, v: u * v), F.lit(0.0), lambda t, x: t + x) / n).alias("m3"),
+                    (F.aggregate(d2, F.lit(0.0), lambda t, x: t + x * x) / n).alias("m4")))))
+    return let(_c(w), body)
+
+
+_central_moments = wave_moments
+
 
-        def step(acc, x):
-            d = x - mean
-            d2 = d * d
-            return F.struct((acc["s2"] + d2).alias("s2"), (acc["s3"] + d2 * d).alias("s3"),
-                            (acc["s4"] + d2 * d2).alias("s4"))
+def kurtosis_from_moments(m: Column) -> Column:
+    """Population excess kurtosis m4/m2^2 - 3; NULL when m2 = 0."""
+    return F.when(m["m2"] > 0, m["m4"] / (m["m2"] * m["m2"]) - 3.0)
 
-        return F.aggregate(a, zero, step, lambda acc: F.struct(
-            n.alias("n"), (acc["s2"] / n).alias("m2"), (acc["s3"] / n).alias("m3"),
-            (acc["s4"] / n).alias("m4")))
 
-    return let(w, lambda a: let(F.aggregate(a, F.lit(0.0), lambda t, x: t + x) / F.size(a),
-                                lambda mean: with_mean(a, mean)))
+def skewness_from_moments(m: Column) -> Column:
+    """Population skewness m3/m2^1.5; NULL when m2 = 0."""
+    return F.when(m["m2"] > 0, m["m3"] / F.pow(m["m2"], 1.5))
 
 
 def wave_kurtosis(w: ColumnOrName) -> Column:
     """Population excess kurtosis m4/m2^2 - 3; NULL for a constant wave."""
-    return let(_central_moments(_c(w)), lambda m: F.when(
-        m["m2"] > 0, m["m4"] / (m["m2"] * m["m2"]) - 3.0))
+    return let(wave_moments(w), kurtosis_from_moments)
 
 
 def wave_skewness(w: ColumnOrName) -> Column:
     """Population skewness m3/m2^1.5; NULL for a constant wave."""
-    return let(_central_moments(_c(w)), lambda m: F.when(
-        m["m2"] > 0, m["m3"] / F.pow(m["m2"], 1.5)))
+    return let(wave_moments(w), skewness_from_moments)
 
 
 def wave_rise_time(w: ColumnOrName, lo: float = RISE_LO, hi: float = RISE_HI) -> Column:

@@ -40,18 +40,19 @@ def shape_features(df: DataFrame, wave: str, with_peak: bool = True,
     the caller as its own column, so each statistic reads it once.
     ``engine="vectorized"`` counts peaks with the Arrow-batched engine."""
     from cirflow.functions import fast
+    df = df.withColumn("_mom", W.wave_moments(wave))    # shared by kurtosis and skewness
     cols = {}
     if with_peak:
         cols[f"{prefix}_peak"] = W.wave_peak(wave)
         cols[f"{prefix}_peak_idx"] = W.wave_peak_idx(wave).cast("double")
     cols.update({
         f"{prefix}_energy": W.wave_energy(wave),
-        f"{prefix}_kurtosis": W.wave_kurtosis(wave),
-        f"{prefix}_skewness": W.wave_skewness(wave),
+        f"{prefix}_kurtosis": W.kurtosis_from_moments(F.col("_mom")),
+        f"{prefix}_skewness": W.skewness_from_moments(F.col("_mom")),
         f"{prefix}_rise_time": W.wave_rise_time(wave),
         f"{prefix}_num_peaks": fast.num_peaks(wave) if engine == "vectorized" else W.wave_num_peaks(wave),
     })
-    return df.withColumns(cols)
+    return df.withColumns(cols).drop("_mom")
 
 
 def engineer_features(df: DataFrame, wave: str = "cir", start: int = W.FOCUS_START,
