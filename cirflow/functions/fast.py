@@ -39,3 +39,15 @@ def num_peaks(w, rel_height: float = W.NUM_PEAKS_REL_HEIGHT) -> Column:
         return pd.Series(PV.num_peaks_batch(x.to_numpy(), rel_height, W.TINY))
 
     return _count(_c(w))
+
+
+def shape_stats(w) -> Column:
+    """struct(peak, peak_idx, energy, kurtosis, skewness, rise_time,
+    num_peaks) of a window in one Arrow crossing -- as the native builders
+    in ``waves`` (sums may differ in the last bits: NumPy sums pairwise)."""
+    @F.pandas_udf("peak double, peak_idx double, energy double, kurtosis double, skewness double, "
+                  "rise_time double, num_peaks double")
+    def _stats(x: pd.Series) -> pd.DataFrame:
+        return PV.shape_stats_batch(x.to_numpy(), W.NUM_PEAKS_REL_HEIGHT, W.RISE_LO, W.RISE_HI, W.TINY)
+
+    return _stats(_c(w))

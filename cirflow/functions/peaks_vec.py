@@ -130,3 +130,41 @@ def num_peaks_batch(w, rel_height: float, tiny: float) -> np.ndarray:
             cnt = (m & (X >= rel_height * pk[:, None])).sum(axis=1)
         out[c0:c1] = np.where((lens == 0) | (pk < tiny), 0.0, cnt)
     return out
+
+
+def shape_stats_batch(w, rel_height: float, lo: float, hi: float, tiny: float) -> pd.DataFrame:
+    """All window shape statistics of a batch in one pass over the matrix:
+    peak, first peak index, energy, population kurtosis / skewness (NULL for
+    a constant window), rise time and the relative-height peak count."""
+    n = len(w)
+    cols = {k: np.full(n, np.nan) for k in ("peak", "peak_idx", "energy", "kurtosis", "skewness",
+                                              "rise_time", "num_peaks")}
+    for c0 in range(0, n, CHUNK_ROWS):
+        c1 = min(n, c0 + CHUNK_ROWS)
+        X, lens = to_matrix(w[c0:c1])
+        valid = ~np.isnan(X)
+        Z = np.where(valid, X, 0.0)
+        has = lens > 0
+        cnt = np.maximum(lens, 1)
+        Xm = np.where(valid, X, -np.inf)
+        pk = Xm.max(axis=1)
+        pidx = Xm.argmax(axis=1)
+        mean = Z.sum(axis=1) / cnt
+        d = np.where(valid, X - mean[:, None], 0.0)
+        d2 = d * d
+        m2, m3, m4 = d2.sum(axis=1) / cnt, (d2 * d).sum(axis=1) / cnt, (d2 * d2).sum(axis=1) / cnt
+        with np.errstate(invalid="ignore", divide="ignore"):
+            kurt = np.where(m2 > 0, m4 / (m2 * m2) - 3.0, np.nan)
+            skew = np.where(m2 > 0, m3 / np.power(m2, 1.5), np.nan)
+            i_hi = np.argmax(Xm >= hi * pk[:, None], axis=1)
+            i_lo = np.argmax(Xm >= lo * pk[:, None], axis=1)
+        rise = np.where(pk < tiny, 0.0, (i_hi - i_lo).astype(np.float64))
+        m = maxima_mask(X, np.zeros(len(lens), dtype=np.int64), lens)
+        with np.errstate(invalid="ignore"):
+            npk = (m & (X >= rel_height * pk[:, None])).sum(axis=1)
+        npk = np.where(pk < tiny, 0.0, npk)
+        for k, v in (("peak", pk), ("peak_idx", pidx.astype(np.float64)), ("energy", (Z * Z).sum(axis=1)),
+                     ("kurtosis", kurt), ("skewness", skew), ("rise_time", rise), ("num_peaks", npk)):
+            cols[k][c0:c1] = np.where(has, v, np.nan)
+    out = pd.DataFrame(cols)
+    return out.astype(object).where(out.notna(), None) if out.isna().any().any() else out

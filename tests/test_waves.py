@@ -107,3 +107,19 @@ def test_second_peak_search_start_at_end(spark):
     df = spark.createDataFrame([(200.0, w)], "fp double, w array<double>")
     r = df.select(W.second_peak("w", "fp", start=0, length=120).alias("s")).first()["s"]
     assert r["peak2_found"] == 0 and r["peak2_idx"] is None
+
+
+def test_vectorized_shape_stats_match_native(spark):
+    from cirflow.operators import features as FE
+    data = _random_waves(400, 11) + [(1000, 0.0, [4.0, 4.0, 4.0]), (1001, 0.0, [0.0, 0.0])]
+    df = spark.createDataFrame(data, "i int, fp double, w array<double>")
+    nat = FE.shape_features(df, "w", engine="native").drop("w", "fp")
+    vec = FE.shape_features(df, "w", engine="vectorized").drop("w", "fp")
+    a = {r["i"]: r for r in nat.collect()}
+    for r in vec.collect():
+        for k in ("CIR_peak", "CIR_peak_idx", "CIR_energy", "CIR_kurtosis", "CIR_skewness",
+                  "CIR_rise_time", "CIR_num_peaks"):
+            if a[r["i"]][k] is None:
+                assert r[k] is None, (r["i"], k)
+            else:
+                assert r[k] == pytest.approx(a[r["i"]][k], rel=1e-9, abs=1e-9), (r["i"], k)
