@@ -187,14 +187,27 @@ def roc_curve(scored: DataFrame, by=(), y: str = "y", p: str = "p",
     return start.unionByName(pts)
 
 
-def auc_trapezoid(curve: DataFrame, by=(), fpr: str = "fpr", tpr: str = "tpr") -> DataFrame:
-    """Trapezoid area under saved (fpr, tpr) points (the points of one
-    model are few: at most its distinct scores after collinear drop)."""
-    by = _by(by)
-    w = Window.partitionBy(*by).orderBy(fpr, tpr) if by else Window.partitionBy(F.lit(0)).orderBy(fpr, tpr)
-    d = curve.withColumn("_pf", F.lag(fpr).over(w)).withColumn("_pt", F.lag(tpr).over(w))
-    return d.groupBy(*by).agg(F.sum(F.coalesce((F.col(fpr) - F.col("_pf")) * (F.col(tpr) + F.col("_pt")) / 2.0,
-                                               F.lit(0.0))).alias("auc"))
+def auc_trapezoid(curve: DataFrame, by=(), fpr: str = "fpr", tpr: str = "tpr",
+                  buckets: int = SCORE_BUCKETS) -> DataFrame:
+    """Trapezoid area under saved (fpr, tpr) points. A curve is monotone in
+    both coordinates, so points are cut into fpr buckets; each point's
+    predecessor is the previous point in its bucket or, for a bucket's first
+    point, the last point of the previous non-empty bucket (a small table of
+    bucket tails). No window holds a whole curve."""
+    curve, gb, const = _group_or_const(curve, by)
+    d = curve.select(*gb, F.col(fpr).cast("double").alias("_f"), F.col(tpr).cast("double").alias("_t"))
+    d = d.withColumn("_b", F.least(F.greatest(F.floor(F.col("_f") * buckets), F.lit(0)),
+                                   F.lit(buckets - 1)).cast("int"))
+    pt = F.struct("_f", "_t")
+    tails = d.groupBy(*gb, "_b").agg(F.max_by(pt, pt).alias("_tail"))
+    tails = tails.select(*gb, "_b", F.lag("_tail").over(Window.partitionBy(*gb).orderBy("_b")).alias("_prev"))
+    d = d.join(tails, [*gb, "_b"])
+    w = Window.partitionBy(*gb, "_b").orderBy("_f", "_t")
+    d = d.withColumns({"_pf": F.coalesce(F.lag("_f").over(w), F.col("_prev._f")),
+                       "_pt": F.coalesce(F.lag("_t").over(w), F.col("_prev._t"))})
+    out = d.groupBy(*gb).agg(F.sum(F.coalesce((F.col("_f") - F.col("_pf")) * (F.col("_t") + F.col("_pt")) / 2.0,
+                                              F.lit(0.0))).alias("auc"))
+    return out.drop("_g") if const else out
 
 
 # ------------------------------------------------------------ threshold sweeps
