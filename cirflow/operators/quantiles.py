@@ -68,6 +68,8 @@ def _banded(d: DataFrame, by: list[str], probs: list[float], names: list[str]) -
     # approximate brackets feed two stages below: pin them (reliable
     # checkpoint in the shared folder) so a recomputation after executor
     # loss cannot hand the two stages different brackets
+    from cirflow.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(d.sparkSession)
     per_q = per_q.checkpoint(eager=True)
 
     def locate(brackets: DataFrame) -> DataFrame:

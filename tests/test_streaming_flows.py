@@ -34,3 +34,29 @@ def test_pair_flow_runs(spark):
     m = out["metrics"].first()
     assert 0.0 <= m["accuracy"] <= 1.0
     assert out["confusion"].agg(F.sum("n")).first()[0] == out["scored"].count()
+
+
+def test_class_profile_stream(spark):
+    meas = FX.measurements(spark, SF001)
+    src = tempfile.mkdtemp(prefix="cirflow-stream-prof-")
+    meas.write.mode("overwrite").parquet(os.path.join(src, "in"))
+    stream = ST.read_measurements(spark, os.path.join(src, "in"), meas.schema, max_files_per_trigger=1)
+    feats = ST.feature_stream(stream, start=0, length=64, pre=8, post=24, gap=3)
+    prof = ST.class_profile_stream(feats)
+    q = prof.writeStream.format("memory").queryName("cirflow_prof").outputMode("complete").start()
+    q.processAllAvailable()
+    q.stop()
+    got = {r["NLOS"]: r["n"] for r in spark.table("cirflow_prof").collect()}
+    exp = {r["NLOS"]: r["count"] for r in meas.groupBy("NLOS").count().collect()}
+    assert got == exp
+
+
+def test_range_flow_runs(spark):
+    meas = FX.measurements(spark, SF001)
+    cfg = FL.Config(focus_start=0, focus_len=64, align_pre=8, align_post=24, gap=3,
+                    reg=dict(max_iter=5, max_depth=3, step=0.1))
+    out = FL.range_estimation(spark, meas, cfg)
+    m = {r["path"]: r for r in out["metrics"].collect()}
+    assert set(m) == {"path1", "path2"} and all(r["rmse"] >= 0 for r in m.values())
+    c = out["clipped"].first()
+    assert c["rmse_clipped"] is not None and c["n_violations"] >= 0
