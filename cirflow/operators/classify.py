@@ -7,7 +7,7 @@ operator takes ``by`` so one pass serves all models.
 Nothing here sorts a whole model's rows in one task:
 
 * ranking quantities (ROC, AUC) first group rows by distinct score, then
-  cut the score range [0, 1] into ``SCORE_BUCKETS`` buckets; per-bucket totals form
+  cut the scores into log-odds-like buckets (``score_bucket``); per-bucket totals form
   a small table whose running sums are broadcast back as offsets, and only
   the distinct scores of one bucket are ordered together;
 * threshold sweeps map each score to its threshold index once (exact float
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from cirflow.operators.quantiles import group_quantiles
 
-SCORE_BUCKETS = 4096
+SCORE_BUCKETS = 4096          # fpr buckets for saved curves
+BUCKETS_PER_OCTAVE = 64       # score buckets per factor of two (see score_bucket)
 
 
 def _by(by) -> list[str]:
@@ -111,22 +112,32 @@ def classification_report(scored: DataFrame, by=(), y: str = "y", pred: str = "p
 
 
 # ------------------------------------------------------------ ranking (ROC / AUC)
+def score_bucket(p: Column, resolution: int = BUCKETS_PER_OCTAVE) -> Column:
+    """Bucket of a score, 0 for the highest scores; monotone non-increasing
+    in p. The key is log2(p) below 0.5 and -2 - log2(1 - p) above (1 - p
+    is exact there), clamped to [-60, 60]: ``resolution`` buckets per
+    factor of two towards both 0 and 1, so very confident scores spread
+    over many buckets. Scores outside (0, 1) fall into the end buckets."""
+    key = (F.when(p <= 0, F.lit(-60.0)).when(p >= 1, F.lit(60.0))
+            .when(p < 0.5, F.log2(p)).otherwise(F.lit(-2.0) - F.log2(F.lit(1.0) - p)))
+    key = F.least(F.greatest(key, F.lit(-60.0)), F.lit(60.0))
+    return F.floor((F.lit(60.0) - key) * resolution).cast("int")
+
+
 def score_cumulative(scored: DataFrame, by=(), y: str = "y", p: str = "p",
-                     buckets: int = SCORE_BUCKETS, score_range: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
+                     resolution: int = BUCKETS_PER_OCTAVE) -> DataFrame:
     """One row per (by..., distinct score): pos, neg at that score, pos_above
     and neg_above (strictly higher scores), group totals tot_pos and tot_neg,
     and is_first / is_last plus the next lower score's (pos, neg).
 
-    Scores are cut into ``buckets`` ranges of ``score_range`` (clamped at
-    the ends). Any monotone bucketing gives exact results; the range only
-    decides how evenly the distinct scores spread over the per-bucket
-    windows. The input is aggregated once, by (group, score)."""
+    Scores are cut into ``score_bucket`` ranges. Any monotone bucketing
+    gives exact results; the bucket key only decides how evenly the
+    distinct scores spread over the per-bucket windows. The input is
+    aggregated once, by (group, score)."""
     scored, by, const = _group_or_const(scored, by)
-    lo, hi = score_range
     g = scored.groupBy(*by, F.col(p).alias("p")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
-    g = g.withColumn("_b", F.least(F.greatest(
-        F.floor((F.lit(hi) - F.col("p")) / (hi - lo) * buckets), F.lit(0)), F.lit(buckets - 1)).cast("int"))
+    g = g.withColumn("_b", score_bucket(F.col("p"), resolution))
     # per-bucket totals and each bucket's top score: groups x buckets rows
     bt = g.groupBy(*by, "_b").agg(
         F.sum("pos").alias("_bpos"), F.sum("neg").alias("_bneg"),

@@ -39,11 +39,11 @@ def _auc_brute(rows):
     return s / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 4096])
-def test_auc_and_roc_against_brute_force(spark, buckets):
+@pytest.mark.parametrize("resolution", [1, 3, 64])
+def test_auc_and_roc_against_brute_force(spark, resolution):
     rows = _scored(400, 3)
     df = spark.createDataFrame(rows, "id int, y int, p double, model string")
-    cum = C.score_cumulative(df, "model", buckets=buckets)
+    cum = C.score_cumulative(df, "model", resolution=resolution)
     got = {r["model"]: r["auc"] for r in
            cum.groupBy("model").agg((F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") / 2.0))
                                      / (F.first("tot_pos") * F.first("tot_neg"))).alias("auc")).collect()}
@@ -79,3 +79,14 @@ def test_error_rate_bins_excludes_one(spark):
     bins = {r["label"]: r for r in C.error_rate_bins(df).collect()}
     assert set(bins) == {"0.2-0.3", "0.9-1.0"}     # 0.3 < 0.30000000000000004 (linspace edge)
     assert bins["0.9-1.0"]["error_rate"] == 1.0
+
+
+def test_score_bucket_monotone(spark):
+    from pyspark.sql import functions as F
+    ps = sorted({0.0, 1.0, 0.5, 1e-300, 1 - 1e-16, 0.4999999999, 0.5000000001, -3.0, 7.0, 1e-9, 1 - 1e-9}
+                | {i / 997 for i in range(998)})
+    df = spark.createDataFrame([(p,) for p in ps], "p double")
+    rows = df.select("p", C.score_bucket(F.col("p")).alias("b")).orderBy("p").collect()
+    bs = [r["b"] for r in rows]
+    assert all(a >= b for a, b in zip(bs, bs[1:]))          # non-increasing in p
+    assert len(set(bs)) > 500
