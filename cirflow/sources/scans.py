@@ -1,7 +1,7 @@
 """Scans and sinks.
 
-* Measurement parts are read with an explicit schema (no inference) and
-  tagged with ``_metadata.file_name``; the 1016 waveform columns are packed
+* Measurement parts are read with an explicit, header-validated schema (no
+  inference) and tagged with ``_metadata.file_name``; the 1016 waveform columns are packed
   into one ``array<double>`` right at the scan so later plans carry one
   column (and stay under codegen's field limit).
 * Split datasets are written partitioned by ``split`` so reading one split
@@ -50,13 +50,33 @@ def unpack_waveform(df: DataFrame, wave: str = "cir", prefix: str = "CIR", n_sam
 def scan_parts(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None,
                tag: bool = False, pack: bool = True, n_samples: int = N_SAMPLES,
                fmt: str = "csv") -> DataFrame:
-    """Read measurement parts (CSV with header by default), optionally
-    tagged with the file name in ``__source_file``, waveform packed."""
+    """Read measurement parts, optionally tagged with the file name in
+    ``__source_file``, waveform packed.
+
+    CSV parts are matched by header *name*: the column order comes from the
+    header of the first part (no data is read for it), types from
+    ``schema``, and ``enforceSchema=false`` makes Spark check every part's
+    header against that order, so a part laid out differently fails instead
+    of being misaligned. Column pruning still applies to the CSV parser.
+    Other formats are read with the schema directly."""
     schema = schema or measurement_schema(n_samples)
-    r = spark.read.schema(schema)
-    df = r.csv(paths, header=True) if fmt == "csv" else r.format(fmt).load(paths)
-    if tag:
-        df = df.withColumn("__source_file", F.col("_metadata.file_name"))
+    if fmt == "csv":
+        header = spark.read.option("header", True).option("inferSchema", False).csv(paths).columns
+        types = {f.name: f.dataType for f in schema.fields}
+        missing = [c for c in types if c not in header]
+        if missing:
+            raise ValueError(f"columns missing from the CSV header: {missing[:10]}")
+        file_schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+        raw = (spark.read.schema(file_schema).option("header", True).option("enforceSchema", False)
+               .csv(paths))
+        cols = [F.col(f"`{f.name}`") for f in schema.fields]
+        if tag:
+            cols.append(F.col("_metadata.file_name").alias("__source_file"))
+        df = raw.select(*cols)
+    else:
+        df = spark.read.schema(schema).format(fmt).load(paths)
+        if tag:
+            df = df.withColumn("__source_file", F.col("_metadata.file_name"))
     return pack_waveform(df, n_samples=n_samples) if pack else df
 
 

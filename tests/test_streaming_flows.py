@@ -60,3 +60,24 @@ def test_range_flow_runs(spark):
     assert set(m) == {"path1", "path2"} and all(r["rmse"] >= 0 for r in m.values())
     c = out["clipped"].first()
     assert c["rmse_clipped"] is not None and c["n_violations"] >= 0
+
+
+def test_csv_parts_scan_by_name_with_tag(spark):
+    import pytest
+    from cirflow.sources import scans as SC
+    meas = FX.measurements(spark, SF001)
+    wide = SC.unpack_waveform(meas.drop("__source_file"), "cir", "CIR", 64)
+    base = tempfile.mkdtemp(prefix="cirflow-csv-")
+    rev = list(reversed(wide.columns))          # a layout other than the schema's order
+    wide.where("id % 2 = 0").select(*rev).coalesce(1).write.option("header", True).csv(os.path.join(base, "p1"))
+    wide.where("id % 2 = 1").select(*rev).coalesce(1).write.option("header", True).csv(os.path.join(base, "p2"))
+    got = SC.scan_parts_tagged(spark, [os.path.join(base, "p1"), os.path.join(base, "p2")], n_samples=64)
+    assert got.count() == meas.count()
+    assert got.select("__source_file").distinct().count() == 2
+    exp = meas.select("NLOS", "RANGE", "FP_IDX", "cir")
+    assert got.select("NLOS", "RANGE", "FP_IDX", "cir").exceptAll(exp).count() == 0
+    # a part whose header order differs from the others is refused, not misread
+    wide.select(*wide.columns).coalesce(1).write.option("header", True).csv(os.path.join(base, "p3"))
+    bad = SC.scan_parts(spark, [os.path.join(base, "p1"), os.path.join(base, "p3")], n_samples=64)
+    with pytest.raises(Exception):
+        bad.select("NLOS", "cir").collect()
