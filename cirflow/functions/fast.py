@@ -51,3 +51,12 @@ def shape_stats(w) -> Column:
         return PV.shape_stats_batch(x.to_numpy(), W.NUM_PEAKS_REL_HEIGHT, W.RISE_LO, W.RISE_HI, W.TINY)
 
     return _stats(_c(w))
+
+
+def prominences(w, height: float | None = None) -> Column:
+    """array<struct<pos, prominence>> -- as ``waves.wave_prominences``."""
+    @F.pandas_udf("array<struct<pos:int, prominence:double>>")
+    def _prom(x: pd.Series) -> pd.Series:
+        return pd.Series(PV.prominences_batch(x.to_numpy(), height))
+
+    return _prom(_c(w))

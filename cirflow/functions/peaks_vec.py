@@ -168,3 +168,24 @@ def shape_stats_batch(w, rel_height: float, lo: float, hi: float, tiny: float) -
             cols[k][c0:c1] = np.where(has, v, np.nan)
     out = pd.DataFrame(cols)
     return out.astype(object).where(out.notna(), None) if out.isna().any().any() else out
+
+
+def prominences_batch(w, height: float | None) -> list:
+    """Per row: [{pos, prominence}] for every local maximum (optionally with
+    x >= height), prominence measured over the whole row."""
+    out = []
+    for c0 in range(0, len(w), CHUNK_ROWS):
+        c1 = min(len(w), c0 + CHUNK_ROWS)
+        X, lens = to_matrix(w[c0:c1])
+        lo = np.zeros(len(lens), dtype=np.int64)
+        m = maxima_mask(X, lo, lens)
+        if height is not None:
+            with np.errstate(invalid="ignore"):
+                m &= X >= height
+        r, p = np.nonzero(m)                      # row-major: positions ascending per row
+        prom = prominences(X, lo, lens, r, p)
+        rows = [[] for _ in range(c1 - c0)]
+        for ri, pi, pv in zip(r.tolist(), p.tolist(), prom.tolist()):
+            rows[ri].append({"pos": pi, "prominence": pv})
+        out.extend(rows)
+    return out

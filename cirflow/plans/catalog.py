@@ -377,8 +377,9 @@ def wave_num_peaks(spark, sf):
 
 @q("wave_prominence")
 def wave_prominence(spark, sf):
+    from cirflow.functions import fast
     w = FX.wave_flat(spark, sf)
-    return w.select("id", F.explode(W.wave_prominences("w", FLAT["height"])).alias("p")).select(
+    return w.select("id", F.explode(fast.prominences("w", FLAT["height"])).alias("p")).select(
         "id", "p.pos", "p.prominence")
 
 

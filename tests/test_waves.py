@@ -84,12 +84,14 @@ def test_engines_match_reference(spark):
     df = spark.createDataFrame(data, "i int, fp double, w array<double>")
     params = dict(start=2, length=40, gap=3, height=3.0, min_prominence=4.0)
     out = df.select("i", W.wave_local_maxima("w").alias("mx"), W.wave_prominences("w").alias("pr"),
+                    FA.prominences("w").alias("pr_vec"),
                     W.second_peak("w", "fp", **params).alias("nat"), FA.second_peak("w", "fp", **params).alias("vec"),
                     W.wave_num_peaks("w").alias("np_nat"), FA.num_peaks("w").alias("np_vec")).orderBy("i").collect()
     for r, (_, fp, w) in zip(out, data):
         mx = R.maxima(w)
         assert list(r["mx"]) == mx
         assert [p["prominence"] for p in r["pr"]] == [R.prominence(w, p) for p in mx]
+        assert [(p["pos"], p["prominence"]) for p in r["pr_vec"]] == [(p, R.prominence(w, p)) for p in mx]
         ref = R.second_peak(w, fp, params["start"], params["length"], params["gap"],
                             params["height"], params["min_prominence"])
         for got in (r["nat"], r["vec"]):
