@@ -254,3 +254,38 @@ __all__ = ["PopulationScaler", "assemble", "array_features", "boosted_classifier
            "logistic", "linear_svm", "decision_tree", "boosted_regressor", "rf_regressor",
            "predict_proba", "feature_importance", "coefficients", "platt_calibrate", "platt_score",
            "random_search_cv", "cv_score", "Pipeline", "PipelineModel"]
+
+
+# ------------------------------------------------------------ k-fold regression
+def kfold_predictions(df: DataFrame, fold_col: str, k: int, fit_predict) -> DataFrame:
+    """Out-of-fold predictions: for each fold f, ``fit_predict(train, held)``
+    is fitted on the other folds and returns (id, y, p) for fold f. The k
+    fits are separate distributed jobs; the result is one long table."""
+    out = None
+    for f in range(k):
+        part = fit_predict(df.where(F.col(fold_col) != f), df.where(F.col(fold_col) == f)) \
+            .withColumn("fold", F.lit(f))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def knn_fit_predict(feature_cols: Sequence[str], label: str, k: int = 15, id_col: str = "id"):
+    """KNN regression whose population scaler is fitted on the training
+    folds only (as the reference does inside each fold)."""
+    from cirflow.operators.knn import knn_regress
+
+    def run(train: DataFrame, held: DataFrame) -> DataFrame:
+        sc = PopulationScaler(feature_cols).fit(train)
+        to_arr = F.array(*[F.col(c).cast("double") for c in feature_cols])
+        tr = sc.transform(train).select(id_col, to_arr.alias("_w"), F.col(label).alias("_t"))
+        te = sc.transform(held).select(id_col, to_arr.alias("_w"))
+        pred = knn_regress(tr, te, k, id_col, "_w", "_t")
+        return held.select(id_col, F.col(label).alias("y")).join(pred.withColumnRenamed("pred", "p"), id_col)
+    return run
+
+
+def estimator_fit_predict(estimator, features: str, label: str, id_col: str = "id"):
+    def run(train: DataFrame, held: DataFrame) -> DataFrame:
+        m = estimator.setFeaturesCol(features).setLabelCol(label).fit(train)
+        return m.transform(held).select(id_col, F.col(label).alias("y"), F.col("prediction").alias("p"))
+    return run

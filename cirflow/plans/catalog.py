@@ -895,17 +895,20 @@ def cv_score(spark, sf):
 
 @q("kfold_regression")
 def kfold_regression(spark, sf):
+    """5-fold CV on the train split: a forest on the feature vector and a
+    15-NN regressor with its scaler fitted inside each fold."""
     from cirflow.operators import models as M
     train, _ = _train_test(spark, sf)
-    train = SP.kfold(train.drop("fold"), "id", 5, out="cv_fold").persist()
-    per_fold = None
-    for f in range(5):
-        m = M.rf_regressor(num_trees=10, max_depth=6).setFeaturesCol("features").setLabelCol("target") \
-            .fit(train.where(F.col("cv_fold") != f))
-        s = m.transform(train.where(F.col("cv_fold") == f)).select(
-            F.lit(f).alias("fold"), F.col("target").alias("y"), F.col("prediction").alias("p"))
-        per_fold = s if per_fold is None else per_fold.unionByName(s)
-    return RG.fold_summary(RG.fold_metrics(per_fold, "y", "p", "fold"))
+    train = SP.kfold(train.drop("fold"), "id", 5, out="cv_fold")
+    from pyspark.ml.functions import vector_to_array
+    cols = [f"x{i}" for i in range(8)]
+    train = train.withColumns({c: vector_to_array("features")[i] for i, c in enumerate(cols)}).persist()
+    rf = M.kfold_predictions(train, "cv_fold", 5, M.estimator_fit_predict(
+        M.rf_regressor(num_trees=10, max_depth=6), "features", "target"))
+    knn = M.kfold_predictions(train, "cv_fold", 5, M.knn_fit_predict(cols, "target", 15))
+    per_fold = (RG.fold_metrics(rf, "y", "p", "fold").withColumn("model", F.lit("random_forest"))
+                .unionByName(RG.fold_metrics(knn, "y", "p", "fold").withColumn("model", F.lit("knn"))))
+    return RG.fold_summary(per_fold, "model")
 
 
 @q("predict_proba")
