@@ -81,3 +81,11 @@ def test_csv_parts_scan_by_name_with_tag(spark):
     bad = SC.scan_parts(spark, [os.path.join(base, "p1"), os.path.join(base, "p3")], n_samples=64)
     with pytest.raises(Exception):
         bad.select("NLOS", "cir").collect()
+
+
+def test_single_path_flow_runs(spark):
+    meas = FX.measurements(spark, SF001)
+    cfg = FL.Config(focus_start=0, focus_len=64, align_pre=8, align_post=24, gap=3)
+    out = FL.single_path_models(spark, meas, cfg)
+    models = {r["model"] for r in out["comparison"].collect()}
+    assert models == {"random_forest", "logistic", "boosted", "svm_platt"}
