@@ -5,17 +5,19 @@ one task, which breaks when one group holds a third of the rows. Here exact
 quantiles are found in two passes:
 
 1. per group: ``count`` and ``percentile_approx`` at ``q -/+ margin`` give a
-   value bracket [lo, hi] around each wanted rank;
-2. per group: rows strictly below ``lo`` are counted and rows inside
-   [lo, hi] are grouped into (value, count) pairs -- a band of about
-   ``2 * margin * n`` rows -- whose running counts locate the exact ranks.
+   value bracket [lo, hi] around each wanted rank (pinned by a checkpoint);
+2. per group, in one aggregation: rows strictly below ``lo`` collapse into
+   one count and rows inside [lo, hi] are grouped into (value, count)
+   pairs -- a band of about ``4 * n / accuracy`` rows -- whose running
+   counts locate the exact ranks.
 
 The interpolation is linear between the order statistics at
 floor(h) and ceil(h), h = (n-1) q (NumPy / pandas default). When a bracket
 misses its rank (approximation failure) the group falls back to an
 unbounded bracket, so the answer is always exact.
 
-Small inputs take Spark's exact ``percentile`` directly (same definition).
+When pass 1 shows every group is small, pass 2 is Spark's exact
+``percentile`` instead (same definition).
 """
 
 from __future__ import annotations
@@ -38,72 +40,72 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     by: Sequence[str] = (), names: Sequence[str] | None = None,
                     force_banded: bool = False) -> DataFrame:
     """(by..., <name per prob>) exact linearly interpolated quantiles of
-    ``value`` (NULLs ignored)."""
+    ``value`` (NULLs ignored). Two passes over the input in every case."""
     by = list(by)
     names = list(names) if names else [_qname(q) for q in probs]
+    probs = [float(q) for q in probs]
     d = df.select(*by, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    if not force_banded:
-        biggest = (d.groupBy(*by).count().agg(F.max("count")).first()[0]) if by else d.count()
-        if biggest is None or biggest <= SMALL_GROUP_ROWS:
-            agg = F.percentile("_x", F.array(*[F.lit(float(q)) for q in probs]))
-            out = d.groupBy(*by).agg(agg.alias("_q"))
-            return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    return _banded(d, by, list(probs), names)
-
-
-def _banded(d: DataFrame, by: list[str], probs: list[float], names: list[str]) -> DataFrame:
+    from cirflow.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(d.sparkSession)
+    # pass 1: group sizes and approximate brackets around every wanted rank;
+    # pinned (reliable checkpoint in the shared folder) so that a recomputation
+    # after executor loss cannot hand later stages different brackets
     margin_probs = []
     for q in probs:
         margin_probs += [max(q - 2.0 / APPROX_ACCURACY, 0.0), min(q + 2.0 / APPROX_ACCURACY, 1.0)]
     stats = d.groupBy(*by).agg(
         F.count("*").alias("_n"),
         F.percentile_approx("_x", F.array(*[F.lit(p) for p in margin_probs]), APPROX_ACCURACY).alias("_b"))
+    stats = stats.checkpoint(eager=True)
+    biggest = stats.agg(F.max("_n")).first()[0]
+    if not force_banded and (biggest is None or biggest <= SMALL_GROUP_ROWS):
+        # pass 2: every group is small -- Spark's exact percentile
+        out = d.groupBy(*by).agg(F.percentile("_x", F.array(*[F.lit(q) for q in probs])).alias("_q"))
+        return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    return _banded(d, by, probs, names, stats)
+
+
+def _banded(d: DataFrame, by: list[str], probs: list[float], names: list[str], stats: DataFrame) -> DataFrame:
     # one row per (group, wanted prob): bracket and wanted 0-based ranks
     per_q = stats.select(*by, "_n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q"),
+        F.struct(F.lit(i).alias("qi"), F.lit(q).alias("q"),
                  F.col("_b")[2 * i].alias("lo"), F.col("_b")[2 * i + 1].alias("hi"))
         for i, q in enumerate(probs)])).alias("s")).select(*by, "_n", "s.*")
     per_q = per_q.withColumn("h", (F.col("_n") - 1) * F.col("q"))
     per_q = per_q.withColumn("r0", F.floor("h")).withColumn("r1", F.ceil("h"))
-    # approximate brackets feed two stages below: pin them (reliable
-    # checkpoint in the shared folder) so a recomputation after executor
-    # loss cannot hand the two stages different brackets
-    from cirflow.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(d.sparkSession)
-    per_q = per_q.checkpoint(eager=True)
 
     def locate(brackets: DataFrame) -> DataFrame:
-        # brackets: one row per (group, prob); AQE broadcasts it when its measured size allows
+        """Pass 2: one aggregation. Rows below the bracket collapse into one
+        (flag 0) count per (group, prob); rows inside it are counted per
+        distinct value (flag 1); running counts in (flag, value) order give
+        each band value its rank range."""
         if by:
+            # brackets: one row per (group, prob); AQE broadcasts it when its measured size allows
             joined = d.join(brackets.select(*by, "qi", "lo", "hi"), by)
         else:  # no groups: the few brackets become literal filters
-            parts = []
-            for r in brackets.select("qi", "lo", "hi").collect():
-                parts.append(d.select("_x", F.lit(r["qi"]).alias("qi"),
-                                      F.lit(r["lo"]).cast("double").alias("lo"),
-                                      F.lit(r["hi"]).cast("double").alias("hi")))
+            parts = [d.select("_x", F.lit(r["qi"]).alias("qi"), F.lit(r["lo"]).cast("double").alias("lo"),
+                              F.lit(r["hi"]).cast("double").alias("hi"))
+                     for r in brackets.select("qi", "lo", "hi").collect()]
             joined = parts[0] if parts else d.select(
                 "_x", F.lit(0).alias("qi"), F.lit(None).cast("double").alias("lo"),
                 F.lit(None).cast("double").alias("hi")).where(F.lit(False))
             for p_ in parts[1:]:
                 joined = joined.unionByName(p_)
-        below = (joined.where(F.col("lo").isNotNull() & (F.col("_x") < F.col("lo")))
-                 .groupBy(*by, "qi").agg(F.count("*").alias("below")))
-        band = (joined.where((F.col("lo").isNull() | (F.col("_x") >= F.col("lo")))
-                             & (F.col("hi").isNull() | (F.col("_x") <= F.col("hi"))))
-                .groupBy(*by, "qi", "_x").agg(F.count("*").alias("c")))
-        w = Window.partitionBy(*by, "qi").orderBy("_x")
-        band = band.withColumn("cum", F.sum("c").over(w))
-        band = band.join(below, [*by, "qi"], "left").fillna(0, ["below"])
+        lo, hi, x = F.col("lo"), F.col("hi"), F.col("_x")
+        flag = (F.when(lo.isNotNull() & (x < lo), F.lit(0))
+                 .when((lo.isNull() | (x >= lo)) & (hi.isNull() | (x <= hi)), F.lit(1)))
+        keyed = joined.select(*by, "qi", flag.alias("_f"), F.when(flag == 1, x).alias("_v")) \
+                      .where(F.col("_f").isNotNull())
+        band = keyed.groupBy(*by, "qi", "_f", "_v").agg(F.count("*").alias("c"))
+        w = Window.partitionBy(*by, "qi").orderBy("_f", "_v")
+        band = band.withColumn("cum", F.sum("c").over(w)).where(F.col("_f") == 1)
         band = band.join(brackets.select(*by, "qi", "r0", "r1", "h"), [*by, "qi"])
-        # order statistic k is the band value whose rank range [below+cum-c, below+cum) holds k
-        start = F.col("below") + F.col("cum") - F.col("c")
-        end = F.col("below") + F.col("cum")
+        start, end = F.col("cum") - F.col("c"), F.col("cum")
         hit0 = (end > F.col("r0")) & (start <= F.col("r0"))
         hit1 = (end > F.col("r1")) & (start <= F.col("r1"))
         return band.groupBy(*by, "qi").agg(
-            F.max(F.when(hit0, F.col("_x"))).alias("v0"),
-            F.max(F.when(hit1, F.col("_x"))).alias("v1"),
+            F.max(F.when(hit0, F.col("_v"))).alias("v0"),
+            F.max(F.when(hit1, F.col("_v"))).alias("v1"),
             F.first("h").alias("h"), F.first("r0").alias("r0"))
 
     got = locate(per_q)
@@ -112,6 +114,5 @@ def _banded(d: DataFrame, by: list[str], probs: list[float], names: list[str]) -
     retry = locate(missing.withColumn("lo", F.lit(None).cast("double")).withColumn("hi", F.lit(None).cast("double")))
     res = ok.unionByName(retry).withColumn(
         "val", F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("h") - F.col("r0")))
-    wide = res.groupBy(*by).agg(*[F.max(F.when(F.col("qi") == i, F.col("val"))).alias(n)
+    return res.groupBy(*by).agg(*[F.max(F.when(F.col("qi") == i, F.col("val"))).alias(n)
                                   for i, n in enumerate(names)])
-    return wide
