@@ -220,12 +220,12 @@ def split_assign(spark, sf):
 
 @q("split_balance")
 def split_balance(spark, sf):
-    return rnd(SP.split_balance(_emb_split(spark, sf), "y"), ["pct0", "pct1"])
+    return SP.split_balance(_emb_split(spark, sf), "y")
 
 
 @q("class_counts")
 def class_counts(spark, sf):
-    return rnd(SP.class_counts(FX.groups(spark, sf), "quality"), ["share"], 9)
+    return SP.class_counts(FX.groups(spark, sf), "quality")
 
 
 @q("stratified_kfold")
@@ -241,20 +241,20 @@ def kfold(spark, sf):
 
 @q("pos_weight")
 def pos_weight(spark, sf):
-    return rnd(SP.pos_weight(FX.scored_wide(spark, sf), "y"), ["pos_weight"], 9)
+    return SP.pos_weight(FX.scored_wide(spark, sf), "y")
 
 
 @q("balanced_weight")
 def balanced_weight(spark, sf):
     s = FX.scored_wide(spark, sf).select("id", "y")
-    return rnd(SP.balanced_weight(s, "y"), ["weight"], 9)
+    return SP.balanced_weight(s, "y")
 
 
 # ================================================================ 2.4 scalar functions
 @q("guarded_ratio")
 def guarded_ratio(spark, sf):
     s = FX.scalars(spark, sf)
-    return rnd(s.select("a", "b", S.guarded_ratio("a", "b").alias("ratio")), ["ratio"], 6)
+    return s.select("a", "b", S.guarded_ratio("a", "b").alias("ratio"))
 
 
 @q("sum_squares")
@@ -302,7 +302,7 @@ def per_path_labels(spark, sf):
     lab = s.select("model", F.when(F.col("pred") == 1, "NLOS").otherwise("LOS").alias("path1"),
                    F.lit("NLOS").alias("path2"))
     c = SP.class_counts(lab, "path1", ["model"])
-    return rnd(c.withColumn("path2", F.lit("NLOS")), ["share"], 9)
+    return c.withColumn("path2", F.lit("NLOS"))
 
 
 @q("wave_normalise")
@@ -418,7 +418,7 @@ def lookup_default_zero(spark, sf):
     top = RK.topk(imp, "Importance", 15)
     other = imp.where(F.col("Feature").startswith("CIR_")).select(
         "Feature", (F.col("Importance") * 2).alias("Importance"))
-    return rnd(RK.lookup_default_zero(top, other), ["Importance", "other"], 9)
+    return RK.lookup_default_zero(top, other)
 
 
 @q("attach_split")
@@ -514,17 +514,17 @@ def distinct_sorted(spark, sf):
 # ================================================================ 2.8 classification evaluation
 @q("confusion_matrix")
 def confusion_matrix(spark, sf):
-    return rnd(C.confusion_matrix(scored_pred(spark, sf), "model"), ["pct"], 6)
+    return C.confusion_matrix(scored_pred(spark, sf), "model")
 
 
 @q("binary_metrics")
 def binary_metrics(spark, sf):
-    return rnd(C.binary_metrics(scored_pred(spark, sf), "model"), ["accuracy", "precision", "recall", "f1"], 9)
+    return C.binary_metrics(scored_pred(spark, sf), "model")
 
 
 @q("classification_report")
 def classification_report(spark, sf):
-    return rnd(C.classification_report(scored_pred(spark, sf), "model"), ["precision", "recall", "f1"], 9)
+    return C.classification_report(scored_pred(spark, sf), "model")
 
 
 @q("roc_curve")
@@ -534,7 +534,7 @@ def roc_curve(spark, sf):
 
 @q("roc_auc")
 def roc_auc(spark, sf):
-    return rnd(C.roc_auc(FX.scored(spark, sf), "model"), ["auc"], 9)
+    return C.roc_auc(FX.scored(spark, sf), "model")
 
 
 @q("auc_trapezoid")
@@ -545,18 +545,17 @@ def auc_trapezoid(spark, sf):
 @q("multi_model_roc")
 def multi_model_roc(spark, sf):
     s = FX.scored(spark, sf)
-    return rnd(C.roc_curve(s, "model").join(C.roc_auc(s, "model"), "model"), ["auc"], 9)
+    return C.roc_curve(s, "model").join(C.roc_auc(s, "model"), "model")
 
 
 @q("threshold_tune")
 def threshold_tune(spark, sf):
-    return rnd(C.threshold_tune(FX.scored(spark, sf), "model"), ["threshold", "f1", "recall", "precision"], 9)
+    return C.threshold_tune(FX.scored(spark, sf), "model")
 
 
 @q("threshold_curve")
 def threshold_curve(spark, sf):
-    return rnd(C.threshold_curve(FX.scored(spark, sf), "model"),
-               ["threshold", "f1", "precision", "recall", "accuracy"], 9)
+    return C.threshold_curve(FX.scored(spark, sf), "model")
 
 
 @q("error_partition")
@@ -566,8 +565,7 @@ def error_partition(spark, sf):
 
 @q("error_confidence")
 def error_confidence(spark, sf):
-    return rnd(C.error_confidence(scored_pred(spark, sf), "model"),
-               ["pct_near", "pct_confident", "pct_band_near", "pct_band_outside"], 6)
+    return C.error_confidence(scored_pred(spark, sf), "model")
 
 
 @q("error_prob_stats")
@@ -600,30 +598,28 @@ def error_feature_effect(spark, sf):
 
 @q("error_rate_bins")
 def error_rate_bins(spark, sf):
-    return rnd(C.error_rate_bins(scored_pred(spark, sf), "model"), ["error_rate"], 9)
+    return C.error_rate_bins(scored_pred(spark, sf), "model")
 
 
 @q("model_comparison")
 def model_comparison(spark, sf):
-    return rnd(C.model_comparison(scored_pred(spark, sf)),
-               ["accuracy", "precision", "recall", "f1", "auc", "nlos_recall"], 9)
+    return C.model_comparison(scored_pred(spark, sf))
 
 
 @q("metrics_melt")
 def metrics_melt(spark, sf):
     m = C.model_comparison(scored_pred(spark, sf))
-    return rnd(C.metrics_melt(m, "model", ["accuracy", "precision", "recall", "f1", "auc"]), ["score"], 9)
+    return C.metrics_melt(m, "model", ["accuracy", "precision", "recall", "f1", "auc"])
 
 
 @q("best_model")
 def best_model(spark, sf):
-    return rnd(C.best_model(C.model_comparison(scored_pred(spark, sf))), ["value"], 9)
+    return C.best_model(C.model_comparison(scored_pred(spark, sf)))
 
 
 @q("metric_duel")
 def metric_duel(spark, sf):
-    return rnd(C.metric_duel(C.model_comparison(scored_pred(spark, sf)), "m1", "m2"),
-               ["score_a", "score_b", "diff"], 9)
+    return C.metric_duel(C.model_comparison(scored_pred(spark, sf)), "m1", "m2")
 
 
 # ================================================================ 2.9 regression evaluation
@@ -697,23 +693,23 @@ def rank_agreement(spark, sf):
 
 @q("normalise_to_one")
 def normalise_to_one(spark, sf):
-    return rnd(RK.normalise_to_one(FX.ranks(spark, sf).select("f", "a"), "a"), ["a"], 9)
+    return RK.normalise_to_one(FX.ranks(spark, sf).select("f", "a"), "a")
 
 
 @q("rank_enumerate")
 def rank_enumerate(spark, sf):
-    return rnd(RK.rank_enumerate(importance(spark, sf), "Importance"), ["Importance"], 9)
+    return RK.rank_enumerate(importance(spark, sf), "Importance")
 
 
 # ================================================================ 2.11 top-k
 @q("topk_importance")
 def topk_importance(spark, sf):
-    return rnd(RK.topk(importance(spark, sf), "Importance", 15), ["Importance"], 9)
+    return RK.topk(importance(spark, sf), "Importance", 15)
 
 
 @q("topk_abs")
 def topk_abs(spark, sf):
-    return rnd(RK.topk(coefs(spark, sf), "coef", 10, absolute=True), ["coef"], 9)
+    return RK.topk(coefs(spark, sf), "coef", 10, absolute=True)
 
 
 @q("topk_error_features")

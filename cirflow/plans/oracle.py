@@ -79,9 +79,17 @@ def with_(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
 
 
 def r(expr: str, digits: int = 6) -> str:
+    """Rounded, for values whose float sums depend on evaluation order."""
     return f"(round({expr}, {digits}) + 0.0)"
 
 
+def e(expr: str, digits: int = 0) -> str:
+    """Unrounded: exact in both engines (ratios of counts, single divisions).
+    Rounding those would be harmful -- the two engines round a double that
+    sits next to a decimal boundary differently."""
+    return f"({expr})"
+
+
 def group_split_ctes(src: str, group: str, val: float = 0.15, test: float = 0.15, seed: int = 42,
                      p: str = "gs") -> list[tuple[str, str]]:
     """(p) -> (g, split): sorted md5 shuffle of the distinct groups."""
@@ -192,22 +200,22 @@ SQL["sample_per_class"] = with_("wave_emb") + f"""SELECT id, y, seed FROM (
 SQL["group_split"] = with_("groups", extra=group_split_ctes("groups", "source")) + """SELECT doc_id, source, split
     FROM groups JOIN gs ON gs.g = groups.source"""
 SQL["split_assign"] = _EMB_SPLIT + "SELECT split, count(*) AS n FROM wave_emb JOIN gs ON gs.g = wave_emb.grp GROUP BY split"
-SQL["split_balance"] = _EMB_SPLIT + f"""SELECT split, n, n0, n1, {r('n0 * 100.0::DOUBLE / n')} AS pct0,
-    {r('n1 * 100.0::DOUBLE / n')} AS pct1 FROM (SELECT split, count(*) AS n, count(*) FILTER (y = 0) AS n0,
+SQL["split_balance"] = _EMB_SPLIT + f"""SELECT split, n, n0, n1, {e('n0 * 100.0::DOUBLE / n')} AS pct0,
+    {e('n1 * 100.0::DOUBLE / n')} AS pct1 FROM (SELECT split, count(*) AS n, count(*) FILTER (y = 0) AS n0,
     count(*) FILTER (y = 1) AS n1 FROM wave_emb JOIN gs ON gs.g = wave_emb.grp GROUP BY split)"""
-SQL["class_counts"] = with_("groups") + f"""SELECT quality, n, {r('n / sum(n) OVER ()', 9)} AS share FROM
+SQL["class_counts"] = with_("groups") + f"""SELECT quality, n, {e('n / sum(n) OVER ()', 9)} AS share FROM
     (SELECT quality, count(*) AS n FROM groups GROUP BY quality)"""
 SQL["stratified_kfold"] = with_("scored_wide") + f"""SELECT id, y, CAST((row_number() OVER (PARTITION BY y
     ORDER BY {md5int("'42'", "id")}, id) - 1) % 3 AS INTEGER) AS fold FROM scored_wide"""
 SQL["kfold"] = with_("scored_wide") + f"SELECT id, CAST({md5int(chr(39) + '42' + chr(39), 'id')} % 5 AS INTEGER) AS fold FROM scored_wide"
-SQL["pos_weight"] = with_("scored_wide") + f"""SELECT n0, n1, {r('n0 / greatest(n1, 1)', 9)} AS pos_weight FROM
+SQL["pos_weight"] = with_("scored_wide") + f"""SELECT n0, n1, {e('n0 / greatest(n1, 1)', 9)} AS pos_weight FROM
     (SELECT count(*) FILTER (y = 0) AS n0, count(*) FILTER (y = 1) AS n1 FROM scored_wide)"""
-SQL["balanced_weight"] = with_("scored_wide") + f"""SELECT id, s.y, {r('n / (k * nc)', 9)} AS weight FROM scored_wide s
+SQL["balanced_weight"] = with_("scored_wide") + f"""SELECT id, s.y, {e('n / (k * nc)', 9)} AS weight FROM scored_wide s
     JOIN (SELECT y, count(*) AS nc, sum(count(*)) OVER () AS n, count(*) OVER () AS k FROM scored_wide GROUP BY y) c
     ON c.y = s.y"""
 
 # ================================================================ 2.4 scalar functions
-SQL["guarded_ratio"] = with_("scalars") + f"SELECT a, b, {r('a / greatest(b, 1e-10::DOUBLE)')} AS ratio FROM scalars"
+SQL["guarded_ratio"] = with_("scalars") + f"SELECT a, b, {e('a / greatest(b, 1e-10::DOUBLE)')} AS ratio FROM scalars"
 SQL["sum_squares"] = with_("scalars") + "SELECT a, b, a * a + b * b + a * a AS ss FROM scalars"
 _SP_FLAT = with_("wave_flat", extra=second_peak_ctes("wave_flat", **FLAT))
 _SP_STRICT = with_("wave_flat", extra=second_peak_ctes("wave_flat", **FLAT_STRICT))
@@ -219,7 +227,7 @@ SQL["name_category"] = with_("importance") + """SELECT Feature, CASE WHEN starts
     WHEN starts_with(Feature, 'CIR') THEN 'CIR Waveform' ELSE 'Core Features' END AS Category FROM importance"""
 SQL["monotone_clip"] = with_("regress") + """SELECT count(*) FILTER (p2 < p1) AS n_violations,
     sum(greatest(p2, p1)) AS sum_p2_clipped FROM regress"""
-SQL["per_path_labels"] = with_("scored_pred") + f"""SELECT model, path1, n, {r('n / sum(n) OVER (PARTITION BY model)', 9)} AS share,
+SQL["per_path_labels"] = with_("scored_pred") + f"""SELECT model, path1, n, {e('n / sum(n) OVER (PARTITION BY model)', 9)} AS share,
     'NLOS' AS path2 FROM (SELECT model, CASE WHEN pred = 1 THEN 'NLOS' ELSE 'LOS' END AS path1, count(*) AS n
     FROM scored_pred GROUP BY ALL)"""
 SQL["wave_normalise"] = with_("wave_emb") + f"""SELECT id, {r('list_sum(list_transform(w, lambda x: x / greatest(CAST(grp + 1 AS DOUBLE), 1.0::DOUBLE)))')} AS s
@@ -267,8 +275,8 @@ SQL["wave_profile"] = with_("wave_emb") + f"""SELECT y, pos, {r('avg(x)')} AS me
 
 # ================================================================ 2.6 joins
 SQL["join_rankings"] = with_("ranks") + "SELECT a.f, a.a, b.b FROM ranks a JOIN ranks b ON b.f = a.f WHERE b.a > 10"
-SQL["lookup_default_zero"] = with_("importance") + f"""SELECT t.Feature, {r('t.Importance', 9)} AS Importance,
-    {r('coalesce(o.Importance * 2, 0.0)', 9)} AS other
+SQL["lookup_default_zero"] = with_("importance") + f"""SELECT t.Feature, {e('t.Importance', 9)} AS Importance,
+    {e('coalesce(o.Importance * 2, 0.0)', 9)} AS other
     FROM (SELECT * FROM importance ORDER BY Importance DESC, Feature LIMIT 15) t
     LEFT JOIN importance o ON o.Feature = t.Feature AND starts_with(o.Feature, 'CIR_')"""
 SQL["attach_split"] = with_("groups", extra=group_split_ctes("groups", "source")) + """SELECT l.doc_id, l.quality, gs.split
@@ -348,15 +356,15 @@ def sdiv(a: str, b: str) -> str:
 _MET = ("met", f"""SELECT *, {sdiv('tp + tn', 'tp + tn + fp + fn')} AS accuracy, {sdiv('tp', 'tp + fp')} AS precision,
     {sdiv('tp', 'tp + fn')} AS recall, {sdiv('2 * tp', '2 * tp + fp + fn')} AS f1 FROM cc""")
 SQL["confusion_matrix"] = with_("scored_pred", extra=[_CC]) + " UNION ALL ".join(
-    f"SELECT model, {yv} AS y, {pv} AS pred, {c} AS n, {r(sdiv(c + ' * 100.0', 'tn + fp + fn + tp'))} AS pct FROM cc"
+    f"SELECT model, {yv} AS y, {pv} AS pred, {c} AS n, {e(sdiv(c + ' * 100.0', 'tn + fp + fn + tp'))} AS pct FROM cc"
     for yv, pv, c in ((0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp")))
 SQL["binary_metrics"] = with_("scored_pred", extra=[_CC, _MET]) + f"""SELECT model, tn, fp, fn, tp,
-    {r('accuracy', 9)} AS accuracy, {r('precision', 9)} AS precision, {r('recall', 9)} AS recall, {r('f1', 9)} AS f1 FROM met"""
+    {e('accuracy', 9)} AS accuracy, {e('precision', 9)} AS precision, {e('recall', 9)} AS recall, {e('f1', 9)} AS f1 FROM met"""
 _REP = ("rep", f"""SELECT model, {sdiv('tp', 'tp + fp')} AS p1, {sdiv('tp', 'tp + fn')} AS r1, {sdiv('2 * tp', '2 * tp + fp + fn')} AS f1,
     {sdiv('tn', 'tn + fn')} AS p0, {sdiv('tn', 'tn + fp')} AS r0, {sdiv('2 * tn', '2 * tn + fn + fp')} AS f0,
     CAST(tp + fn AS DOUBLE) AS s1, CAST(tn + fp AS DOUBLE) AS s0, CAST(tp + tn AS DOUBLE) AS ok FROM cc""")
 SQL["classification_report"] = with_("scored_pred", extra=[_CC, _REP]) + " UNION ALL ".join(
-    f"SELECT model, '{lab}' AS label, {r(pr, 9)} AS precision, {r(rc, 9)} AS recall, {r(f, 9)} AS f1, CAST({s} AS BIGINT) AS support FROM rep"
+    f"SELECT model, '{lab}' AS label, {e(pr, 9)} AS precision, {e(rc, 9)} AS recall, {e(f, 9)} AS f1, CAST({s} AS BIGINT) AS support FROM rep"
     for lab, pr, rc, f, s in (
         ("0", "p0", "r0", "f0", "s0"), ("1", "p1", "r1", "f1", "s1"),
         ("accuracy", sdiv("ok", "s0 + s1"), sdiv("ok", "s0 + s1"), sdiv("ok", "s0 + s1"), "s0 + s1"),
@@ -373,7 +381,7 @@ _ROC = [
     ("roc", f"""SELECT model, p AS threshold, {sdiv('na + neg', 'tot_neg')} AS fpr, {sdiv('pa + pos', 'tot_pos')} AS tpr FROM rc
         WHERE rn = 1 OR npos IS NULL OR npos <> pos OR nneg <> neg
         UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE FROM scored"""),
-    ("auc", f"""SELECT model, {r('sum(neg * (pa + pos / 2.0::DOUBLE)) / (CAST(tot_pos AS DOUBLE) * CAST(tot_neg AS DOUBLE))', 9)} AS auc
+    ("auc", f"""SELECT model, {e('sum(neg * (pa + pos / 2.0::DOUBLE)) / (CAST(tot_pos AS DOUBLE) * CAST(tot_neg AS DOUBLE))', 9)} AS auc
         FROM rc GROUP BY model, tot_pos, tot_neg"""),
 ]
 SQL["roc_curve"] = with_("scored", extra=_ROC) + "SELECT * FROM roc"
@@ -397,13 +405,13 @@ def sweep_sql(th: str) -> list[tuple[str, str]]:
 _DELTA = (0.10 + 0.01) - 0.10
 SQL["threshold_tune"] = with_("scored", extra=sweep_sql(
     f"SELECT k, 0.1::DOUBLE + k * {_DELTA!r}::DOUBLE AS t FROM range(0, 81) r(k)")) + f"""SELECT model,
-    {r('t', 9)} AS threshold, {r('f1', 9)} AS f1, {r('recall', 9)} AS recall, {r('precision', 9)} AS precision FROM
+    {e('t', 9)} AS threshold, {e('f1', 9)} AS f1, {e('recall', 9)} AS recall, {e('precision', 9)} AS precision FROM
     (SELECT *, row_number() OVER (PARTITION BY model ORDER BY f1 DESC, recall DESC, k) AS rn FROM sm) WHERE rn = 1"""
 _STEP = (0.95 - 0.05) / 199
 SQL["threshold_curve"] = with_("scored", extra=sweep_sql(
     f"SELECT k, CASE WHEN k = 199 THEN 0.95::DOUBLE ELSE k * {_STEP!r}::DOUBLE + 0.05::DOUBLE END AS t FROM range(0, 200) r(k)")) + \
-    f"""SELECT model, CAST(k AS INTEGER) AS k, {r('t', 9)} AS threshold, {r('f1', 9)} AS f1, {r('precision', 9)} AS precision,
-    {r('recall', 9)} AS recall, {r('accuracy', 9)} AS accuracy,
+    f"""SELECT model, CAST(k AS INTEGER) AS k, {e('t', 9)} AS threshold, {e('f1', 9)} AS f1, {e('precision', 9)} AS precision,
+    {e('recall', 9)} AS recall, {e('accuracy', 9)} AS accuracy,
     row_number() OVER (PARTITION BY model ORDER BY f1 DESC, k) = 1 AS is_best_f1,
     row_number() OVER (PARTITION BY model ORDER BY abs(t - 0.5), k) = 1 AS is_near_half FROM sm"""
 SQL["error_partition"] = with_("scored_pred", extra=[_CC]) + """SELECT model, tn + fp + fn + tp AS n, tn + tp AS n_correct,
@@ -413,10 +421,10 @@ SQL["error_confidence"] = with_("scored_pred") + f""", e AS (SELECT model, count
     count(*) FILTER (y <> pred AND (p <= 0.2 OR p >= 0.8)) AS n_confident,
     count(*) FILTER (y <> pred AND p >= 0.3 AND p <= 0.7) AS n_band_near FROM scored_pred GROUP BY model)
 SELECT model, n_wrong, n_near, n_confident, n_band_near, n_wrong - n_band_near AS n_band_outside,
-  {r('n_near * 100.0::DOUBLE / greatest(n_wrong, 1)')} AS pct_near,
-  {r('n_confident * 100.0::DOUBLE / greatest(n_wrong, 1)')} AS pct_confident,
-  {r('n_band_near * 100.0::DOUBLE / greatest(n_wrong, 1)')} AS pct_band_near,
-  {r('(n_wrong - n_band_near) * 100.0::DOUBLE / greatest(n_wrong, 1)')} AS pct_band_outside FROM e"""
+  {e('n_near * 100.0::DOUBLE / greatest(n_wrong, 1)')} AS pct_near,
+  {e('n_confident * 100.0::DOUBLE / greatest(n_wrong, 1)')} AS pct_confident,
+  {e('n_band_near * 100.0::DOUBLE / greatest(n_wrong, 1)')} AS pct_band_near,
+  {e('(n_wrong - n_band_near) * 100.0::DOUBLE / greatest(n_wrong, 1)')} AS pct_band_outside FROM e"""
 SQL["error_prob_stats"] = with_("scored_pred") + f"""SELECT model, count(*) AS n_wrong, {r('avg(p)', 9)} AS mean,
     {r('stddev_pop(p)', 9)} AS std, {r('min(p)', 9)} AS min, {r('max(p)', 9)} AS max, {r('quantile_cont(p, 0.5)', 9)} AS median
     FROM scored_pred WHERE y <> pred GROUP BY model"""
@@ -442,25 +450,25 @@ SQL["error_feature_effect"] = _EF + shift_sql(True)
 SQL["topk_error_features"] = _EF + "SELECT * FROM (" + shift_sql(True) + ") ORDER BY effect DESC, feature LIMIT 2"
 SQL["error_rate_bins"] = with_("scored_pred") + f"""SELECT model, CAST(i AS INTEGER) AS bin,
     printf('%.1f-%.1f', i * 0.1::DOUBLE, CASE WHEN i = 9 THEN 1.0::DOUBLE ELSE (i + 1) * 0.1::DOUBLE END) AS label,
-    count(*) AS n, {r('count(*) FILTER (y <> pred) / count(*)', 9)} AS error_rate
+    count(*) AS n, {e('count(*) FILTER (y <> pred) / count(*)', 9)} AS error_rate
     FROM scored_pred, range(0, 10) b(i)
     WHERE p >= i * 0.1::DOUBLE AND p < CASE WHEN i = 9 THEN 1.0::DOUBLE ELSE (i + 1) * 0.1::DOUBLE END
     GROUP BY model, i"""
 _CMP = [_CC, _MET, *_ROC[:2], _ROC[3], ("cmp", """SELECT met.model, accuracy, precision, recall, f1, auc.auc, recall AS nlos_recall,
     fn, fp FROM met JOIN auc ON auc.model = met.model""")]
-SQL["model_comparison"] = with_("scored_pred", extra=_CMP) + f"""SELECT model, {r('accuracy', 9)} AS accuracy,
-    {r('precision', 9)} AS precision, {r('recall', 9)} AS recall, {r('f1', 9)} AS f1, {r('auc', 9)} AS auc,
-    {r('nlos_recall', 9)} AS nlos_recall, fn, fp FROM cmp"""
+SQL["model_comparison"] = with_("scored_pred", extra=_CMP) + f"""SELECT model, {e('accuracy', 9)} AS accuracy,
+    {e('precision', 9)} AS precision, {e('recall', 9)} AS recall, {e('f1', 9)} AS f1, {e('auc', 9)} AS auc,
+    {e('nlos_recall', 9)} AS nlos_recall, fn, fp FROM cmp"""
 SQL["metrics_melt"] = with_("scored_pred", extra=_CMP) + " UNION ALL ".join(
-    f"SELECT model, '{m}' AS metric, {r(m, 9)} AS score FROM cmp" for m in ("accuracy", "precision", "recall", "f1", "auc"))
+    f"SELECT model, '{m}' AS metric, {e(m, 9)} AS score FROM cmp" for m in ("accuracy", "precision", "recall", "f1", "auc"))
 SQL["best_model"] = with_("scored_pred", extra=_CMP) + f""", u AS ({" UNION ALL ".join(
     f"SELECT '{m}' AS metric, model, CAST({m} AS DOUBLE) AS value, {'-' if m == 'fn' else ''}CAST({m} AS DOUBLE) AS key FROM cmp"
     for m in ("f1", "auc", "nlos_recall", "fn"))})
-SELECT metric, model AS best_model, {r('value', 9)} AS value FROM
+SELECT metric, model AS best_model, {e('value', 9)} AS value FROM
     (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY key DESC, model) AS rn FROM u) WHERE rn = 1"""
 SQL["metric_duel"] = with_("scored_pred", extra=_CMP) + f""", u AS ({" UNION ALL ".join(
     f"SELECT '{m}' AS metric, model, {m} AS score FROM cmp" for m in ("accuracy", "precision", "recall", "f1", "auc"))})
-SELECT a.metric, {r('a.score', 9)} AS score_a, {r('b.score', 9)} AS score_b, {r('a.score - b.score', 9)} AS diff,
+SELECT a.metric, {e('a.score', 9)} AS score_a, {e('b.score', 9)} AS score_b, {e('a.score - b.score', 9)} AS diff,
     CASE WHEN abs(a.score - b.score) < 0.001 THEN '≈ equal' WHEN a.score - b.score > 0 THEN 'm1' ELSE 'm2' END AS winner
     FROM u a JOIN u b ON b.metric = a.metric WHERE a.model = 'm1' AND b.model = 'm2'"""
 
@@ -507,15 +515,15 @@ SQL["avg_rank"] = with_("ranks") + f"SELECT f, a, {_AVGR.format(s='a')} AS rank
 SQL["rank_agreement"] = with_("ranks") + f"""SELECT x.f, x.a, x.rank_a, z.b, z.rank_b, (x.rank_a + z.rank_b) / 2.0::DOUBLE AS avg_rank
     FROM (SELECT f, a, {_AVGR.format(s='a')} AS rank_a FROM ranks) x
     JOIN (SELECT f, b, {_AVGR.format(s='b')} AS rank_b FROM ranks) z ON z.f = x.f"""
-SQL["normalise_to_one"] = with_("ranks") + f"""SELECT f, {r('CASE WHEN sum(a) OVER () > 0 THEN a / sum(a) OVER () ELSE a END', 9)} AS a
+SQL["normalise_to_one"] = with_("ranks") + f"""SELECT f, {e('CASE WHEN sum(a) OVER () > 0 THEN a / sum(a) OVER () ELSE a END', 9)} AS a
     FROM ranks"""
-SQL["rank_enumerate"] = with_("importance") + f"""SELECT Feature, {r('Importance', 9)} AS Importance,
+SQL["rank_enumerate"] = with_("importance") + f"""SELECT Feature, {e('Importance', 9)} AS Importance,
     CAST(row_number() OVER (ORDER BY Importance DESC, Feature) AS INTEGER) AS rank FROM importance"""
 
 # ================================================================ 2.11 top-k
-SQL["topk_importance"] = with_("importance") + f"""SELECT Feature, {r('Importance', 9)} AS Importance FROM importance
+SQL["topk_importance"] = with_("importance") + f"""SELECT Feature, {e('Importance', 9)} AS Importance FROM importance
     ORDER BY Importance DESC, Feature LIMIT 15"""
-SQL["topk_abs"] = with_("coefs") + f"SELECT Feature, {r('coef', 9)} AS coef FROM coefs ORDER BY abs(coef) DESC, Feature LIMIT 10"
+SQL["topk_abs"] = with_("coefs") + f"SELECT Feature, {e('coef', 9)} AS coef FROM coefs ORDER BY abs(coef) DESC, Feature LIMIT 10"
 
 # ================================================================ 2.12 set operations
 SQL["union_parts"] = """SELECT c_custkey AS key, c_acctbal AS acctbal, 'customer' AS __source_file FROM customer
