@@ -47,6 +47,11 @@ class Config:
     impute_fit_on: str = "train"            # "all" reproduces the reference
     threshold: float = 0.5
     gbt: dict = field(default_factory=lambda: dict(max_iter=200, max_depth=6, step=0.1))
+    tune_trials: int = 0                     # > 0: random search with cross-validation
+    cv_folds: int = 3
+    tune_grid: dict = field(default_factory=lambda: {
+        "maxDepth": [3, 4, 5, 6, 8], "stepSize": [0.03, 0.05, 0.1, 0.2], "maxIter": [100, 200, 400],
+        "subsamplingRate": [0.6, 0.8, 1.0], "minInstancesPerNode": [1, 3, 5]})
     reg: dict = field(default_factory=lambda: dict(max_iter=1200, max_depth=8, step=0.015))
 
 
@@ -95,8 +100,16 @@ def pair_classification(spark: SparkSession, meas: DataFrame, cfg: Config | None
     train = SP.with_pos_weight(d.where(F.col("split") == "train"), "y")
     test = d.where(F.col("split") == "test")
     gbt = M.boosted_classifier(**cfg.gbt).setFeaturesCol("features").setLabelCol("y").setWeightCol("weight")
-    model = gbt.fit(train)
+    cv_f1 = None
+    if cfg.tune_trials:
+        # random search over a parameter grid, stratified folds, F1 of class 1
+        folds = SP.stratified_kfold(train, "y", "id", cfg.cv_folds, seed=cfg.seed + 1, out="cv_fold")
+        cv = M.random_search_cv(gbt, cfg.tune_grid, folds, cfg.tune_trials, "cv_fold", seed=cfg.seed)
+        model, cv_f1 = cv.bestModel, float(max(cv.avgMetrics))
+    else:
+        model = gbt.fit(train)
     scored = M.predict_proba(model, test, ["id", "y"], cfg.threshold).withColumn("model", F.lit("gbt"))
+    errors = scored.join(test.select("id", *PAIR_SCALARS), "id")
     names = M.feature_names(d, "features")
     imp = M.feature_importance(model, names, spark)
     from cirflow.operators.profile import category_importance
@@ -110,6 +123,10 @@ def pair_classification(spark: SparkSession, meas: DataFrame, cfg: Config | None
         "confidence": C.error_confidence(scored, "model"),
         "importance": imp,
         "categories": category_importance(imp, residual_core=True),
+        "threshold_curve": C.threshold_curve(scored, "model"),
+        "error_prob_stats": C.error_prob_stats(scored, "model"),
+        "error_features": C.error_feature_shift(errors, PAIR_SCALARS),
+        "cv_f1": cv_f1,
     }
 
 

@@ -30,7 +30,11 @@ def test_pair_flow_runs(spark):
     meas = FX.measurements(spark, SF001)
     cfg = FL.Config(focus_start=0, focus_len=64, align_pre=8, align_post=24, gap=3,
                     gbt=dict(max_iter=5, max_depth=3))
+    cfg.tune_trials, cfg.tune_grid = 2, {"maxDepth": [2, 3], "maxIter": [3, 5]}
     out = FL.pair_classification(spark, meas, cfg)
+    assert out["cv_f1"] is not None and 0.0 <= out["cv_f1"] <= 1.0
+    assert out["threshold_curve"].count() == 200
+    assert {r["feature"] for r in out["error_features"].collect()} <= set(FL.PAIR_SCALARS)
     m = out["metrics"].first()
     assert 0.0 <= m["accuracy"] <= 1.0
     assert out["confusion"].agg(F.sum("n")).first()[0] == out["scored"].count()
