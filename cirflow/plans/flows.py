@@ -53,6 +53,7 @@ class Config:
         "maxDepth": [3, 4, 5, 6, 8], "stepSize": [0.03, 0.05, 0.1, 0.2], "maxIter": [100, 200, 400],
         "subsamplingRate": [0.6, 0.8, 1.0], "minInstancesPerNode": [1, 3, 5]})
     reg: dict = field(default_factory=lambda: dict(max_iter=1200, max_depth=8, step=0.015))
+    reg_cv: bool = False                     # k-fold CV of both regressors on the train split
 
 
 def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -183,8 +184,18 @@ def range_estimation(spark: SparkSession, meas: DataFrame, cfg: Config | None =
                    cfg.align_pre + cfg.align_post)
     train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
     preds = test.select("id", F.col("RANGE").alias("y1"), F.col("RANGE_PATH2_EST").alias("y2"), "features")
+    names = M.feature_names(d, "features")
+    importances, cv = {}, None
     for target, out in (("RANGE", "p1"), ("RANGE_PATH2_EST", "p2")):
-        m = M.boosted_regressor(**cfg.reg).setFeaturesCol("features").setLabelCol(target).fit(train)
+        est = M.boosted_regressor(**cfg.reg)
+        if cfg.cv_folds and cfg.reg_cv:
+            folds = SP.kfold(train, "id", cfg.cv_folds, seed=cfg.seed + 2, out="cv_fold")
+            oof = M.kfold_predictions(folds, "cv_fold", cfg.cv_folds,
+                                      M.estimator_fit_predict(M.boosted_regressor(**cfg.reg), "features", target))
+            s_ = RG.fold_summary(RG.fold_metrics(oof, "y", "p", "fold")).withColumn("path", F.lit(out))
+            cv = s_ if cv is None else cv.unionByName(s_)
+        m = est.setFeaturesCol("features").setLabelCol(target).fit(train)
+        importances[out] = M.feature_importance(m, names, spark)
         preds = m.transform(preds).withColumnRenamed("prediction", out)
     preds = preds.select("id", "y1", "p1", "y2", "p2")
     long = (preds.select("id", F.lit("path1").alias("path"), F.col("y1").alias("y"), F.col("p1").alias("p"))
@@ -192,4 +203,5 @@ def range_estimation(spark: SparkSession, meas: DataFrame, cfg: Config | None =
                                       F.greatest("p2", "p1").alias("p"))))
     return {"predictions": preds, "metrics": RG.regression_metrics(long, "y", "p", "path"),
             "clipped": RG.clipped_metrics(preds, "y2", "p1", "p2"),
-            "residuals": RG.residual_stats(long, "y", "p", "path")}
+            "residuals": RG.residual_stats(long, "y", "p", "path"),
+            "importance_p1": importances["p1"], "importance_p2": importances["p2"], "cv": cv}

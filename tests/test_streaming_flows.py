@@ -58,8 +58,9 @@ def test_class_profile_stream(spark):
 def test_range_flow_runs(spark):
     meas = FX.measurements(spark, SF001)
     cfg = FL.Config(focus_start=0, focus_len=64, align_pre=8, align_post=24, gap=3,
-                    reg=dict(max_iter=5, max_depth=3, step=0.1))
+                    reg=dict(max_iter=5, max_depth=3, step=0.1), reg_cv=True)
     out = FL.range_estimation(spark, meas, cfg)
+    assert out["cv"].count() == 2 and out["importance_p1"].count() == len(FL.REG_SCALARS) + 32
     m = {r["path"]: r for r in out["metrics"].collect()}
     assert set(m) == {"path1", "path2"} and all(r["rmse"] >= 0 for r in m.values())
     c = out["clipped"].first()
