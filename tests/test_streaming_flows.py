@@ -94,3 +94,16 @@ def test_single_path_flow_runs(spark):
     out = FL.single_path_models(spark, meas, cfg)
     models = {r["model"] for r in out["comparison"].collect()}
     assert models == {"random_forest", "logistic", "boosted", "svm_platt"}
+
+
+def test_stream_to_table_available_now(spark):
+    from cirflow.session import scratch_path
+    meas = FX.measurements(spark, SF001)
+    src = scratch_path(spark, "stream-src")
+    meas.write.parquet(src)
+    feats = ST.feature_stream(ST.read_measurements(spark, src, meas.schema), start=0, length=64,
+                              pre=8, post=24, gap=3).select("id", "PEAK2_IDX", "CIR_energy")
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    q = ST.start_to_table(feats, out, ckpt, trigger_once=True)
+    q.awaitTermination(300)
+    assert spark.read.parquet(out).count() == meas.count()
