@@ -40,29 +40,32 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     by: Sequence[str] = (), names: Sequence[str] | None = None,
                     force_banded: bool = False) -> DataFrame:
     """(by..., <name per prob>) exact linearly interpolated quantiles of
-    ``value`` (NULLs ignored). Two passes over the input in every case."""
+    ``value`` (NULLs ignored). Two passes over the input for small groups
+    (size check, exact percentile); three for large ones (size check,
+    brackets, one merged locate aggregation)."""
     by = list(by)
     names = list(names) if names else [_qname(q) for q in probs]
     probs = [float(q) for q in probs]
     d = df.select(*by, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    from cirflow.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(d.sparkSession)
-    # pass 1: group sizes and approximate brackets around every wanted rank;
-    # pinned (reliable checkpoint in the shared folder) so that a recomputation
-    # after executor loss cannot hand later stages different brackets
+    # pass 1: group sizes and approximate brackets around every wanted rank
     margin_probs = []
     for q in probs:
         margin_probs += [max(q - 2.0 / APPROX_ACCURACY, 0.0), min(q + 2.0 / APPROX_ACCURACY, 1.0)]
     stats = d.groupBy(*by).agg(
         F.count("*").alias("_n"),
         F.percentile_approx("_x", F.array(*[F.lit(p) for p in margin_probs]), APPROX_ACCURACY).alias("_b"))
-    stats = stats.checkpoint(eager=True)
-    biggest = stats.agg(F.max("_n")).first()[0]
-    if not force_banded and (biggest is None or biggest <= SMALL_GROUP_ROWS):
-        # pass 2: every group is small -- Spark's exact percentile
-        out = d.groupBy(*by).agg(F.percentile("_x", F.array(*[F.lit(q) for q in probs])).alias("_q"))
-        return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    return _banded(d, by, probs, names, stats)
+    if not force_banded:
+        # only the counts are needed here: the sketch aggregate is pruned away
+        biggest = stats.agg(F.max("_n")).first()[0]
+        if biggest is None or biggest <= SMALL_GROUP_ROWS:
+            # pass 2: every group is small -- Spark's exact percentile
+            out = d.groupBy(*by).agg(F.percentile("_x", F.array(*[F.lit(q) for q in probs])).alias("_q"))
+            return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    # brackets are pinned (reliable checkpoint in the shared folder) so that a
+    # recomputation after executor loss cannot hand later stages different ones
+    from cirflow.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(d.sparkSession)
+    return _banded(d, by, probs, names, stats.checkpoint(eager=True))
 
 
 def _banded(d: DataFrame, by: list[str], probs: list[float], names: list[str], stats: DataFrame) -> DataFrame:
