@@ -140,15 +140,20 @@ def _links(ids: list[int], own: list[int], texts: list[str | None], size: int) -
         both = len(np.intersect1d(a, b, assume_unique=True)) if 100 * min(len(a), len(b)) >= PERCENT * max(len(a), len(b), 1) else 0
         return [(ids[0], ids[1])] if both and 100 * both >= PERCENT * (len(a) + len(b) - both) else []
     m = linked(sets)
-    if len(set(own)) > 1:                                    # two blocks: each one's own pairs have their own task
-        o = np.array(own)
-        m &= o[:, None] != o[None, :]
-    label = forest(m)
-    return [(ids[i], ids[j]) for i, j in enumerate(label.tolist()) if i != j]
+    if len(set(own)) == 1:
+        return [(ids[i], ids[j]) for i, j in enumerate(forest(m).tolist()) if i != j]
+    # two blocks: what each connects within itself its own task returns; here one edge for what they add
+    o = np.array(own)
+    inside = forest(m & (o[:, None] == o[None, :]))
+    parts, at = np.unique(inside, return_inverse=True)
+    joined = np.zeros((len(parts), len(parts)), bool)
+    r, c = np.nonzero(m & (o[:, None] != o[None, :]))
+    joined[at[r], at[c]] = True
+    return [(ids[parts[i]], ids[parts[j]]) for i, j in enumerate(forest(joined).tolist()) if i != j]
 
 
 def links(df: DataFrame, members: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2) -> DataFrame:
-    """(a, b): verified links that connect what each pair of blocks connects."""
+    """(a, b): edges that connect what the verified links of each pair of blocks connect."""
     rows = (members.join(df.select(F.col(key).alias("rep"), F.col(text).alias("text")), "rep")
             .select("region", "i", "j", "own", "rep", "text").repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "rep"))
 
