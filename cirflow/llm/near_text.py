@@ -4,10 +4,12 @@ Each distinct shingle set gets ``TREES * DEPTH`` min-hashes. Tree t orders the
 sets by the signature from its own place on (and round); sets that share the
 first ``DEPTH`` values of an order are neighbours there and form a region.
 Regions adapt their depth: one with more than ``LARGE`` members is cut by two
-more values of its order. All members of a region are compared on their full
-sets, in blocks of at most ``BLOCK``, each pair of blocks a task of its own; a
-comparison returns a spanning forest of its links, never all pairs. Regions
-with the same members count once. Links make components.
+more values of its order. Members are compared on their full sets in hash blocks of
+about ``BLOCK``; a comparison returns a spanning forest of its links, never all
+pairs. Regions with the same members count once. Links make components. In
+regions of several blocks the members outside the largest component are then
+compared across blocks, with one another and with that component, so that no
+link between components is lost and none inside one is looked for again.
 
 A pair at similarity 0.8 shares a region of one of 24 orders with probability
 1 - (1 - 0.8^4)^24 = 0.999997; at 0.9 all but surely.
@@ -32,6 +34,8 @@ from .components import components
 
 TREES, DEPTH, DEEPER = 24, 4, 2
 LARGE, BLOCK = 4096, 256
+#: Rows of four numbers (about 3 MB) that may be broadcast.
+BROADCAST_ROWS = 100_000
 #: Linked: 100 * intersection >= PERCENT * union.
 PERCENT = 80
 _RNG = np.random.default_rng(11)
@@ -68,7 +72,7 @@ def features(df: DataFrame, key: str = "doc_id", text: str = "text", size: int =
 
 
 def regions(reps: DataFrame) -> DataFrame:
-    """(region, rep, i, j): the members of each region, once for each pair of blocks they are in."""
+    """(region, rep, size): the members of each region."""
     at = F.posexplode(F.array([F.xxhash64(F.lit(t), F.slice("sig", t * DEPTH + 1, DEPTH)) for t in range(TREES)]))
     keys = reps.select("rep", "n", at.alias("tree", "region"))
 
@@ -88,11 +92,31 @@ def regions(reps: DataFrame) -> DataFrame:
             .select("rep", "n", F.xxhash64("region", F.expr(f"slice(sig, (tree + 1) * {DEPTH} + 1, {DEEPER})")).alias("region")))
     deep = stored(deep, "regions")
     members = members.unionAll(deep.join(sizes(deep).select("region", "size"), "region").select("region", "rep", "size"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("region", "rep"), F.col("blocks")).cast("int")
-    return (members.withColumn("blocks", blocks).withColumn("own", own)
-            .select("region", "rep", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-            .select("region", "rep", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+    return members
+
+
+def within_blocks(members: DataFrame) -> DataFrame:
+    """(region, rep, own, i, j): each member once, in a hash block of its region."""
+    own = F.pmod(F.xxhash64("region", "rep"), F.ceil(F.col("size") / BLOCK)).cast("int")
+    return members.select("region", "rep", own.alias("own"), own.alias("i"), own.alias("j"))
+
+
+def across_blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """The comparisons that are left in regions of several blocks: members outside
+    a region's largest component with one another and with that component. What
+    is connected already is not compared again."""
+    rows = (members.where(F.col("size") > BLOCK).select("region", "rep").join(classes, F.col("rep") == F.col("node"), "left")
+            .select("region", "rep", F.coalesce("component", "rep").alias("component")))
+    rows = stored(rows, "near-left")
+    parts = rows.groupBy("region", "component").agg(F.count("*").alias("n"))
+    most = parts.groupBy("region").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all")).where("all > top.n")
+    most = stored(most.select("region", F.col("top.component").alias("main"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("others"),
+                              F.ceil(F.col("top.n") / BLOCK).cast("int").alias("mains")), "near-left")
+    rows = rows.join(most, "region").withColumn("other", F.col("component") != F.col("main"))
+    mark = F.xxhash64("region", "rep")
+    rows = rows.withColumn("own", F.when(F.col("other"), F.pmod(mark, "others")).otherwise(F.col("others") + F.pmod(mark, "mains")).cast("int"))
+    to = F.explode(F.sequence(F.lit(0), F.when(F.col("other"), F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1))
+    return stored(rows.select("region", "rep", "own", to.alias("to")).select("region", "rep", "own", F.least("own", "to").alias("i"), F.greatest("own", "to").alias("j")), "near-left")
 
 
 def linked(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
@@ -153,7 +177,7 @@ def _links(ids: list[int], own: list[int], texts: list[str | None], size: int) -
 
 
 def links(df: DataFrame, members: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2) -> DataFrame:
-    """(a, b): edges that connect what the verified links of each pair of blocks connect."""
+    """(a, b): edges that connect what the verified links of each block, or pair of blocks, connect."""
     rows = (members.join(df.select(F.col(key).alias("rep"), F.col(text).alias("text")), "rep")
             .select("region", "i", "j", "own", "rep", "text").repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "rep"))
 
@@ -192,8 +216,15 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     same = stored(found.where("digest is not null and k is not null").groupBy("digest").agg(F.min("k").alias("rep")), "near-same")
     reps = found.join(same, "digest").where("k = rep").select(F.col("rep").cast("long").alias("rep"), "n", "sig")
     reps = stored(reps, "near-reps")
-    edges = links(df, regions(reps), key, text, size)
+    members = stored(regions(reps), "near-members")
+    edges = stored(links(df, within_blocks(members), key, text, size), "near-links")
     classes = stored(components(edges), "near-classes")
+    left = across_blocks(members, classes)
+    count = left.count()
+    if count:
+        # few rows are broadcast, more are joined like the others
+        more = links(df, F.broadcast(left) if count <= BROADCAST_ROWS else left, key, text, size)
+        classes = stored(components(more.unionAll(classes.select(F.col("node").alias("a"), F.col("component").alias("b")))), "near-classes")
     ids = found.join(same, "digest", "left").select("k", "n", "rep")
     return (ids.join(classes, F.col("rep") == F.col("node"), "left")
             .select(F.col("k").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "k").alias("component_id"))
