@@ -32,7 +32,7 @@ WORD = regex.compile(
     r"| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Words that a worker remembers before it starts anew; bounds memory only.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 #: Shared between the tasks of one Python worker.
 _LOADED: dict[str, "Vocabulary"] = {}
 
