@@ -287,7 +287,7 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
             model = learn(data, np.cumsum([0, *map(len, texts)]), t.column("y").to_numpy().astype(float))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
-    out = rows.coalesce(1).mapInArrow(run, "model binary").collect()
+    out = rows.repartition(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(bytes(out[0]["model"])) if out else None
 
 
