@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import column, share, text_chunks
 
@@ -32,7 +33,7 @@ WORD = regex.compile(
     r"| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Words that a worker remembers before it starts anew; bounds memory only.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 #: Shared between the tasks of one Python worker.
 _LOADED: dict[str, "Vocabulary"] = {}
 
@@ -183,10 +184,8 @@ def load_vocabulary(spark, path: str):
         return share(spark, f.read())
 
 
-def encode(df: DataFrame, vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids, n_merged): ids are little-endian unsigned 32-bit integers, one
-    after the other; n_merged counts the words that needed exact merging."""
-    kind = df.schema[key].dataType
+def _encode_batches(vocabulary, key: str):
+    """A function from batches (k, text) to batches (key, ids, n_merged)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = _vocabulary(vocabulary)
@@ -210,22 +209,40 @@ def encode(df: DataFrame, vocabulary, key: str = "doc_id", text: str = "text") -
                      pa.array([sum(map(merged.__contains__, d)) if merged else 0 for d in docs], pa.int64())],
                     names=[key, "ids", "n_merged"])
 
-    return df.select(F.col(key).alias("k"), F.col(text).alias("text")).mapInArrow(
-        run, f"`{key}` {kind.simpleString()}, ids binary, n_merged bigint")
+    return run
 
 
-def decode(df: DataFrame, vocabulary, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """Add the text of packed ids; bytes that are no UTF-8 become U+FFFD. Null ids give null."""
-    from pyspark.sql.types import StringType, StructField, StructType
-
-    schema = StructType([*df.schema.fields, StructField(out, StringType())])
+def _decode_batches(vocabulary, ids: str, out: str):
+    """A function from batches to the same batches with the text of their ids."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = _vocabulary(vocabulary)
-        get = v.bytes.__getitem__
+        get = _vocabulary(vocabulary).bytes.__getitem__
         for batch in batches:
             texts = [None if x is None else b"".join(map(get, np.frombuffer(x, "<u4").tolist())).decode("utf-8", "replace")
                      for x in column(batch, ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
 
-    return df.mapInArrow(run, schema)
+    return run
+
+
+def _rows(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
+    return df.select(F.col(key).alias("k"), F.col(text).alias("text")), f"`{key}` {df.schema[key].dataType.simpleString()}, ids binary, n_merged bigint"
+
+
+def encode(df: DataFrame, vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, ids, n_merged): ids are little-endian unsigned 32-bit integers, one
+    after the other; n_merged counts the words that needed exact merging."""
+    rows, schema = _rows(df, key, text)
+    return rows.mapInArrow(_encode_batches(vocabulary, key), schema)
+
+
+def decode(df: DataFrame, vocabulary, ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """Add the text of packed ids; bytes that are no UTF-8 become U+FFFD. Null ids give null."""
+    return df.mapInArrow(_decode_batches(vocabulary, ids, out), StructType([*df.schema.fields, StructField(out, StringType())]))
+
+
+def encode_decode(df: DataFrame, vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``decode`` of ``encode`` in the same worker: (key, ids, n_merged, decoded)."""
+    rows, schema = _rows(df, key, text)
+    first, then = _encode_batches(vocabulary, key), _decode_batches(vocabulary, "ids", "decoded")
+    return rows.mapInArrow(lambda batches: then(first(batches)), f"{schema}, decoded string")

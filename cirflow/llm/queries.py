@@ -74,8 +74,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = _vocabulary(spark)
-    tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    tokens = bpe.encode_decode(table(spark, sf_dir, "documents"), _vocabulary(spark))
     return tokens.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                          F.sha2("decoded", 256).alias("decoded_sha256"), "n_merged")
 

@@ -40,8 +40,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_merged, decoded, n_tokens) of each row."""
-    vocabulary = _vocabulary(spark)
-    out = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    out = bpe.encode_decode(docs, _vocabulary(spark))
     return out.withColumn("n_tokens", (F.length("ids") / 4).cast("long"))
 
 
