@@ -70,7 +70,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, portion: flo
 
 def balance(cells: DataFrame, sources: DataFrame, most: float = MOST) -> DataFrame:
     """(sid, lam): the dual solution of each source. ``cells`` has (sid, size, n, z), z the scaled size."""
-    lam = sources.select("sid", "target", F.log(F.col("target") / F.col("source_size")).alias("lam"), F.lit(-1e5).alias("lo"), F.lit(1e5).alias("hi"))
+    lam = sources.select("sid", "target", F.log(F.try_divide("target", "source_size")).alias("lam"), F.lit(-1e5).alias("lo"), F.lit(1e5).alias("hi"))
     lam = stored(lam.where("source_size > 0"), "balance")
     grow = F.exp(F.least(F.col("lam") * F.col("z"), F.lit(50.0)))
     for _ in range(STEPS):
@@ -102,7 +102,7 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
                                                    F.sum(F.col("n") * F.col("size") * F.col("size").cast("double")).alias("squares")), weights, portion, most)
     sources = stored(sources, "mix-sources")
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    cells = counts.join(sources, same(counts, sources)).select("sid", "size", "n", "target", "source_size", (F.col("size") * F.col("source_size") / F.col("squares")).alias("z"))
+    cells = counts.join(sources, same(counts, sources)).select("sid", "size", "n", "target", "source_size", F.try_divide(F.col("size") * F.col("source_size").cast("double"), F.col("squares")).alias("z"))
     cells = stored(cells, "mix-cells")
     # full sources take every document to the most; the others are balanced
     open_ = F.col("target") < most * F.col("source_size") * (1 - 1e-12)

@@ -164,7 +164,7 @@ class WarcReader(DataSourceReader):
                 held = 0
             out[-1].names.append(name)
             held += size
-        return out
+        return out or [Files([])]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         store, _ = filesystem(self.path)
