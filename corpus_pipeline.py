@@ -21,8 +21,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest id; one row an id."""
     gone = stored(near_text.near_duplicates(docs).where("not kept").select("doc_id").distinct(), "near-gone")
-    left = docs.join(gone, "doc_id", "left_anti")
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null")).select(*docs.columns)
+    left = docs.join(_named(gone), "doc_id", "left_anti")
+    # ids of several rows, from the ids alone; the texts of all other rows need no shuffle
+    twice = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-twice")
+    if twice.isEmpty():
+        return left.select(*docs.columns)
+    once = left.join(_named(twice), "doc_id", "left_anti")
+    return once.unionByName(left.join(_named(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+
+
+def _named(ids: DataFrame) -> DataFrame:
+    """A stored table of ids for a join: broadcast while it is small (its rows are counted), else joined by shuffle."""
+    return F.broadcast(ids) if ids.count() <= near_text.BROADCAST_ROWS else ids
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
