@@ -21,8 +21,8 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def guarded_ratio(a: ColumnOrName, b: ColumnOrName, floor: float = RATIO_FLOOR) -> Column:
-    """a / max(b, floor): never divides by zero (ANSI mode raises on /0)."""
-    return _c(a) / F.greatest(_c(b), F.lit(floor))
+    """a / max(b, floor): never divides by zero (ANSI mode raises on /0); a NULL b gives NULL."""
+    return _c(a) / F.when(_c(b).isNotNull(), F.greatest(_c(b), F.lit(floor)))
 
 
 def sum_squares(*cols: ColumnOrName) -> Column:
@@ -60,8 +60,8 @@ def name_category(name: ColumnOrName, prefixes=CATEGORY_PREFIXES,
 
 
 def monotone_clip(p1: ColumnOrName, p2: ColumnOrName) -> Column:
-    """p2 := max(p2, p1) (path 2 is never shorter than path 1)."""
-    return F.greatest(_c(p2), _c(p1))
+    """p2 := max(p2, p1) (path 2 is never shorter than path 1); NULL if either is."""
+    return F.when(_c(p1).isNotNull() & _c(p2).isNotNull(), F.greatest(_c(p2), _c(p1)))
 
 
 def threshold_predict(p: ColumnOrName, t: float | Column = 0.5) -> Column:

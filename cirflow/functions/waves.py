@@ -75,8 +75,8 @@ def wave_align(w: ColumnOrName, fp: ColumnOrName, pre: int = ALIGN_PRE,
 
 
 def wave_normalise(w: ColumnOrName, rxpacc: ColumnOrName) -> Column:
-    """Amplitudes divided by the accumulated preamble count (guarded at 1)."""
-    return let(F.greatest(_c(rxpacc).cast("double"), F.lit(1.0)),
+    """Amplitudes divided by the accumulated preamble count (guarded at 1; NULL gives NULLs)."""
+    return let(F.when(_c(rxpacc).isNotNull(), F.greatest(_c(rxpacc).cast("double"), F.lit(1.0))),
                lambda d: F.transform(_c(w), lambda x: x / d))
 
 

@@ -108,7 +108,10 @@ def rank_within(df: DataFrame, part: Sequence[str], key: str, seed: int = SEED,
     counts = d.groupBy(*part, "_b").agg(F.count("*").alias("_c"))
     wo = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_c").over(wo), F.lit(0))).drop("_c")
-    d = d.join(offsets, [*part, "_b"])   # same keys as the window below: one exchange
+    # same keys as the window below: one exchange; NULL groups are groups
+    offsets = offsets.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate([*part, "_b"])], "_off")
+    same = [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate([*part, "_b"])]
+    d = d.join(offsets, same).drop(*[f"_o{i}" for i in range(len(part) + 1)])
     w = Window.partitionBy(*part, "_b").orderBy("_h", key)
     return d.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")).drop("_h", "_b", "_off")
 

@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cirflow.functions.scalars import monotone_clip
 from cirflow.functions import waves as W
 from cirflow.operators import classify as C
 from cirflow.operators import features as FE
@@ -80,9 +81,10 @@ def _vectorise(df: DataFrame, scalars: list[str], size: int, aligned: str = "cir
     from pyspark.ml.feature import VectorSizeHint
     from pyspark.ml.functions import array_to_vector
     d = df.fillna(0.0, ["CIR_kurtosis", "CIR_skewness"])       # constant windows: NULL -> 0
-    d = d.withColumn("_aligned", array_to_vector(aligned))
-    d = VectorSizeHint(inputCol="_aligned", size=size, handleInvalid="error").transform(d)
-    return M.assemble(d, scalars + ["_aligned"], "features")
+    # its features are then CIR_aligned_0, ...: the waveform category
+    d = d.withColumn("CIR_aligned", array_to_vector(aligned))
+    d = VectorSizeHint(inputCol="CIR_aligned", size=size, handleInvalid="error").transform(d)
+    return M.assemble(d, scalars + ["CIR_aligned"], "features")
 
 
 def prepare_pair(spark: SparkSession, meas: DataFrame, cfg: Config) -> DataFrame:
@@ -200,7 +202,7 @@ def range_estimation(spark: SparkSession, meas: DataFrame, cfg: Config | None =
     preds = preds.select("id", "y1", "p1", "y2", "p2")
     long = (preds.select("id", F.lit("path1").alias("path"), F.col("y1").alias("y"), F.col("p1").alias("p"))
             .unionByName(preds.select("id", F.lit("path2").alias("path"), F.col("y2").alias("y"),
-                                      F.greatest("p2", "p1").alias("p"))))
+                                      monotone_clip("p1", "p2").alias("p"))))
     return {"predictions": preds, "metrics": RG.regression_metrics(long, "y", "p", "path"),
             "clipped": RG.clipped_metrics(preds, "y2", "p1", "p2"),
             "residuals": RG.residual_stats(long, "y", "p", "path"),

@@ -9,7 +9,7 @@ algorithm independent of the array-lambda one it checks.
 
 from __future__ import annotations
 
-from cirflow.functions.scalars import METERS_PER_SAMPLE
+METERS_PER_SAMPLE = 3e8 * 1.0016 * 1e-9 / 2   # stated here, not imported from the code under test
 
 SQL: dict[str, str] = {}
 
@@ -25,9 +25,11 @@ FIX = {
         label AS grp, list_transform(embedding, lambda x: floor(abs(CAST(x AS DOUBLE)) * 10000.0{D})) AS w
         FROM embeddings""",
     "wave_user": f"""SELECT min(event_id) AS id, CAST(user_id % 2 AS INTEGER) AS y, CAST(user_id % 40 AS INTEGER) AS fp,
-        list(floor(value * 100.0{D}) ORDER BY ts, value) AS w FROM events GROUP BY user_id, event_id >> 16""",
+        list(floor(value * 100.0{D}) ORDER BY ts, event_id) AS w FROM
+        (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS rn FROM events) GROUP BY user_id, rn // 1016""",
     "wave_flat": f"""SELECT min(event_id) AS id, CAST(user_id % 2 AS INTEGER) AS y, CAST(user_id % 40 AS INTEGER) AS fp,
-        list(floor(value / 10.0{D}) ORDER BY ts, value) AS w FROM events GROUP BY user_id, event_id >> 16""",
+        list(floor(value / 10.0{D}) ORDER BY ts, event_id) AS w FROM
+        (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS rn FROM events) GROUP BY user_id, rn // 1016""",
     "scored_wide": f"""SELECT event_id AS id, CAST(event_type IN ('purchase', 'signup') AS INTEGER) AS y,
         least(value, 100.0{D}) / 100.0{D} AS m1, CAST((event_id * 7919) % 1000 AS DOUBLE) / 1000.0{D} AS m2,
         CAST(user_id % 21 AS DOUBLE) / 20.0{D} AS m3 FROM events""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -31,21 +32,42 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) create a
-    private one."""
+    ``spark.checkpoint.dir``; only when it is unset in local mode (tests)
+    create a private one. On a cluster a missing setting is an error."""
     d = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not d:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cirflow-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once a session, so that they can
+    import it wherever they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cirflow_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="cirflow-")), "cirflow-src.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._cirflow_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)

@@ -6,8 +6,8 @@ with its source table; none is a fixed sample.
 
 * ``wave_emb``  embeddings as fixed-length 64-sample waves
 * ``wave_user`` event values per user as variable-length waves; each user's
-  sequence is cut at ``event_id`` block boundaries so no wave (and no
-  aggregation group) can exceed ``WAVE_SEGMENT`` samples, however hot a user
+  sequence in time is cut after every ``WAVE_SAMPLES`` samples, so a wave
+  depends on that user's events alone and no aggregation group is unbounded
 * ``wave_flat`` as ``wave_user`` with coarse values (plateaus, ties)
 * ``scored``    three score columns over events, unpivoted (model, id, y, p)
 * ``regress``   two regression targets and predictions over lineitem
@@ -21,12 +21,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Maximum samples per user wave: waves are cut at event_id // WAVE_SEGMENT.
-WAVE_SEGMENT_BITS = 16
-WAVE_SEGMENT = 1 << WAVE_SEGMENT_BITS
+# Samples per user wave (fixed value: the reference's waveform length).
+WAVE_SAMPLES = 1016
 SEED = 42
 
 
@@ -55,10 +54,24 @@ def wave_emb(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _user_waves(spark: SparkSession, sf_dir: str, quantise) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
-    g = (ev.groupBy("user_id", F.shiftright("event_id", WAVE_SEGMENT_BITS).alias("seg"))
-           .agg(F.min("event_id").alias("id"),
-                F.array_sort(F.collect_list(F.struct("ts", "value"))).alias("tv")))
+    return user_waves(table(spark, sf_dir, "events"), quantise)
+
+
+def user_waves(ev: DataFrame, quantise) -> DataFrame:
+    """Each user's events in (ts, event_id) order, ``WAVE_SAMPLES`` to a wave.
+
+    A row's rank within its user is the number of the user's events in earlier
+    hours plus its rank within the hour, so a hot user is not one task."""
+    ev = ev.select("user_id", "event_id", "ts", "value", F.date_trunc("hour", "ts").alias("hour"))
+    counts = ev.groupBy("user_id", "hour").agg(F.count("*").alias("n"))
+    ahead = F.sum("n").over(Window.partitionBy("user_id").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select(F.col("user_id").alias("u"), F.col("hour").alias("h"), F.coalesce(ahead, F.lit(0)).alias("ahead"))
+    rank = F.row_number().over(Window.partitionBy("user_id", "hour").orderBy("ts", "event_id"))
+    placed = ev.join(counts, F.col("user_id").eqNullSafe(F.col("u")) & F.col("hour").eqNullSafe(F.col("h")))
+    placed = placed.withColumn("seg", F.floor((F.col("ahead") + rank - 1) / WAVE_SAMPLES))
+    g = (placed.groupBy("user_id", "seg")
+         .agg(F.min("event_id").alias("id"),
+              F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))).alias("tv")))
     return g.select(
         "id",
         (F.col("user_id") % 2).cast("int").alias("y"),
