@@ -233,7 +233,7 @@ def test_large_regions_lose_no_link(spark, monkeypatch):
 
 def test_near_text_edges(messy, empty):
     got = collections.Counter((r["doc_id"], r["component_id"], r["n_shingles"]) for r in rows_of(near_text.near_duplicates(messy)))
-    assert got[(2, 1, 12)] == 2 and got[(3, 3, 0)] == got[(4, 4, 0)] == got[(5, 5, 0)] == 1 and got[(9, 9, 1)] == 1 and got[(6, 6, 1)] == 1
+    assert got[(2, 1, 13)] == 2 and got[(3, 3, 0)] == got[(4, 4, 0)] == got[(5, 5, 0)] == 1 and got[(9, 9, 1)] == 1 and got[(6, 6, 1)] == 1
     assert near_text.near_duplicates(empty).count() == 0
 
 
