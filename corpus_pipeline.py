@@ -44,7 +44,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     copies = mixing.mix(docs).where("doc_id is not null").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
     copies = stored(copies, "mix-copies")
-    taken = docs.join(copies, "doc_id", "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
+    # one plan at every size: the ids grow with the documents, so they are never broadcast
+    taken = docs.join(copies.hint("merge"), "doc_id", "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
     return taken.where("_copies > 0").withColumn("_copies", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
