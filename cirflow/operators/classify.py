@@ -354,8 +354,8 @@ def _attach_scalar_row(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def error_feature_shift(df: DataFrame, features: Sequence[str], y: str = "y", pred: str = "pred",
-                        normalise: bool = False, eps: float = 1e-10) -> DataFrame:
-    """Per feature: mean over correct rows, mean over wrong rows and
+                        normalise: bool = False, eps: float = 1e-10, by=()) -> DataFrame:
+    """Per ``by`` group and feature: mean over correct rows, mean over wrong rows and
     effect = |wrong - correct| (``normalise``: / population std of the
     correct rows, 0 when that std <= eps), sorted by effect desc.
     One wide aggregate (no explode); empty if either side is empty."""
@@ -364,14 +364,15 @@ def error_feature_shift(df: DataFrame, features: Sequence[str], y: str = "y", pr
     for i, f in enumerate(features):
         aggs += [F.avg(F.when(ok, F.col(f))).alias(f"c{i}"), F.avg(F.when(~ok, F.col(f))).alias(f"w{i}"),
                  F.stddev_pop(F.when(ok, F.col(f))).alias(f"s{i}")]
-    wide = df.agg(*aggs)
+    by = _by(by)
+    wide = df.groupBy(*by).agg(*aggs)
     rows = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"c{i}").alias("correct_mean"),
                                         F.col(f"w{i}").alias("error_mean"), F.col(f"s{i}").alias("correct_std"))
                                for i, f in enumerate(features)]))
-    long = wide.where((F.col("_nc") > 0) & (F.col("_nw") > 0)).select(rows.alias("r")).select("r.*")
+    long = wide.where((F.col("_nc") > 0) & (F.col("_nw") > 0)).select(*by, rows.alias("r")).select(*by, "r.*")
     diff = F.abs(F.col("error_mean") - F.col("correct_mean"))
     eff = F.when(F.col("correct_std") > eps, diff / F.col("correct_std")).otherwise(F.lit(0.0)) if normalise else diff
-    return long.withColumn("effect", eff).select("feature", "effect", "correct_mean", "error_mean")
+    return long.withColumn("effect", eff).select(*by, "feature", "effect", "correct_mean", "error_mean")
 
 
 def error_rate_bins(scored: DataFrame, by=(), y: str = "y", p: str = "p", pred: str = "pred",

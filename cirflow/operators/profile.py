@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cirflow.operators.quantiles import group_quantiles
+from cirflow.operators.splits import with_class_stats
 
 
 def _by(by) -> list[str]:
@@ -70,8 +71,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50, by=(), density: bool =
              F.when(F.max("_x") > F.min("_x"), F.min("_x")).otherwise(F.min("_x") - 0.5).alias("_lo"),
              F.when(F.max("_x") > F.min("_x"), F.max("_x")).otherwise(F.max("_x") + 0.5).alias("_hi")]
     if by:
-        # one row per group; AQE broadcasts it after measuring its size
-        j = d.join(d.groupBy(*by).agg(*stats), by)
+        j = with_class_stats(d, d.groupBy(*by).agg(*stats), by)
     else:
         r = d.agg(*stats).first()          # fitted scalars: count and range
         j = d.select("_x", F.lit(r["_n"]).alias("_n"), F.lit(r["_lo"]).cast("double").alias("_lo"),
@@ -101,9 +101,7 @@ def box_stats(df: DataFrame, label: str, value: str, whisker: float = 1.5) -> Da
     """Per class: q1, median, q3, whiskers (furthest points within
     whisker*IQR of the box) and the outlier count."""
     q = group_quantiles(df, value, [0.25, 0.5, 0.75], [label], names=["q1", "median", "q3"])
-    # one row per class: AQE broadcasts it after measuring it
-    j = df.select(label, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull()) \
-          .join(q, label)
+    j = with_class_stats(df.select(label, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull()), q, [label])
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - whisker * iqr, F.col("q3") + whisker * iqr
     return j.groupBy(label).agg(
@@ -122,10 +120,11 @@ def sample_per_class(df: DataFrame, label: str, key: str, n: int, seed: int) ->
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def scatter_sample(df: DataFrame, label: str, key: str, x: str, y: str, n: int = 2000,
+def scatter_sample(df: DataFrame, label: str, key: str, x: str, y: str, n: int | None = None,
                    seed: int = 42) -> DataFrame:
-    """(label, x, y) point set for a scatter plot, at most n per class."""
-    return sample_per_class(df.select(key, label, x, y), label, key, n, seed)
+    """(label, x, y) point set for a scatter plot: every row, or n per class."""
+    points = df.select(key, label, x, y)
+    return points if n is None else sample_per_class(points, label, key, n, seed)
 
 
 def category_importance(imp: DataFrame, feature: str = "Feature", importance: str = "Importance",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cirflow.sources.fixtures import md5_int, md5_key
@@ -17,6 +17,8 @@ SEED = 42
 # A group table up to this size is broadcast to the rows; beyond it the
 # join shuffles.
 BROADCAST_GROUPS = 1_000_000
+# Classes up to which a table of one row per class is broadcast.
+BROADCAST_CLASSES = 100_000
 # Buckets per class for exact distributed within-class ranking.
 RANK_BUCKETS = 4096
 
@@ -43,12 +45,11 @@ def _group_table(df: DataFrame, group: str, val_size: float, test_size: float, s
     n = groups.count()
     n_val, n_test = split_sizes(n, val_size, test_size)
     if order is not None:
+        # the caller's list is part of the plan and bounds this table
         pos_map = F.create_map(*[x for i, g in enumerate(order) for x in (F.lit(g), F.lit(i))])
-        key = pos_map[F.col(group)]
+        ranked = groups.withColumn("pos", (F.row_number().over(Window.orderBy(pos_map[F.col(group)], group)) - 1).cast("bigint"))
     else:
-        key = md5_key(seed, group)
-    # the distinct-group table is small (its size was just counted)
-    ranked = groups.withColumn("pos", (F.row_number().over(Window.orderBy(key, group)) - 1).cast("int"))
+        ranked = rank_within(groups, [], group, seed, out="pos", order=md5_key(seed, group))
     return ranked.withColumn("split", F.when(F.col("pos") < n_val, "val")
                              .when(F.col("pos") < n_val + n_test, "test").otherwise("train")), n
 
@@ -67,8 +68,9 @@ def group_split(df: DataFrame, group: str, val_size: float = 0.15, test_size: fl
     the join shuffles."""
     gt, n = _group_table(df, group, val_size, test_size, seed, order)
     gt = gt.select(group, "split")
+    gt = gt.withColumnRenamed(group, "_g")
     gt = F.broadcast(gt) if n <= BROADCAST_GROUPS else gt
-    return df.join(gt, group, "left")
+    return df.join(gt, F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")   # a NULL group is a group
 
 
 def split_balance(df: DataFrame, label: str, split: str = "split") -> DataFrame:
@@ -95,9 +97,11 @@ def kfold(df: DataFrame, key: str, k: int = 5, seed: int = SEED, out: str = "fol
 
 
 def rank_within(df: DataFrame, part: Sequence[str], key: str, seed: int = SEED,
-                out: str = "rn", buckets: int = RANK_BUCKETS) -> DataFrame:
+                out: str = "rn", buckets: int = RANK_BUCKETS, order: Column | None = None) -> DataFrame:
     """0-based rank of each row inside its ``part`` group in md5(seed|key)
-    order (ties by key) -- exact, without one task per group.
+    order (its first 32 bits, ties by key) -- exact, without one task per group.
+    ``order`` replaces those bits by a finer key that sorts alike. Without
+    ``part`` all rows are one group.
 
     The md5 order key is cut into ``buckets`` contiguous ranges; the
     (group, bucket) counts form a small table whose running sums are the
@@ -112,7 +116,7 @@ def rank_within(df: DataFrame, part: Sequence[str], key: str, seed: int = SEED,
     offsets = offsets.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate([*part, "_b"])], "_off")
     same = [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate([*part, "_b"])]
     d = d.join(offsets, same).drop(*[f"_o{i}" for i in range(len(part) + 1)])
-    w = Window.partitionBy(*part, "_b").orderBy("_h", key)
+    w = Window.partitionBy(*part, "_b").orderBy("_h" if order is None else order, key)
     return d.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")).drop("_h", "_b", "_off")
 
 
@@ -124,6 +128,18 @@ def stratified_kfold(df: DataFrame, label: str, key: str, k: int = 3, seed: int
     return r.withColumn(out, (F.col("_rn") % k).cast("int")).drop("_rn")
 
 
+def with_class_stats(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``df`` with the columns of ``stats`` (one row per class; a NULL class is
+    a class). The classes of ``df`` are counted: up to ``BROADCAST_CLASSES`` the
+    table is broadcast, so no row is shuffled on its class; beyond, no class is
+    near a whole table and the join shuffles."""
+    few = df.select(*by).distinct().limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES
+    names = {c: f"_k{i}" for i, c in enumerate(by)}
+    stats = stats.withColumnsRenamed(names)
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in names.items()]
+    return df.join(F.broadcast(stats) if few else stats, same, "left").drop(*names.values())
+
+
 def pos_weight(df: DataFrame, label: str) -> DataFrame:
     """One row: n0, n1, pos_weight = n0 / max(n1, 1)."""
     return df.agg(F.count_if(F.col(label) == 0).alias("n0"),
@@ -137,10 +153,9 @@ def with_pos_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame
 
 
 def balanced_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """class_weight='balanced': n / (n_classes * n_class). The class-count
-    table has one row per class; AQE broadcasts it after measuring it."""
+    """class_weight='balanced': n / (n_classes * n_class)."""
     cc = df.groupBy(label).agg(F.count("*").alias("_nc"))
     stats = cc.withColumn("_n", F.sum("_nc").over(Window.partitionBy(F.lit(0)))) \
               .withColumn("_k", F.count("*").over(Window.partitionBy(F.lit(0))))
     stats = stats.select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
-    return df.join(stats, label, "left")   # one row per class: AQE broadcasts it
+    return with_class_stats(df, stats, [label])

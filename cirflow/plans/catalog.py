@@ -492,7 +492,7 @@ def box_stats(spark, sf):
 def scatter_sample(spark, sf):
     ev = FX.table(spark, sf, "events").withColumn(
         "y", F.col("event_type").isin("purchase", "signup").cast("int"))
-    return PR.scatter_sample(ev, "y", "event_id", "value", "user_id", 500, 42)
+    return PR.scatter_sample(ev, "y", "event_id", "value", "user_id")
 
 
 @q("category_importance")
@@ -576,7 +576,7 @@ ERR_FEATURES = ["value", "uid", "eid"]
 
 
 def _errors_with_features(spark, sf) -> DataFrame:
-    s = scored_pred(spark, sf).where(F.col("model") == "m1")
+    s = scored_pred(spark, sf)
     ev = FX.table(spark, sf, "events").select(
         F.col("event_id").alias("id"), "value", F.col("user_id").cast("double").alias("uid"),
         (F.col("event_id") % 97).cast("double").alias("eid"))
@@ -585,13 +585,13 @@ def _errors_with_features(spark, sf) -> DataFrame:
 
 @q("error_feature_shift")
 def error_feature_shift(spark, sf):
-    out = C.error_feature_shift(_errors_with_features(spark, sf), ERR_FEATURES)
+    out = C.error_feature_shift(_errors_with_features(spark, sf), ERR_FEATURES, by="model")
     return rnd(out, ["effect", "correct_mean", "error_mean"], 6)
 
 
 @q("error_feature_effect")
 def error_feature_effect(spark, sf):
-    out = C.error_feature_shift(_errors_with_features(spark, sf), ERR_FEATURES, normalise=True)
+    out = C.error_feature_shift(_errors_with_features(spark, sf), ERR_FEATURES, normalise=True, by="model")
     return rnd(out, ["effect", "correct_mean", "error_mean"], 6)
 
 
@@ -713,8 +713,8 @@ def topk_abs(spark, sf):
 
 @q("topk_error_features")
 def topk_error_features(spark, sf):
-    out = C.error_feature_shift(_errors_with_features(spark, sf), ERR_FEATURES, normalise=True)
-    return rnd(RK.topk(out, "effect", 2, name="feature"), ["effect", "correct_mean", "error_mean"], 6)
+    out = C.error_feature_shift(_errors_with_features(spark, sf), ERR_FEATURES, normalise=True, by="model")
+    return rnd(RK.topk(out, "effect", 10, name="feature"), ["effect", "correct_mean", "error_mean"], 6)
 
 
 # ================================================================ 2.12 set operations

@@ -335,9 +335,7 @@ SELECT e.event_type, {r('q1')} AS q1, {r('med')} AS median, {r('q3')} AS q3,
   max(value) FILTER (value <= q3 + 1.5 * (q3 - q1)) AS whisker_hi,
   count(*) FILTER (value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS n_outliers
 FROM events e JOIN q ON q.event_type = e.event_type WHERE value IS NOT NULL GROUP BY e.event_type, q1, med, q3"""
-SQL["scatter_sample"] = f"""SELECT event_id, y, value, user_id FROM (SELECT *, row_number() OVER (PARTITION BY y
-    ORDER BY {md5int("'42'", "event_id")}, event_id) AS rn FROM (SELECT event_id,
-    CAST(event_type IN ('purchase', 'signup') AS INTEGER) AS y, value, user_id FROM events)) WHERE rn <= 500"""
+SQL["scatter_sample"] = """SELECT event_id, CAST(event_type IN ('purchase', 'signup') AS INTEGER) AS y, value, user_id FROM events"""
 _CAT = """CASE WHEN starts_with(Feature, 'PEAK2') THEN 'Second Path' WHEN starts_with(Feature, 'CIR') THEN 'CIR Waveform'
     ELSE 'Core Features' END"""
 SQL["category_importance"] = with_("importance") + f"""SELECT {_CAT} AS Category, {r('sum(Importance)', 9)} AS Importance
@@ -431,7 +429,7 @@ SQL["error_prob_stats"] = with_("scored_pred") + f"""SELECT model, count(*) AS n
     {r('stddev_pop(p)', 9)} AS std, {r('min(p)', 9)} AS min, {r('max(p)', 9)} AS max, {r('quantile_cont(p, 0.5)', 9)} AS median
     FROM scored_pred WHERE y <> pred GROUP BY model"""
 _EF = with_("scored_pred", extra=[("ef", """SELECT s.*, e.value, CAST(e.user_id AS DOUBLE) AS uid,
-    CAST(e.event_id % 97 AS DOUBLE) AS eid FROM scored_pred s JOIN events e ON e.event_id = s.id WHERE s.model = 'm1'""")])
+    CAST(e.event_id % 97 AS DOUBLE) AS eid FROM scored_pred s JOIN events e ON e.event_id = s.id""")])
 
 
 def shift_sql(normalise: bool) -> str:
@@ -442,14 +440,14 @@ def shift_sql(normalise: bool) -> str:
         eff = f"abs({em} - {cm})"
         if normalise:
             eff = f"CASE WHEN {sd} > 1e-10 THEN {eff} / {sd} ELSE 0.0 END"
-        parts.append(f"""SELECT '{c}' AS feature, {r(eff)} AS effect, {r(cm)} AS correct_mean, {r(em)} AS error_mean
-            FROM ef HAVING count(*) FILTER (y = pred) > 0 AND count(*) FILTER (y <> pred) > 0""")
+        parts.append(f"""SELECT model, '{c}' AS feature, {r(eff)} AS effect, {r(cm)} AS correct_mean, {r(em)} AS error_mean
+            FROM ef GROUP BY model HAVING count(*) FILTER (y = pred) > 0 AND count(*) FILTER (y <> pred) > 0""")
     return " UNION ALL ".join(parts)
 
 
 SQL["error_feature_shift"] = _EF + shift_sql(False)
 SQL["error_feature_effect"] = _EF + shift_sql(True)
-SQL["topk_error_features"] = _EF + "SELECT * FROM (" + shift_sql(True) + ") ORDER BY effect DESC, feature LIMIT 2"
+SQL["topk_error_features"] = _EF + "SELECT * FROM (" + shift_sql(True) + ") ORDER BY effect DESC, feature LIMIT 10"
 SQL["error_rate_bins"] = with_("scored_pred") + f"""SELECT model, CAST(i AS INTEGER) AS bin,
     printf('%.1f-%.1f', i * 0.1::DOUBLE, CASE WHEN i = 9 THEN 1.0::DOUBLE ELSE (i + 1) * 0.1::DOUBLE END) AS label,
     count(*) AS n, {e('count(*) FILTER (y <> pred) / count(*)', 9)} AS error_rate

@@ -35,6 +35,33 @@ def test_rank_within_is_exact(spark):
         assert max(c) - min(c) <= 1
 
 
+def test_group_ranks_need_no_window_over_all_groups(spark):
+    from cirflow.sources.fixtures import md5_key
+    df = spark.range(500).select((F.col("id") % 240).cast("string").alias("g")).unionByName(
+        spark.sql("SELECT CAST(NULL AS STRING) AS g"))
+    got = SP.group_table(df, "g")
+    exp = df.distinct().withColumn("e", F.row_number().over(Window.orderBy(md5_key(42, "g"), "g")) - 1)
+    assert got.join(exp, got["g"].eqNullSafe(exp["g"])).where("pos = e").count() == 241
+    assert SP.group_split(df, "g").where("split is null").count() == 0
+
+
+def test_class_tables_are_broadcast_and_null_classes_stay(spark):
+    from cirflow.operators import profile as PR
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), (1, 2.0), (1, 4.0), (1, 6.0), (0, 5.0)], "y int, v double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for out in (SP.balanced_weight(df, "y"), PR.box_stats(df, "y", "v"), PR.class_histogram(df, "y", "v", 2)):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        w = {(r["y"], round(r["weight"], 6)) for r in SP.balanced_weight(df, "y").collect()}
+        assert w == {(None, 1.0), (1, round(2 / 3, 6)), (0, 2.0)}
+        assert {r["y"]: r["median"] for r in PR.box_stats(df, "y", "v").collect()} == {None: 2.0, 1: 4.0, 0: 5.0}
+        assert PR.class_histogram(df, "y", "v", 2).where("y is null").agg(F.sum("n")).first()[0] == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_banded_quantiles_equal_exact(spark):
     # one hot group holds most rows; banded two-pass must equal exact percentile
     df = spark.range(60000).select(
