@@ -27,8 +27,8 @@ def test_every_oracle_runs_in_duckdb():
     import duckdb
     import __spark_entry__ as E
     con = duckdb.connect()
-    for t in ["customer", "supplier", "part", "orders", "lineitem", "events", "documents",
-              "embeddings", "labels"]:
+    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+              "embeddings", "pages", "benchmark", "labels", "conversations"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF01}/{t}.parquet')")
     for k, sql in E.oracle_sql().items():
         con.execute(sql).fetchall()
