@@ -62,7 +62,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_text.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_text.near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
 
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

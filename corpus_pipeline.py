@@ -12,6 +12,9 @@ from cirflow.llm import bpe, langid, mixing, near_text, secret_scan
 from cirflow.llm.common import stored, table
 from cirflow.llm.queries import _vocabulary
 
+#: Words of a shingle in near_dedup; documents are linked at a Jaccard similarity of 0.8 of these sets.
+SHINGLE = 5
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without a letter, or without a language for two fifths of their letters, go."""
@@ -19,8 +22,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id; one row an id."""
-    gone = stored(near_text.near_duplicates(docs).where("not kept").select("doc_id").distinct(), "near-gone")
+    """One document of each group of near duplicates (five-word shingles), that with the smallest id; one row an id."""
+    gone = stored(near_text.near_duplicates(docs, size=SHINGLE).where("not kept").select("doc_id").distinct(), "near-gone")
     left = docs.join(_named(gone), "doc_id", "left_anti")
     # ids of several rows, from the ids alone; the texts of all other rows need no shuffle
     twice = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-twice")

@@ -4,6 +4,7 @@ import collections
 import gzip
 import hashlib
 import os
+import random
 
 import numpy as np
 import pytest
@@ -156,3 +157,26 @@ def test_pipeline_edges(spark, messy, empty):
             out = stage(spark, out, SF01)
         ids = [r.doc_id for r in out.collect()]
         assert set(ids) <= {1, 6, 8, 9, 10, 11, None} and (start is messy) == bool(ids)
+
+
+def test_near_dedup_takes_five_words(spark):
+    """Against all pairs of five-word sets, with copies that only two-word sets link."""
+    import corpus_pipeline as P
+
+    rng = random.Random(12)
+    rows = []
+    for g in range(8):
+        base = [f"g{g}w{i}" for i in range(200)]
+        for changed in (0, 0, 2, 3, 9, 60):
+            ws = list(base)
+            for at in rng.sample(range(200), changed):
+                ws[at] = f"d{len(rows)}_{at}"
+            rows.append((len(rows), " ".join(ws)))
+    sets = {i: {tuple(w[j:j + 5]) for j in range(len(w) - 4)} for i, t in rows for w in [t.split()]}
+    least = {i: i for i in sets}
+    for _ in sets:
+        for i in sets:
+            least[i] = min(least[j] for j in sets if j == i or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r.doc_id for r in P.near_dedup(spark, docs, SF01).collect())
+    assert got == sorted(i for i in least if least[i] == i) and len(got) > 16
