@@ -3,13 +3,15 @@
 Each distinct shingle set gets ``TREES * DEPTH`` min-hashes. Tree t orders the
 sets by the signature from its own place on (and round); sets that share the
 first ``DEPTH`` values of an order are neighbours there and form a region.
-Regions adapt their depth: one with more than ``LARGE`` members is cut by two
-more values of its order. Members are compared on their full sets in hash blocks of
+Members are compared on their full sets in hash blocks of
 about ``BLOCK``; a comparison returns a spanning forest of its links, never all
 pairs. Regions with the same members count once. Links make components. In
 regions of several blocks the members outside the largest component are then
 compared across blocks, with one another and with that component, so that no
 link between components is lost and none inside one is looked for again.
+Regions of more than ``LARGE`` members are cut by two more values of their order
+for the comparison within blocks only, which brings the closest together first;
+what is left is compared across the whole region, at its depth of four.
 
 A pair at similarity 0.8 shares a region of one of 24 orders with probability
 1 - (1 - 0.8^4)^24 = 0.999997; at 0.9 all but surely.
@@ -72,7 +74,8 @@ def features(df: DataFrame, key: str = "doc_id", text: str = "text", size: int =
 
 
 def regions(reps: DataFrame) -> DataFrame:
-    """(region, rep, size): the members of each region."""
+    """(region, rep, size, within, across): the members of each region, and whether
+    it is compared within blocks and across them."""
     at = F.posexplode(F.array([F.xxhash64(F.lit(t), F.slice("sig", t * DEPTH + 1, DEPTH)) for t in range(TREES)]))
     keys = reps.select("rep", "n", at.alias("tree", "region"))
 
@@ -83,29 +86,29 @@ def regions(reps: DataFrame) -> DataFrame:
 
     found = sizes(keys)
     # one region of those with the same members
-    once = stored(found.where(F.col("size") <= LARGE).groupBy("size", "print").agg(F.min("region").alias("region")).select("region", "size"), "regions")
-    members = keys.join(once, "region").select("region", "rep", "size")
+    once = stored(found.groupBy("size", "print").agg(F.min("region").alias("region")).select("region", "size"), "regions")
+    members = keys.join(once, "region").select("region", "rep", "size", (F.col("size") <= LARGE).alias("within"), F.lit(True).alias("across"))
     large = stored(found.where(F.col("size") > LARGE).select("region"), "regions")
-    # the next values of the order, for the few large regions
+    # the next values of the order, for a first comparison in the few large regions
     wide = F.concat("sig", F.slice("sig", 1, DEEPER))
     deep = (keys.join(large, "region").join(reps.select("rep", wide.alias("sig")), "rep")
             .select("rep", "n", F.xxhash64("region", F.expr(f"slice(sig, (tree + 1) * {DEPTH} + 1, {DEEPER})")).alias("region")))
     deep = stored(deep, "regions")
-    members = members.unionAll(deep.join(sizes(deep).select("region", "size"), "region").select("region", "rep", "size"))
-    return members
+    return members.unionAll(deep.join(sizes(deep).select("region", "size"), "region")
+                            .select("region", "rep", "size", F.lit(True).alias("within"), F.lit(False).alias("across")))
 
 
 def within_blocks(members: DataFrame) -> DataFrame:
     """(region, rep, own, i, j): each member once, in a hash block of its region."""
     own = F.pmod(F.xxhash64("region", "rep"), F.ceil(F.col("size") / BLOCK)).cast("int")
-    return members.select("region", "rep", own.alias("own"), own.alias("i"), own.alias("j"))
+    return members.where("within").select("region", "rep", own.alias("own"), own.alias("i"), own.alias("j"))
 
 
 def across_blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
     """The comparisons that are left in regions of several blocks: members outside
     a region's largest component with one another and with that component. What
     is connected already is not compared again."""
-    rows = (members.where(F.col("size") > BLOCK).select("region", "rep").join(classes, F.col("rep") == F.col("node"), "left")
+    rows = (members.where(F.col("across") & (F.col("size") > BLOCK)).select("region", "rep").join(classes, F.col("rep") == F.col("node"), "left")
             .select("region", "rep", F.coalesce("component", "rep").alias("component")))
     rows = stored(rows, "near-left")
     parts = rows.groupBy("region", "component").agg(F.count("*").alias("n"))

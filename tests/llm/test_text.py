@@ -231,6 +231,28 @@ def test_large_regions_lose_no_link(spark, monkeypatch):
     assert sum(r.component_id == 0 for r in got) >= 149
 
 
+def test_large_regions_keep_all_pairs_of_depth_four(spark, monkeypatch):
+    """Cut regions lose no link that whole ones find, also with few orders; with all orders no copy is lost."""
+    monkeypatch.setattr(near_text, "BLOCK", 8)
+    rng = random.Random(10)
+    hub = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(hub))]
+    for k in range(1, 150):
+        ws = list(hub)
+        for at in rng.sample(range(200), 10):
+            ws[at] = f"v{k}_{at}"
+        rows.append((k, " ".join(ws)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def classes(large, trees):
+        monkeypatch.setattr(near_text, "LARGE", large)
+        monkeypatch.setattr(near_text, "TREES", trees)
+        return {r.doc_id: r.component_id for r in near_text.near_duplicates(df, size=2).collect()}
+
+    assert set(classes(16, near_text.TREES).values()) == {0}
+    assert classes(16, 3) == classes(1 << 30, 3)
+
+
 def test_near_text_edges(messy, empty):
     got = collections.Counter((r["doc_id"], r["component_id"], r["n_shingles"]) for r in rows_of(near_text.near_duplicates(messy)))
     assert got[(2, 1, 13)] == 2 and got[(3, 3, 0)] == got[(4, 4, 0)] == got[(5, 5, 0)] == 1 and got[(9, 9, 1)] == 1 and got[(6, 6, 1)] == 1
