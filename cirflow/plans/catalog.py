@@ -891,13 +891,13 @@ def cv_score(spark, sf):
 @q("kfold_regression")
 def kfold_regression(spark, sf):
     """5-fold CV on the train split: a forest on the feature vector and a
-    15-NN regressor with its scaler fitted inside each fold."""
+    15-NN regressor on the same 64 features, its scaler fitted inside each fold."""
     from cirflow.operators import models as M
     train, _ = _train_test(spark, sf)
     # folds from another seed: the test split already used md5(42|id) mod 5
     train = SP.kfold(train.drop("fold"), "id", 5, seed=7, out="cv_fold")
     from pyspark.ml.functions import vector_to_array
-    cols = [f"x{i}" for i in range(8)]
+    cols = [f"x{i}" for i in range(64)]
     train = train.withColumns({c: vector_to_array("features")[i] for i, c in enumerate(cols)}).persist()
     rf = M.kfold_predictions(train, "cv_fold", 5, M.estimator_fit_predict(
         M.rf_regressor(num_trees=10, max_depth=6), "features", "target"))

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cirflow.operators.knn import knn_regress
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 
 
 def test_knn_matches_brute_force(spark):
@@ -41,3 +41,21 @@ def test_scaler_population_std(spark):
     assert s.params["a"][1] == pytest.approx(np.std([1, 2, 3, 6]))
     out = s.transform(df).agg(F.stddev_pop("a"), F.max("c")).first()
     assert out[0] == pytest.approx(1.0) and out[1] == 0.0
+
+
+def test_kfold_regression_knn_takes_every_feature(spark):
+    from cirflow.plans import catalog as C
+
+    train, _ = C._train_test(spark, SF001)
+    rows = C.SP.kfold(train.drop("fold"), "id", 5, seed=7, out="cv_fold").select("id", "features", "target", "cv_fold").collect()
+    x, t, fold = np.array([r.features.toArray() for r in rows]), np.array([r.target for r in rows]), np.array([r.cv_fold for r in rows])
+    rmse = []
+    for f in range(5):
+        a, b = fold != f, fold == f
+        z = (x - x[a].mean(0)) / x[a].std(0)
+        d = np.sqrt(((z[b][:, None] - z[a][None]) ** 2).sum(2))
+        near = np.argsort(d, axis=1, kind="stable")[:, :15]
+        w = 1 / np.take_along_axis(d, near, 1)
+        rmse.append(np.sqrt((((w * t[a][near]).sum(1) / w.sum(1) - t[b]) ** 2).mean()))
+    got = C.kfold_regression(spark, SF001).where("model = 'knn'").first().asDict()
+    assert any(isinstance(v, float) and abs(v - np.mean(rmse)) < 1e-4 for v in got.values()), (got, rmse)
