@@ -22,15 +22,29 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles), that with the smallest id; one row an id."""
-    gone = stored(near_text.near_duplicates(docs, size=SHINGLE).where("not kept").select("doc_id").distinct(), "near-gone")
-    left = docs.join(_named(gone), "doc_id", "left_anti")
-    # ids of several rows, from the ids alone; the texts of all other rows need no shuffle
+    """One document of each group of near duplicates (five-word shingles), that with the smallest id.
+    Rows of one id with unlike texts are documents of their own."""
+    # ids of several rows, from the ids alone; the texts of all other inputs need no shuffle
     twice = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-twice")
     if twice.isEmpty():
-        return left.select(*docs.columns)
-    once = left.join(_named(twice), "doc_id", "left_anti")
-    return once.unionByName(left.join(_named(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+        return docs.join(_named(_gone(docs, "doc_id")), "doc_id", "left_anti").select(*docs.columns)
+    # a number for each (id, text), in the order of the ids
+    marked = docs.withColumn("_mark", F.sha2(F.coalesce("text", F.lit("")), 256))
+    named = marked.where("doc_id is not null")
+    numbers = stored(named.select("doc_id", "_mark").distinct().orderBy("doc_id", "_mark").withColumn("_row", F.monotonically_increasing_id()), "near-numbers")
+    rows = named.join(numbers, ["doc_id", "_mark"]).unionByName(marked.where("doc_id is null").withColumn("_row", F.lit(None).cast("long")))
+    rows = stored(rows.select("_row", *docs.columns), "near-rows")
+    left = rows.join(_named(_gone(rows, "_row")), "_row", "left_anti")
+    again = stored(rows.where("_row is not null").groupBy("_row").count().where("count > 1").select("_row"), "near-again")
+    # rows equal in id and text: the first by their other columns
+    order = F.to_json(F.struct(*[c for c in docs.columns if c != "text"]))
+    first = left.join(_named(again), "_row", "left_semi").groupBy("_row").agg(F.min_by(F.struct(*docs.columns), order).alias("r")).select("r.*")
+    return left.join(_named(again), "_row", "left_anti").select(*docs.columns).unionByName(first)
+
+
+def _gone(docs: DataFrame, key: str) -> DataFrame:
+    """Keys of the documents that are near duplicates of one with a smaller key."""
+    return stored(near_text.near_duplicates(docs, key, size=SHINGLE).where("not kept").select(key).distinct(), "near-gone")
 
 
 def _named(ids: DataFrame) -> DataFrame:

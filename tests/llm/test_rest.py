@@ -180,3 +180,14 @@ def test_near_dedup_takes_five_words(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(r.doc_id for r in P.near_dedup(spark, docs, SF01).collect())
     assert got == sorted(i for i in least if least[i] == i) and len(got) > 16
+
+
+def test_near_dedup_keeps_unlike_rows_of_one_id(spark):
+    """An id with a near copy and an unlike text loses only the copy; equal rows leave the first by their other columns."""
+    import corpus_pipeline as P
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "s"), (2, a + " more", "s"), (2, b, "s"), (3, c, "z"), (3, c, "y"), (4, "", "s"), (None, a, "s"), (None, a, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    want = [(1, a, "s"), (2, b, "s"), (3, c, "y"), (4, "", "s"), (None, a, "s"), (None, a, "s")]
+    assert collections.Counter(map(tuple, P.near_dedup(spark, docs, SF01).collect())) == collections.Counter(want)
