@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lm, mixing, near_text, near_vec, quality, secret_scan, toxicity, warc
+from . import bpe, hard_negatives, langid, lm, mixing, near_text, near_vec, pii, quality, secret_scan, toxicity, warc, whitening
 from .common import crc_part, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -86,8 +86,27 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", crc_part(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score", spans.alias("spans"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.concat("base", "more")).alias("spans"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_secret_scan, op3_source_mix, op4_lm_score, op5_toxicity, op6_near_text, op7_near_vectors, op8_quality, op9_bpe, op10_langid)}
+    f.__name__: f for f in (op1_warc, op2_secret_scan, op3_source_mix, op4_lm_score, op5_toxicity, op6_near_text, op7_near_vectors, op8_quality, op9_bpe, op10_langid,
+                             op11_whitening, op12_hard_negatives, op13_pii)}
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 SQL: dict[str, str] = {
@@ -117,4 +136,13 @@ l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label
 r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
 c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
 SELECT c.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, c.vec_id = component_id AS kept FROM c LEFT JOIN n ON n.a = c.vec_id""",
+    "op12_hard_negatives": """
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.id AS anchor, b.id AS other, a.label = b.label AS same, list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * b.x[i]))::BIGINT AS score
+  FROM v a JOIN v b ON a.id <> b.id AND len(a.x) = len(b.x) WHERE a.id % 50 = 0),
+p AS (SELECT anchor, other, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.other AS positive_id, (row_number() OVER w)::INTEGER AS rank, s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+WINDOW w AS (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other) QUALIFY row_number() OVER w <= 3""",
 }
