@@ -116,10 +116,13 @@ def units(texts: DataFrame) -> DataFrame:
     once for the word after; kind is that of a seed, else null."""
     df = texts.withColumn("digest", _digest(F.col("text"))).where("digest is not null")
     df = df.groupBy("digest").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    df = located(df, "u", "text", UNIT, F.lit(True)).select("digest", "copies", F.posexplode("u").alias("i", "u"), "u_pieces")
-    short = lambda c: F.lower(c)
-    before = short(F.regexp_extract(F.right(F.get("u_pieces", F.col("i")), F.lit(2 * LONGEST_WORD)), rf"([^\x20\x09-\x0D]++){_SPACE}*+$", 1))
-    after = short(F.regexp_extract(F.left(F.get("u_pieces", F.col("i") + 1), F.lit(2 * LONGEST_WORD)), rf"^{_SPACE}*+([^\x20\x09-\x0D]++)", 1))
+    df = located(df, "u", "text", UNIT, F.lit(True))
+    # what a unit needs of the text around it goes with it; the whole list of pieces does not
+    near = F.transform("u_pieces", lambda p: F.struct(F.right(p, F.lit(2 * LONGEST_WORD)).alias("tail"), F.left(p, F.lit(2 * LONGEST_WORD)).alias("head")))
+    parts = F.arrays_zip(F.col("u").alias("u"), near.alias("ahead"), F.slice(near, 2, F.size("u")).alias("behind"))
+    df = df.select("digest", "copies", F.explode(F.slice(parts, F.lit(1), F.size("u"))).alias("p")).select("digest", "copies", "p.u", F.col("p.ahead.tail").alias("tail"), F.col("p.behind.head").alias("head"))
+    before = F.lower(F.regexp_extract("tail", rf"([^\x20\x09-\x0D]++){_SPACE}*+$", 1))
+    after = F.lower(F.regexp_extract("head", rf"^{_SPACE}*+([^\x20\x09-\x0D]++)", 1))
     head = F.length(F.regexp_extract("u.value", rf"^([{_JOIN}]*+)", 1))
     # a sign before a phone number belongs to it
     head = F.when(F.col("u.value").rlike(r"^\+[0-9]"), 0).otherwise(head)
