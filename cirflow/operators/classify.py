@@ -7,9 +7,9 @@ operator takes ``by`` so one pass serves all models.
 Nothing here sorts a whole model's rows in one task:
 
 * ranking quantities (ROC, AUC) first group rows by distinct score, then
-  cut the scores into log-odds-like buckets (``score_bucket``); per-bucket totals form
-  a small table whose running sums are broadcast back as offsets, and only
-  the distinct scores of one bucket are ordered together;
+  cut the (group, score) rows into ranges of the data (``ranged``): each range
+  is one window, and the ranges' totals, one row a range and group, give its
+  offset. Ranges hold like numbers of rows however close the scores lie;
 * threshold sweeps map each score to its threshold index once (exact float
   comparisons against the same threshold values the reference builds) and
   cumulate over <= (thresholds + 1) rows per model.
@@ -23,9 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cirflow.operators.quantiles import group_quantiles
-
-SCORE_BUCKETS = 4096          # fpr buckets for saved curves
-BUCKETS_PER_OCTAVE = 64       # score buckets per factor of two (see score_bucket)
+from cirflow.session import stored
 
 
 def _by(by) -> list[str]:
@@ -112,48 +110,36 @@ def classification_report(scored: DataFrame, by=(), y: str = "y", pred: str = "p
 
 
 # ------------------------------------------------------------ ranking (ROC / AUC)
-def score_bucket(p: Column, resolution: int = BUCKETS_PER_OCTAVE) -> Column:
-    """Bucket of a score, 0 for the highest scores; monotone non-increasing
-    in p. The key is log2(p) below 0.5 and -2 - log2(1 - p) above (1 - p
-    is exact there), clamped to [-60, 60]: ``resolution`` buckets per
-    factor of two towards both 0 and 1, so very confident scores spread
-    over many buckets. Scores outside (0, 1) fall into the end buckets."""
-    key = (F.when(p <= 0, F.lit(-60.0)).when(p >= 1, F.lit(60.0))
-            .when(p < 0.5, F.log2(p)).otherwise(F.lit(-2.0) - F.log2(F.lit(1.0) - p)))
-    key = F.least(F.greatest(key, F.lit(-60.0)), F.lit(60.0))
-    return F.floor((F.lit(60.0) - key) * resolution).cast("int")
-
-
-def score_cumulative(scored: DataFrame, by=(), y: str = "y", p: str = "p",
-                     resolution: int = BUCKETS_PER_OCTAVE) -> DataFrame:
+def ranged(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` with ``_part``, the number of the range of ``order`` a row falls in.
+    Ranges are cut from the data, hold like numbers of rows, and follow one
+    another in the order; written once, so that they stay as they are."""
+    return stored(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
+
+
+def score_cumulative(scored: DataFrame, by=(), y: str = "y", p: str = "p") -> DataFrame:
     """One row per (by..., distinct score): pos, neg at that score, pos_above
     and neg_above (strictly higher scores), group totals tot_pos and tot_neg,
     and is_first / is_last plus the next lower score's (pos, neg).
-
-    Scores are cut into ``score_bucket`` ranges. Any monotone bucketing
-    gives exact results; the bucket key only decides how evenly the
-    distinct scores spread over the per-bucket windows. The input is
-    aggregated once, by (group, score)."""
+    The input is aggregated once, by (group, score)."""
     scored, by, const = _group_or_const(scored, by)
     g = scored.groupBy(*by, F.col(p).alias("p")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
-    g = g.withColumn("_b", score_bucket(F.col("p"), resolution))
-    # per-bucket totals and each bucket's top score: groups x buckets rows
-    bt = g.groupBy(*by, "_b").agg(
-        F.sum("pos").alias("_bpos"), F.sum("neg").alias("_bneg"),
-        F.max_by(F.struct("pos", "neg"), "p").alias("_head"))
-    wb = Window.partitionBy(*by).orderBy("_b")
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    g = ranged(g, *[F.col(b) for b in by], F.desc("p"))
+    # totals and top score of each range of a group: groups + ranges rows
+    parts = g.groupBy(*by, "_part").agg(F.sum("pos").alias("_spos"), F.sum("neg").alias("_sneg"),
+                                        F.max_by(F.struct("pos", "neg"), "p").alias("_head"))
+    wp = Window.partitionBy(*by).orderBy("_part")
+    before = wp.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
-    bt = bt.select(
-        *by, "_b",
-        F.coalesce(F.sum("_bpos").over(before), F.lit(0)).alias("_opos"),
-        F.coalesce(F.sum("_bneg").over(before), F.lit(0)).alias("_oneg"),
-        F.lead("_head").over(wb).alias("_next_head"),
-        F.sum("_bpos").over(whole).alias("tot_pos"), F.sum("_bneg").over(whole).alias("tot_neg"))
-    # the bucket table is small; AQE broadcasts it after measuring it
-    g = g.join(bt, [*by, "_b"])
-    wi = Window.partitionBy(*by, "_b").orderBy(F.desc("p"))
+    parts = parts.select(
+        *by, "_part",
+        F.coalesce(F.sum("_spos").over(before), F.lit(0)).alias("_opos"),
+        F.coalesce(F.sum("_sneg").over(before), F.lit(0)).alias("_oneg"),
+        F.lead("_head").over(wp).alias("_next_head"),
+        F.sum("_spos").over(whole).alias("tot_pos"), F.sum("_sneg").over(whole).alias("tot_neg"))
+    g = g.join(parts, [*by, "_part"])
+    wi = Window.partitionBy(*by, "_part").orderBy(F.desc("p"))
     above = wi.rowsBetween(Window.unboundedPreceding, -1)
     g = g.withColumns({
         "pos_above": (F.col("_opos") + F.coalesce(F.sum("pos").over(above), F.lit(0))).cast("bigint"),
@@ -170,8 +156,12 @@ def score_cumulative(scored: DataFrame, by=(), y: str = "y", p: str = "p",
 
 def roc_auc(scored: DataFrame, by=(), y: str = "y", p: str = "p") -> DataFrame:
     """Exact ROC AUC; tied scores count one half."""
+    return auc_of(score_cumulative(scored, by, y, p), by)
+
+
+def auc_of(c: DataFrame, by=()) -> DataFrame:
+    """ROC AUC from the cumulative table."""
     by = _by(by)
-    c = score_cumulative(scored, by, y, p)
     num = F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") / 2.0))
     return c.groupBy(*by).agg(
         F.when((F.first("tot_pos") == 0) | (F.first("tot_neg") == 0), F.lit(None).cast("double"))
@@ -184,8 +174,13 @@ def roc_curve(scored: DataFrame, by=(), y: str = "y", p: str = "p",
     plus the (0, 0) start with a NULL threshold. With ``drop_intermediate``
     interior points collinear with both neighbours are dropped (a point is
     collinear iff the next lower score has the same (pos, neg) counts)."""
+    return curve_of(score_cumulative(scored, by, y, p), by, drop_intermediate)
+
+
+def curve_of(c: DataFrame, by=(), drop_intermediate: bool = True) -> DataFrame:
+    """ROC points from the cumulative table."""
     by = _by(by)
-    c = score_cumulative(scored, by, y, p)
+    starts = c.where("is_first")
     if drop_intermediate:
         keep = (F.col("is_first") | F.col("is_last")
                 | (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg")))
@@ -193,27 +188,29 @@ def roc_curve(scored: DataFrame, by=(), y: str = "y", p: str = "p",
     pts = c.select(*by, F.col("p").alias("threshold"),
                    _safe_div((F.col("neg_above") + F.col("neg")).cast("double"), F.col("tot_neg").cast("double")).alias("fpr"),
                    _safe_div((F.col("pos_above") + F.col("pos")).cast("double"), F.col("tot_pos").cast("double")).alias("tpr"))
-    start = scored.select(*by).distinct().select(
+    start = starts.select(
         *by, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return start.unionByName(pts)
 
 
-def auc_trapezoid(curve: DataFrame, by=(), fpr: str = "fpr", tpr: str = "tpr",
-                  buckets: int = SCORE_BUCKETS) -> DataFrame:
-    """Trapezoid area under saved (fpr, tpr) points. A curve is monotone in
-    both coordinates, so points are cut into fpr buckets; each point's
-    predecessor is the previous point in its bucket or, for a bucket's first
-    point, the last point of the previous non-empty bucket (a small table of
-    bucket tails). No window holds a whole curve."""
+def curve_and_auc(scored: DataFrame, by=(), y: str = "y", p: str = "p") -> DataFrame:
+    """ROC points with their group's AUC; one cumulative table feeds both."""
+    c = stored(score_cumulative(scored, by, y, p), "cumulative")
+    return curve_of(c, by).join(auc_of(c, by), _by(by)) if _by(by) else _attach_scalar_row(curve_of(c), auc_of(c))
+
+
+def auc_trapezoid(curve: DataFrame, by=(), fpr: str = "fpr", tpr: str = "tpr") -> DataFrame:
+    """Trapezoid area under saved (fpr, tpr) points. Points are cut into ranges
+    of the data; each point's predecessor is the one before it in its range or,
+    for a range's first point, the last point of the group's range before."""
     curve, gb, const = _group_or_const(curve, by)
     d = curve.select(*gb, F.col(fpr).cast("double").alias("_f"), F.col(tpr).cast("double").alias("_t"))
-    d = d.withColumn("_b", F.least(F.greatest(F.floor(F.col("_f") * buckets), F.lit(0)),
-                                   F.lit(buckets - 1)).cast("int"))
+    d = ranged(d, *[F.col(b) for b in gb], F.col("_f"), F.col("_t"))
     pt = F.struct("_f", "_t")
-    tails = d.groupBy(*gb, "_b").agg(F.max_by(pt, pt).alias("_tail"))
-    tails = tails.select(*gb, "_b", F.lag("_tail").over(Window.partitionBy(*gb).orderBy("_b")).alias("_prev"))
-    d = d.join(tails, [*gb, "_b"])
-    w = Window.partitionBy(*gb, "_b").orderBy("_f", "_t")
+    tails = d.groupBy(*gb, "_part").agg(F.max_by(pt, pt).alias("_tail"))
+    tails = tails.select(*gb, "_part", F.lag("_tail").over(Window.partitionBy(*gb).orderBy("_part")).alias("_prev"))
+    d = d.join(tails, [*gb, "_part"])
+    w = Window.partitionBy(*gb, "_part").orderBy("_f", "_t")
     d = d.withColumns({"_pf": F.coalesce(F.lag("_f").over(w), F.col("_prev._f")),
                        "_pt": F.coalesce(F.lag("_t").over(w), F.col("_prev._t"))})
     out = d.groupBy(*gb).agg(F.sum(F.coalesce((F.col("_f") - F.col("_pf")) * (F.col("_t") + F.col("_pt")) / 2.0,
@@ -375,6 +372,28 @@ def error_feature_shift(df: DataFrame, features: Sequence[str], y: str = "y", pr
     return long.withColumn("effect", eff).select(*by, "feature", "effect", "correct_mean", "error_mean")
 
 
+def error_vector_shift(df: DataFrame, features: str, names: Sequence[str], y: str = "y", pred: str = "pred",
+                       normalise: bool = False, eps: float = 1e-10, by=()) -> DataFrame:
+    """``error_feature_shift`` for every feature of an array column at once: the
+    moments of the whole vector are one map-side aggregate per (group,
+    correct), not an expression a feature."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    by = _by(by)
+    rows = df.select(*by, (F.col(y) == F.col(pred)).alias("_ok"), array_to_vector(features).alias("_v")).where("_ok is not null")
+    g = rows.groupBy(*by, "_ok").agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("_v")).alias("s"))
+    g = g.select(*by, "_ok", F.struct(vector_to_array("s.mean").alias("m"), vector_to_array("s.variance").alias("v"), F.col("s.count").alias("n")).alias("s"))
+    wide = g.groupBy(*by).agg(F.first(F.when(F.col("_ok"), F.col("s")), ignorenulls=True).alias("c"),
+                              F.first(F.when(~F.col("_ok"), F.col("s")), ignorenulls=True).alias("w"))
+    cells = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), F.col("c.m").alias("correct_mean"), F.col("w.m").alias("error_mean"), F.col("c.v").alias("variance"))
+    long = wide.where("c is not null and w is not null").select(*by, F.col("c.n").alias("_n"), F.explode(cells).alias("r")).select(*by, "_n", "r.*")
+    # the summary's variance divides by n - 1; the effect takes the population's
+    std = F.sqrt(F.col("variance") * (F.col("_n") - 1) / F.col("_n"))
+    diff = F.abs(F.col("error_mean") - F.col("correct_mean"))
+    eff = F.when(std > eps, diff / F.nullif(std, F.lit(0.0))).otherwise(F.lit(0.0)) if normalise else diff
+    return long.withColumn("effect", eff).select(*by, "feature", "effect", "correct_mean", "error_mean")
+
+
 def error_rate_bins(scored: DataFrame, by=(), y: str = "y", p: str = "p", pred: str = "pred",
                     bins: int = 10) -> DataFrame:
     """Bins [e_b, e_{b+1}) with edges np.linspace(0, 1, bins+1); p = 1 is in
@@ -409,20 +428,13 @@ def metrics_melt(wide: DataFrame, id_col: str = "model", metrics: Sequence[str]
 def best_model(comparison: DataFrame, model: str = "model",
                maximise=("f1", "auc", "nlos_recall"), minimise=("fn",)) -> DataFrame:
     """(metric, best_model, value): first model in name order on ties."""
-    rows = []
-    for m in maximise:
-        rows.append(comparison.select(F.lit(m).alias("metric"), F.col(model), F.col(m).cast("double").alias("value"),
-                                      F.col(m).cast("double").alias("_key")))
-    for m in minimise:
-        rows.append(comparison.select(F.lit(m).alias("metric"), F.col(model), F.col(m).cast("double").alias("value"),
-                                      (-F.col(m).cast("double")).alias("_key")))
-    u = rows[0]
-    for r in rows[1:]:
-        u = u.unionByName(r)
+    metrics = [*maximise, *minimise]
+    u = metrics_melt(comparison.select(model, *[F.col(m).cast("double").alias(m) for m in metrics]), model, metrics)
+    key = F.when(F.col("metric").isin(list(minimise)), -F.col("score")).otherwise(F.col("score"))
     # small table: models x metrics
     w = Window.partitionBy("metric").orderBy(F.desc("_key"), F.col(model))
-    return u.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(
-        "metric", F.col(model).alias("best_model"), "value")
+    return u.withColumn("_key", key).withColumn("_r", F.row_number().over(w)).where("_r = 1").select(
+        "metric", F.col(model).alias("best_model"), F.col("score").alias("value"))
 
 
 def metric_duel(comparison: DataFrame, a: str, b: str, model: str = "model",

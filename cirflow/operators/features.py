@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from cirflow.functions import scalars as S
 from cirflow.functions import waves as W
-from cirflow.operators.quantiles import SMALL_GROUP_ROWS, group_quantiles
+from cirflow.operators.quantiles import group_quantiles
+from cirflow.session import stored
 
 RATIO_FEATURES = ["FP_AMP_ratio", "SNR_per_acc", "signal_to_noise", "noise_ratio", "FP_power"]
 SHAPE_FEATURES = ["CIR_peak", "CIR_peak_idx", "CIR_energy", "CIR_kurtosis", "CIR_skewness",
@@ -101,18 +102,11 @@ def found_rate(df: DataFrame, found: str = "PEAK2_FOUND") -> DataFrame:
 
 
 def fit_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
-    """Exact medians of ``cols`` (NULLs ignored), fitted scalars. Up to
-    SMALL_GROUP_ROWS rows: one aggregate for all columns; beyond: the
-    bounded two-pass quantile per column."""
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    if d.count() <= SMALL_GROUP_ROWS:      # column pruning: the count skips the feature columns
-        row = d.agg(*[F.percentile(c, 0.5).alias(c) for c in cols]).first()
-        return {c: row[c] for c in cols}
-    out = {}
-    for c in cols:
-        q = group_quantiles(d, c, [0.5], names=["m"], force_banded=True).first()
-        out[c] = None if q is None else q["m"]
-    return out
+    """Exact medians of ``cols`` (NULLs ignored), fitted scalars: the columns
+    are the groups of one selection."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("x")) for c in cols])).alias("s"))
+    got = {r["c"]: r["m"] for r in group_quantiles(long.select("s.c", "s.x"), "x", [0.5], ["c"], names=["m"]).collect()}
+    return {c: got.get(c) for c in cols}
 
 
 def median_impute(df: DataFrame, cols: Sequence[str] = ("PEAK2_GAP", "PEAK2_AMP", "PEAK2_IDX"),
@@ -121,7 +115,9 @@ def median_impute(df: DataFrame, cols: Sequence[str] = ("PEAK2_GAP", "PEAK2_AMP"
     """Replace NULLs by the column median of ``fit_df`` (default: ``df``
     itself, the reference's behaviour; pass the train split to avoid
     leakage), then recompute the second-path range from the imputed gap."""
-    med = fit_medians(fit_df if fit_df is not None else df, cols)
+    if fit_df is None:
+        df = fit_df = stored(df, "impute")       # the peak search runs once, for the medians and the rows
+    med = fit_medians(fit_df, cols)
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit(med[c]).cast("double")) for c in cols})
     if rng is not None and gap in cols:
         df = df.withColumn("RANGE_PATH2_EST", S.second_range(rng, gap))

@@ -1,121 +1,105 @@
-"""Exact grouped quantiles that stay bounded per group.
-
-Spark's exact ``percentile`` keeps a value->count map of the whole group in
-one task, which breaks when one group holds a third of the rows. Here exact
-quantiles are found in two passes:
-
-1. per group: ``count`` and ``percentile_approx`` at ``q -/+ margin`` give a
-   value bracket [lo, hi] around each wanted rank (pinned by a checkpoint);
-2. per group, in one aggregation: rows strictly below ``lo`` collapse into
-   one count and rows inside [lo, hi] are grouped into (value, count)
-   pairs -- a band of about ``4 * n / accuracy`` rows -- whose running
-   counts locate the exact ranks.
-
-The interpolation is linear between the order statistics at
-floor(h) and ceil(h), h = (n-1) q (NumPy / pandas default). When a bracket
-misses its rank (approximation failure) the group falls back to an
-unbounded bracket, so the answer is always exact.
-
-When pass 1 shows every group is small, pass 2 is Spark's exact
-``percentile`` instead (same definition).
+"""Exact grouped quantiles by distributed selection.
+
+A value's 64 bits, signs flipped where needed, order like the value. They are
+written once as integers. Each round counts, per group, the values that share
+the next 16 bits, among those that agree with a wanted value in the bits known
+so far; the running count tells which 16 bits the wanted value has. A round
+ends for a wanted rank when all values left are equal: two or three rounds for
+most data, four at most, on one path whatever the number of rows. No task holds
+a group: a round's state is at most 2^16 counts for each wanted rank, summed on
+the map side first.
+
+Quantiles interpolate linearly between the order statistics at floor(h) and
+ceil(h), h = (n - 1) q. NULLs are ignored, NaN is above every number, -0.0 is
+0.0. NULL groups are groups. A group without values is absent; without groups
+the result is one row, NULL if there is no value.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Groups at or below this many rows use Spark's exact percentile directly.
-SMALL_GROUP_ROWS = 2_000_000
-APPROX_ACCURACY = 100_000
+from cirflow.session import stored
+
+#: Bits that a round decides.
+ROUND_BITS = 16
+_LOW = np.int64(0x7FFFFFFFFFFFFFFF)
 
 
 def _qname(q: float) -> str:
     return "q_" + f"{q:g}".replace(".", "_").replace("-", "m")
 
 
-def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    by: Sequence[str] = (), names: Sequence[str] | None = None,
-                    force_banded: bool = False) -> DataFrame:
-    """(by..., <name per prob>) exact linearly interpolated quantiles of
-    ``value`` (NULLs ignored). Two passes over the input for small groups
-    (size check, exact percentile); three for large ones (size check,
-    brackets, one merged locate aggregation)."""
-    by = list(by)
+def ordered_bits(x: np.ndarray) -> np.ndarray:
+    """Integers that order like the doubles."""
+    bits = (np.where(np.isnan(x), np.nan, x) + 0.0).view(np.int64)
+    return bits ^ ((bits >> 63) & _LOW)
+
+
+def from_ordered_bits(key: np.ndarray) -> np.ndarray:
+    return (key ^ ((key >> 63) & _LOW)).view(np.float64)
+
+
+def _mapped(df: DataFrame, source: str, out: str, kind: str, of) -> DataFrame:
+    """``df`` with column ``source`` replaced by ``out``, a function of its values."""
+    rest = [f for f in df.schema.fields if f.name != source]
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rest], f"`{out}` {kind}"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(of(batch.column(len(rest)).to_numpy(zero_copy_only=False)))], names=[*[f.name for f in rest], out])
+
+    return df.select(*[f"`{f.name}`" for f in rest], source).mapInArrow(run, schema)
+
+
+def _joined(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Inner join in which NULL keys meet; ``b``'s keys are dropped."""
+    b = b.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return a.join(b, cond).drop(*[f"_r_{c}" for c in cols])
+
+
+def group_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
+    """(by..., <name per prob>): exact, linearly interpolated quantiles of ``value``."""
+    by, probs = list(by), [float(q) for q in probs]
     names = list(names) if names else [_qname(q) for q in probs]
-    probs = [float(q) for q in probs]
-    d = df.select(*by, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    # pass 1: group sizes and approximate brackets around every wanted rank
-    margin_probs = []
-    for q in probs:
-        margin_probs += [max(q - 2.0 / APPROX_ACCURACY, 0.0), min(q + 2.0 / APPROX_ACCURACY, 1.0)]
-    stats = d.groupBy(*by).agg(
-        F.count("*").alias("_n"),
-        F.percentile_approx("_x", F.array(*[F.lit(p) for p in margin_probs]), APPROX_ACCURACY).alias("_b"))
-    if not force_banded:
-        # only the counts are needed here: the sketch aggregate is pruned away
-        biggest = stats.agg(F.max("_n")).first()[0]
-        if biggest is None or biggest <= SMALL_GROUP_ROWS:
-            # pass 2: every group is small -- Spark's exact percentile
-            out = d.groupBy(*by).agg(F.percentile("_x", F.array(*[F.lit(q) for q in probs])).alias("_q"))
-            return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    # brackets are pinned (reliable checkpoint in the shared folder) so that a
-    # recomputation after executor loss cannot hand later stages different ones
-    from cirflow.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(d.sparkSession)
-    return _banded(d, by, probs, names, stats.checkpoint(eager=True))
-
-
-def _banded(d: DataFrame, by: list[str], probs: list[float], names: list[str], stats: DataFrame) -> DataFrame:
-    # one row per (group, wanted prob): bracket and wanted 0-based ranks
-    per_q = stats.select(*by, "_n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("qi"), F.lit(q).alias("q"),
-                 F.col("_b")[2 * i].alias("lo"), F.col("_b")[2 * i + 1].alias("hi"))
-        for i, q in enumerate(probs)])).alias("s")).select(*by, "_n", "s.*")
-    per_q = per_q.withColumn("h", (F.col("_n") - 1) * F.col("q"))
-    per_q = per_q.withColumn("r0", F.floor("h")).withColumn("r1", F.ceil("h"))
-
-    def locate(brackets: DataFrame) -> DataFrame:
-        """Pass 2: one aggregation. Rows below the bracket collapse into one
-        (flag 0) count per (group, prob); rows inside it are counted per
-        distinct value (flag 1); running counts in (flag, value) order give
-        each band value its rank range."""
-        if by:
-            # brackets: one row per (group, prob); AQE broadcasts it when its measured size allows
-            joined = d.join(brackets.select(*by, "qi", "lo", "hi"), by)
-        else:  # no groups: the few brackets become literal filters
-            parts = [d.select("_x", F.lit(r["qi"]).alias("qi"), F.lit(r["lo"]).cast("double").alias("lo"),
-                              F.lit(r["hi"]).cast("double").alias("hi"))
-                     for r in brackets.select("qi", "lo", "hi").collect()]
-            joined = parts[0] if parts else d.select(
-                "_x", F.lit(0).alias("qi"), F.lit(None).cast("double").alias("lo"),
-                F.lit(None).cast("double").alias("hi")).where(F.lit(False))
-            for p_ in parts[1:]:
-                joined = joined.unionByName(p_)
-        lo, hi, x = F.col("lo"), F.col("hi"), F.col("_x")
-        flag = (F.when(lo.isNotNull() & (x < lo), F.lit(0))
-                 .when((lo.isNull() | (x >= lo)) & (hi.isNull() | (x <= hi)), F.lit(1)))
-        keyed = joined.select(*by, "qi", flag.alias("_f"), F.when(flag == 1, x).alias("_v")) \
-                      .where(F.col("_f").isNotNull())
-        band = keyed.groupBy(*by, "qi", "_f", "_v").agg(F.count("*").alias("c"))
-        w = Window.partitionBy(*by, "qi").orderBy("_f", "_v")
-        band = band.withColumn("cum", F.sum("c").over(w)).where(F.col("_f") == 1)
-        band = band.join(brackets.select(*by, "qi", "r0", "r1", "h"), [*by, "qi"])
-        start, end = F.col("cum") - F.col("c"), F.col("cum")
-        hit0 = (end > F.col("r0")) & (start <= F.col("r0"))
-        hit1 = (end > F.col("r1")) & (start <= F.col("r1"))
-        return band.groupBy(*by, "qi").agg(
-            F.max(F.when(hit0, F.col("_v"))).alias("v0"),
-            F.max(F.when(hit1, F.col("_v"))).alias("v1"),
-            F.first("h").alias("h"), F.first("r0").alias("r0"))
-
-    got = locate(per_q)
-    ok = got.where(F.col("v0").isNotNull() & F.col("v1").isNotNull())
-    missing = per_q.join(ok.select(*by, "qi"), [*by, "qi"], "left_anti")
-    retry = locate(missing.withColumn("lo", F.lit(None).cast("double")).withColumn("hi", F.lit(None).cast("double")))
-    res = ok.unionByName(retry).withColumn(
-        "val", F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("h") - F.col("r0")))
-    return res.groupBy(*by).agg(*[F.max(F.when(F.col("qi") == i, F.col("val"))).alias(n)
-                                  for i, n in enumerate(names)])
+    groups = [f"_g{i}" for i in range(len(by))]
+    rows = df.select(*[F.col(b).alias(g) for b, g in zip(by, groups)], F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    keys = stored(_mapped(rows, "_x", "key", "bigint", ordered_bits), "quantile-keys")
+
+    # the wanted ranks of each group: one row for each order statistic
+    wanted = keys.groupBy(*groups).agg(F.count("*").alias("n")).where("n > 0")
+    ranks = F.array(*[F.struct(F.lit(i).alias("q"), ((F.col("n") - 1) * F.lit(q)).alias("h")) for i, q in enumerate(probs)])
+    wanted = wanted.select(*groups, F.explode(ranks).alias("w")).select(*groups, "w.q", "w.h")
+    ends = F.explode(F.array_distinct(F.array(F.floor("h"), F.ceil("h")))).alias("rank")
+    wanted = stored(wanted.select(*groups, "q", "h", ends), "quantile-ranks")
+
+    state = wanted.select(*groups, "rank").distinct().withColumn("left", F.col("rank")).withColumn("prefix", F.lit(0).cast("bigint"))
+    done = None
+    for shift in range(64 - ROUND_BITS, -1, -ROUND_BITS):
+        prefix = F.shiftright("key", shift + ROUND_BITS) if shift + ROUND_BITS < 64 else F.lit(0).cast("bigint")
+        part = keys.withColumn("prefix", prefix)
+        if shift + ROUND_BITS < 64:                          # values that agree with a wanted one so far
+            part = _joined(part, state.select(*groups, "prefix").distinct(), [*groups, "prefix"])
+        counts = part.groupBy(*groups, "prefix", F.shiftright("key", shift).alias("piece")).agg(F.count("*").alias("c"), F.min("key").alias("low"), F.max("key").alias("high"))
+        before = Window.partitionBy(*groups, "prefix").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0)))
+        hit = _joined(state, counts, [*groups, "prefix"]).where((F.col("before") <= F.col("left")) & (F.col("left") < F.col("before") + F.col("c")))
+        hit = stored(hit.select(*groups, "rank", (F.col("left") - F.col("before")).alias("left"), F.col("piece").alias("prefix"), "low", "high"), "quantile-round")
+        found = hit.where("low = high").select(*groups, "rank", F.col("low").alias("key"))
+        done = found if done is None else done.unionAll(found)
+        state = hit.where("low < high").select(*groups, "rank", "left", "prefix")
+        if state.isEmpty():
+            break
+    values = _mapped(done.select(*groups, "rank", "key"), "key", "v", "double", from_ordered_bits)
+    ends = _joined(wanted, values, [*groups, "rank"]).groupBy(*groups, "q").agg(F.min_by("v", "rank").alias("v0"), F.max_by("v", "rank").alias("v1"), F.first("h").alias("h"))
+    at = F.when(F.col("v0") == F.col("v1"), F.col("v0")).otherwise(F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("h") - F.floor("h")))
+    out = ends.groupBy(*groups).agg(*[F.max(F.when(F.col("q") == i, at)).alias(n) for i, n in enumerate(names)])
+    return stored(out, "quantiles").withColumnsRenamed(dict(zip(groups, by)))

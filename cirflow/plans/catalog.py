@@ -543,8 +543,7 @@ def auc_trapezoid(spark, sf):
 
 @q("multi_model_roc")
 def multi_model_roc(spark, sf):
-    s = FX.scored(spark, sf)
-    return C.roc_curve(s, "model").join(C.roc_auc(s, "model"), "model")
+    return C.curve_and_auc(FX.scored(spark, sf), "model")
 
 
 @q("threshold_tune")
@@ -572,27 +571,19 @@ def error_prob_stats(spark, sf):
     return rnd(C.error_prob_stats(scored_pred(spark, sf), "model"), ["mean", "std", "min", "max", "median"], 9)
 
 
-ERR_FEATURES = ["value", "uid", "eid"]
-
-
-def _errors_with_features(spark, sf) -> DataFrame:
-    s = scored_pred(spark, sf)
-    ev = FX.table(spark, sf, "events").select(
-        F.col("event_id").alias("id"), "value", F.col("user_id").cast("double").alias("uid"),
-        (F.col("event_id") % 97).cast("double").alias("eid"))
-    return s.join(ev, "id")
+def _vector_shift(spark, sf, normalise: bool) -> DataFrame:
+    rows = scored_pred(spark, sf).join(FX.event_features(spark, sf), "id")
+    return C.error_vector_shift(rows, "features", [f"F{i}" for i in range(FX.EVENT_FEATURES)], normalise=normalise, by="model")
 
 
 @q("error_feature_shift")
 def error_feature_shift(spark, sf):
-    out = C.error_feature_shift(_errors_with_features(spark, sf), ERR_FEATURES, by="model")
-    return rnd(out, ["effect", "correct_mean", "error_mean"], 6)
+    return rnd(_vector_shift(spark, sf, False), ["effect", "correct_mean", "error_mean"], 6)
 
 
 @q("error_feature_effect")
 def error_feature_effect(spark, sf):
-    out = C.error_feature_shift(_errors_with_features(spark, sf), ERR_FEATURES, normalise=True, by="model")
-    return rnd(out, ["effect", "correct_mean", "error_mean"], 6)
+    return rnd(_vector_shift(spark, sf, True), ["effect", "correct_mean", "error_mean"], 6)
 
 
 @q("error_rate_bins")
@@ -713,8 +704,7 @@ def topk_abs(spark, sf):
 
 @q("topk_error_features")
 def topk_error_features(spark, sf):
-    out = C.error_feature_shift(_errors_with_features(spark, sf), ERR_FEATURES, normalise=True, by="model")
-    return rnd(RK.topk(out, "effect", 10, name="feature"), ["effect", "correct_mean", "error_mean"], 6)
+    return rnd(RK.topk(_vector_shift(spark, sf, True), "effect", 10, name="feature"), ["effect", "correct_mean", "error_mean"], 6)
 
 
 # ================================================================ 2.12 set operations

@@ -428,21 +428,19 @@ SELECT model, n_wrong, n_near, n_confident, n_band_near, n_wrong - n_band_near A
 SQL["error_prob_stats"] = with_("scored_pred") + f"""SELECT model, count(*) AS n_wrong, {r('avg(p)', 9)} AS mean,
     {r('stddev_pop(p)', 9)} AS std, {r('min(p)', 9)} AS min, {r('max(p)', 9)} AS max, {r('quantile_cont(p, 0.5)', 9)} AS median
     FROM scored_pred WHERE y <> pred GROUP BY model"""
-_EF = with_("scored_pred", extra=[("ef", """SELECT s.*, e.value, CAST(e.user_id AS DOUBLE) AS uid,
-    CAST(e.event_id % 97 AS DOUBLE) AS eid FROM scored_pred s JOIN events e ON e.event_id = s.id""")])
+_EF = with_("scored_pred", extra=[("vec", """SELECT event_id AS id, [value, CAST(user_id AS DOUBLE)] ||
+    list_transform(range(148), lambda i: CAST((event_id * (i * 2 + 3)) % 1009 AS DOUBLE) / 10.0::DOUBLE + (i % 5) * value) AS f FROM events"""),
+    ("ef", "SELECT s.model, s.y, s.pred, i, f[i + 1] AS x FROM scored_pred s JOIN vec v ON v.id = s.id, range(150) r(i)")])
 
 
 def shift_sql(normalise: bool) -> str:
-    parts = []
-    for c in ("value", "uid", "eid"):
-        cm, em = f"avg({c}) FILTER (y = pred)", f"avg({c}) FILTER (y <> pred)"
-        sd = f"stddev_pop({c}) FILTER (y = pred)"
-        eff = f"abs({em} - {cm})"
-        if normalise:
-            eff = f"CASE WHEN {sd} > 1e-10 THEN {eff} / {sd} ELSE 0.0 END"
-        parts.append(f"""SELECT model, '{c}' AS feature, {r(eff)} AS effect, {r(cm)} AS correct_mean, {r(em)} AS error_mean
-            FROM ef GROUP BY model HAVING count(*) FILTER (y = pred) > 0 AND count(*) FILTER (y <> pred) > 0""")
-    return " UNION ALL ".join(parts)
+    cm, em = "avg(x) FILTER (y = pred)", "avg(x) FILTER (y <> pred)"
+    sd = "stddev_pop(x) FILTER (y = pred)"
+    eff = f"abs({em} - {cm})"
+    if normalise:
+        eff = f"CASE WHEN {sd} > 1e-10 THEN {eff} / {sd} ELSE 0.0 END"
+    return f"""SELECT model, 'F' || i AS feature, {r(eff)} AS effect, {r(cm)} AS correct_mean, {r(em)} AS error_mean
+        FROM ef GROUP BY model, i HAVING count(*) FILTER (y = pred) > 0 AND count(*) FILTER (y <> pred) > 0"""
 
 
 SQL["error_feature_shift"] = _EF + shift_sql(False)

@@ -72,3 +72,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "cirflow", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df, name: str):
+    """Write ``df`` once to the shared folder and read it back: later plans
+    start from files that every executor can read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -100,6 +100,17 @@ def scored_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("user_id") % 21) / 20.0).alias("m3"))
 
 
+#: Features of an event: its value, its user, and readings derived from both.
+EVENT_FEATURES = 150
+
+
+def event_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, features): a vector of ``EVENT_FEATURES`` numbers for each event."""
+    readings = F.transform(F.sequence(F.lit(0), F.lit(EVENT_FEATURES - 3)),
+                           lambda i: (F.col("event_id") * (i * 2 + 3)) % 1009 / 10.0 + (i % 5) * F.col("value"))
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.concat(F.array("value", F.col("user_id").cast("double")), readings).alias("features"))
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long scored table (id, y, model, p)."""
     return scored_wide(spark, sf_dir).unpivot(["id", "y"], list(SCORED_MODELS), "model", "p")

@@ -39,11 +39,23 @@ def _auc_brute(rows):
     return s / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("resolution", [1, 3, 64])
-def test_auc_and_roc_against_brute_force(spark, resolution):
+@pytest.fixture
+def ranges(spark, request):
+    """So many ranges, none put together for being small."""
+    keys = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 16], indirect=True)
+def test_auc_and_roc_against_brute_force(spark, ranges):
     rows = _scored(400, 3)
     df = spark.createDataFrame(rows, "id int, y int, p double, model string")
-    cum = C.score_cumulative(df, "model", resolution=resolution)
+    cum = C.score_cumulative(df, "model")
     got = {r["model"]: r["auc"] for r in
            cum.groupBy("model").agg((F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") / 2.0))
                                      / (F.first("tot_pos") * F.first("tot_neg"))).alias("auc")).collect()}
@@ -81,12 +93,19 @@ def test_error_rate_bins_excludes_one(spark):
     assert bins["0.9-1.0"]["error_rate"] == 1.0
 
 
-def test_score_bucket_monotone(spark):
-    from pyspark.sql import functions as F
-    ps = sorted({0.0, 1.0, 0.5, 1e-300, 1 - 1e-16, 0.4999999999, 0.5000000001, -3.0, 7.0, 1e-9, 1 - 1e-9}
-                | {i / 997 for i in range(998)})
-    df = spark.createDataFrame([(p,) for p in ps], "p double")
-    rows = df.select("p", C.score_bucket(F.col("p")).alias("b")).orderBy("p").collect()
-    bs = [r["b"] for r in rows]
-    assert all(a >= b for a, b in zip(bs, bs[1:]))          # non-increasing in p
-    assert len(set(bs)) > 500
+@pytest.mark.parametrize("ranges", [16], indirect=True)
+def test_concentrated_scores_spread_over_ranges(spark, ranges):
+    """Scores inside one part in a million, of one model: no range holds more than its share."""
+    rng = random.Random(9)
+    rows = [(i, rng.randint(0, 1), 0.7 + rng.random() * 1e-7, "a") for i in range(8000)]
+    df = spark.createDataFrame(rows, "id int, y int, p double, model string")
+    sizes = [r["count"] for r in C.ranged(df.select("model", "p").distinct(), F.col("model"), F.desc("p")).groupBy("_part").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 8000 / 16
+    got = {r["model"]: r["auc"] for r in C.roc_auc(df, "model").collect()}
+    order = sorted(rows, key=lambda r: r[2])
+    ranks = sum(i + 1 for i, r in enumerate(order) if r[1] == 1)
+    pos = sum(r[1] for r in rows)
+    assert got == {"a": pytest.approx((ranks - pos * (pos + 1) / 2) / (pos * (8000 - pos)), abs=1e-12)}
+    both = C.curve_and_auc(df, "model")
+    assert {r["auc"] for r in both.select("auc").distinct().collect()} == set(got.values())
+    assert both.count() == C.roc_curve(df, "model").count()

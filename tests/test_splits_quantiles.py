@@ -1,9 +1,10 @@
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cirflow.operators import splits as SP
-from cirflow.operators.quantiles import group_quantiles
+from cirflow.operators.quantiles import from_ordered_bits, group_quantiles, ordered_bits
 from cirflow.sources.fixtures import md5_int
 from tests.conftest import SF01
 
@@ -62,16 +63,32 @@ def test_class_tables_are_broadcast_and_null_classes_stay(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_banded_quantiles_equal_exact(spark):
-    # one hot group holds most rows; banded two-pass must equal exact percentile
-    df = spark.range(60000).select(
-        F.when(F.col("id") < 40000, F.lit("hot")).otherwise((F.col("id") % 5).cast("string")).alias("g"),
-        ((F.col("id") * 7919) % 1013).cast("double").alias("x"))
-    probs = [0.25, 0.5, 0.75, 0.9]
-    a = {r["g"]: tuple(r[1:]) for r in group_quantiles(df, "x", probs, ["g"], force_banded=True).collect()}
-    b = {r["g"]: tuple(r[1:]) for r in group_quantiles(df, "x", probs, ["g"]).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert a[k] == pytest.approx(b[k], abs=1e-9)
-    one = group_quantiles(df, "x", [0.5], force_banded=True).first()[0]
-    assert one == pytest.approx(group_quantiles(df, "x", [0.5]).first()[0])
+def test_selection_equals_numpy(spark):
+    """One hot group, one of few values, one of huge and tiny numbers of either sign, one of a single row, a NULL group."""
+    rng = np.random.default_rng(4)
+    groups = {"hot": rng.normal(0, 1, 20000).tolist(), "few": rng.integers(0, 3, 999).astype(float).tolist(),
+              "wide": (rng.choice([-1.0, 1.0], 501) * 10.0 ** rng.uniform(-300, 300, 501)).tolist() + [float("inf"), float("-inf"), 0.0, -0.0, 5e-324],
+              "one": [7.5], None: [1.0, 2.0], "close": (1.0 + np.arange(400) * 2.0 ** -52).tolist()}
+    rows = [(g, x) for g, xs in groups.items() for x in xs] + [("hot", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(8)
+    probs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = {r[0]: tuple(r[1:]) for r in group_quantiles(df, "x", probs, ["g"]).collect()}
+    assert got.keys() == groups.keys()
+    for g, xs in groups.items():
+        xs = sorted(x for x in xs)
+        for q, v in zip(probs, got[g], strict=True):
+            h = (len(xs) - 1) * q
+            a, b = xs[int(np.floor(h))], xs[int(np.ceil(h))]
+            assert v == (a if a == b else pytest.approx(a + (b - a) * (h - np.floor(h)), rel=1e-15))
+    plain = df.where("g = 'hot'")
+    assert group_quantiles(plain, "x", [0.5], names=["m"]).collect() == [(pytest.approx(float(np.median(groups["hot"])), abs=1e-15),)]
+    assert group_quantiles(df.where("false"), "x", [0.5], ["g"]).count() == 0 and group_quantiles(df.where("x is null"), "x", [0.5], names=["m"]).collect() == [(None,)]
+    nan = spark.createDataFrame([(1.0,), (float("nan"),), (2.0,)], "x double")
+    assert group_quantiles(nan, "x", [0.5], names=["m"]).first()["m"] == 2.0
+
+
+def test_ordered_bits_order_like_the_values():
+    x = np.array([float("-inf"), -1e300, -1.0, -5e-324, 0.0, 5e-324, 1.0, 1e300, float("inf"), float("nan")])
+    bits = ordered_bits(x)
+    assert (np.diff(bits) > 0).all() and ordered_bits(np.array([-0.0]))[0] == bits[4]
+    assert np.array_equal(from_ordered_bits(bits), x, equal_nan=True)
