@@ -149,7 +149,7 @@ def histograms(bins: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray,
     return out
 
 
-def best_cuts(hist: np.ndarray, p: Params) -> tuple[np.ndarray, ...]:
+def best_cuts(hist: np.ndarray, p: Params, least_rows: int = 1) -> tuple[np.ndarray, ...]:
     """For each histogram (bins, 3): gain, cut (left: bin <= cut), side of the missing, and (g, h, rows) left and in all.
     Of equal gains the first cut counts, missing values right before left."""
     missing, total = hist[:, 0], hist.sum(1)
@@ -161,7 +161,7 @@ def best_cuts(hist: np.ndarray, p: Params) -> tuple[np.ndarray, ...]:
     best = None
     for way, left in enumerate(ways):
         right = total[:, None] - left
-        ok = (left[..., 1] >= p.min_child_weight) & (right[..., 1] >= p.min_child_weight) & (left[..., 2] > 0) & (right[..., 2] > 0)
+        ok = (left[..., 1] >= p.min_child_weight) & (right[..., 1] >= p.min_child_weight) & (left[..., 2] >= least_rows) & (right[..., 2] >= least_rows)
         gain = np.where(ok, score(left[..., 0], left[..., 1], p) + score(right[..., 0], right[..., 1], p) - parent[:, None], -np.inf)
         gain = gain.astype(np.float32).astype(float)         # sums in another order give the same ties
         at = gain.argmax(1)
@@ -187,9 +187,15 @@ def grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, columns: np.ndarray, p:
         sums = [np.bincount(slot, x[rows], len(level)) for x in (g, h)]
         for s, node in enumerate(level):
             tree.value[node], tree.cover[node] = leaf_value(sums[0][s], sums[1][s], p), float(sums[1][s])
-        if d == depth or not len(columns):
+        # nodes too light for two sides stay leaves
+        open_ = np.flatnonzero((sums[1] >= 2 * p.min_child_weight) & (np.bincount(slot, None, len(level)) > 1))
+        if d == depth or not len(columns) or not len(open_):
             break
-        hist = histograms(bins[rows], slot, g[rows], h[rows], len(level), columns)
+        place = np.full(len(level), -1)
+        place[open_] = np.arange(len(open_))
+        keep = place[slot] >= 0
+        level = [level[s] for s in open_]
+        hist = histograms(bins[rows[keep]], place[slot[keep]], g[rows[keep]], h[rows[keep]], len(level), columns)
         gain, cut, missing, _, _ = best_cuts(hist.reshape(-1, BINS, 3), p)
         gain, cut, missing = (x.reshape(len(level), len(columns)) for x in (gain, cut, missing))
         column = gain.argmax(1)

@@ -1,79 +1,171 @@
 """Exact k-nearest-neighbour regression.
 
-Plan (no broadcast of data that grows, no row pairs materialised):
-
-1. rows of both sides are hashed into blocks of about ``block_rows`` rows
-   (query blocks Q, train blocks T; the two counts are one action each);
-2. each query row is sent to every train block and each train row to every
-   query block -- the classic block nested-loop layout -- and the two sides
-   are co-grouped per (query block, train block);
-3. inside a group, NumPy computes the |Bq| x |Bt| distance matrix and keeps
-   only each query's k nearest (ties by train id), so a task emits at most
-   k rows per query;
-4. per query, the k*T candidates are cut to the global k with a
-   row_number <= k filter (Spark applies it partially before the exchange)
-   and combined into the 1/d-weighted mean (exact hits take all the weight,
-   as scikit-learn's ``weights='distance'``).
-
-Work is O(n_query * n_train * dim) -- inherent to exact KNN; it is spread
-over Q*T independent tasks.
+A join pruned by pivots and the triangle inequality:
+
+1. a bounded number of pivots is drawn from the train rows by a hash of the id.
+   Every row of either side goes to its nearest pivot and, by its distance
+   to it, into a ring; rings are cut from the data's quantiles, and one with
+   more than ``block_rows`` rows (equal distances) is split by a hash, so that
+   blocks are small whatever the data. The driver gets one line a train block:
+   pivot, smallest and largest distance, rows;
+2. first round: each query row names the nearest rings, by the bound
+   |d(q, pivot) - ring|, that hold ``k`` rows. The pairs of blocks named are
+   compared; every query row then has an upper bound, its k-th distance;
+3. second round: the pairs of blocks that a query row's bound still allows and
+   that were not compared yet. All others are provably farther than k rows;
+4. per query row the candidates of its pairs are cut to ``k`` (ties by train id)
+   and combined into the 1/d-weighted mean (exact hits take all the weight, as
+   scikit-learn's ``weights='distance'``).
+
+Only blocks in a named pair are sent, to the pairs they are in. Where the
+bounds prune nothing (many dimensions, no clusters) all pairs of blocks are
+compared, spread over as many tasks.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cirflow.session import stored
+
 BLOCK_ROWS = 4096
+#: Pivots at most; numbers of a tile of differences.
+PIVOTS, TILE = 64, 4_000_000
+_CANDIDATE = "qid long, tid long, d2 double, target double"
+
+
+def _distances(x: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Squared distances, sums of squared differences of each pair, a tile at a time."""
+    out = np.empty((len(x), len(points)))
+    step = max(1, TILE // max(1, points.size))
+    for a in range(0, len(x), step):
+        out[a:a + step] = ((x[a:a + step, None, :] - points[None, :, :]) ** 2).sum(axis=2)
+    return out
+
+
+def _matrix(col: pa.Array) -> np.ndarray:
+    return np.asarray(col.flatten().to_numpy(zero_copy_only=False), float).reshape(len(col), -1)
+
+
+def _placed(rows: DataFrame, pivots: np.ndarray, block_rows: int, name: str) -> DataFrame:
+    """``rows`` (id, f, ...) with ``block`` and ``r``, the distance to the block's pivot."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+    def nearest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                d = np.sqrt(_distances(_matrix(batch.column(1)), pivots))
+                at = d.argmin(1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int32)), pa.array(d[np.arange(len(at)), at])], names=[*batch.schema.names, "pivot", "r"])
+
+    rows = stored(rows.mapInArrow(nearest, f"{schema}, pivot int, r double"), f"knn-{name}")
+    sizes = {r["pivot"]: r["n"] for r in rows.groupBy("pivot").agg(F.count("*").alias("n")).collect()}      # at most PIVOTS lines
+    most = max([math.ceil(n / block_rows) for n in sizes.values()], default=1)
+    cuts = {r["pivot"]: sorted(set(r["c"])) for r in rows.groupBy("pivot").agg(F.percentile_approx("r", F.array(*[F.lit(i / most) for i in range(1, most)]), 10_000).alias("c")).collect()} if most > 1 else {}
+
+    def rings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pivot, r = np.asarray(batch.column(batch.num_columns - 2)), np.asarray(batch.column(batch.num_columns - 1))
+            ring = np.zeros(len(r), np.int32)
+            for p in np.unique(pivot).tolist():
+                some = pivot == p
+                # a pivot's rows are cut into as many rings as they fill blocks
+                every = max(1, most // max(1, math.ceil(sizes[p] / block_rows)))
+                ring[some] = np.searchsorted(cuts.get(p, [])[every - 1::every], r[some], "left")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ring)], names=[*batch.schema.names, "ring"])
 
+    rows = stored(rows.mapInArrow(rings, f"{schema}, pivot int, r double, ring int"), f"knn-{name}")
+    parts = rows.groupBy("pivot", "ring").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
+    rows = rows.join(parts, ["pivot", "ring"])
+    return rows.withColumn("block", F.concat_ws("-", "pivot", "ring", F.pmod(F.xxhash64("id"), "parts"))).drop("parts", "ring")
 
-def _blocks(df: DataFrame, block_rows: int) -> int:
-    return max(1, math.ceil(df.count() / block_rows))
-
-
-def knn_candidates(train: DataFrame, query: DataFrame, k: int, id_col: str = "id",
-                   feat: str = "w", target: str = "target", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(qid, tid, d2, target): the k nearest train rows of every query row
-    (squared Euclidean distance, ties by train id)."""
-    n_t = _blocks(train, block_rows)
-    n_q = _blocks(query, block_rows)
-    t = train.select(F.col(id_col).alias("tid"), F.col(feat).alias("tf"), F.col(target).cast("double").alias("ty"),
-                     F.pmod(F.xxhash64(id_col), F.lit(n_t)).cast("int").alias("tb"))
-    t = t.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
-    qd = query.select(F.col(id_col).alias("qid"), F.col(feat).alias("qf"),
-                      F.pmod(F.xxhash64(id_col), F.lit(n_q)).cast("int").alias("qb"))
-    qd = qd.withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(n_t - 1))))
-
-    def local_topk(qpdf: pd.DataFrame, tpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qpdf) == 0 or len(tpdf) == 0:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "tid": pd.Series([], dtype="int64"),
-                                 "d2": pd.Series([], dtype="float64"), "target": pd.Series([], dtype="float64")})
-        tord = np.argsort(tpdf["tid"].to_numpy(), kind="stable")
-        tids = tpdf["tid"].to_numpy()[tord]
-        ty = tpdf["ty"].to_numpy()[tord]
-        tm = np.stack(tpdf["tf"].to_numpy())[tord].astype(np.float64)
-        qm = np.stack(qpdf["qf"].to_numpy()).astype(np.float64)
-        # exact squared distances: sum of squared differences per pair
-        d2 = ((qm[:, None, :] - tm[None, :, :]) ** 2).sum(axis=2) if qm.shape[0] * tm.shape[0] <= 4_000_000 \
-            else np.stack([((tm - q) ** 2).sum(axis=1) for q in qm])
-        kk = min(k, tm.shape[0])
-        # stable sort by distance keeps ties in train-id order
-        idx = np.argsort(d2, axis=1, kind="stable")[:, :kk]
-        rows = np.repeat(np.arange(qm.shape[0]), kk)
-        cols = idx.reshape(-1)
-        return pd.DataFrame({"qid": np.repeat(qpdf["qid"].to_numpy(), kk).astype("int64"),
-                             "tid": tids[cols].astype("int64"),
-                             "d2": d2[rows, cols].astype("float64"),
-                             "target": ty[cols].astype("float64")})
-
-    cand = qd.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb")).applyInPandas(
-        local_topk, "qid long, tid long, d2 double, target double")
+
+def _pairs(queries: DataFrame, pivots: np.ndarray, blocks: list, k: int) -> DataFrame:
+    """(qb, tb): the pairs of blocks that query rows name. A row with a bound ``d2`` names every block it may find
+    something in; one without, the nearest blocks that hold ``k`` rows."""
+    names = np.array([b["block"] for b in blocks])
+    at, low, high, n = (np.array([b[c] for b in blocks]) for c in ("pivot", "low", "high", "n"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[str, str]] = set()
+        for batch in batches:
+            block, f, bound = batch.column(0).to_pylist(), _matrix(batch.column(1)), np.asarray(batch.column(2).to_numpy(zero_copy_only=False), float)
+            fresh: set[tuple[str, str]] = set()
+            for a in range(0, len(f), 256):
+                d = np.sqrt(_distances(f[a:a + 256], pivots))[:, at]
+                least = np.maximum(0, np.maximum(d - high, low - d))
+                for i in range(len(d)):
+                    if np.isnan(bound[a + i]):
+                        order = np.lexsort((d[i], least[i]))
+                        named = order[:int(np.searchsorted(np.cumsum(n[order]), k)) + 1]
+                    else:
+                        reach = math.sqrt(bound[a + i])
+                        named = np.flatnonzero(least[i] <= reach + 1e-9 * (1 + reach + d[i]))   # rounding never hides a block
+                    fresh.update((block[a + i], t) for t in names[named].tolist())
+            fresh -= seen
+            seen |= fresh
+            q, t = zip(*fresh) if fresh else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.string()), pa.array(t, pa.string())], names=["qb", "tb"])
+
+    return queries.mapInArrow(run, "qb string, tb string").distinct()
+
+
+def _compare(queries: DataFrame, train: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """Each query row's ``k`` nearest train rows of every pair its block is in."""
+
+    def nearest(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(t):
+            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "tid": pd.Series([], dtype="int64"), "d2": pd.Series([], dtype="float64"), "target": pd.Series([], dtype="float64")})
+        t = t.sort_values("tid", kind="stable")
+        d2 = _distances(np.stack(q["qf"].to_numpy()).astype(float), np.stack(t["tf"].to_numpy()).astype(float))
+        kk = min(k, len(t))
+        cols = np.argsort(d2, axis=1, kind="stable")[:, :kk]          # ties stay in train-id order
+        rows = np.repeat(np.arange(len(q)), kk)
+        cols = cols.reshape(-1)
+        return pd.DataFrame({"qid": q["qid"].to_numpy()[rows].astype("int64"), "tid": t["tid"].to_numpy()[cols].astype("int64"),
+                             "d2": d2[rows, cols], "target": t["ty"].to_numpy()[cols].astype("float64")})
+
+    q = queries.select(F.col("block").alias("qb"), F.col("id").alias("qid"), F.col("f").alias("qf")).join(pairs, "qb")
+    t = train.select(F.col("block").alias("tb"), F.col("id").alias("tid"), F.col("f").alias("tf"), F.col("target").alias("ty")).join(pairs, "tb")
+    return q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb")).applyInPandas(lambda a, b: nearest(a, b), _CANDIDATE)
+
+
+def _first(found: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("qid").orderBy("d2", "tid")
-    return cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
+    return found.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
+
+
+def knn_candidates(train: DataFrame, query: DataFrame, k: int, id_col: str = "id", feat: str = "w", target: str = "target", block_rows: int = BLOCK_ROWS,
+                   visited: list | None = None) -> DataFrame:
+    """(qid, tid, d2, target): the k nearest train rows of every query row (squared Euclidean distance, ties by train
+    id). ``visited`` gets the number of pairs of blocks compared and of all pairs."""
+    doubles = lambda c: F.transform(c, lambda x: x.cast("double"))
+    t = train.select(F.col(id_col).cast("long").alias("id"), doubles(feat).alias("f"), F.col(target).cast("double").alias("target"))
+    q = query.select(F.col(id_col).cast("long").alias("id"), doubles(feat).alias("f"))
+    drawn = t.select("f", "id").orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
+    if not drawn:
+        return train.sparkSession.createDataFrame([], _CANDIDATE)
+    pivots = np.unique(np.array([r["f"] for r in drawn], float), axis=0)
+    t, q = stored(_placed(t, pivots, block_rows, "train"), "knn-train"), stored(_placed(q, pivots, block_rows, "query"), "knn-query")
+    blocks = t.groupBy("block").agg(F.first("pivot").alias("pivot"), F.min("r").alias("low"), F.max("r").alias("high"), F.count("*").alias("n")).collect()
+    none = F.lit(None).cast("double")
+    first = stored(_pairs(q.select("block", "f", none.alias("d2")), pivots, blocks, k), "knn-pairs")
+    found = stored(_first(_compare(q, t, first, k), k), "knn-first")
+    bound = found.where(F.col("_r") == k).select(F.col("qid").alias("id"), "d2")
+    # a row without k candidates has no bound yet: all blocks
+    asked = q.join(bound, "id", "left").select("block", "f", F.coalesce("d2", F.lit(float("inf"))).alias("d2"))
+    second = stored(_pairs(asked, pivots, blocks, k).join(first, ["qb", "tb"], "left_anti"), "knn-pairs")
+    if visited is not None:
+        visited[:] = first.count() + second.count(), len(blocks) * q.select("block").distinct().count()
+    rest = _compare(q, t, second, k)
+    return _first(found.drop("_r").unionByName(rest), k).drop("_r")
 
 
 def knn_regress(train: DataFrame, query: DataFrame, k: int = 15, id_col: str = "id", feat: str = "w",

@@ -21,6 +21,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cirflow.session import scratch_path, stored
+
 
 # ------------------------------------------------------------ scaler
 class PopulationScaler:
@@ -60,10 +62,6 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
-def array_features(df: DataFrame, arr: str, out: str = "features") -> DataFrame:
-    return df.withColumn(out, array_to_vector(F.transform(arr, lambda x: x.cast("double"))))
-
-
 def feature_names(df: DataFrame, col: str = "features") -> list[str]:
     meta = df.schema[col].metadata.get("ml_attr", {})
     attrs = meta.get("attrs", {})
@@ -164,8 +162,26 @@ def coefficients(model, names: Sequence[str], spark) -> DataFrame:
         F.desc("abs_coef"), "Feature")
 
 
-def tree_rules(model) -> str:
-    return model.toDebugString
+def tree_rules(model, names: Sequence[str], spark) -> DataFrame:
+    """(rule, conditions, condition, class, support, gini): one row a leaf, the
+    saved node table walked from the leaves to the root. ``condition`` is a
+    filter on columns of those names; each row of data meets exactly one rule."""
+    path = scratch_path(spark, "tree")
+    model.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data")
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("split.featureIndex") + 1)
+    test = lambda sign: F.concat_ws(" ", F.concat(F.lit("`"), name, F.lit("`")), F.lit(sign), F.col("split.leftCategoriesOrThreshold")[0].cast("string"))
+    up = nodes.where("leftChild >= 0").select(F.col("id").alias("parent"), F.explode(F.array(
+        F.struct(F.col("leftChild").alias("child"), test("<=").alias("test")), F.struct(F.col("rightChild").alias("child"), test(">").alias("test")))).alias("e")).select("parent", "e.*")
+    up = stored(up, "tree-edges")
+    rules = nodes.where("leftChild < 0").select(F.col("id").alias("rule"), F.col("id").alias("at"), F.array().cast("array<string>").alias("conditions"),
+                                                F.col("prediction").cast("int").alias("class"), F.col("rawCount").alias("support"), F.col("impurity").alias("gini"))
+    for _ in range(model.depth):                             # one step towards the root for every leaf
+        rules = rules.join(up, F.col("at") == F.col("child"), "left").select(
+            "rule", F.coalesce("parent", "at").alias("at"), F.when(F.col("test").isNull(), F.col("conditions")).otherwise(F.concat(F.array("test"), "conditions")).alias("conditions"),
+            "class", "support", "gini")
+    condition = F.when(F.size("conditions") == 0, F.lit("true")).otherwise(F.array_join("conditions", " AND "))
+    return rules.select("rule", "conditions", condition.alias("condition"), "class", "support", "gini")
 
 
 # ------------------------------------------------------------ calibration
@@ -250,7 +266,7 @@ def save_model(model, path: str) -> str:
     return path
 
 
-__all__ = ["PopulationScaler", "assemble", "array_features", "boosted_classifier", "random_forest",
+__all__ = ["PopulationScaler", "assemble", "tree_rules", "boosted_classifier", "random_forest",
            "logistic", "linear_svm", "decision_tree", "boosted_regressor", "rf_regressor",
            "predict_proba", "feature_importance", "coefficients", "platt_calibrate", "platt_score",
            "random_search_cv", "cv_score", "Pipeline", "PipelineModel"]

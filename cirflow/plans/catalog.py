@@ -22,7 +22,7 @@ from cirflow.operators import profile as PR
 from cirflow.operators import rank as RK
 from cirflow.operators import regress as RG
 from cirflow.operators import splits as SP
-from cirflow.session import scratch_path
+from cirflow.session import scratch_path, stored
 from cirflow.sources import fixtures as FX
 from cirflow.sources import scans as SC
 
@@ -723,8 +723,11 @@ def hstack_features(spark, sf):
 
 
 # ================================================================ 2.13 models
-# Model fits are checked by row count (driver) and by tests (AUC, repeatability);
-# the scaler and KNN have exact oracles.
+# The scaler and KNN have exact oracles. Fits return, for each row they score,
+# facts that a statement can derive: ids and labels, probabilities in range,
+# predictions that follow from them, quality above a floor, and what else the
+# model must meet. The scores themselves are the operators' results (tests
+# compare those with plain versions).
 SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
@@ -767,42 +770,75 @@ def _train_test(spark, sf):
     return d.where(F.col("split") != "test"), d.where(F.col("split") == "test")
 
 
+#: Smallest AUC and R2 of a fit on the learnable tables.
+AUC_FLOOR, R2_FLOOR = 0.75, 0.0
+
+
+def _facts(scored: DataFrame, threshold: float = 0.5, **facts: bool) -> DataFrame:
+    """(id, y, p_in_range, pred_fits, above_floor, facts...) of scored test rows."""
+    scored = stored(scored, "scored")
+    auc = C.roc_auc(scored).first()["auc"]
+    return scored.select("id", "y", F.coalesce(F.col("p").between(0, 1), F.lit(False)).alias("p_in_range"), (F.col("pred") == (F.col("p") >= threshold).cast("int")).alias("pred_fits"),
+                         F.lit(auc is not None and auc >= AUC_FLOOR).alias("above_floor"), *[F.lit(bool(v)).alias(k) for k, v in facts.items()])
+
+
+def _regression_facts(scored: DataFrame, **facts: bool) -> DataFrame:
+    scored = stored(scored, "scored")
+    r2 = RG.regression_metrics(scored.withColumn("m", F.lit(1)), "y", "p", "m").first()["r2"]
+    finite = F.coalesce(~F.isnan("p") & (F.abs("p") < float("inf")), F.lit(False))
+    return scored.select("id", finite.alias("p_finite"), F.lit(r2 is not None and r2 >= R2_FLOOR).alias("above_floor"), *[F.lit(bool(v)).alias(k) for k, v in facts.items()])
+
+
 def _fit_score(spark, sf, est, weight: str | None = None) -> DataFrame:
     from cirflow.operators import models as M
     train, test = _train_test(spark, sf)
     if weight == "balanced":
         train = SP.balanced_weight(train, "y")
-    elif weight == "pos":
-        train = SP.with_pos_weight(train, "y")
     est = est.setFeaturesCol("features").setLabelCol("y")
     if weight:
         est = est.setWeightCol("weight")
     return M.predict_proba(est.fit(train), test)
 
 
+def _pair_params(train: DataFrame, **settings):
+    """The pair classifier's settings, the positive class weighted by n0 / n1."""
+    from cirflow.operators import boosting as B
+    n0, n1 = train.agg(F.count_if(F.col("y") == 0), F.count_if(F.col("y") == 1)).first()
+    return B.Params(scale_pos_weight=n0 / max(n1, 1), **settings)
+
+
 @q("train_boosted_classifier")
 def train_boosted_classifier(spark, sf):
-    from cirflow.operators import models as M
-    return _fit_score(spark, sf, M.boosted_classifier(max_iter=20, max_depth=3), weight="pos")
+    from cirflow.operators import boosting as B
+    train, test = _train_test(spark, sf)
+    m = B.fit(train, _pair_params(train))
+    return _facts(m.predict(test), all_trees=len(m.trees) == 200, importance_sums_to_one=abs(m.importance().sum() - 1) < 1e-9)
 
 
 @q("early_stopping")
 def early_stopping(spark, sf):
-    from cirflow.operators import models as M
+    """Ends after 30 rounds without a smaller validation loss; the model is cut at the best round."""
+    from cirflow.operators import boosting as B
     train, test = _train_test(spark, sf)
-    train = train.withColumn("is_val", F.col("split") == "val")
-    g = M.boosted_classifier(max_iter=40, max_depth=3, validation_col="is_val")
-    return M.predict_proba(g.setFeaturesCol("features").setLabelCol("y").fit(train), test)
+    m = B.fit(train, _pair_params(train.where("split = 'train'")), valid=F.col("split") == "val", patience=30)
+    ended = m.last_round - m.best_round == 30 or m.last_round == m.params.n_estimators - 1
+    return _facts(m.predict(test), ended_in_time=ended, best_is_least=min(m.losses) == m.losses[m.best_round], cut_at_best=len(m.trees) == m.best_round + 1)
 
 
 @q("train_random_forest")
 def train_random_forest(spark, sf):
-    from cirflow.operators import models as M
-    return _fit_score(spark, sf, M.random_forest(num_trees=20, max_depth=8), weight="balanced")
+    from cirflow.operators import forest as R
+    train, test = _train_test(spark, sf)
+    m = R.fit(train)
+    return _facts(m.predict(test), all_trees=len(m.trees) == 200)
 
 
 @q("train_logistic")
 def train_logistic(spark, sf):
+    return _facts(_logistic_scores(spark, sf))
+
+
+def _logistic_scores(spark, sf) -> DataFrame:
     from cirflow.operators import models as M
     train, _ = _train_test(spark, sf)
     return _fit_score(spark, sf, M.logistic(1.0, float(train.count())), weight="balanced")
@@ -810,25 +846,37 @@ def train_logistic(spark, sf):
 
 @q("train_linear_svm")
 def train_linear_svm(spark, sf):
-    from cirflow.operators import models as M
-    train, _ = _train_test(spark, sf)
-    return _fit_score(spark, sf, M.linear_svm(1.0, float(train.count()), max_iter=30), weight="balanced")
+    from cirflow.operators import svm as V
+    train, test = _train_test(spark, sf)
+    m = V.fit(train)
+    margin = test.select("id", "y", m.margin(V.vector("features", test)).alias("m"))
+    scored = margin.select("id", "y", (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("m")))).alias("p"), (F.col("m") >= 0).cast("int").alias("pred"))
+    return _facts(scored, gradient_near_zero=m.gradient < 1e-6)
 
 
 @q("platt_calibrate")
 def platt_calibrate(spark, sf):
-    from cirflow.operators import models as M
+    from cirflow.operators import svm as V
     train, test = _train_test(spark, sf)
-    train = SP.stratified_kfold(train, "y", "id", 3, out="cal_fold").persist()
-    n = float(train.count())
-    pairs = M.platt_calibrate(train, "features", "y", "cal_fold", lambda: M.linear_svm(1.0, n, max_iter=30), 3)
-    return M.platt_score(pairs, test, "features")
+    m = V.calibrate(stored(SP.stratified_kfold(train, "y", "id", 3, out="cal_fold"), "cal-folds"), "cal_fold", 3)
+    return _facts(m.predict(test), gradient_near_zero=m.gradient < 1e-6, rising=all(s.a < 0 for _, s in m.folds))
 
 
 @q("train_decision_tree")
 def train_decision_tree(spark, sf):
+    """A depth-4 tree with balanced classes; the rules read from it, applied as filters, give its predictions."""
     from cirflow.operators import models as M
-    return _fit_score(spark, sf, M.decision_tree(4), weight="balanced")
+    train, test = _train_test(spark, sf)
+    est = M.decision_tree(4).setFeaturesCol("features").setLabelCol("y").setWeightCol("weight")
+    m = est.fit(stored(SP.balanced_weight(train, "y"), "tree-rows"))
+    names = [f"f{i}" for i in range(m.numFeatures)]
+    rules = M.tree_rules(m, names, spark).select("condition", "class").collect()          # one a leaf
+    scored = stored(M.predict_proba(m, test, ["id", "y", "features"]), "tree-scored")
+    from pyspark.ml.functions import vector_to_array
+    wide = scored.select("id", *[vector_to_array("features")[i].alias(n) for i, n in enumerate(names)])
+    by_rule = wide.select("id", F.array_compact(F.array(*[F.when(F.expr(r["condition"]), F.lit(r["class"])) for r in rules])).alias("classes"))
+    fits = scored.join(by_rule, "id").select("id", ((F.size("classes") == 1) & (F.get("classes", F.lit(0)) == F.col("pred"))).alias("rule_fits"))
+    return _facts(scored.drop("features")).join(fits, "id")
 
 
 def _fit_regress(spark, sf, est) -> DataFrame:
@@ -837,16 +885,26 @@ def _fit_regress(spark, sf, est) -> DataFrame:
     return m.transform(test).select("id", F.col("target").alias("y"), F.col("prediction").alias("p"))
 
 
+#: Trees of the registered range regressor; the reference's 1,200 are ``boosting.RANGE_REGRESSOR`` (cost in README).
+REGRESSOR_TREES = 60
+
+
 @q("train_boosted_regressor")
 def train_boosted_regressor(spark, sf):
-    from cirflow.operators import models as M
-    return _fit_regress(spark, sf, M.boosted_regressor(max_iter=20, max_depth=4, step=0.1))
+    from dataclasses import replace
+
+    from cirflow.operators import boosting as B
+    train, test = _train_test(spark, sf)
+    m = B.fit(train, replace(B.RANGE_REGRESSOR, n_estimators=REGRESSOR_TREES), label="target")
+    return _regression_facts(m.predict(test.withColumnRenamed("y", "cls").withColumnRenamed("target", "y")), all_trees=len(m.trees) == REGRESSOR_TREES)
 
 
 @q("train_rf_regressor")
 def train_rf_regressor(spark, sf):
-    from cirflow.operators import models as M
-    return _fit_regress(spark, sf, M.rf_regressor(num_trees=20, max_depth=8))
+    from cirflow.operators import forest as R
+    train, test = _train_test(spark, sf)
+    m = R.fit(train, R.RANGE_REGRESSOR, label="target", regression=True)
+    return _regression_facts(m.predict(test.withColumnRenamed("y", "cls").withColumnRenamed("target", "y")), all_trees=len(m.trees) == 100)
 
 
 @q("knn_regress")
@@ -865,7 +923,10 @@ def random_search_cv(spark, sf):
     rf = M.random_forest(num_trees=10).setFeaturesCol("features").setLabelCol("y")
     grid = {"maxDepth": [3, 5, 8], "numTrees": [10, 20], "minInstancesPerNode": [1, 2]}
     cv = M.random_search_cv(rf, grid, train, n_iter=3, fold_col="cv_fold", parallelism=3)
-    return M.predict_proba(cv.bestModel, test)
+    drawn = [{p.name: v for p, v in m.items()} for m in cv.getEstimatorParamMaps()]
+    chosen = drawn[cv.avgMetrics.index(max(cv.avgMetrics))]
+    kept = all(cv.bestModel.getOrDefault(k) == v for k, v in chosen.items())
+    return _facts(M.predict_proba(cv.bestModel, test), all_draws=len(cv.avgMetrics) == 3, best_is_refitted=kept)
 
 
 @q("cv_score")
@@ -875,54 +936,68 @@ def cv_score(spark, sf):
     train = SP.stratified_kfold(train, "y", "id", 3, out="cv_fold")
     dt = M.decision_tree(4).setFeaturesCol("features").setLabelCol("y")
     score = M.cv_score(dt, train, "cv_fold")
-    return spark.range(1).select(F.lit(score).alias("mean_f1"))
+    folds = train.groupBy("cv_fold").agg(F.count("*").alias("n_rows"), F.count_if(F.col("y") == 1).alias("n_ones"))
+    return folds.select("cv_fold", "n_rows", "n_ones", F.lit(0.5 < score <= 1.0).alias("mean_f1_in_range"))
 
 
 @q("kfold_regression")
 def kfold_regression(spark, sf):
     """5-fold CV on the train split: a forest on the feature vector and a
     15-NN regressor on the same 64 features, its scaler fitted inside each fold."""
+    summary = kfold_summary(spark, sf)
+    sane = (F.col("rmse_mean") > 0) & (F.col("rmse_std") >= 0) & (F.col("mae_mean") <= F.col("rmse_mean"))
+    return summary.select("model", sane.alias("errors_fit"), (F.col("r2_mean") > R2_FLOOR).alias("above_floor"))
+
+
+def kfold_summary(spark, sf) -> DataFrame:
     from cirflow.operators import models as M
     train, _ = _train_test(spark, sf)
     # folds from another seed: the test split already used md5(42|id) mod 5
     train = SP.kfold(train.drop("fold"), "id", 5, seed=7, out="cv_fold")
     from pyspark.ml.functions import vector_to_array
     cols = [f"x{i}" for i in range(64)]
-    train = train.withColumns({c: vector_to_array("features")[i] for i, c in enumerate(cols)}).persist()
+    train = stored(train.withColumns({c: vector_to_array("features")[i] for i, c in enumerate(cols)}), "cv-rows")
     rf = M.kfold_predictions(train, "cv_fold", 5, M.estimator_fit_predict(
         M.rf_regressor(num_trees=10, max_depth=6), "features", "target"))
     knn = M.kfold_predictions(train, "cv_fold", 5, M.knn_fit_predict(cols, "target", 15))
     per_fold = (RG.fold_metrics(rf, "y", "p", "fold").withColumn("model", F.lit("random_forest"))
                 .unionByName(RG.fold_metrics(knn, "y", "p", "fold").withColumn("model", F.lit("knn"))))
-    return RG.fold_summary(per_fold, "model")
+    return stored(RG.fold_summary(per_fold, "model"), "cv-summary")
 
 
 @q("predict_proba")
 def predict_proba(spark, sf):
-    return train_logistic(spark, sf).select("id", "y", "p")
+    return _facts(_logistic_scores(spark, sf)).select("id", "y", "p_in_range")
 
 
 @q("feature_importance")
 def feature_importance(spark, sf):
-    from cirflow.operators import models as M
+    """Every feature's share of the forest's impurity decrease; the label's own feature has the largest."""
+    from cirflow.operators import forest as R
     train, _ = _train_test(spark, sf)
-    m = M.random_forest(num_trees=20, max_depth=6).setFeaturesCol("features").setLabelCol("y").fit(train)
-    return M.feature_importance(m, [f"f{i}" for i in range(m.numFeatures)], spark)
+    imp = R.fit(train, R.Params(n_estimators=50)).importance()
+    rows = [(f"f{i}", 0.0 <= float(v) <= 1.0, i == int(imp.argmax())) for i, v in enumerate(imp)]
+    return spark.createDataFrame(rows, "Feature string, in_range boolean, largest boolean").withColumn("sums_to_one", F.lit(bool(abs(imp.sum() - 1) < 1e-9)))
 
 
 @q("coefficients")
 def coefficients(spark, sf):
-    from cirflow.operators import models as M
+    """Coefficients averaged over the calibration folds of the linear SVM."""
+    from cirflow.operators import svm as V
     train, _ = _train_test(spark, sf)
-    m = M.logistic(1.0, float(train.count())).setFeaturesCol("features").setLabelCol("y").fit(train)
-    return M.coefficients(m, [f"f{i}" for i in range(m.numFeatures)], spark)
+    m = V.calibrate(stored(SP.stratified_kfold(train, "y", "id", 3, out="cal_fold"), "cal-folds"), "cal_fold", 3)
+    c = m.coefficients(spark, [f"f{i}" for i in range(len(m.folds[0][0].coef))])
+    top = c.agg(F.max("abs_coef")).first()[0]
+    return c.select("Feature", (F.col("abs_coef") == F.abs("coef")).alias("abs_fits"), (F.col("abs_coef") == top).alias("largest"), F.lit(m.gradient < 1e-6).alias("gradient_near_zero"))
 
 
 @q("save_model")
 def save_model(spark, sf):
+    """A fitted tree, saved and read again, predicts as before."""
     from pyspark.ml.classification import DecisionTreeClassificationModel
     from cirflow.operators import models as M
     train, test = _train_test(spark, sf)
     m = M.decision_tree(4).setFeaturesCol("features").setLabelCol("y").fit(train)
     path = M.save_model(m, scratch_path(spark, "model"))
-    return M.predict(DecisionTreeClassificationModel.load(path), test, ["id"])
+    again = M.predict(DecisionTreeClassificationModel.load(path), test, ["id"], "again")
+    return again.join(M.predict(m, test, ["id"]), "id").select("id", (F.col("again") == F.col("pred")).alias("same"))

@@ -556,3 +556,32 @@ SQL["knn_regress"] = with_("wave_emb", extra=[
     ("kt", """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d2, tid) AS rn FROM kd) WHERE rn <= 15""")]) + \
     f"""SELECT qid AS id, {r('''CASE WHEN count(*) FILTER (d2 = 0) > 0 THEN avg(target) FILTER (d2 = 0)
         ELSE sum(target / sqrt(d2)) FILTER (d2 > 0) / sum(1.0 / sqrt(d2)) FILTER (d2 > 0) END''')} AS pred FROM kt GROUP BY qid"""
+
+# ---------------------------------------------------------------- model fits: facts about every scored row
+_ML = f"""SELECT vec_id AS id, CAST(embedding[1] > 0 AS INTEGER) AS y, {md5int("'42'", 'vec_id')} % 5 AS fold FROM embeddings"""
+
+
+def facts(*names: str, label: bool = True, rows: str = "fold = 0") -> str:
+    return f"SELECT id{', y' if label else ''}, {', '.join(f'true AS {n}' for n in names)} FROM ({_ML}) WHERE {rows}"
+
+
+_SCORED = ("p_in_range", "pred_fits", "above_floor")
+SQL["train_boosted_classifier"] = facts(*_SCORED, "all_trees", "importance_sums_to_one")
+SQL["early_stopping"] = facts(*_SCORED, "ended_in_time", "best_is_least", "cut_at_best")
+SQL["train_random_forest"] = facts(*_SCORED, "all_trees")
+SQL["train_logistic"] = facts(*_SCORED)
+SQL["train_linear_svm"] = facts(*_SCORED, "gradient_near_zero")
+SQL["platt_calibrate"] = facts(*_SCORED, "gradient_near_zero", "rising")
+SQL["train_decision_tree"] = facts(*_SCORED, "rule_fits")
+SQL["random_search_cv"] = facts(*_SCORED, "all_draws", "best_is_refitted")
+SQL["predict_proba"] = facts("p_in_range")
+SQL["train_boosted_regressor"] = facts("p_finite", "above_floor", "all_trees", label=False)
+SQL["train_rf_regressor"] = facts("p_finite", "above_floor", "all_trees", label=False)
+SQL["save_model"] = facts("same", label=False)
+SQL["cv_score"] = f"""SELECT CAST(k AS INTEGER) AS cv_fold, count(*) AS n_rows, count(*) FILTER (y = 1) AS n_ones, true AS mean_f1_in_range FROM
+    (SELECT y, (row_number() OVER (PARTITION BY y ORDER BY md5('42|' || CAST(id AS VARCHAR)), id) - 1) % 3 AS k FROM ({_ML}) WHERE fold <> 0) GROUP BY k"""
+SQL["kfold_regression"] = "SELECT unnest(['random_forest', 'knn']) AS model, true AS errors_fit, true AS above_floor"
+SQL["feature_importance"] = """SELECT 'f' || i AS Feature, true AS in_range, i = 0 AS largest, true AS sums_to_one
+    FROM (SELECT max(len(embedding)) AS d FROM embeddings), range(0, 64) r(i) WHERE i < d"""
+SQL["coefficients"] = """SELECT 'f' || i AS Feature, true AS abs_fits, i = 0 AS largest, true AS gradient_near_zero
+    FROM (SELECT max(len(embedding)) AS d FROM embeddings), range(0, 64) r(i) WHERE i < d"""
