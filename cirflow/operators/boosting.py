@@ -39,6 +39,8 @@ from cirflow.session import scratch_path
 #: Rows of a node that one task may finish; trees between two writes of the margin.
 FINISH_ROWS, ROUNDS_A_STORE = 20_000, 10
 BINS = 256
+#: Rows of a node whose cuts are found by sorting.
+SORTED_ROWS = 512
 #: Smallest gain of a cut.
 LEAST_GAIN = 1e-6
 
@@ -175,43 +177,48 @@ def best_cuts(hist: np.ndarray, p: Params, least_rows: int = 1) -> tuple[np.ndar
     return (*best, total)
 
 
+def node_cut(bins: np.ndarray, g: np.ndarray, h: np.ndarray, columns: np.ndarray, p: Params, least_rows: int = 1) -> tuple[float, int, int, bool]:
+    """(gain, feature, cut, missing_left) of the best cut of one node's rows: of equal gains the first feature and cut.
+    Few rows are sorted, many are put into histograms; both find the same cut."""
+    sub = bins[:, columns]
+    if len(sub) <= SORTED_ROWS and sub.min(initial=1) > 0:
+        order = sub.argsort(0, kind="stable")
+        b = np.take_along_axis(sub, order, 0)
+        left_g, left_h = g[order].cumsum(0)[:-1], h[order].cumsum(0)[:-1]
+        all_g, all_h, left = g.sum(), h.sum(), np.arange(1, len(b))[:, None]
+        right_h = all_h - left_h
+        ok = (b[1:] != b[:-1]) & (left_h >= p.min_child_weight) & (right_h >= p.min_child_weight) & (left >= least_rows) & (len(b) - left >= least_rows)
+        gain = np.where(ok, score(left_g, left_h, p) + score(all_g - left_g, right_h, p) - score(all_g, all_h, p), -np.inf).astype(np.float32)
+        at = gain.argmax(0)
+        best = gain[at, np.arange(len(columns))]
+        c = int(best.argmax())
+        return float(best[c]), int(columns[c]), int(b[at[c], c]), False
+    gain, cut, missing, _, _ = best_cuts(histograms(bins, np.zeros(len(bins), np.int64), g, h, 1, columns)[0], p, least_rows)
+    c = int(gain.argmax())
+    return float(gain[c]), int(columns[c]), int(cut[c]), bool(missing[c])
+
+
+def sides(bins: np.ndarray, rows: np.ndarray, feature: int, cut: int, missing_left: bool) -> tuple[np.ndarray, np.ndarray]:
+    b = bins[rows, feature]
+    left = (b <= cut) & (b > 0) | (b == 0) & missing_left
+    return rows[left], rows[~left]
+
+
 def grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, columns: np.ndarray, p: Params, depth: int) -> Tree:
     """A whole tree over rows at hand."""
-    tree, at = Tree(), np.zeros(len(bins), np.int64)
-    level = [0]
+    tree = Tree()
+    level = [(0, np.arange(len(bins)))]
     for d in range(depth + 1):
-        slot_of = np.full(len(tree.feature), -1)
-        slot_of[level] = np.arange(len(level))
-        rows = np.flatnonzero(slot_of[at] >= 0)
-        slot = slot_of[at[rows]]
-        sums = [np.bincount(slot, x[rows], len(level)) for x in (g, h)]
-        for s, node in enumerate(level):
-            tree.value[node], tree.cover[node] = leaf_value(sums[0][s], sums[1][s], p), float(sums[1][s])
-        # nodes too light for two sides stay leaves
-        open_ = np.flatnonzero((sums[1] >= 2 * p.min_child_weight) & (np.bincount(slot, None, len(level)) > 1))
-        if d == depth or not len(columns) or not len(open_):
-            break
-        place = np.full(len(level), -1)
-        place[open_] = np.arange(len(open_))
-        keep = place[slot] >= 0
-        level = [level[s] for s in open_]
-        hist = histograms(bins[rows[keep]], place[slot[keep]], g[rows[keep]], h[rows[keep]], len(level), columns)
-        gain, cut, missing, _, _ = best_cuts(hist.reshape(-1, BINS, 3), p)
-        gain, cut, missing = (x.reshape(len(level), len(columns)) for x in (gain, cut, missing))
-        column = gain.argmax(1)
         fresh = []
-        for s, node in enumerate(level):
-            c = column[s]
-            if gain[s, c] > LEAST_GAIN:
-                fresh += tree.split(node, int(columns[c]), int(cut[s, c]), bool(missing[s, c]), float(gain[s, c]))
-        if not fresh:
-            break
-        feature, cuts, left_m, left, right = (np.array(x) for x in (tree.feature, tree.cut, tree.missing_left, tree.left, tree.right))
-        node = at[rows]
-        moved = feature[node] >= 0
-        r, node = rows[moved], node[moved]
-        b = bins[r, feature[node]]
-        at[r] = np.where(np.where(b == 0, left_m[node], b <= cuts[node]), left[node], right[node])
+        for node, rows in level:
+            a, b = g[rows], h[rows]
+            tree.value[node], tree.cover[node] = leaf_value(float(a.sum()), float(b.sum()), p), float(b.sum())
+            # too light for two sides: a leaf
+            if d == depth or len(rows) < 2 or tree.cover[node] < 2 * p.min_child_weight or not len(columns):
+                continue
+            gain, feature, cut, missing = node_cut(bins[rows], a, b, columns, p)
+            if gain > LEAST_GAIN:
+                fresh += zip(tree.split(node, feature, cut, missing, gain), sides(bins, rows, feature, cut, missing))
         level = fresh
     return tree
 

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from cirflow.operators import boosting as B
 from cirflow.session import stored
 
-#: Rows of a node that one task may finish; node histograms searched at a time in a task.
-FINISH_ROWS, CHUNK = 20_000, 256
+#: Rows of a node that one task may finish.
+FINISH_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -91,48 +91,20 @@ def _histograms(bins: np.ndarray, slot: np.ndarray, wy: np.ndarray, w: np.ndarra
 def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int, path: int, depth: int, p: Params) -> B.Tree:
     """A whole (sub)tree over rows at hand with positive weight; ``depth`` and ``path`` are those of its root."""
     out, width = B.Tree(), bins.shape[1]
-    at, level, paths = np.zeros(len(bins), np.int64), [0], {0: path}
-    wy = w * y
+    g = -w * y
+    level = [(0, path, np.arange(len(bins)))]
     while level:
         fresh = []
-        for a in range(0, len(level), CHUNK):
-            some = level[a:a + CHUNK]
-            slot_of = np.full(len(out.feature), -1)
-            slot_of[some] = np.arange(len(some))
-            rows = np.flatnonzero(slot_of[at] >= 0)
-            slot = slot_of[at[rows]]
-            sums = [np.bincount(slot, x, len(some)) for x in (wy[rows], w[rows], None)]
-            mixed = np.zeros(len(some), bool)
-            for s, node in enumerate(some):
-                out.value[node], out.cover[node] = float(sums[0][s] / sums[1][s]) if sums[1][s] else 0.0, float(sums[1][s])
-            low, high = np.full(len(some), np.inf), np.full(len(some), -np.inf)
-            np.minimum.at(low, slot, y[rows])
-            np.maximum.at(high, slot, y[rows])
-            mixed = (low < high) & (sums[2] >= p.min_samples_split) & (p.max_depth is None or depth < p.max_depth)
-            if not mixed.any() or not width:
+        for node, path, rows in level:
+            total = float(w[rows].sum())
+            out.value[node], out.cover[node] = float(-g[rows].sum() / total) if total else 0.0, total
+            few = len(rows) < max(p.min_samples_split, 2) or not width or (p.max_depth is not None and depth >= p.max_depth)
+            if few or (y[rows] == y[rows[0]]).all():
                 continue
-            # only the nodes that may be split
-            keep = mixed[slot]
-            renumber = np.cumsum(mixed) - 1
-            open_ = [some[s] for s in np.flatnonzero(mixed)]
-            columns = np.array([features_of(tree, paths[n], width, p) for n in open_])
-            r, slot = rows[keep], renumber[slot[keep]]
-            hist = _histograms(bins[r], slot, wy[r], w[r], columns)
-            gain, cut, missing, _, _ = B.best_cuts(hist.reshape(-1, B.BINS, 3), _PLAIN, p.min_samples_leaf)
-            gain, cut, missing = (x.reshape(columns.shape) for x in (gain, cut, missing))
-            best = gain.argmax(1)
-            for s, node in enumerate(open_):
-                c = best[s]
-                if gain[s, c] > 1e-9 * max(out.cover[node], 1e-300):
-                    ends = out.split(node, int(columns[s, c]), int(cut[s, c]), bool(missing[s, c]), float(gain[s, c]))
-                    for side, end in enumerate(ends):
-                        paths[end] = _child(paths[node], side)
-                    fresh += ends
-        feature, cuts, left_m, left, right = (np.array(x) for x in (out.feature, out.cut, out.missing_left, out.left, out.right))
-        rows = np.flatnonzero(feature[at] >= 0)
-        node = at[rows]
-        b = bins[rows, feature[node]]
-        at[rows] = np.where(np.where(b == 0, left_m[node], b <= cuts[node]), left[node], right[node])
+            gain, feature, cut, missing = B.node_cut(bins[rows], g[rows], w[rows], features_of(tree, path, width, p), _PLAIN, p.min_samples_leaf)
+            if gain > 1e-9 * max(total, 1e-300):
+                ends = out.split(node, feature, cut, missing, gain)
+                fresh += [(end, _child(path, side), r) for side, (end, r) in enumerate(zip(ends, B.sides(bins, rows, feature, cut, missing)))]
         level, depth = fresh, depth + 1
     return out
 
