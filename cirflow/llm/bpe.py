@@ -32,8 +32,11 @@ WORD = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d"
     r"| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-#: Words that a worker remembers before it starts anew; bounds memory only.
-CACHE_WORDS = 120_000
+#: Words of a generation that a worker remembers (two at most); bounds memory only.
+CACHE_WORDS = 60_000
+#: No merge; widths of the matrices in which words are merged in step.
+NONE = np.iinfo(np.int64).max
+WIDTHS = (8, 16, 32, 64)
 #: Shared between the tasks of one Python worker.
 _LOADED: dict[str, "Vocabulary"] = {}
 
@@ -80,6 +83,10 @@ class Vocabulary:
         self.pair_keys = keys[order]
         self.pair_ranks = np.array([r for r, _ in self.merges.values()], np.int64)[order]
         self.stands: dict[int, bool] = {}            # token -> BPE of its bytes gives it back
+        self.of_rank = np.zeros(len(spec["model"]["merges"]), np.int64)
+        for r, c in self.merges.values():
+            self.of_rank[r] = c
+        self.of_byte = np.array([self.ids.get(bytes([b]), 0) for b in range(256)], np.int64)
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """For each pair: does BPE keep the border between the two tokens?
@@ -137,6 +144,50 @@ class Vocabulary:
                 heapq.heappush(heap, (m[0], h, m[1], ids[h], c))
         return [t for t in ids if t >= 0]
 
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair's merge, or NONE."""
+        keys = a * self.size + b
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where((self.pair_keys[at] == keys) & (a >= 0) & (b >= 0), self.pair_ranks[at], NONE)
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of many words in step: each round finds every word's first merge of the lowest rank and
+        does it. Words of like length share a matrix; very long ones are merged one by one."""
+        out: list = [None] * len(words)
+        lens = np.fromiter(map(len, words), np.int64, len(words))
+        low = 0
+        for width in WIDTHS:
+            live = np.flatnonzero((lens > low) & (lens <= width))
+            low = width
+            if not len(live):
+                continue
+            t = np.full((len(live), width + 1), -1, np.int64)                # a blank at the end
+            t[np.arange(width + 1) < lens[live][:, None]] = self.of_byte[np.frombuffer(b"".join(words[i] for i in live.tolist()), np.uint8)]
+            r = np.full((len(live), width + 1), NONE, np.int64)              # rank of the pair that begins here
+            r[:, :-1] = self._ranks(t[:, :-1], t[:, 1:])
+            places = np.arange(width)
+            while len(live):
+                j = r.argmin(1)
+                rank = r[np.arange(len(live)), j]
+                done = rank == NONE
+                if done.any():
+                    for i, row in zip(live[done].tolist(), t[done]):
+                        out[i] = row[row >= 0].tolist()
+                    go = ~done
+                    live, t, r, j, rank = live[go], t[go], r[go], j[go], rank[go]
+                rows = np.arange(len(live))
+                token = self.of_rank[rank]
+                source = places + (places > j[:, None])
+                t[:, :-1] = np.take_along_axis(t, source, 1)
+                r[:, :-1] = np.take_along_axis(r, source, 1)
+                t[rows, j] = token
+                r[rows, j] = self._ranks(token, t[rows, j + 1])
+                some = np.flatnonzero(j > 0)
+                r[some, j[some] - 1] = self._ranks(t[some, j[some] - 1], token[some])
+        for i in np.flatnonzero(lens > low).tolist():
+            out[i] = self.merge(words[i])
+        return [x if x is not None else [] for x in out]
+
     def encode_words(self, words: list[str]) -> tuple[list[list[int]], np.ndarray]:
         """Tokens of each word, and whether the greedy proposal was kept."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
@@ -155,8 +206,9 @@ class Vocabulary:
         bad = [t for t in np.unique(flat).tolist() if not self.stands[t]]
         if bad:
             kept[word[np.isin(flat, bad)]] = False
-        for i in np.flatnonzero(~kept).tolist():
-            proposed[i] = self.merge(raw[i])
+        failed = np.flatnonzero(~kept).tolist()
+        for i, tokens in zip(failed, self.merge_all([raw[i] for i in failed]), strict=True):
+            proposed[i] = tokens
         return proposed, kept
 
 
@@ -189,17 +241,22 @@ def _encode_batches(vocabulary, key: str):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = _vocabulary(vocabulary)
+        # two generations of words: when the young one is full it becomes the old one
         cache: dict[str, bytes] = {}
+        old: dict[str, bytes] = {}
         special = {s: np.array([i], "<u4").tobytes() for s, i in v.special.items()}
         merged: set[str] = set()
         for batch in batches:
             for rows, _, _ in text_chunks(batch):
                 docs = [_pieces(v, t) if t else [] for t in column(rows, "text").to_pylist()]
                 if len(cache) > CACHE_WORDS:
-                    cache.clear()
-                    merged.clear()
+                    cache, old = {}, cache
+                    merged &= old.keys()
                 cache.update(special)
-                new = list({w for d in docs for w in d}.difference(cache))
+                new = {w for d in docs for w in d}.difference(cache)
+                again = new & old.keys()
+                cache.update((w, old[w]) for w in again)
+                new = list(new - again)
                 tokens, kept = v.encode_words(new)
                 cache.update((w, np.array(t, "<u4").tobytes()) for w, t in zip(new, tokens, strict=True))
                 merged.update(w for w, k in zip(new, kept.tolist(), strict=True) if not k)

@@ -43,6 +43,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a bitmap of ids (2 MB), in words of 64.
+BITMAP_BITS = 1 << 24
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
+def may_be_in(df: DataFrame, key: str, ids: DataFrame, flag: str) -> DataFrame:
+    """``df`` with ``flag``: false where the key is surely not among ``ids`` (one column), so that only the others need
+    an exact join. The ids become a bitmap of hashes, at most BITMAP_BITS / 64 rows, which is broadcast: one plan at
+    every size; more ids only make it less sharp."""
+    place = F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(BITMAP_BITS))
+    bits = ids.select(place.alias("p")).select(F.expr("p div 64").alias("w"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    bits = stored(bits, "bitmap")
+    w, b, p = (fresh(df, x) for x in ("_word", "_bits", "_place"))
+    rows = df.withColumn(p, F.pmod(F.xxhash64(F.col(key).cast(ids.schema[0].dataType)), F.lit(BITMAP_BITS)))
+    rows = rows.join(F.broadcast(bits.select(F.col("w").alias(w), F.col("b").alias(b))), F.expr(f"`{p}` div 64") == F.col(w), "left")
+    hit = F.coalesce(F.expr(f"(`{b}` & shiftleft(1L, cast(`{p}` % 64 as int))) != 0"), F.lit(False)) & F.col(key).isNotNull()
+    return rows.withColumn(flag, hit).drop(w, b, p)
+
+
 def text_chunks(batch: pa.RecordBatch, column: str = "text",
                 limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut a batch into runs of whole rows of about ``limit`` text bytes.

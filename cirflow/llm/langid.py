@@ -126,23 +126,24 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, lens: np.ndarray, switch: fl
     """Best label of each word, for many sequences in step; equal paths keep the
     label, then take the first label."""
     n, k = scores.shape
-    back = np.zeros((n, k), np.uint8)
+    kind = np.min_scalar_type(max(k - 1, 0))                 # holds every label
+    back = np.zeros((n, k), kind)
     order = np.argsort(-lens, kind="stable")
     starts, lens = starts[order], lens[order]
     live = np.searchsorted(-lens, -np.arange(1, (lens[0] if len(lens) else 0) + 1), "right")
     value = np.zeros((len(lens), k))
-    own = np.arange(k, dtype=np.uint8)
+    own = np.arange(k, dtype=kind)
     for t, m in enumerate(live.tolist()):
         at = starts[:m] + t
         v = value[:m]
         if t:
             top = v.argmax(1)
             best = v[np.arange(m), top][:, None] - switch
-            back[at] = np.where(v >= best, own, top[:, None].astype(np.uint8))
+            back[at] = np.where(v >= best, own, top[:, None].astype(kind))
             np.maximum(v, best, out=v)
         v += scores[at]
-    path = np.zeros(n, np.uint8)
-    now = value.argmax(1).astype(np.uint8) if len(lens) else np.empty(0, np.uint8)
+    path = np.zeros(n, kind)
+    now = value.argmax(1).astype(kind) if len(lens) else np.empty(0, kind)
     for t in range(len(live) - 1, -1, -1):
         m = int(live[t])
         at = starts[:m] + t
@@ -152,15 +153,16 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, lens: np.ndarray, switch: fl
     return path
 
 
-def _label(rows, data, offs, m) -> tuple[list, list, list]:
+def _label(rows, data, offs, m) -> tuple[list, list, list, np.ndarray]:
+    """Language, score and spans of each row, and the share of its letters that are in a script of their language."""
     names, logs, scripts = m["names"], m["logs"], m["scripts"]
     k, n_rows = len(names), rows.num_rows
     flat, starts, code = _codes(data, offs)
     space = IS_SPACE[flat]
     first = np.flatnonzero(~space & np.append(True, space[:-1]))       # every row has spaces ahead
-    langs, score, spans = ["und"] * n_rows, [0.0] * n_rows, [[] for _ in range(n_rows)]
+    langs, score, spans, fit = ["und"] * n_rows, [0.0] * n_rows, [[] for _ in range(n_rows)], np.zeros(n_rows)
     if not len(first) or not k:
-        return langs, score, spans
+        return langs, score, spans, fit
     row = np.searchsorted(starts, first, "right") - 1
     words = np.empty((len(first), k), np.float32)
     for i in range(k):
@@ -176,7 +178,8 @@ def _label(rows, data, offs, m) -> tuple[list, list, list]:
     full = lens > 0
     path = viterbi(words, at[full], lens[full], SWITCH)
     letters = np.add.reduceat((CLASS[flat] > 0).astype(np.int32) - ((flat & 0xC0) == 0x80), first)
-    weight = np.bincount(row * k + path, weights=letters, minlength=n_rows * k).reshape(n_rows, k)
+    weight = np.bincount(row * k + path.astype(np.int64), weights=letters, minlength=n_rows * k).reshape(n_rows, k)
+    fit = np.bincount(row, weights=letters * written[np.arange(len(row)), path], minlength=n_rows) / np.maximum(np.bincount(row, weights=letters, minlength=n_rows), 1)
     texts = None
     edge = np.flatnonzero(np.append(True, (path[1:] != path[:-1]) | (row[1:] != row[:-1])))
     for e, stop in zip(edge.tolist(), [*edge[1:].tolist(), len(path)], strict=True):
@@ -193,7 +196,7 @@ def _label(rows, data, offs, m) -> tuple[list, list, list]:
         w = weight[r]
         best = int(w.argmax())
         langs[r], score[r] = names[best], float(min(1.0, w[best] / w.sum())) if w.sum() > 0 else 1.0 / k
-    return langs, score, spans
+    return langs, score, spans, fit
 
 
 def predict(df: DataFrame, fitted: dict, key: str = "doc_id", text: str = "text", keep: Column | None = None) -> DataFrame:
@@ -206,7 +209,7 @@ def predict(df: DataFrame, fitted: dict, key: str = "doc_id", text: str = "text"
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offs in text_chunks(batch):
-                langs, score, spans = _label(rows, data, offs, shared.value)
+                langs, score, spans, _ = _label(rows, data, offs, shared.value)
                 yield pa.RecordBatch.from_arrays([column(rows, "k"), pa.array(langs, pa.string()), pa.array(score, pa.float64()), pa.array(spans, span)],
                                                  names=[key, "lang_pred", "score", "spans"])
 
@@ -215,8 +218,8 @@ def predict(df: DataFrame, fitted: dict, key: str = "doc_id", text: str = "text"
 
 
 def accepted(df: DataFrame, fitted: dict, least: float = 0.4, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows whose text has a language that at least ``least`` of its letters
-    agree on; a null ``lang`` takes the prediction. All columns stay."""
+    """The rows whose text has a language, with at least ``least`` of its letters in a script that their span's language
+    is written in: a text of several languages stays. A null ``lang`` takes the prediction. All columns stay."""
     shared = share(df.sparkSession, fitted)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,8 +227,8 @@ def accepted(df: DataFrame, fitted: dict, least: float = 0.4, text: str = "text"
             at = batch.schema.get_field_index(text)
             for rows, data, offs in text_chunks(batch, text):
                 plain = pa.RecordBatch.from_arrays([rows.column(at)], names=["text"])
-                langs, score, _ = _label(plain, data, offs, shared.value)
-                keep = [x != "und" and s >= least for x, s in zip(langs, score, strict=True)]
+                langs, _, _, fit = _label(plain, data, offs, shared.value)
+                keep = [x != "und" and f >= least for x, f in zip(langs, fit.tolist(), strict=True)]
                 own = rows.schema.get_field_index(lang)
                 filled = pa.array([o if o is not None else p for o, p in zip(rows.column(own).to_pylist(), langs, strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays([filled if i == own else c for i, c in enumerate(rows.columns)], names=rows.schema.names).filter(pa.array(keep, pa.bool_()))

@@ -31,13 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, shingle_sets, stored, text_chunks
+from .common import column, may_be_in, shingle_sets, stored, text_chunks
 from .components import components
 
 TREES, DEPTH, DEEPER = 24, 4, 2
 LARGE, BLOCK = 4096, 256
-#: Rows of four numbers (about 3 MB) that may be broadcast.
-BROADCAST_ROWS = 100_000
 #: Linked: 100 * intersection >= PERCENT * union.
 PERCENT = 80
 _RNG = np.random.default_rng(11)
@@ -55,7 +53,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def features(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2) -> DataFrame:
+def features(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
     """(k, n, digest, sig): set size, digest of the set and its signature (null without words)."""
     kind = df.schema[key].dataType.simpleString()
 
@@ -179,9 +177,11 @@ def _links(ids: list[int], own: list[int], texts: list[str | None], size: int) -
     return [(ids[parts[i]], ids[parts[j]]) for i, j in enumerate(forest(joined).tolist()) if i != j]
 
 
-def links(df: DataFrame, members: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2) -> DataFrame:
+def links(df: DataFrame, members: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
     """(a, b): edges that connect what the verified links of each block, or pair of blocks, connect."""
-    rows = (members.join(df.select(F.col(key).alias("rep"), F.col(text).alias("text")), "rep")
+    # only texts of members are sent; one plan at every size
+    texts = may_be_in(df.select(F.col(key).alias("rep"), F.col(text).alias("text")), "rep", members.select("rep").distinct(), "sent").where("sent").drop("sent")
+    rows = (members.join(texts.hint("merge"), "rep")
             .select("region", "i", "j", "own", "rep", "text").repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "rep"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +212,7 @@ def links(df: DataFrame, members: DataFrame, key: str = "doc_id", text: str = "t
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2) -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row: the set's size, the
     smallest id reachable by links, and whether that is the row itself."""
     found = stored(features(df, key, text, size), "near-features")
@@ -223,10 +223,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     edges = stored(links(df, within_blocks(members), key, text, size), "near-links")
     classes = stored(components(edges), "near-classes")
     left = across_blocks(members, classes)
-    count = left.count()
-    if count:
-        # few rows are broadcast, more are joined like the others
-        more = links(df, F.broadcast(left) if count <= BROADCAST_ROWS else left, key, text, size)
+    if not left.isEmpty():
+        more = links(df, left, key, text, size)
         classes = stored(components(more.unionAll(classes.select(F.col("node").alias("a"), F.col("component").alias("b")))), "near-classes")
     ids = found.join(same, "digest", "left").select("k", "n", "rep")
     return (ids.join(classes, F.col("rep") == F.col("node"), "left")

@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import os
 import random
+import re
 
 import numpy as np
 import pytest
@@ -125,6 +126,29 @@ def test_unwanted_payloads_are_stepped_over(monkeypatch):
     assert heads == ["<r0>", "<r1>", "<r2>"] and sum(inflated) < 20000
 
 
+def kept_ids(texts):
+    """The smallest id of each group of near duplicates, over all pairs that share a five-word shingle."""
+    sets, at = {}, collections.defaultdict(list)
+    for i, t in texts.items():
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().translate(bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))))
+        sets[i] = {tuple(w[j:j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+        for g in sets[i]:
+            at[g].append(i)
+    least = {i: i for i in texts}
+    links = set()
+    for i, g in sets.items():
+        shared = collections.Counter(j for x in g for j in at[x] if j < i)
+        links |= {(i, j) for j, n in shared.items() if 100 * n >= 80 * (len(g) + len(sets[j]) - n)}
+    changed = True
+    while changed:
+        changed = False
+        for i, j in links:
+            m = min(least[i], least[j])
+            changed |= least[i] != m or least[j] != m
+            least[i] = least[j] = m
+    return {i for i in texts if least[i] == i}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as P
 
@@ -138,7 +162,7 @@ def test_pipeline_stages(spark):
         if name != "tokens":
             assert out.columns == docs.columns
         if name == "near_dedup":
-            want = {r.component_id for r in queries.near_text.near_duplicates(before).collect()}
+            want = kept_ids({r.doc_id: r.text for r in before.collect()})
             assert {r.doc_id for r in out.collect()} == want and out.count() == len(want)
     assert kept["language"].count() >= 0.99 * docs.count()
     assert kept["secrets"].count() == kept["near_dedup"].count()
@@ -151,12 +175,13 @@ def test_pipeline_stages(spark):
 def test_pipeline_edges(spark, messy, empty):
     import corpus_pipeline as P
 
-    for start in (messy, empty):
+    clash = messy.selectExpr("*", *[f"{i} as {c}" for i, c in enumerate(("_row", "_mark", "_copies", "_size", "_word", "_bits", "_place", "_maybe", "_first", "n", "count"))])
+    for start in (messy, clash, empty):
         out = start
         for _, stage in P.STAGES:
             out = stage(spark, out, SF01)
         ids = [r.doc_id for r in out.collect()]
-        assert set(ids) <= {1, 6, 8, 9, 10, 11, None} and (start is messy) == bool(ids)
+        assert set(ids) <= {1, 6, 8, 9, 10, 11, None} and (start is not empty) == bool(ids)
 
 
 def test_near_dedup_takes_five_words(spark):
@@ -191,3 +216,16 @@ def test_near_dedup_keeps_unlike_rows_of_one_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
     want = [(1, a, "s"), (2, b, "s"), (3, c, "y"), (4, "", "s"), (None, a, "s"), (None, a, "s")]
     assert collections.Counter(map(tuple, P.near_dedup(spark, docs, SF01).collect())) == collections.Counter(want)
+
+
+def test_bitmap_hides_no_id(spark, monkeypatch):
+    from cirflow.llm import common
+
+    monkeypatch.setattr(common, "BITMAP_BITS", 256)
+    df = spark.range(5000).withColumnRenamed("id", "k").withColumn("w", F.lit(1))
+    ids = spark.range(0, 5000, 97).withColumnRenamed("id", "rep")
+    rows = common.may_be_in(df, "k", ids, "maybe")
+    hit = {r.k for r in rows.where("maybe").collect()}
+    assert rows.count() == 5000 and rows.columns == ["k", "w", "maybe"] and set(range(0, 5000, 97)) <= hit and len(hit) < 2000
+    nulls = spark.createDataFrame([(None,), (3,)], "k long")
+    assert {r.k: r.m for r in common.may_be_in(nulls, "k", ids.where("rep < 0"), "m").collect()} == {None: False, 3: False}
