@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cirflow.llm import bpe, langid, mixing, near_text, secret_scan
-from cirflow.llm.common import stored, table
+from cirflow.llm.common import fresh, may_be_in, stored, table
 from cirflow.llm.queries import _vocabulary
 
 #: Words of a shingle in near_dedup; documents are linked at a Jaccard similarity of 0.8 of these sets.
@@ -17,7 +17,7 @@ SHINGLE = 5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without a letter, or without a language for two fifths of their letters, go."""
+    """Documents with a language; those without a letter, or mostly in a script that no language here is written in, go."""
     return langid.accepted(docs, langid.model(langid.train(docs)))
 
 
@@ -27,19 +27,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # ids of several rows, from the ids alone; the texts of all other inputs need no shuffle
     twice = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-twice")
     if twice.isEmpty():
-        return docs.join(_named(_gone(docs, "doc_id")), "doc_id", "left_anti").select(*docs.columns)
+        return _without(docs, "doc_id", _gone(docs, "doc_id")).select(*docs.columns)
     # a number for each (id, text), in the order of the ids
-    marked = docs.withColumn("_mark", F.sha2(F.coalesce("text", F.lit("")), 256))
+    mark, row, r = (fresh(docs, x) for x in ("_mark", "_row", "_first"))
+    marked = docs.withColumn(mark, F.sha2(F.coalesce("text", F.lit("")), 256))
     named = marked.where("doc_id is not null")
-    numbers = stored(named.select("doc_id", "_mark").distinct().orderBy("doc_id", "_mark").withColumn("_row", F.monotonically_increasing_id()), "near-numbers")
-    rows = named.join(numbers, ["doc_id", "_mark"]).unionByName(marked.where("doc_id is null").withColumn("_row", F.lit(None).cast("long")))
-    rows = stored(rows.select("_row", *docs.columns), "near-rows")
-    left = rows.join(_named(_gone(rows, "_row")), "_row", "left_anti")
-    again = stored(rows.where("_row is not null").groupBy("_row").count().where("count > 1").select("_row"), "near-again")
+    numbers = stored(named.select("doc_id", mark).distinct().orderBy("doc_id", mark).withColumn(row, F.monotonically_increasing_id()), "near-numbers")
+    rows = named.join(numbers, ["doc_id", mark]).unionByName(marked.where("doc_id is null").withColumn(row, F.lit(None).cast("long")))
+    rows = stored(rows.select(row, *docs.columns), "near-rows")
+    left = _without(rows, row, _gone(rows, row))
+    again = stored(rows.where(F.col(row).isNotNull()).groupBy(row).agg(F.count("*").alias("n")).where("n > 1").select(row), "near-again")
     # rows equal in id and text: the first by their other columns
     order = F.to_json(F.struct(*[c for c in docs.columns if c != "text"]))
-    first = left.join(_named(again), "_row", "left_semi").groupBy("_row").agg(F.min_by(F.struct(*docs.columns), order).alias("r")).select("r.*")
-    return left.join(_named(again), "_row", "left_anti").select(*docs.columns).unionByName(first)
+    first = left.join(again, row, "left_semi").groupBy(row).agg(F.min_by(F.struct(*docs.columns), order).alias(r)).select(f"{r}.*")
+    return _without(left, row, again).select(*docs.columns).unionByName(first)
 
 
 def _gone(docs: DataFrame, key: str) -> DataFrame:
@@ -47,9 +48,11 @@ def _gone(docs: DataFrame, key: str) -> DataFrame:
     return stored(near_text.near_duplicates(docs, key, size=SHINGLE).where("not kept").select(key).distinct(), "near-gone")
 
 
-def _named(ids: DataFrame) -> DataFrame:
-    """A stored table of ids for a join: broadcast while it is small (its rows are counted), else joined by shuffle."""
-    return F.broadcast(ids) if ids.count() <= near_text.BROADCAST_ROWS else ids
+def _without(docs: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows whose key is not among ``ids``; only rows that may be are joined."""
+    flag = fresh(docs, "_maybe")
+    rows = may_be_in(docs, key, ids, flag)
+    return rows.where(~F.col(flag)).unionByName(rows.where(flag).join(ids.hint("merge"), key, "left_anti")).drop(flag)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,12 +61,13 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    copies = mixing.mix(docs).where("doc_id is not null").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    copies = stored(copies, "mix-copies")
+    """Each document as often as the mix takes it; rows of one id and unlike sizes each as often as the mix takes them."""
+    size, copies = fresh(docs, "_size"), fresh(docs, "_copies")
+    taken = mixing.mix(docs).where("doc_id is not null").groupBy("doc_id", F.col("size").alias(size)).agg(F.max("copies").alias(copies))
+    taken = stored(taken, "mix-copies")
     # one plan at every size: the ids grow with the documents, so they are never broadcast
-    taken = docs.join(copies.hint("merge"), "doc_id", "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
-    return taken.where("_copies > 0").withColumn("_copies", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    rows = docs.withColumn(size, mixing.words(F.col("text"))).join(taken.hint("merge"), ["doc_id", size], "left").withColumn(copies, F.coalesce(copies, F.lit(1)))
+    return rows.where(F.col(copies) > 0).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
