@@ -68,7 +68,9 @@ def _placed(rows: DataFrame, pivots: np.ndarray, block_rows: int, name: str) ->
     rows = stored(rows.mapInArrow(nearest, f"{schema}, pivot int, r double"), f"knn-{name}")
     sizes = {r["pivot"]: r["n"] for r in rows.groupBy("pivot").agg(F.count("*").alias("n")).collect()}      # at most PIVOTS lines
     most = max([math.ceil(n / block_rows) for n in sizes.values()], default=1)
-    cuts = {r["pivot"]: sorted(set(r["c"])) for r in rows.groupBy("pivot").agg(F.percentile_approx("r", F.array(*[F.lit(i / most) for i in range(1, most)]), 10_000).alias("c")).collect()} if most > 1 else {}
+    if most == 1:                                            # every pivot's rows fill one block
+        return rows.withColumn("block", F.concat_ws("-", "pivot", F.lit("0-0")))
+    cuts = {r["pivot"]: sorted(set(r["c"])) for r in rows.groupBy("pivot").agg(F.percentile_approx("r", F.array(*[F.lit(i / most) for i in range(1, most)]), 10_000).alias("c")).collect()}
 
     def rings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,7 +86,7 @@ def _placed(rows: DataFrame, pivots: np.ndarray, block_rows: int, name: str) ->
     rows = stored(rows.mapInArrow(rings, f"{schema}, pivot int, r double, ring int"), f"knn-{name}")
     parts = rows.groupBy("pivot", "ring").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
     rows = rows.join(parts, ["pivot", "ring"])
-    return rows.withColumn("block", F.concat_ws("-", "pivot", "ring", F.pmod(F.xxhash64("id"), "parts"))).drop("parts", "ring")
+    return stored(rows.withColumn("block", F.concat_ws("-", "pivot", "ring", F.pmod(F.xxhash64("id"), "parts"))).drop("parts", "ring"), f"knn-{name}")
 
 
 def _pairs(queries: DataFrame, pivots: np.ndarray, blocks: list, k: int) -> DataFrame:
@@ -149,11 +151,12 @@ def knn_candidates(train: DataFrame, query: DataFrame, k: int, id_col: str = "id
     doubles = lambda c: F.transform(c, lambda x: x.cast("double"))
     t = train.select(F.col(id_col).cast("long").alias("id"), doubles(feat).alias("f"), F.col(target).cast("double").alias("target"))
     q = query.select(F.col(id_col).cast("long").alias("id"), doubles(feat).alias("f"))
-    drawn = t.select("f", "id").orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
+    # as many pivots as the train rows fill blocks
+    drawn = t.select("f", "id").orderBy(F.xxhash64("id"), "id").limit(min(PIVOTS, max(1, math.ceil(t.count() / block_rows)))).collect()
     if not drawn:
         return train.sparkSession.createDataFrame([], _CANDIDATE)
     pivots = np.unique(np.array([r["f"] for r in drawn], float), axis=0)
-    t, q = stored(_placed(t, pivots, block_rows, "train"), "knn-train"), stored(_placed(q, pivots, block_rows, "query"), "knn-query")
+    t, q = _placed(t, pivots, block_rows, "train"), _placed(q, pivots, block_rows, "query")
     blocks = t.groupBy("block").agg(F.first("pivot").alias("pivot"), F.min("r").alias("low"), F.max("r").alias("high"), F.count("*").alias("n")).collect()
     none = F.lit(None).cast("double")
     first = stored(_pairs(q.select("block", "f", none.alias("d2")), pivots, blocks, k), "knn-pairs")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cirflow.operators.quantiles import group_quantiles
@@ -120,6 +120,23 @@ def sample_per_class(df: DataFrame, label: str, key: str, n: int, seed: int) ->
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def sample_views(df: DataFrame, label: str, key: str, wave: str, whole_seeds: Sequence[int] = (42, 43, 44), window_seeds: Sequence[int] = tuple(range(10)),
+                 start: int = 0, length: int = 120) -> DataFrame:
+    """(label, key, seed, view, wave): one row of each class for each seed, the
+    first in md5(seed|key) order, as a whole wave or as its focus window. All
+    seeds are one aggregate; a task keeps one row a class and seed."""
+    picks = F.explode(F.array(*[F.struct(F.lit(s).alias("seed"), F.lit(v).alias("view")) for v, seeds in (("whole", whole_seeds), ("focus", window_seeds)) for s in seeds]))
+    rows = df.select(label, key, wave, picks.alias("p")).select(label, key, wave, "p.seed", "p.view")
+    first = rows.groupBy(label, "view", "seed").agg(F.min_by(F.struct(key, wave), F.struct(md5_int_of("seed", key), key)).alias("r"))
+    cut = F.when(F.col("view") == "focus", F.slice(f"r.{wave}", start + 1, length)).otherwise(F.col(f"r.{wave}"))
+    return first.select(label, f"r.{key}", "seed", "view", cut.alias(wave))
+
+
+def md5_int_of(seed: str, key: str) -> Column:
+    """``md5_int`` for a seed column."""
+    return F.conv(F.substring(F.md5(F.concat(F.col(seed).cast("string"), F.lit("|"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("bigint")
+
+
 def scatter_sample(df: DataFrame, label: str, key: str, x: str, y: str, n: int | None = None,
                    seed: int = 42) -> DataFrame:
     """(label, x, y) point set for a scatter plot: every row, or n per class."""

@@ -57,11 +57,14 @@ def residual_stats(df: DataFrame, y: str, p: str, by=()) -> DataFrame:
     return s.withColumn("median", F.lit(m["median"] if m else None).cast("double"))
 
 
-def actual_vs_predicted(df: DataFrame, y: str, p: str, by=()) -> DataFrame:
-    """Axis limits of the actual-vs-predicted plot: one shared [lo, hi]."""
-    return df.groupBy(*_by(by)).agg(
-        F.least(F.min(y), F.min(p)).alias("lo"), F.greatest(F.max(y), F.max(p)).alias("hi"),
-        F.count("*").alias("n"))
+def actual_vs_predicted(df: DataFrame, y: str, p: str, by=(), key: str | None = None) -> DataFrame:
+    """(by..., [key], y, p, lo, hi): the points of the actual-vs-predicted plot,
+    each with the shared axis limits of its group."""
+    by = _by(by)
+    points = df.select(*by, *([key] if key else []), F.col(y).alias("y"), F.col(p).alias("p"))
+    limits = points.groupBy(*by).agg(F.least(F.min("y"), F.min("p")).alias("lo"), F.greatest(F.max("y"), F.max("p")).alias("hi"))
+    from cirflow.operators.splits import with_class_stats
+    return with_class_stats(points, limits, by)
 
 
 def fold_metrics(df: DataFrame, y: str, p: str, fold: str = "fold", by=()) -> DataFrame:

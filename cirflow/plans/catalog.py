@@ -74,24 +74,25 @@ def peaks_flat(spark, sf, params=FLAT, engine: str = "vectorized") -> DataFrame:
 
 
 # ================================================================ 2.1 scans / sinks
-def _tagged_scan(spark, sf, tag: bool) -> DataFrame:
-    schema = "c_custkey bigint, c_acctbal double, s_suppkey bigint, s_acctbal double"
-    df = spark.read.schema(schema).parquet(f"{sf}/customer.parquet", f"{sf}/supplier.parquet")
-    cols = [F.coalesce("c_custkey", "s_suppkey").alias("key"),
-            F.coalesce("c_acctbal", "s_acctbal").alias("acctbal")]
-    if tag:
-        cols.append(F.col("_metadata.file_name").alias("__source_file"))
-    return df.select(*cols)
+def _csv_parts(spark, sf, tag: bool | str) -> DataFrame:
+    """Customer and supplier balances as two CSV parts, read by the part scan."""
+    path = scratch_path(spark, "parts")
+    for name, prefix in (("customer", "c"), ("supplier", "s")):
+        part = FX.table(spark, sf, name).select(F.col(f"{prefix}_acctbal").alias("acctbal"), F.col(f"{prefix}_{name[:4]}key").alias("key"))
+        SC.write_result_table(part, f"{path}/{name}.csv")
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("acctbal", T.DoubleType())])
+    return SC.scan_parts(spark, [f"{path}/customer.csv", f"{path}/supplier.csv"], schema, tag=tag, pack=False)
 
 
 @q("scan_parts_tagged")
 def scan_parts_tagged(spark, sf):
-    return _tagged_scan(spark, sf, True)
+    return _csv_parts(spark, sf, "folder")
 
 
 @q("scan_parts")
 def scan_parts(spark, sf):
-    return _tagged_scan(spark, sf, False)
+    return _csv_parts(spark, sf, False)
 
 
 @q("pack_waveform")
@@ -122,10 +123,9 @@ def read_split_dataset(spark, sf):
 def write_split_manifest(spark, sf):
     g = SP.group_split(FX.groups(spark, sf), "source")
     path = SC.write_split_manifest(g, "source", scratch_path(spark, "manifest"))
-    m = spark.read.json(path)
-    return m.select("random_seed", "n_total", "n_train", "n_val", "n_test",
-                    *[F.array_join(c, ",").alias(c) for c in
-                      ("train_environments", "val_environments", "test_environments")])
+    groups = spark.read.schema("source string, n bigint, split string").parquet(f"{path}/groups")
+    summary = spark.read.json(f"{path}/summary").select("random_seed", "n_total", "n_train", "n_val", "n_test")
+    return groups.crossJoin(F.broadcast(summary))            # one row
 
 
 @q("write_result_table")
@@ -143,7 +143,12 @@ def read_result_table(spark, sf):
 @q("save_predictions")
 def save_predictions(spark, sf):
     path = SC.save_predictions(scored_pred(spark, sf), scratch_path(spark, "pred"))
-    return spark.read.parquet(path).select("id", "y", "model", "p", "pred")
+    read = lambda name, *cols: spark.read.parquet(f"{path}/{name}").select(F.lit(name).alias("part"), "model", *cols)
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    pred = read("predictions", "id", "y", "pred", "p", none("bigint", "n"), none("double", "fpr"), none("double", "tpr"))
+    cells = read("confusion", none("bigint", "id"), "y", "pred", none("double", "p"), "n", none("double", "fpr"), none("double", "tpr"))
+    points = read("roc", none("bigint", "id"), none("int", "y"), none("int", "pred"), F.col("threshold").alias("p"), none("bigint", "n"), "fpr", "tpr")
+    return pred.unionByName(cells).unionByName(points)
 
 
 # ================================================================ 2.2 projections / filters
@@ -197,13 +202,9 @@ def rename_select(spark, sf):
 
 @q("sample_per_class")
 def sample_per_class(spark, sf):
-    w = FX.wave_emb(spark, sf).select("id", "y")
-    parts = [PR.sample_per_class(w, "y", "id", 3, seed).withColumn("seed", F.lit(seed))
-             for seed in (42, 43, 44)]
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+    """Whole waves of seeds 42-44 and focus windows of seeds 0-9, one of each class."""
+    out = PR.sample_views(FX.wave_emb(spark, sf).select("id", "y", "w"), "y", "id", "w", start=16, length=32)
+    return out.select("y", "id", "seed", "view", F.posexplode("w").alias("pos", "x"))
 
 
 # ================================================================ 2.3 splits / folds / weights
@@ -639,7 +640,7 @@ def residual_stats(spark, sf):
 
 @q("actual_vs_predicted")
 def actual_vs_predicted(spark, sf):
-    return RG.actual_vs_predicted(regress_long(spark, sf), "y", "p", "path")
+    return RG.actual_vs_predicted(regress_long(spark, sf), "y", "p", "path", "key")
 
 
 @q("fold_summary")

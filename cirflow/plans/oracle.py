@@ -156,8 +156,8 @@ FLAT = dict(start=0, length=120, gap=5, height=3.0, prom=4.0)
 FLAT_STRICT = dict(FLAT, prom=20.0)
 
 # ================================================================ 2.1 scans / sinks
-SQL["scan_parts_tagged"] = """SELECT c_custkey AS key, c_acctbal AS acctbal, 'customer.parquet' AS __source_file FROM customer
-UNION ALL SELECT s_suppkey, s_acctbal, 'supplier.parquet' FROM supplier"""
+SQL["scan_parts_tagged"] = """SELECT c_custkey AS key, c_acctbal AS acctbal, 'customer.csv' AS __source_file FROM customer
+UNION ALL SELECT s_suppkey, s_acctbal, 'supplier.csv' FROM supplier"""
 SQL["scan_parts"] = """SELECT c_custkey AS key, c_acctbal AS acctbal FROM customer
 UNION ALL SELECT s_suppkey, s_acctbal FROM supplier"""
 SQL["pack_waveform"] = with_("wave_emb") + """SELECT id, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos,
@@ -168,15 +168,11 @@ SQL["read_split_dataset"] = _EMB_SPLIT + """SELECT id, y, fp, grp FROM wave_emb
     WHERE split = 'train'"""
 SQL["write_split_manifest"] = with_("groups", extra=group_split_ctes("groups", "source")) + """,
 j AS (SELECT groups.*, gs.split FROM groups JOIN gs ON gs.g = groups.source)
-SELECT CAST(42 AS BIGINT) AS random_seed, count(*) AS n_total, count(*) FILTER (split = 'train') AS n_train,
-  count(*) FILTER (split = 'val') AS n_val, count(*) FILTER (split = 'test') AS n_test,
-  (SELECT string_agg(g, ',' ORDER BY g) FROM gs WHERE split = 'train') AS train_environments,
-  (SELECT string_agg(g, ',' ORDER BY g) FROM gs WHERE split = 'val') AS val_environments,
-  (SELECT string_agg(g, ',' ORDER BY g) FROM gs WHERE split = 'test') AS test_environments FROM j"""
+SELECT j.source, count(*) AS n, split, CAST(42 AS BIGINT) AS random_seed, (SELECT count(*) FROM j) AS n_total,
+  (SELECT count(*) FROM j WHERE split = 'train') AS n_train, (SELECT count(*) FROM j WHERE split = 'val') AS n_val,
+  (SELECT count(*) FROM j WHERE split = 'test') AS n_test FROM j GROUP BY j.source, split"""
 SQL["write_result_table"] = with_("ranks") + "SELECT f, a, b FROM ranks"
 SQL["read_result_table"] = with_("importance") + "SELECT Feature, Importance FROM importance"
-SQL["save_predictions"] = with_("scored_pred") + "SELECT id, y, model, p, pred FROM scored_pred"
-
 # ================================================================ 2.2 projections / filters
 _CORE = ["RANGE", "FP_IDX", "FP_AMP1", "FP_AMP2", "FP_AMP3", "STDEV_NOISE", "CIR_PWR", "MAX_NOISE", "RXPACC",
          "CH", "FRAME_LEN", "PREAM_LEN", "BITRATE", "PRFR", "SNR"]
@@ -194,9 +190,11 @@ SQL["drop_by_prefix"] = "SELECT o_custkey, o_totalprice FROM orders"
 SQL["constant_label"] = with_("wave_emb") + "SELECT id, y AS pair_label, 1 AS path2_nlos FROM wave_emb"
 SQL["threshold_predict"] = with_("scored") + "SELECT id, model, CAST(p >= 0.5 AS INTEGER) AS pred FROM scored"
 SQL["rename_select"] = with_("ranks") + "SELECT f AS Feature, a AS Coefficient FROM ranks"
-SQL["sample_per_class"] = with_("wave_emb") + f"""SELECT id, y, seed FROM (
-    SELECT id, y, s.seed, row_number() OVER (PARTITION BY s.seed, y ORDER BY {md5int("CAST(s.seed AS VARCHAR)", "id")}, id) AS rn
-    FROM wave_emb, (VALUES (42), (43), (44)) s(seed)) WHERE rn <= 3"""
+SQL["sample_per_class"] = with_("wave_emb") + f"""SELECT y, id, seed, view, CAST(pos AS INTEGER) AS pos, x FROM (
+    SELECT y, id, seed, view, unnest(CASE WHEN view = 'focus' THEN w[17:48] ELSE w END) AS x,
+        unnest(range(0, CASE WHEN view = 'focus' THEN 32 ELSE 64 END)) AS pos FROM (
+      SELECT id, y, w, s.seed, s.view, row_number() OVER (PARTITION BY s.seed, s.view, y ORDER BY {md5int("CAST(s.seed AS VARCHAR)", "id")}, id) AS rn
+      FROM wave_emb, (SELECT CAST(i AS INTEGER) AS seed, 'whole' AS view FROM range(42, 45) r(i) UNION ALL SELECT CAST(i AS INTEGER), 'focus' FROM range(0, 10) r(i)) s) WHERE rn = 1)"""
 
 # ================================================================ 2.3 splits / folds / weights
 SQL["group_split"] = with_("groups", extra=group_split_ctes("groups", "source")) + """SELECT doc_id, source, split
@@ -385,6 +383,10 @@ _ROC = [
         FROM rc GROUP BY model, tot_pos, tot_neg"""),
 ]
 SQL["roc_curve"] = with_("scored", extra=_ROC) + "SELECT * FROM roc"
+SQL["save_predictions"] = with_("scored_pred", extra=[*_ROC, _CC]) + """SELECT 'predictions' AS part, model, id, y, pred, p, CAST(NULL AS BIGINT) AS n,
+    CAST(NULL AS DOUBLE) AS fpr, CAST(NULL AS DOUBLE) AS tpr FROM scored_pred UNION ALL """ + " UNION ALL ".join(
+    f"SELECT 'confusion', model, NULL, {yv}, {pv}, NULL, {c}, NULL, NULL FROM cc" for yv, pv, c in ((0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp"))) + """
+    UNION ALL SELECT 'roc', model, NULL, NULL, NULL, threshold, NULL, fpr, tpr FROM roc"""
 SQL["roc_auc"] = with_("scored", extra=_ROC) + "SELECT * FROM auc"
 SQL["auc_trapezoid"] = with_("scored", extra=_ROC) + f""", t AS (SELECT model, fpr, tpr,
     lag(fpr) OVER (PARTITION BY model ORDER BY fpr, tpr) AS pf, lag(tpr) OVER (PARTITION BY model ORDER BY fpr, tpr) AS pt
@@ -491,8 +493,8 @@ SQL["clipped_metrics"] = with_("regress") + f"""SELECT count(*) AS n,
 SQL["residual_stats"] = _RL + f"""SELECT path, {r('avg(p - y)')} AS mean, {r('stddev_pop(p - y)')} AS std,
     {r('avg(CAST(abs(p - y) < 0.5 AS DOUBLE))')} AS share_lt_0_5, {r('avg(CAST(abs(p - y) < 1.0 AS DOUBLE))')} AS share_lt_1_0,
     {r('quantile_cont(p - y, 0.5)')} AS median FROM rl GROUP BY path"""
-SQL["actual_vs_predicted"] = _RL + """SELECT path, least(min(y), min(p)) AS lo, greatest(max(y), max(p)) AS hi, count(*) AS n
-    FROM rl GROUP BY path"""
+SQL["actual_vs_predicted"] = _RL + """SELECT path, key, y, p, least(min(y) OVER w, min(p) OVER w) AS lo, greatest(max(y) OVER w, max(p) OVER w) AS hi
+    FROM rl WINDOW w AS (PARTITION BY path)"""
 SQL["fold_summary"] = _RL + f""", rf AS (SELECT *, CAST({md5int("'42'", "key")} % 5 AS INTEGER) AS fold FROM rl),
   pf AS (SELECT path, fold, sqrt(sum((p - y) * (p - y)) / count(*)) AS rmse, avg(abs(p - y)) AS mae,
     1.0 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)) AS r2 FROM rf GROUP BY path, fold)

@@ -11,10 +11,9 @@
 
 from __future__ import annotations
 
-import json
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,11 +46,16 @@ def unpack_waveform(df: DataFrame, wave: str = "cir", prefix: str = "CIR", n_sam
     return df.select(*keep, *[F.get(F.col(wave), i).alias(f"{prefix}{i}") for i in range(n_samples)])
 
 
+def _part_name(tag: bool | str) -> Column:
+    return F.regexp_extract("_metadata.file_path", "([^/]+)/[^/]+$", 1) if tag == "folder" else F.col("_metadata.file_name")
+
+
 def scan_parts(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None,
-               tag: bool = False, pack: bool = True, n_samples: int = N_SAMPLES,
+               tag: bool | str = False, pack: bool = True, n_samples: int = N_SAMPLES,
                fmt: str = "csv") -> DataFrame:
-    """Read measurement parts, optionally tagged with the file name in
-    ``__source_file``, waveform packed.
+    """Read measurement parts, optionally tagged in ``__source_file`` with the
+    file name, or (``tag="folder"``) with the name of the folder that holds
+    the part's files, waveform packed.
 
     CSV parts are matched by header *name*: the column order comes from the
     header of the first part (no data is read for it), types from
@@ -71,12 +75,12 @@ def scan_parts(spark: SparkSession, paths: str | Sequence[str], schema: T.Struct
                .csv(paths))
         cols = [F.col(f"`{f.name}`") for f in schema.fields]
         if tag:
-            cols.append(F.col("_metadata.file_name").alias("__source_file"))
+            cols.append(_part_name(tag).alias("__source_file"))
         df = raw.select(*cols)
     else:
         df = spark.read.schema(schema).format(fmt).load(paths)
         if tag:
-            df = df.withColumn("__source_file", F.col("_metadata.file_name"))
+            df = df.withColumn("__source_file", _part_name(tag))
     return pack_waveform(df, n_samples=n_samples) if pack else df
 
 
@@ -97,24 +101,26 @@ def read_split_dataset(spark: SparkSession, path: str, split: str | None = None,
 
 def split_manifest(df: DataFrame, group: str, split: str = "split", seed: int = 42,
                    val_size: float = 0.15, test_size: float = 0.15) -> DataFrame:
-    """One row: seed, sizes, row counts and sorted group lists per split."""
+    """One row: seed, sizes and row counts per split. The groups of each split
+    are a table of their own (``manifest_groups``): their number has no bound."""
     def n(s):
         return F.count_if(F.col(split) == s)
 
-    def groups(s):
-        return F.array_sort(F.collect_set(F.when(F.col(split) == s, F.col(group))))
-
-    # collect_set holds distinct group names only (a short list)
     return df.agg(
         F.lit(seed).alias("random_seed"), F.lit(val_size).alias("val_size"),
         F.lit(test_size).alias("test_size"), F.lit(round(1 - val_size - test_size, 10)).alias("train_size"),
-        F.count("*").alias("n_total"), n("train").alias("n_train"), n("val").alias("n_val"),
-        n("test").alias("n_test"), groups("train").alias("train_environments"),
-        groups("val").alias("val_environments"), groups("test").alias("test_environments"))
+        F.count("*").alias("n_total"), n("train").alias("n_train"), n("val").alias("n_val"), n("test").alias("n_test"))
 
 
-def write_split_manifest(df: DataFrame, group: str, path: str, **kw) -> str:
-    split_manifest(df, group, **kw).coalesce(1).write.mode("overwrite").json(path)
+def manifest_groups(df: DataFrame, group: str, split: str = "split") -> DataFrame:
+    """(split, group, n): the groups of each split and their rows."""
+    return df.groupBy(split, group).agg(F.count("*").alias("n"))
+
+
+def write_split_manifest(df: DataFrame, group: str, path: str, split: str = "split", **kw) -> str:
+    """``summary`` (one row) as JSON beside ``groups`` as Parquet, partitioned by split."""
+    split_manifest(df, group, split, **kw).write.mode("overwrite").json(f"{path}/summary")
+    manifest_groups(df, group, split).write.mode("overwrite").partitionBy(split).parquet(f"{path}/groups")
     return path
 
 
@@ -138,21 +144,13 @@ def read_result_table(spark: SparkSession, path: str, schema: T.StructType | str
 
 
 def save_predictions(scored: DataFrame, path: str, by: Iterable[str] = ("model",)) -> str:
+    """``predictions`` by model, and beside them what plots and reports need:
+    ``confusion`` (all four cells a model) and ``roc`` (the curve's points)."""
+    from cirflow.operators import classify as C
     cols = [c for c in by if c in scored.columns]
     w = scored.write.mode("overwrite")
-    (w.partitionBy(*cols) if cols else w).parquet(path)
-    return path
-
-
-def save_model(model, path: str) -> str:
-    model.write().overwrite().save(path)
+    (w.partitionBy(*cols) if cols else w).parquet(f"{path}/predictions")
+    saved = scored.sparkSession.read.parquet(f"{path}/predictions")
+    C.confusion_matrix(saved, cols).write.mode("overwrite").parquet(f"{path}/confusion")
+    C.roc_curve(saved, cols).write.mode("overwrite").parquet(f"{path}/roc")
     return path
-
-
-def load_model(cls, path: str):
-    return cls.load(path)
-
-
-def manifest_json(row) -> str:
-    """Render one manifest row as the reference's JSON layout."""
-    return json.dumps(row.asDict(recursive=True), indent=2)
