@@ -57,6 +57,10 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
 
 
+#: Largest length that the header of a gzip member can tell.
+LARGEST_LENGTH = 0xFFFFFFFF
+
+
 def _line(value: str) -> str:
     """A header value on one line; other characters than printable ASCII are percent-encoded."""
     return "".join(c if 32 < ord(c) < 127 else "".join(f"%{b:02X}" for b in c.encode("utf-8", "surrogatepass")) for c in value)
@@ -75,12 +79,15 @@ def record(record_id: str, kind: str, uri: str | None, refers_to: str | None, pa
 
 
 def member(raw: bytes, level: int = 6) -> bytes:
-    """One gzip member whose header tells its compressed and full length."""
+    """One gzip member whose header tells its compressed and full length, where both fit its 32 bits; a reader inflates
+    its way past a larger one."""
     deflate = zlib.compressobj(level, zlib.DEFLATED, -15)
     body = deflate.compress(raw) + deflate.flush()
     size = 12 + 12 + len(body) + 8
-    return (b"\x1f\x8b\x08\x04" + b"\0" * 4 + b"\0\xff" + struct.pack("<H", 12) + b"sl" + struct.pack("<HII", 8, size & 0xFFFFFFFF, len(raw) & 0xFFFFFFFF)
-            + body + struct.pack("<II", zlib.crc32(raw), len(raw) & 0xFFFFFFFF))
+    tail = body + struct.pack("<II", zlib.crc32(raw), len(raw) & 0xFFFFFFFF)
+    if max(size, len(raw)) > LARGEST_LENGTH:
+        return b"\x1f\x8b\x08\x00" + b"\0" * 4 + b"\0\xff" + tail
+    return b"\x1f\x8b\x08\x04" + b"\0" * 4 + b"\0\xff" + struct.pack("<H", 12) + b"sl" + struct.pack("<HII", 8, size, len(raw)) + tail
 
 
 @dataclass
