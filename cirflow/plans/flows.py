@@ -22,11 +22,14 @@ from pyspark.sql import functions as F
 
 from cirflow.functions.scalars import monotone_clip
 from cirflow.functions import waves as W
+from cirflow.operators import boosting as B
 from cirflow.operators import classify as C
 from cirflow.operators import features as FE
+from cirflow.operators import forest as R
 from cirflow.operators import models as M
 from cirflow.operators import regress as RG
 from cirflow.operators import splits as SP
+from cirflow.operators import svm as V
 from cirflow.session import scratch_path
 from cirflow.sources.scans import CORE_FEATURES
 
@@ -53,6 +56,9 @@ class Config:
     tune_grid: dict = field(default_factory=lambda: {
         "maxDepth": [3, 4, 5, 6, 8], "stepSize": [0.03, 0.05, 0.1, 0.2], "maxIter": [100, 200, 400],
         "subsamplingRate": [0.6, 0.8, 1.0], "minInstancesPerNode": [1, 3, 5]})
+    boosted: dict = field(default_factory=dict)      # flow B: boosting.Params, forest.Params
+    forest: dict = field(default_factory=dict)
+    patience: int = 30
     reg: dict = field(default_factory=lambda: dict(max_iter=1200, max_depth=8, step=0.015))
     reg_cv: bool = False                     # k-fold CV of both regressors on the train split
 
@@ -136,41 +142,46 @@ def pair_classification(spark: SparkSession, meas: DataFrame, cfg: Config | None
 BASE_SCALARS = CORE_FEATURES + FE.RATIO_FEATURES + FE.SHAPE_FEATURES
 
 
+def base_matrix(d: DataFrame, cfg: Config) -> tuple[DataFrame, list[str]]:
+    """The base set as columns: scalars, shapes and the focus window's samples (148 at the reference's window)."""
+    window = [f"CIR{cfg.focus_start + i}" for i in range(cfg.focus_len)]
+    d = d.withColumns({c: F.coalesce(F.get("cir", F.lit(cfg.focus_start + i)).cast("double"), F.lit(0.0)) for i, c in enumerate(window)})
+    return d, BASE_SCALARS + window
+
+
 def single_path_models(spark: SparkSession, meas: DataFrame, cfg: Config | None = None) -> dict:
-    """Flow B: base features, split, scaler fit on train, four models with a
-    validation-tuned threshold, one comparison table."""
+    """Flow B: all base features, split, scaler fit on train, four models with a
+    validation-tuned threshold, one comparison table. The boosted model ends by
+    patience on the validation rows; the SVM is calibrated over three folds."""
     cfg = cfg or Config()
     d = FE.engineer_features(meas, "cir", cfg.focus_start, cfg.focus_len, engine="vectorized")
     d = SP.group_split(d, cfg.group, cfg.val_size, cfg.test_size, cfg.seed).withColumnRenamed(cfg.label, "y")
-    d = d.fillna(0.0, ["CIR_kurtosis", "CIR_skewness"])
+    d, cols = base_matrix(d.fillna(0.0, ["CIR_kurtosis", "CIR_skewness"]), cfg)
     d = materialise(spark, d, "base-features")
-    scaler = M.PopulationScaler(BASE_SCALARS).fit(d.where(F.col("split") == "train"))
-    d = M.assemble(scaler.transform(d), BASE_SCALARS, "features")
-    train = SP.balanced_weight(d.where(F.col("split") == "train"), "y")
-    n_w = float(train.agg(F.sum("weight")).first()[0])
-    ests = {
-        "random_forest": M.random_forest(num_trees=50, max_depth=10),
-        "logistic": M.logistic(1.0, n_w),
-        "boosted": M.boosted_classifier(max_iter=30, max_depth=4),
-    }
+    scaler = M.PopulationScaler(cols).fit(d.where(F.col("split") == "train"))
+    d = materialise(spark, M.assemble(scaler.transform(d), cols, "features").select("id", "y", "split", "features"), "base-matrix")
+    train = d.where(F.col("split") == "train")
+    weighted = SP.balanced_weight(train, "y")
+    n0, n1 = train.agg(F.count_if(F.col("y") == 0), F.count_if(F.col("y") == 1)).first()
+    logistic = M.logistic(1.0, float(n0 + n1)).setFeaturesCol("features").setLabelCol("y").setWeightCol("weight").fit(weighted)
+    forest = R.fit(train, R.Params(**cfg.forest))
+    boosted = B.fit(d.where(F.col("split").isin("train", "val")), B.Params(scale_pos_weight=n0 / max(n1, 1), **cfg.boosted),
+                    valid=F.col("split") == "val", patience=cfg.patience)
+    folds = materialise(spark, SP.stratified_kfold(train, "y", "id", 3, seed=cfg.seed + 1, out="cal_fold"), "cal-folds")
+    svm = V.calibrate(folds, "cal_fold", 3)
+    predict = {"random_forest": forest.predict, "boosted": boosted.predict, "svm_platt": svm.predict,
+               "logistic": lambda rows, threshold=0.5: M.predict_proba(logistic, rows, ["id", "y"], threshold)}
     scored_all = None
-    for name, est in ests.items():
-        m = est.setFeaturesCol("features").setLabelCol("y").setWeightCol("weight").fit(train)
-        val = M.predict_proba(m, d.where(F.col("split") == "val"), ["id", "y"])
-        t = C.threshold_tune(val).first()["threshold"]
-        s = M.predict_proba(m, d.where(F.col("split") == "test"), ["id", "y"], t).withColumn("model", F.lit(name))
+    for name, scores in predict.items():
+        t = C.threshold_tune(scores(d.where(F.col("split") == "val"))).first()["threshold"]
+        s = scores(d.where(F.col("split") == "test"), threshold=t).withColumn("model", F.lit(name))
         scored_all = s if scored_all is None else scored_all.unionByName(s)
-    # linear SVM with 3-fold Platt calibration (sigmoid fitted on held-out margins)
-    cal = SP.stratified_kfold(train, "y", "id", 3, seed=cfg.seed + 1, out="cal_fold")
-    pairs = M.platt_calibrate(cal, "features", "y", "cal_fold",
-                              lambda: M.linear_svm(1.0, n_w, max_iter=50).setWeightCol("weight"), 3)
-    val = M.platt_score(pairs, d.where(F.col("split") == "val"), "features")
-    t = C.threshold_tune(val).first()["threshold"]
-    s = C.with_pred(M.platt_score(pairs, d.where(F.col("split") == "test"), "features"), t) \
-        .withColumn("model", F.lit("svm_platt"))
-    scored_all = scored_all.unionByName(s)
-    return {"scored": scored_all, "comparison": C.model_comparison(scored_all),
-            "best": C.best_model(C.model_comparison(scored_all))}
+    scored_all = materialise(spark, scored_all, "base-scored")
+    comparison = C.model_comparison(scored_all)
+    names = cols
+    return {"scored": scored_all, "comparison": comparison, "best": C.best_model(comparison),
+            "importance": spark.createDataFrame([(n, float(v)) for n, v in zip(names, boosted.importance(), strict=True)], "Feature string, Importance double"),
+            "coefficients": svm.coefficients(spark, names), "best_round": boosted.best_round}
 
 
 REG_SCALARS = [c for c in PAIR_SCALARS if c != "RANGE"]

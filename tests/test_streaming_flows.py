@@ -90,10 +90,15 @@ def test_csv_parts_scan_by_name_with_tag(spark):
 
 def test_single_path_flow_runs(spark):
     meas = FX.measurements(spark, SF001)
-    cfg = FL.Config(focus_start=0, focus_len=64, align_pre=8, align_post=24, gap=3)
+    cfg = FL.Config(focus_start=0, focus_len=64, align_pre=8, align_post=24, gap=3, boosted=dict(n_estimators=60), forest=dict(n_estimators=20), patience=5)
     out = FL.single_path_models(spark, meas, cfg)
     models = {r["model"] for r in out["comparison"].collect()}
     assert models == {"random_forest", "logistic", "boosted", "svm_platt"}
+    width = len(FL.BASE_SCALARS) + 64
+    assert out["importance"].count() == width and out["coefficients"].count() == width and out["best_round"] < 60
+    assert out["scored"].where("p between 0 and 1").count() == out["scored"].count() > 0
+    # at the reference's window: 16 core, 12 engineered and 120 window columns
+    assert len(FL.BASE_SCALARS) + FL.Config().focus_len == 148
 
 
 def test_stream_to_table_available_now(spark):
