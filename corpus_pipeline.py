@@ -16,14 +16,28 @@ from cirflow.llm.queries import _vocabulary
 SHINGLE = 5
 
 
+#: Rows that reach a Python worker at a time: texts have no bound, so few.
+BATCH_ROWS = 500
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Small Arrow batches, for the memory of executors and their workers; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without a letter, or mostly in a script that no language here is written in, go."""
+    _bounded(spark)
     return langid.accepted(docs, langid.model(langid.train(docs)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles), that with the smallest id.
     Rows of one id with unlike texts are documents of their own."""
+    _bounded(spark)
     # ids of several rows, from the ids alone; the texts of all other inputs need no shuffle
     twice = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-twice")
     if twice.isEmpty():
@@ -57,11 +71,13 @@ def _without(docs: DataFrame, key: str, ids: DataFrame) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, secrets masked in the text; n_chars follows."""
+    _bounded(spark)
     return secret_scan.mask(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; rows of one id and unlike sizes each as often as the mix takes them."""
+    _bounded(spark)
     size, copies = fresh(docs, "_size"), fresh(docs, "_copies")
     taken = mixing.mix(docs).where("doc_id is not null").groupBy("doc_id", F.col("size").alias(size)).agg(F.max("copies").alias(copies))
     taken = stored(taken, "mix-copies")
@@ -72,6 +88,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_merged, decoded, n_tokens) of each row."""
+    _bounded(spark)
     out = bpe.encode_decode(docs, _vocabulary(spark))
     return out.withColumn("n_tokens", (F.length("ids") / 4).cast("long"))
 
