@@ -253,6 +253,57 @@ def test_large_regions_keep_all_pairs_of_depth_four(spark, monkeypatch):
     assert classes(16, 3) == classes(1 << 30, 3)
 
 
+def boilerplate(n, copies, seed=3):
+    """Texts that share 60 of 90 words; of every one a copy with its last words changed, if asked for."""
+    rng = random.Random(seed)
+    common, rows = [f"w{i}" for i in range(60)], []
+    for k in range(n):
+        ws = common + [f"o{k}_{i}" for i in range(30)]
+        rows.append((len(rows), " ".join(ws)))
+        if copies:
+            change = rng.choice((3, 5, 7, 9))
+            rows.append((len(rows), " ".join(ws[:-change] + [f"c{k}_{i}" for i in range(change)])))
+    return rows
+
+
+def test_split_regions_keep_copies(spark, monkeypatch):
+    """Copies at 0.8 to 0.95 among texts with the same boilerplate, in regions that are split."""
+    monkeypatch.setattr(near_text, "BLOCK", 8)
+    monkeypatch.setattr(near_text, "LARGE", 16)
+    rows = boilerplate(150, True)
+    got = {r.doc_id: r.component_id for r in near_text.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
+def test_boilerplate_comparisons(spark, monkeypatch):
+    """Texts with the same boilerplate that link with nothing: comparisons grow far below the square."""
+    monkeypatch.setattr(near_text, "BLOCK", 8)
+    monkeypatch.setattr(near_text, "LARGE", 16)
+    links, made = near_text.links, []
+
+    def counted(df, members, *args):
+        made[-1] += sum(r["count"] ** 2 for r in members.groupBy("region", "i", "j").count().collect())
+        return links(df, members, *args)
+
+    monkeypatch.setattr(near_text, "links", counted)
+    for n in (200, 800):
+        made.append(0)
+        got = near_text.near_duplicates(spark.createDataFrame(boilerplate(n, False), "doc_id long, text string"), size=2).collect()
+        assert all(r.kept for r in got) and len(got) == n
+    power = math.log(made[1] / made[0]) / math.log(4)
+    print("comparisons", made, "power", power)
+    assert power < 1.5
+
+
+def test_runs_are_cut_at_short_prefixes():
+    marks = []
+    near_text._cut(0, 10, np.array([0, 8, 8, 8, 1, 8, 8, 8, 8, 8]), 6, marks)
+    assert sorted(marks) == [0, 4]
+    marks = []
+    near_text._cut(0, 1000, np.full(1000, 8), 7, marks)
+    assert max(np.diff([*sorted(marks), 1000])) <= 7 and min(marks) == 0
+
+
 def test_near_text_edges(messy, empty):
     got = collections.Counter((r["doc_id"], r["component_id"], r["n_shingles"]) for r in rows_of(near_text.near_duplicates(messy, size=2)))
     assert got[(2, 1, 13)] == 2 and got[(3, 3, 0)] == got[(4, 4, 0)] == got[(5, 5, 0)] == 1 and got[(9, 9, 1)] == 1 and got[(6, 6, 1)] == 1
