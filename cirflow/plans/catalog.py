@@ -573,7 +573,8 @@ def error_prob_stats(spark, sf):
 
 
 def _vector_shift(spark, sf, normalise: bool) -> DataFrame:
-    rows = scored_pred(spark, sf).join(FX.event_features(spark, sf), "id")
+    # a vector is far wider than the planner's estimate of an array: it is never broadcast
+    rows = scored_pred(spark, sf).join(FX.event_features(spark, sf).hint("merge"), "id")
     return C.error_vector_shift(rows, "features", [f"F{i}" for i in range(FX.EVENT_FEATURES)], normalise=normalise, by="model")
 
 
