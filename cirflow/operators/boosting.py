@@ -39,8 +39,8 @@ from cirflow.session import scratch_path
 #: Rows of a node that one task may finish; trees between two writes of the margin.
 FINISH_ROWS, ROUNDS_A_STORE = 20_000, 10
 BINS = 256
-#: Rows of a node whose cuts are found by sorting.
-SORTED_ROWS = 512
+#: Rows of a node whose cuts are found by sorting; numbers of a tile of such nodes.
+SORTED_ROWS, TILE = 512, 1 << 17
 #: Smallest gain of a cut.
 LEAST_GAIN = 1e-6
 
@@ -130,6 +130,8 @@ def gradients(margin: np.ndarray, y: np.ndarray, w: np.ndarray, objective: str)
 
 
 def _shrunk(g, p: Params):
+    if not p.reg_alpha:
+        return g
     return np.sign(g) * np.maximum(np.abs(g) - p.reg_alpha, 0.0)
 
 
@@ -141,6 +143,10 @@ def leaf_value(g: float, h: float, p: Params) -> float:
     return float(-p.learning_rate * _shrunk(g, p) / (h + p.reg_lambda)) if h + p.reg_lambda > 0 else 0.0
 
 
+def leaf_values(g: np.ndarray, h: np.ndarray, p: Params) -> np.ndarray:
+    return np.where(h + p.reg_lambda > 0, -p.learning_rate * _shrunk(g, p) / np.where(h + p.reg_lambda > 0, h + p.reg_lambda, 1.0), 0.0)
+
+
 def histograms(bins: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray, slots: int, columns: np.ndarray) -> np.ndarray:
     """Sums (slots, columns, bins, 3) of gradient, hessian and rows; ``slot`` numbers the rows' nodes."""
     out = np.empty((slots, len(columns), BINS, 3))
@@ -198,6 +204,91 @@ def node_cut(bins: np.ndarray, g: np.ndarray, h: np.ndarray, columns: np.ndarray
     return float(gain[c]), int(columns[c]), int(cut[c]), bool(missing[c])
 
 
+def node_cuts(bins: np.ndarray, g: np.ndarray, h: np.ndarray, rows: np.ndarray, start: np.ndarray, columns: np.ndarray, p: Params, least_rows: int = 1) -> tuple[np.ndarray, ...]:
+    """``node_cut`` of many nodes: (gain, feature, cut, missing_left). Node i has the rows ``rows[start[i]:start[i + 1]]`` and
+    looks at ``columns[i]``. Nodes of few rows are sorted together, padded to the same length."""
+    count, k = columns.shape
+    gain, feature, cut, missing = np.full(count, -np.inf), np.zeros(count, np.int64), np.zeros(count, np.int64), np.zeros(count, bool)
+    size = np.diff(start)
+    alone = np.flatnonzero(size > SORTED_ROWS).tolist()
+    low, every = 1, (columns == columns[:1]).all() and k == bins.shape[1] if count else False
+    while low < SORTED_ROWS:
+        length = 2 * low
+        some = np.flatnonzero((size > low) & (size <= length))
+        low, step = length, max(1, TILE // (length * max(k, 1)))
+        kind, shift = (np.uint16 if length <= 128 else np.uint32), length.bit_length() - 1
+        place = np.arange(length, dtype=kind)
+        for a in range(0, len(some) if k else 0, step):
+            part = some[a:a + step]
+            n = size[part]
+            inside = place < n[:, None]
+            at = rows[np.where(inside, start[part][:, None] + place, start[part][:, None])]
+            b = bins[at].transpose(0, 2, 1) if every else bins[at[:, None, :], columns[part][:, :, None]]
+            blank = (b == 0).any((1, 2))
+            if blank.any():                                  # missing values go either way: histograms
+                alone += part[blank].tolist()
+                part, n, inside, at, b = part[~blank], n[~blank], inside[~blank], at[~blank], b[~blank]
+                if not len(part):
+                    continue
+            key = np.where(inside[:, None], b.astype(kind), kind(256)) << kind(shift) | place
+            key.sort(-1)
+            order = (key & kind(length - 1)) + (np.arange(len(part)) * length)[:, None, None]
+            end = key[..., 1:] >> kind(shift) != key[..., :-1] >> kind(shift)
+            gs, hs = np.where(inside, g[at], 0.0), np.where(inside, h[at], 0.0)
+            left_g, left_h = gs.ravel()[order[..., :-1]].cumsum(-1), hs.ravel()[order[..., :-1]].cumsum(-1)
+            all_g, all_h = gs.sum(1)[:, None, None], hs.sum(1)[:, None, None]
+            right_h = all_h - left_h
+            left = np.arange(1, length)
+            ok = end & ((left >= least_rows) & (left <= n[:, None] - least_rows))[:, None]
+            if p.min_child_weight:
+                ok &= (left_h >= p.min_child_weight) & (right_h >= p.min_child_weight)
+            with np.errstate(invalid="ignore"):
+                found = np.where(ok, score(left_g, left_h, p) + score(all_g - left_g, right_h, p) - score(all_g, all_h, p), -np.inf).astype(np.float32).reshape(len(part), -1)
+            best = found.argmax(1)
+            c, i = best // (length - 1), best % (length - 1)
+            gain[part], feature[part] = found[np.arange(len(part)), best], columns[part, c]
+            cut[part] = key[np.arange(len(part)), c, i] >> kind(shift)
+    for i in alone:
+        r = rows[start[i]:start[i + 1]]
+        gain[i], feature[i], cut[i], missing[i] = node_cut(bins[r], g[r], h[r], columns[i], p, least_rows)
+    return gain, feature, cut, missing
+
+
+def parted(bins: np.ndarray, rows: np.ndarray, start: np.ndarray, nodes: np.ndarray, feature: np.ndarray, cut: np.ndarray, missing_left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of the cut ``nodes``' children, left before right, and where each child's rows start."""
+    size = np.diff(start)[nodes]
+    own = np.repeat(np.arange(len(nodes)), size)
+    r = rows[np.arange(len(own)) + np.repeat(start[nodes] - np.concatenate([[0], size.cumsum()[:-1]]), size)] if len(nodes) else rows[:0]
+    b = bins[r, feature[own]]
+    child = 2 * own + ~np.where(b == 0, missing_left[own], b <= cut[own])
+    return r[child.argsort(kind="stable")], np.concatenate([[0], np.bincount(child, minlength=2 * len(nodes)).cumsum()]).astype(np.int64)
+
+
+def sums_of(x: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Sum of each node's values; no node is without rows."""
+    return np.add.reduceat(x, start[:-1]) if len(start) > 1 else np.zeros(0)
+
+
+class Levels:
+    """Nodes of a tree written level by level; the children of a level's cut nodes, in order, are the next level."""
+
+    def __init__(self):
+        self.parts, self.first = [], 0
+
+    def add(self, value: np.ndarray, cover: np.ndarray, split: np.ndarray, feature=(), cut=(), missing_left=(), gain=()) -> None:
+        n = len(value)
+        one = {"feature": np.full(n, -1), "cut": np.zeros(n, int), "missing_left": np.zeros(n, bool), "left": np.full(n, -1), "right": np.full(n, -1), "value": value, "gain": np.zeros(n), "cover": cover}
+        for name, x in (("feature", feature), ("cut", cut), ("missing_left", missing_left), ("gain", gain)):
+            one[name][split] = x
+        self.first += n
+        one["left"][split] = self.first + 2 * np.arange(len(split))
+        one["right"][split] = one["left"][split] + 1
+        self.parts.append(one)
+
+    def tree(self) -> Tree:
+        return Tree(**{k: np.concatenate([x[k] for x in self.parts]).tolist() for k in self.parts[0]})
+
+
 def sides(bins: np.ndarray, rows: np.ndarray, feature: int, cut: int, missing_left: bool) -> tuple[np.ndarray, np.ndarray]:
     b = bins[rows, feature]
     left = (b <= cut) & (b > 0) | (b == 0) & missing_left
@@ -206,21 +297,24 @@ def sides(bins: np.ndarray, rows: np.ndarray, feature: int, cut: int, missing_le
 
 def grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, columns: np.ndarray, p: Params, depth: int) -> Tree:
     """A whole tree over rows at hand."""
-    tree = Tree()
-    level = [(0, np.arange(len(bins)))]
+    out = Levels()
+    rows, start = np.arange(len(bins)), np.array([0, len(bins)])
+    if not len(bins):
+        return Tree()
     for d in range(depth + 1):
-        fresh = []
-        for node, rows in level:
-            a, b = g[rows], h[rows]
-            tree.value[node], tree.cover[node] = leaf_value(float(a.sum()), float(b.sum()), p), float(b.sum())
-            # too light for two sides: a leaf
-            if d == depth or len(rows) < 2 or tree.cover[node] < 2 * p.min_child_weight or not len(columns):
-                continue
-            gain, feature, cut, missing = node_cut(bins[rows], a, b, columns, p)
-            if gain > LEAST_GAIN:
-                fresh += zip(tree.split(node, feature, cut, missing, gain), sides(bins, rows, feature, cut, missing))
-        level = fresh
-    return tree
+        a, b = sums_of(g[rows], start), sums_of(h[rows], start)
+        value = leaf_values(a, b, p)
+        # too light for two sides: a leaf
+        live = np.flatnonzero((np.diff(start) >= 2) & (b >= 2 * p.min_child_weight)) if d < depth and len(columns) else np.empty(0, np.int64)
+        own = np.flatnonzero(np.repeat(np.isin(np.arange(len(b)), live), np.diff(start)))
+        gain, feature, cut, missing = node_cuts(bins, g, h, rows[own], np.concatenate([[0], np.diff(start)[live].cumsum()]).astype(np.int64), np.tile(columns, (len(live), 1)), p)
+        good = gain > LEAST_GAIN
+        split = live[good]
+        out.add(value, b, split, feature[good], cut[good], missing[good], gain[good])
+        if not len(split):
+            break
+        rows, start = parted(bins, rows, start, split, feature[good], cut[good], missing[good])
+    return out.tree()
 
 
 # ---- sampling, the same on the driver and in tasks

@@ -1,4 +1,5 @@
 """What the review of round 3 found: wide broadcasts, serial growth of trees, one small job after another."""
+import numpy as np
 import pytest
 
 from cirflow.plans import catalog as K
@@ -9,3 +10,36 @@ from tests.conftest import SF001
 def test_event_vectors_are_not_broadcast(spark, name):
     plan = K.REGISTRY[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_forest_trees_stay_in_the_table(spark):
+    """The driver holds the upper nodes only; rows meet the pieces of every tree, also where a subtree fills several."""
+    from cirflow.operators import boosting as B
+    from cirflow.operators import forest as R
+    rng = np.random.default_rng(2)
+    x, noise = rng.normal(size=(900, 3)), rng.normal(size=900)
+    df = spark.createDataFrame([(i, x[i].tolist(), float(x[i, 0] + noise[i])) for i in range(900)], "id long, features array<double>, y double").repartition(3)
+    for finish in (20_000, 300):
+        m = R.fit(df, R.Params(n_estimators=4, max_features=1.0), regression=True, finish_rows=finish)
+        assert max(len(t.feature) for t in m.trees.heads) < 20 and m.trees.table.where("part > 1").count() > 0
+        trees = list(m.trees)
+        assert all(len(t.feature) > 600 for t in trees) and m.trees[-1].feature == trees[3].feature
+        got = {r.id: r.p for r in m.predict(df).collect()}
+        want = np.mean([t.output(B.to_bins(x, m.cuts)) for t in trees], axis=0)
+        assert [got[i] for i in range(900)] == pytest.approx(want, abs=1e-12)
+
+
+def test_cuts_of_many_nodes_equal_one_at_a_time():
+    from cirflow.operators import boosting as B
+    rng = np.random.default_rng(4)
+    bins = rng.integers(1, 9, (3000, 6)).astype(np.uint8)
+    bins[rng.random(bins.shape) < 0.0005] = 0                # a few missing values
+    g, h = rng.integers(-9, 9, 3000).astype(float), rng.integers(1, 4, 3000).astype(float)
+    start = np.array([0, 2, 5, 9, 17, 40, 300, 302, 900, 1412, 3000])
+    rows = rng.permutation(3000)
+    for columns, p, least in ((np.tile(np.arange(6), (10, 1)), B.Params(), 1), (np.sort(rng.permuted(np.tile(np.arange(6), (10, 1)), axis=1)[:, :3]), B.Params(reg_alpha=0.5, min_child_weight=0.0), 2)):
+        got = B.node_cuts(bins, g, h, rows, start, columns, p, least)
+        for i in range(10):
+            r = rows[start[i]:start[i + 1]]
+            want = B.node_cut(bins[r], g[r], h[r], columns[i], p, least)
+            assert got[0][i] == want[0] and (want[0] == -np.inf or tuple(x[i] for x in got[1:]) == want[1:])
