@@ -6,7 +6,7 @@ row hash and the margin so far. A tree grows level by level. Each level is one
 job: every task sums gradients, hessians and counts of its rows by (node,
 feature, bin); these small histograms, not rows, are shuffled by (node,
 feature), added up, and searched for the best cut where they land, so that one
-row a node reaches the driver. A node of at most ``FINISH_ROWS`` rows is sent
+line a node and feature reaches the driver. A node of at most ``FINISH_ROWS`` rows is sent
 to one task that grows its subtree to the end with the same functions; while
 the whole sample is that small, the task grows several trees in a row.
 
@@ -36,8 +36,9 @@ from pyspark.sql import functions as F
 
 from cirflow.session import scratch_path
 
-#: Rows of a node that one task may finish; trees between two writes of the margin.
-FINISH_ROWS, ROUNDS_A_STORE = 20_000, 10
+#: Rows of a node that one task may finish (its memory is bounded by them, about 150 bytes a row); trees between two
+#: writes of the margin.
+FINISH_ROWS, ROUNDS_A_STORE = 200_000, 10
 BINS = 256
 #: Rows of a node whose cuts are found by sorting; numbers of a tile of such nodes.
 SORTED_ROWS, TILE = 512, 1 << 17
@@ -150,8 +151,9 @@ def leaf_values(g: np.ndarray, h: np.ndarray, p: Params) -> np.ndarray:
 def histograms(bins: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray, slots: int, columns: np.ndarray) -> np.ndarray:
     """Sums (slots, columns, bins, 3) of gradient, hessian and rows; ``slot`` numbers the rows' nodes."""
     out = np.empty((slots, len(columns), BINS, 3))
-    for c, f in enumerate(columns.tolist()):
-        key = slot * BINS + bins[:, f]
+    across = np.ascontiguousarray(bins[:, columns].T)
+    for c in range(len(columns)):
+        key = across[c].astype(np.int64) if slots == 1 else slot * BINS + across[c]
         for k, weight in enumerate((g, h, None)):
             out[:, c, :, k] = np.bincount(key, weight, slots * BINS).reshape(slots, BINS)
     return out
@@ -578,8 +580,12 @@ class _Fit:
 
         parts = self.state.where("not val").select("row", "y", "w", "val", "x", "margin").mapInArrow(sums, "node int, feature int, hist binary")
         found = parts.repartition("node", "feature").sortWithinPartitions("node", "feature").mapInArrow(best, "node int, feature int, gain double, cut int, missing boolean, left array<double>, total array<double>")
-        rows = found.groupBy("node").agg(F.max_by(F.struct("feature", "gain", "cut", "missing", "left", "total"), F.struct("gain", -F.col("feature"))).alias("b")).collect()
-        return [{"node": r["node"], **r["b"].asDict()} for r in rows]
+        best_of: dict[int, dict] = {}                        # a line a node and feature, of at most 2^depth nodes
+        for r in found.collect():
+            held = best_of.get(r["node"])
+            if held is None or (r["gain"], -r["feature"]) > (held["gain"], -held["feature"]):
+                best_of[r["node"]] = r.asDict()
+        return list(best_of.values())
 
     def _finish(self, small: list[tuple[int, int]], tree: Tree, most: int) -> list:
         """Grow small nodes to the end, each in one task: [{node: subtree}]; or, without nodes, whole trees: [trees]."""

@@ -43,3 +43,20 @@ def test_cuts_of_many_nodes_equal_one_at_a_time():
             r = rows[start[i]:start[i + 1]]
             want = B.node_cut(bins[r], g[r], h[r], columns[i], p, least)
             assert got[0][i] == want[0] and (want[0] == -np.inf or tuple(x[i] for x in got[1:]) == want[1:])
+
+
+def test_boosting_takes_few_jobs_where_a_task_holds_the_sample(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cirflow.operators import boosting as B
+    calls = []
+    for name in ("_level", "_finish"):
+        def counted(self, *a, _f=getattr(B._Fit, name), _name=name):
+            calls.append(_name)
+            return _f(self, *a)
+        monkeypatch.setattr(B._Fit, name, counted)
+    df = spark.range(30_000).select("id", F.array(F.rand(1), F.rand(2)).alias("features")).withColumn("y", (F.col("features")[0] > 0.4).cast("int"))
+    few = B.fit(df, B.Params(n_estimators=10, max_depth=3))
+    assert calls == ["_finish"] and len(few.trees) == 10
+    many = B.fit(df, B.Params(n_estimators=2, max_depth=3), finish_rows=12_000)
+    assert "_level" in calls and [t.feature for t in many.trees] == [t.feature for t in few.trees[:2]] and [t.cut for t in many.trees] == [t.cut for t in few.trees[:2]]
