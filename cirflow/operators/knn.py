@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from cirflow.session import stored
 
-BLOCK_ROWS = 4096
+#: Rows of a block: each block is sent to every pair it is in, so that larger ones are sent less often.
+BLOCK_ROWS = 16_384
 #: Pivots at most; numbers of a tile of differences.
 PIVOTS, TILE = 64, 4_000_000
 _CANDIDATE = "qid long, tid long, d2 double, target double"
@@ -50,6 +51,35 @@ def _distances(x: np.ndarray, points: np.ndarray) -> np.ndarray:
     return out
 
 
+def _nearest_rows(x: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(columns, squared distances) of each row's ``k`` nearest points, ties to the first point.
+
+    Products of matrices give every distance with a bound on its rounding; whatever that bound leaves open is computed
+    again as a sum of squared differences, and only those count."""
+    k = min(k, len(points))
+    middle = points.mean(0)
+    x0, p0 = x - middle, points - middle
+    xx, pp = np.einsum("ij,ij->i", x0, x0), np.einsum("ij,ij->i", p0, p0)
+    # rounding of the centring, the products and the sums, generously
+    slack = 8e-16 * (x.shape[1] + 8) * ((np.abs(x).max(1, initial=0) ** 2 + np.abs(points).max(initial=0) ** 2) * x.shape[1] + xx + pp.max(initial=0))
+    out_columns, out_d2 = np.empty((len(x), k), np.int64), np.empty((len(x), k))
+    step = max(1, TILE // max(1, len(points)))
+    for a in range(0, len(x), step):
+        b = min(len(x), a + step)
+        about = xx[a:b, None] + pp - 2 * (x0[a:b] @ p0.T)
+        bound = np.partition(about, k - 1, axis=1)[:, k - 1] + 2 * slack[a:b]
+        row, column = np.nonzero(~(about > bound[:, None]))
+        d2 = np.empty(len(row))
+        for c in range(0, len(row), TILE // max(1, x.shape[1]) + 1):
+            e = slice(c, c + TILE // max(1, x.shape[1]) + 1)
+            d2[e] = ((x[a + row[e]] - points[column[e]]) ** 2).sum(1)
+        order = np.lexsort((column, d2, row))
+        first = np.searchsorted(row, np.arange(b - a))
+        take = order[first[:, None] + np.arange(k)]
+        out_columns[a:b], out_d2[a:b] = column[take], d2[take]
+    return out_columns, out_d2
+
+
 def _matrix(col: pa.Array) -> np.ndarray:
     return np.asarray(col.flatten().to_numpy(zero_copy_only=False), float).reshape(len(col), -1)
 
@@ -126,13 +156,11 @@ def _compare(queries: DataFrame, train: DataFrame, pairs: DataFrame, k: int) ->
         if not len(q) or not len(t):
             return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "tid": pd.Series([], dtype="int64"), "d2": pd.Series([], dtype="float64"), "target": pd.Series([], dtype="float64")})
         t = t.sort_values("tid", kind="stable")
-        d2 = _distances(np.stack(q["qf"].to_numpy()).astype(float), np.stack(t["tf"].to_numpy()).astype(float))
-        kk = min(k, len(t))
-        cols = np.argsort(d2, axis=1, kind="stable")[:, :kk]          # ties stay in train-id order
-        rows = np.repeat(np.arange(len(q)), kk)
-        cols = cols.reshape(-1)
+        cols, d2 = _nearest_rows(np.stack(q["qf"].to_numpy()).astype(float), np.stack(t["tf"].to_numpy()).astype(float), k)
+        rows = np.repeat(np.arange(len(q)), cols.shape[1])            # ties stay in train-id order
+        cols, d2 = cols.reshape(-1), d2.reshape(-1)
         return pd.DataFrame({"qid": q["qid"].to_numpy()[rows].astype("int64"), "tid": t["tid"].to_numpy()[cols].astype("int64"),
-                             "d2": d2[rows, cols], "target": t["ty"].to_numpy()[cols].astype("float64")})
+                             "d2": d2, "target": t["ty"].to_numpy()[cols].astype("float64")})
 
     q = queries.select(F.col("block").alias("qb"), F.col("id").alias("qid"), F.col("f").alias("qf")).join(pairs, "qb")
     t = train.select(F.col("block").alias("tb"), F.col("id").alias("tid"), F.col("f").alias("tf"), F.col("target").alias("ty")).join(pairs, "tb")

@@ -60,3 +60,16 @@ def test_boosting_takes_few_jobs_where_a_task_holds_the_sample(spark, monkeypatc
     assert calls == ["_finish"] and len(few.trees) == 10
     many = B.fit(df, B.Params(n_estimators=2, max_depth=3), finish_rows=12_000)
     assert "_level" in calls and [t.feature for t in many.trees] == [t.feature for t in few.trees[:2]] and [t.cut for t in many.trees] == [t.cut for t in few.trees[:2]]
+
+
+def test_nearest_rows_by_products_equal_all_differences():
+    """Equal rows, ties and points far from the origin, where the products alone lose every digit."""
+    from cirflow.operators import knn
+    rng = np.random.default_rng(7)
+    for shift, x in ((0.0, rng.integers(0, 4, (400, 5)).astype(float)), (1e7, rng.normal(size=(400, 8))), (0.0, np.zeros((60, 3))), (1e-9, rng.normal(size=(300, 64)) * 1e-6), (3.0, rng.normal(size=(40, 64)))):
+        x = x + shift
+        points, q = x[::2], x[1::2]
+        columns, d2 = knn._nearest_rows(q, points, 15)
+        want = ((q[:, None] - points[None]) ** 2).sum(2)
+        order = np.argsort(want, axis=1, kind="stable")[:, :15]
+        assert (columns == order).all() and (d2 == np.take_along_axis(want, order, 1)).all()
