@@ -73,3 +73,23 @@ def test_nearest_rows_by_products_equal_all_differences():
         want = ((q[:, None] - points[None]) ** 2).sum(2)
         order = np.argsort(want, axis=1, kind="stable")[:, :15]
         assert (columns == order).all() and (d2 == np.take_along_axis(want, order, 1)).all()
+
+
+def test_decode_of_many_rows_at_once():
+    """Null and empty ids, bytes that are no UTF-8, and more rows than are decoded together."""
+    import pyarrow as pa
+
+    from cirflow.llm import bpe
+    v = type("V", (), {"bytes": [b"a", b"\xc3", b"\xa9", b" b", b""]})()
+    v.bytes_array, v.lengths = pa.array(v.bytes, pa.binary()), np.array([len(b) for b in v.bytes])
+    shared = type("S", (), {"value": "test-vocabulary"})
+    kept = dict(bpe._LOADED)
+    bpe._LOADED["test-vocabulary"] = v
+    try:
+        ids = [None, [], [1, 2], [1], [0, 3, 4], [2, 1]] * (bpe.DECODE_ROWS // 2)
+        batch = pa.RecordBatch.from_arrays([pa.array([None if x is None else np.array(x, "<u4").tobytes() for x in ids], pa.binary())], names=["ids"])
+        got = next(iter(bpe._decode_batches(shared, "ids", "out")(iter([batch])))).column(1).to_pylist()
+    finally:
+        bpe._LOADED.clear()
+        bpe._LOADED.update(kept)
+    assert got == [None if x is None else b"".join(v.bytes[i] for i in x).decode("utf-8", "replace") for x in ids]
