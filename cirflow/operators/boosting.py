@@ -10,9 +10,9 @@ line a node and feature reaches the driver. A node of at most ``FINISH_ROWS`` ro
 to one task that grows its subtree to the end with the same functions; while
 the whole sample is that small, the task grows several trees in a row.
 
-The margin is written again every ``ROUNDS_A_STORE`` trees; jobs in between add
-the newer trees to it, so that nothing is cached on an executor and a lost one
-costs the current job's tasks only.
+The margin is written again every ``ROUNDS_A_STORE`` trees (``ROUNDS_A_TASK`` where
+one task holds the sample); jobs in between add the newer trees to it, so that
+nothing is cached on an executor and a lost one costs the current job's tasks only.
 
 Gain = T(GL)^2/(HL+lambda) + T(GR)^2/(HR+lambda) - T(G)^2/(H+lambda), T the soft
 threshold by alpha; a cut needs ``min_child_weight`` of hessian on both sides.
@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 
 from cirflow.session import scratch_path
 
-#: Rows of a node that one task may finish (its memory is bounded by them, about 150 bytes a row); trees between two
-#: writes of the margin.
-FINISH_ROWS, ROUNDS_A_STORE = 200_000, 10
+#: Rows of a node that one task may finish (its memory is bounded by them); trees between two writes of the margin, and where one
+#: task grows whole trees and none is tried on validation rows.
+FINISH_ROWS, ROUNDS_A_STORE, ROUNDS_A_TASK = 200_000, 10, 100
 BINS = 256
-#: Rows of a node whose cuts are found by sorting; numbers of a tile of such nodes.
-SORTED_ROWS, TILE = 512, 1 << 17
+#: Rows of a node whose cuts are found by sorting, alone or where histograms can be shared; numbers of a tile of such nodes.
+SORTED_ROWS, SHARED_ROWS, TILE = 512, 256, 1 << 16
 #: Smallest gain of a cut.
 LEAST_GAIN = 1e-6
 
@@ -159,30 +159,47 @@ def histograms(bins: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray,
     return out
 
 
+def gains(left_g: np.ndarray, left_h: np.ndarray, right_g: np.ndarray, right_h: np.ndarray, parent: np.ndarray, p: Params) -> np.ndarray:
+    """``score`` of both sides less the parent's, in as few passes as there can be."""
+    out = _shrunk(left_g, p) ** 2
+    out /= left_h + p.reg_lambda + 1e-300
+    right = _shrunk(right_g, p) ** 2
+    right /= right_h + p.reg_lambda + 1e-300
+    out += right
+    out -= parent
+    return out
+
+
+def plane_cuts(g: np.ndarray, h: np.ndarray, n: np.ndarray, p: Params, least_rows: int = 1) -> tuple[np.ndarray, ...]:
+    """``best_cuts`` of gradients, hessians and rows (histograms, bins): gain, cut, side of the missing."""
+    at = np.arange(len(g))
+    all_g, all_h, all_n = (x.sum(1)[:, None] for x in (g, h, n))
+    first_g, first_n = g[:, 1:-1].cumsum(1), n[:, 1:-1].cumsum(1)          # cut after bin 1, 2, ...
+    first_h = first_n if h is n else h[:, 1:-1].cumsum(1)
+    parent = score(all_g, all_h, p)
+    best = None
+    for way in range(1 + bool(n[:, 0].any())):
+        left_g, left_h, left_n = (first_g, first_h, first_n) if not way else (first_g + g[:, :1], first_h + h[:, :1], first_n + n[:, :1])
+        right_h = all_h - left_h
+        ok = (left_n >= least_rows) & (left_n <= all_n - least_rows)
+        if p.min_child_weight:
+            ok &= (left_h >= p.min_child_weight) & (right_h >= p.min_child_weight)
+        with np.errstate(all="ignore"):
+            gain = gains(left_g, left_h, all_g - left_g, right_h, parent, p)
+        np.copyto(gain, -np.inf, where=~ok)
+        gain = gain.astype(np.float32)                       # sums in another order give the same ties
+        cut = gain.argmax(1)
+        found = gain[at, cut].astype(float), cut + 1, np.full(len(g), bool(way))
+        best = found if best is None else tuple(np.where(found[0] > best[0], a, b) for a, b in zip(found, best))
+    return best
+
+
 def best_cuts(hist: np.ndarray, p: Params, least_rows: int = 1) -> tuple[np.ndarray, ...]:
     """For each histogram (bins, 3): gain, cut (left: bin <= cut), side of the missing, and (g, h, rows) left and in all.
     Of equal gains the first cut counts, missing values right before left."""
-    missing, total = hist[:, 0], hist.sum(1)
-    right_first = hist[:, 1:-1].cumsum(1)                    # cut after bin 1, 2, ...
-    ways = [right_first]
-    if missing[:, 2].any():
-        ways.append(right_first + missing[:, None])
-    parent = score(total[:, 0], total[:, 1], p)
-    best = None
-    for way, left in enumerate(ways):
-        right = total[:, None] - left
-        ok = (left[..., 1] >= p.min_child_weight) & (right[..., 1] >= p.min_child_weight) & (left[..., 2] >= least_rows) & (right[..., 2] >= least_rows)
-        gain = np.where(ok, score(left[..., 0], left[..., 1], p) + score(right[..., 0], right[..., 1], p) - parent[:, None], -np.inf)
-        gain = gain.astype(np.float32).astype(float)         # sums in another order give the same ties
-        at = gain.argmax(1)
-        rows = np.arange(len(hist))
-        found = gain[rows, at], at + 1, np.full(len(hist), bool(way)), left[rows, at]
-        if best is None:
-            best = found
-        else:
-            better = found[0] > best[0]
-            best = tuple(np.where(better.reshape(-1, *[1] * (a.ndim - 1)), a, b) for a, b in zip(found, best))
-    return (*best, total)
+    gain, cut, missing = plane_cuts(*(np.ascontiguousarray(hist[..., i]) for i in range(3)), p, least_rows)
+    left = np.stack([x[1:c + 1].cumsum(0)[-1] + (x[0] if m else 0.0) for x, c, m in zip(hist, cut, missing)]) if len(hist) else np.zeros((0, 3))
+    return gain, cut, missing, left, hist.sum(1)
 
 
 def node_cut(bins: np.ndarray, g: np.ndarray, h: np.ndarray, columns: np.ndarray, p: Params, least_rows: int = 1) -> tuple[float, int, int, bool]:
@@ -208,48 +225,77 @@ def node_cut(bins: np.ndarray, g: np.ndarray, h: np.ndarray, columns: np.ndarray
 
 def node_cuts(bins: np.ndarray, g: np.ndarray, h: np.ndarray, rows: np.ndarray, start: np.ndarray, columns: np.ndarray, p: Params, least_rows: int = 1) -> tuple[np.ndarray, ...]:
     """``node_cut`` of many nodes: (gain, feature, cut, missing_left). Node i has the rows ``rows[start[i]:start[i + 1]]`` and
-    looks at ``columns[i]``. Nodes of few rows are sorted together, padded to the same length."""
+    looks at ``columns[i]``. Nodes of few rows are sorted together, padded to the same length; where each node looks at every
+    column, larger ones share their histograms' sums."""
     count, k = columns.shape
     gain, feature, cut, missing = np.full(count, -np.inf), np.zeros(count, np.int64), np.zeros(count, np.int64), np.zeros(count, bool)
     size = np.diff(start)
-    alone = np.flatnonzero(size > SORTED_ROWS).tolist()
-    low, every = 1, (columns == columns[:1]).all() and k == bins.shape[1] if count else False
-    while low < SORTED_ROWS:
+    every = bool(columns.size) and k == bins.shape[1] and bool((columns == np.arange(k)).all())
+    plain = bool((h == 1).all())                             # then hessians are numbers of rows
+    most = SHARED_ROWS if every else SORTED_ROWS
+    alone = np.flatnonzero(size > most).tolist()
+    low = 1
+    while low < most:
         length = 2 * low
         some = np.flatnonzero((size > low) & (size <= length))
         low, step = length, max(1, TILE // (length * max(k, 1)))
-        kind, shift = (np.uint16 if length <= 128 else np.uint32), length.bit_length() - 1
-        place = np.arange(length, dtype=kind)
+        shift = np.uint32(length.bit_length() - 1)           # (numbers of 32 bits are sorted several times as fast as those of 16)
+        place, left = np.arange(length, dtype=np.uint32), np.arange(1.0, length)
         for a in range(0, len(some) if k else 0, step):
             part = some[a:a + step]
             n = size[part]
             inside = place < n[:, None]
             at = rows[np.where(inside, start[part][:, None] + place, start[part][:, None])]
             b = bins[at].transpose(0, 2, 1) if every else bins[at[:, None, :], columns[part][:, :, None]]
-            blank = (b == 0).any((1, 2))
+            blank = ~b.all((1, 2))
             if blank.any():                                  # missing values go either way: histograms
                 alone += part[blank].tolist()
                 part, n, inside, at, b = part[~blank], n[~blank], inside[~blank], at[~blank], b[~blank]
                 if not len(part):
                     continue
-            key = np.where(inside[:, None], b.astype(kind), kind(256)) << kind(shift) | place
+            key = b.astype(np.uint32, order="C")
+            key <<= shift
+            key |= (place | np.where(inside, np.uint32(0), np.uint32(BINS << int(shift))))[:, None]
             key.sort(-1)
-            order = (key & kind(length - 1)) + (np.arange(len(part)) * length)[:, None, None]
-            end = key[..., 1:] >> kind(shift) != key[..., :-1] >> kind(shift)
-            gs, hs = np.where(inside, g[at], 0.0), np.where(inside, h[at], 0.0)
-            left_g, left_h = gs.ravel()[order[..., :-1]].cumsum(-1), hs.ravel()[order[..., :-1]].cumsum(-1)
-            all_g, all_h = gs.sum(1)[:, None, None], hs.sum(1)[:, None, None]
+            order = (key[..., :-1] & np.uint32(length - 1)) + (np.arange(len(part)) * length)[:, None, None]
+            key >>= shift
+            ok = key[..., 1:] != key[..., :-1]
+            gs = np.where(inside, g[at], 0.0)
+            left_g, all_g = gs.ravel()[order].cumsum(-1), gs.sum(1)[:, None, None]
+            if plain:
+                left_h, all_h = left, n[:, None, None].astype(float)
+            else:
+                hs = np.where(inside, h[at], 0.0)
+                left_h, all_h = hs.ravel()[order].cumsum(-1), hs.sum(1)[:, None, None]
             right_h = all_h - left_h
-            left = np.arange(1, length)
-            ok = end & ((left >= least_rows) & (left <= n[:, None] - least_rows))[:, None]
+            ok &= ((left >= least_rows) & (left <= n[:, None] - least_rows))[:, None]
             if p.min_child_weight:
                 ok &= (left_h >= p.min_child_weight) & (right_h >= p.min_child_weight)
-            with np.errstate(invalid="ignore"):
-                found = np.where(ok, score(left_g, left_h, p) + score(all_g - left_g, right_h, p) - score(all_g, all_h, p), -np.inf).astype(np.float32).reshape(len(part), -1)
+            with np.errstate(all="ignore"):
+                found = gains(left_g, left_h, all_g - left_g, right_h, score(all_g, all_h, p), p)
+            np.copyto(found, -np.inf, where=~ok)
+            found = found.astype(np.float32).reshape(len(part), -1)
             best = found.argmax(1)
             c, i = best // (length - 1), best % (length - 1)
             gain[part], feature[part] = found[np.arange(len(part)), best], columns[part, c]
-            cut[part] = key[np.arange(len(part)), c, i] >> kind(shift)
+            cut[part] = key[np.arange(len(part)), c, i]
+    if every and alone:
+        across, step = np.ascontiguousarray(bins.T), max(1, TILE // (BINS * k))
+        for a in range(0, len(alone), step):
+            part = np.array(alone[a:a + step])
+            r = np.concatenate([rows[start[i]:start[i + 1]] for i in part])
+            slot, sums, i = np.repeat(np.arange(len(part)) * BINS, size[part]), np.empty((3, len(part), k, BINS)), np.arange(len(part))
+            weights = (g[r], None if plain else h[r], None)
+            for c in range(k):
+                key = slot + across[c][r]
+                for j, x in enumerate(weights):
+                    if j != 1 or not plain:
+                        sums[j, :, c] = np.bincount(key, x, len(part) * BINS).reshape(-1, BINS)
+            by_g, by_h, by_n = sums.reshape(3, -1, BINS)
+            found, ends, side = (x.reshape(len(part), k) for x in plane_cuts(by_g, by_n if plain else by_h, by_n, p, least_rows))
+            c = found.argmax(1)
+            gain[part], feature[part], cut[part], missing[part] = found[i, c], c, ends[i, c], side[i, c]
+        return gain, feature, cut, missing
     for i in alone:
         r = rows[start[i]:start[i + 1]]
         gain[i], feature[i], cut[i], missing[i] = node_cut(bins[r], g[r], h[r], columns[i], p, least_rows)
@@ -303,16 +349,17 @@ def grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, columns: np.ndarray, p:
     rows, start = np.arange(len(bins)), np.array([0, len(bins)])
     if not len(bins):
         return Tree()
+    bins, own_columns = bins[:, columns], np.arange(len(columns))
     for d in range(depth + 1):
         a, b = sums_of(g[rows], start), sums_of(h[rows], start)
         value = leaf_values(a, b, p)
         # too light for two sides: a leaf
         live = np.flatnonzero((np.diff(start) >= 2) & (b >= 2 * p.min_child_weight)) if d < depth and len(columns) else np.empty(0, np.int64)
         own = np.flatnonzero(np.repeat(np.isin(np.arange(len(b)), live), np.diff(start)))
-        gain, feature, cut, missing = node_cuts(bins, g, h, rows[own], np.concatenate([[0], np.diff(start)[live].cumsum()]).astype(np.int64), np.tile(columns, (len(live), 1)), p)
+        gain, feature, cut, missing = node_cuts(bins, g, h, rows[own], np.concatenate([[0], np.diff(start)[live].cumsum()]).astype(np.int64), np.tile(own_columns, (len(live), 1)), p)
         good = gain > LEAST_GAIN
         split = live[good]
-        out.add(value, b, split, feature[good], cut[good], missing[good], gain[good])
+        out.add(value, b, split, columns[feature[good]], cut[good], missing[good], gain[good])
         if not len(split):
             break
         rows, start = parted(bins, rows, start, split, feature[good], cut[good], missing[good])
@@ -651,15 +698,17 @@ def fit(df: DataFrame, params: Params = Params(), features: str = "features", la
         raise ValueError("patience needs validation rows")
     state = _Fit(df, features, label, key, valid, params, finish_rows)
     model = Boosted(params, state.cuts, state.base, state.trees)
+    rounds = ROUNDS_A_TASK if valid is None and state.rows <= finish_rows else ROUNDS_A_STORE
     while len(state.trees) < params.n_estimators and state.rows and state.width:
-        before = len(state.trees)
-        while len(state.trees) < min(before + ROUNDS_A_STORE, params.n_estimators):
-            state.add(min(before + ROUNDS_A_STORE, params.n_estimators) - len(state.trees))
+        end = min(len(state.trees) + rounds, params.n_estimators)
+        while len(state.trees) < end:
+            state.add(end - len(state.trees))
         if valid is not None:
             model.losses += state.losses()
             if patience is not None and stopped(model.losses, patience) is not None:
                 break
-        state.store()
+        if end < params.n_estimators:
+            state.store()
     if model.losses and patience is not None:
         end = stopped(model.losses, patience)
         model.last_round = len(model.losses) - 1 if end is None else end
